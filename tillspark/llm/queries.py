@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, url_filter
+from . import byte_bpe, exact_dedup, media, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +29,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary=str(path), pattern=public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op8_url_filter, op9_byte_bpe)}
+def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = media.read_media(media.store_texts(table(spark, sf_dir, "documents")))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op8_url_filter, op9_byte_bpe, op10_media)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
