@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, media, url_filter
+from . import byte_bpe, exact_dedup, media, packing, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,13 +20,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer=str(public_tokenizers.path("word_bpe_49k.json")), end_id=0, capacity=2048)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary=str(path), pattern=public_tokenizers.PATTERN)
+    return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary=str(path), pattern=public_tokenizers.PATTERN, coarse=byte_bpe.COARSE)
 
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +38,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op8_url_filter, op9_byte_bpe, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op8_url_filter, op9_byte_bpe, op10_media)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
