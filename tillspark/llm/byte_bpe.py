@@ -14,8 +14,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -26,10 +29,15 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, text_or_empty
 
-#: Pre-tokens whose encodings a worker remembers; beyond it the memory is emptied, so it stays below about 100 MB.
-CACHE_ENTRIES = 300_000
+#: Pre-tokens, and coarse cuts, whose encodings a worker remembers; beyond it the memory is emptied, so it stays below about 350 MB.
+CACHE_ENTRIES, COARSE_ENTRIES = 400_000, 1_000_000
 
-#: One character for each byte: a block of letters without white space, marks or case pairs that could be joined.
+#: Coarse cuts of a text, each a run of whole pre-tokens of public_tokenizers.PATTERN: a pre-token reaches over white space only
+#: by one leading space, so a word with that space and its punctuation can be looked up at once.
+WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+COARSE = rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
+
+#: One character for each byte: a block of letters without white space, marks or case pairs that could be joined; its low byte is 0.
 FIRST_CHARACTER = 0x4E00
 
 
@@ -91,69 +99,100 @@ def _stand_ins() -> dict[int, str]:
 
 
 class ByteBpe:
-    def __init__(self, tokens: list[bytes], pattern: str):
+    """coarse: a pattern whose matches are runs of whole matches of `pattern`, or None to cut by `pattern` alone."""
+
+    def __init__(self, tokens: list[bytes], pattern: str, coarse: str | None = None):
         self.tokens = tokens
         self.whole = {t: i for i, t in enumerate(tokens)}
         self.pattern = regex.compile(pattern)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(tokens))
         self.stand_ins = _stand_ins()
-        self.odd = regex.compile(f"[{regex.escape(''.join(map(chr, self.stand_ins)))}]" if self.stand_ins else r"(?!)")
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.said: dict[str, str] = {}
+        #: A fast test that common texts pass; only then are all characters looked up.
+        self.plain = min(self.stand_ins, default=0x110000)
+        self.unusual = re.compile(f"[^\\x00-{chr(min(self.plain - 1, 0x24F))}]") if self.plain > 0x80 else re.compile(r"(?s).")
+        self.single = [[i] for i in range(len(tokens))]
+        self.decimal = [str(i) for i in range(len(tokens))]
+        self.known: dict[str, list[int]] = {}
+        self.coarse = re.compile(coarse or r"(?s).+")
+        self.use_coarse = coarse is not None
+        self.packed: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        """Remember the ids of these pre-tokens and their decimal form."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known, self.said = {}, {}
-            new = list(words)
-        ask = []
-        for w in new:
-            raw = w.encode()
-            if (i := self.whole.get(raw)) is not None:
-                self.known[w] = (i,)
-            else:
-                ask.append((w, raw.decode("latin-1").translate(_TO_PIECE)))
-        for (w, _), ids in zip(ask, self.model.encode([m for _, m in ask], num_threads=1) if ask else [], strict=True):
-            self.known[w] = tuple(ids)
-        for w in new:
-            self.said[w] = ",".join(map(str, self.known[w]))
+        """Remember the ids of these pre-tokens; those that are no entries themselves are encoded in one call."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.known = {}
+        new = list(words.difference(self.known))
+        raw = [w.encode() for w in new]
+        ids = [self.whole.get(r) for r in raw]
+        ask = [k for k, i in enumerate(ids) if i is None]
+        if ask:
+            # chr(FIRST_CHARACTER + byte) in UTF-16 is the byte itself and the high byte of FIRST_CHARACTER.
+            joined = b"".join([raw[k] for k in ask])
+            wide = bytearray(2 * len(joined))
+            wide[0::2], wide[1::2] = joined, bytes([FIRST_CHARACTER >> 8]) * len(joined)
+            pieces, at, mapped = wide.decode("utf-16-le"), 0, []
+            for k in ask:
+                mapped.append(pieces[at : at + len(raw[k])])
+                at += len(raw[k])
+            for k, found in zip(ask, self.model.encode(mapped, num_threads=1), strict=True):
+                self.known[new[k]] = found
+        self.known.update((w, self.single[i]) for w, i in zip(new, ids, strict=True) if i is not None)
+
+    def is_odd(self, text: str) -> bool:
+        return bool(self.unusual.search(text)) and not self.stand_ins.keys().isdisjoint(map(ord, text))
 
     def split(self, text: str) -> list[str]:
         """The pre-tokens: what the pattern matches, one after the other."""
-        if self.odd.search(text):
+        if self.is_odd(text):
             return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.stand_ins))]
         return self.pattern.findall(text)
 
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text."""
+        if len(self.packed) > COARSE_ENTRIES:
+            self.packed = {}
+        cuts: list[list[str] | None] = [self.coarse.findall(t) if self.use_coarse and not self.is_odd(t) else None for t in texts]
+        new = list(set(chain.from_iterable(c for c in cuts if c)).difference(self.packed))
+        whole = [self.split(t) for t, c in zip(texts, cuts, strict=True) if c is None]
+        fine = [self.pattern.findall(c) for c in new]
+        self.learn(set(chain.from_iterable(fine)) | set(chain.from_iterable(whole)))
+        self.packed.update((c, array("i", self.ids_of(words)).tobytes()) for c, words in zip(new, fine, strict=True))
+        rest = iter(whole)
+        out = []
+        for c in cuts:
+            if c is None:
+                out.append(self.ids_of(next(rest)))
+            else:
+                out.append(array("i", b"".join(map(self.packed.__getitem__, c))).tolist())
+        return out
+
     def encode(self, text: str) -> list[int]:
-        words = self.split(text)
-        self.learn(set(words))
-        return [i for w in words for i in self.known[w]]
+        return self.encode_all([text])[0]
+
+    def ids_of(self, words: list[str]) -> list[int]:
+        return list(chain.from_iterable(map(self.known.__getitem__, words)))
 
     def decode(self, ids) -> bytes:
         try:
             if min(ids, default=0) < 0:
                 raise IndexError
-            return b"".join([self.tokens[i] for i in ids])
+            return b"".join(map(self.tokens.__getitem__, ids))
         except IndexError:
             raise ValueError("an id lies outside the vocabulary") from None
 
 
-_TO_PIECE = {b: FIRST_CHARACTER + b for b in range(256)}
-
-
 @lru_cache(maxsize=2)
-def load(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(read_ranks(path), pattern)
+def load(path: str, pattern: str, coarse: str | None = None) -> ByteBpe:
+    return ByteBpe(read_ranks(path), pattern, coarse)
 
 
-def encode_texts(docs: DataFrame, *, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_texts(docs: DataFrame, *, vocabulary: str, pattern: str, coarse: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array of int) per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(vocabulary, pattern)
+        bpe = load(vocabulary, pattern, coarse)
         for b in small_batches(batches, ["text"]):
-            ids = [bpe.encode(t) for t in b.column("text").to_pylist()]
+            ids = bpe.encode_all(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
@@ -170,21 +209,16 @@ def decode_ids(encoded: DataFrame, *, vocabulary: str, pattern: str) -> DataFram
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
 
 
-def round_trip_digests(docs: DataFrame, *, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip_digests(docs: DataFrame, *, vocabulary: str, pattern: str, coarse: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 per row: encodes, decodes the ids, and keeps digests only, so that no array of ids leaves the worker."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(vocabulary, pattern)
-        for b in small_batches(batches, ["text"]):
+        bpe = load(vocabulary, pattern, coarse)
+        for b in small_batches(batches, ["text"], 2 << 20):
             counts, said, back = [], [], []
-            split = bpe.split
-            for text in b.column("text").to_pylist():
-                words = split(text)
-                bpe.learn(set(words))
-                known = bpe.known
-                ids = [i for w in words for i in known[w]]
+            for ids in bpe.encode_all(b.column("text").to_pylist()):
                 counts.append(len(ids))
-                said.append(hashlib.sha256(",".join(map(bpe.said.__getitem__, words)).encode()).hexdigest())
+                said.append(hashlib.sha256(",".join(map(bpe.decimal.__getitem__, ids)).encode()).hexdigest())
                 back.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(said), pa.array(back)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
