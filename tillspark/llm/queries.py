@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, media, packing, url_filter
+from . import byte_bpe, exact_dedup, langid, media, packing, token_counts, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +21,27 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary=str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer=str(public_tokenizers.path("word_bpe_49k.json")), end_id=0, capacity=2048)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"), least_bytes=0).drop("url")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents and of pages: doc_id or page_id (the other is null), lang, confidence, kept."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = langid.fit(docs)
+    a = langid.identify_documents(docs, model).withColumn("page_id", F.lit(None).cast("long"))
+    b = langid.identify_pages(pages, model).withColumn("doc_id", F.lit(None).cast("long"))
+    return a.unionByName(b)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
@@ -38,7 +56,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op8_url_filter, op9_byte_bpe, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op3_best_fit_packing, op5_warc, op7_language_id, op8_url_filter, op9_byte_bpe, op10_media)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
