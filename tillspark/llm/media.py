@@ -11,7 +11,8 @@ Payload: the text in UTF-8 (null: empty), then bytes 255 up to a positive multip
 Texts are stored whole. Equal texts give equal media and features. Repeated rows give repeated results, ties do not arise,
 other columns are ignored and an empty table gives an empty result. A null, broken or foreign media value (another container,
 another JPEG process) raises ValueError in `decode_avi`; `read_media` turns it into a row with null fields and the reason in
-`error`. Memory: a batch of about 8 MB of payload at a time, or one longer document.
+`error`. Memory: about 1 MB of payload at a time, or one longer
+document, of which 2048 frames are worked on at once.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ FPS = 25
 CODE_LENGTHS = {2: 3, 3: 3, 4: 3, 5: 3, 6: 3, 7: 3, 0: 4, 1: 4, 8: 4}
 #: Shots: bins of a histogram, differences in the adaptive window, deviations above its mean, least difference of a cut.
 BINS, WINDOW, DEVIATIONS, LEAST = 16, 8, 3.0, 0.25
+#: Frames worked on at once, which bounds the memory of a long document's arrays, and bytes of payload or media in a batch.
+AT_ONCE, BATCH_BYTES = 2048, 1 << 20
 
 
 def _canonical(lengths: dict[int, int]) -> dict[int, tuple[int, int]]:
@@ -82,8 +85,13 @@ def _encoder_tables() -> tuple[np.ndarray, np.ndarray]:
 _VALUE, _BITS = _encoder_tables()
 
 
-def encode_frames(payload: bytes | np.ndarray) -> list[bytes]:
+def encode_frames(payload: bytes) -> list[bytes]:
     """Lossless JPEGs of consecutive frames; the payload's length is a multiple of FRAME."""
+    step = AT_ONCE * FRAME
+    return [f for at in range(0, len(payload), step) for f in _encode(payload[at : at + step])]
+
+
+def _encode(payload: bytes) -> list[bytes]:
     x = np.frombuffer(payload, np.uint8).astype(np.int16).reshape(-1, SIDE, SIDE)
     n = len(x)
     diff = np.empty_like(x)
@@ -240,6 +248,10 @@ def decode_frames(jpegs: list[bytes]) -> np.ndarray:
     """Samples (frame, row, column) of lossless JPEGs that share one header."""
     if not jpegs:
         return np.zeros((0, SIDE, SIDE), np.uint8)
+    return np.concatenate([_decode(jpegs[at : at + AT_ONCE]) for at in range(0, len(jpegs), AT_ONCE)])
+
+
+def _decode(jpegs: list[bytes]) -> np.ndarray:
     scan = _scan_of(jpegs[0])
     skip = len(scan.header)
     if any(not j.startswith(scan.header) or j[-2:] != b"\xff\xd9" for j in jpegs):
@@ -320,7 +332,7 @@ def store_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, n_bytes, media (AVI) per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, ["text"]):
+        for b in small_batches(batches, ["text"], BATCH_BYTES):
             raw = [t.encode() for t in b.column("text").to_pylist()]
             media = store_batch([padded(t) for t in raw])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(list(map(len, raw)), pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
@@ -376,7 +388,7 @@ def read_media(media: DataFrame) -> DataFrame:
     """Digests, shot starts and features of rows with doc_id, n_bytes and media."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, ["media"]):
+        for b in small_batches(batches, ["media"], BATCH_BYTES):
             rows = list(_read_batch(b))
             yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], k) for c, k in zip(_NAMES, _KINDS, strict=True)], names=_NAMES)
 
