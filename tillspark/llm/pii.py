@@ -199,3 +199,10 @@ def pseudonymise(docs: DataFrame, *, key: str, text_col: str = "text", count_col
     count = F.when(F.col("_subs").isNull(), F.lit(0)).otherwise(F.size(F.filter(F.zip_with("_hits", "_subs", lambda a, b: a != b), lambda x: x)))
     at = {c: F.col(f"_row.c{k}") for k, c in enumerate(names)} | {text_col: done}
     return subs.select(*[at[c].alias(c) for c in names], *([count.cast("long").alias(count_col)] if count_col else []))
+
+
+def with_new_length(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """length_col, where docs has it, set to the text's number of characters (null for a null text)."""
+    if length_col not in docs.columns:
+        return docs
+    return docs.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, langid, media, packing, pii, token_counts, url_filter, warc
+from . import byte_bpe, exact_dedup, langid, media, ngram_join, packing, pii, token_counts, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(table(spark, sf_dir, "pages"), least_bytes=0).drop("url")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of documents and of pages: doc_id or page_id (the other is null), lang, confidence, kept."""
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
@@ -64,7 +68,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op3_best_fit_packing, op4_pii, op5_warc, op7_language_id, op8_url_filter, op9_byte_bpe, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op3_best_fit_packing, op4_pii, op5_warc, op6_ngram_join, op7_language_id, op8_url_filter, op9_byte_bpe, op10_media)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
