@@ -141,10 +141,11 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
         for b in batches:
             yield b.append_column("shard", pa.array([bisect.bisect_right(bounds, i) for i in b.column("page_id").to_pylist()], pa.int32()))
 
-    # The payload of a revisit isn't written but its headers tell length and digest, so it goes along to the writer.
-    marked = keyed.join(revisits, ["page_id", "sha"], "left").select("page_id", "url", "payload", "refers_to")
-    dealt = marked.mapInArrow(place, "page_id long, url string, payload string, refers_to long, shard int")
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "url")
+    # What a revisit refers to travels as a narrow row ahead of its page, so payloads are shuffled once, to their shards.
+    links = revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("payload"), "sha", "refers_to", F.lit(0).alias("kind"))
+    bodies = rows.select("page_id", "url", "payload", F.lit(None).cast("binary").alias("sha"), F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind"))
+    dealt = links.unionByName(bodies).mapInArrow(place, "page_id long, url string, payload string, sha binary, refers_to long, kind int, shard int")
+    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "kind", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = open_fs(path)
@@ -161,9 +162,15 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
                 done.append({"name": name, "records": out["records"], "bytes": out["bytes"], "sha256": out["hash"].hexdigest()})
                 out = None
 
-        number = 0
+        number, of, known = 0, None, {}
         for b in small_batches(batches, ["payload"]):
-            for page, url, payload, refers, shard in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for page, url, payload, sha, refers, kind, shard in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if page != of:
+                    of, known = page, {}
+                if kind == 0:
+                    known[sha] = refers
+                    continue
+                body = payload.encode()
                 if shard != at:
                     close()
                     at, number = shard, 0
@@ -171,7 +178,7 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
                     temporary = f"{folder}/_temporary-{shard:05d}-{number:05d}-{attempt}"
                     out = {"stream": fs.open_output_stream(temporary, compression=None), "temporary": temporary, "shard": shard, "number": number, "records": 0, "bytes": 0, "hash": hashlib.sha256()}
                     number += 1
-                member = record_bytes(page, url, payload.encode(), refers)
+                member = record_bytes(page, url, body, known.get(hashlib.sha256(body).digest()) if known else None)
                 out["stream"].write(member)
                 out["hash"].update(member)
                 out["records"] += 1
