@@ -27,10 +27,11 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,12 +40,12 @@ from .common import input_partitions, materialise, small_batches, text_or_empty
 
 CAPACITY = 2048
 GROUPS = 384
-#: Words, and runs of characters between white space, whose ids a worker remembers; beyond it the memory is emptied, so it stays
-#: below about 350 MB.
-CACHE_ENTRIES, RUN_ENTRIES = 500_000, 1_000_000
+#: Words, and runs of characters between white space, whose ids a worker remembers; beyond it the later half is forgotten, so it
+#: stays below about 250 MB.
+CACHE_ENTRIES, RUN_ENTRIES = 400_000, 800_000
 
 #: Characters for which the tokenizer's normaliser only lower-cases and its pattern is the one below (fixed by the vocabulary).
-PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa0-ɏ]")
+PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
@@ -77,26 +78,55 @@ class WordBpe:
             self.known[w] = raw[at:stop]
             at = stop
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """No word reaches over white space, so the runs between white space are looked up first, then the words of new runs."""
+    def _trim(self) -> None:
+        """Forget the later half: frequent words come early in any text, so most of them stay."""
         if len(self.runs) > RUN_ENTRIES:
-            self.runs = {}
+            self.runs = dict(islice(self.runs.items(), RUN_ENTRIES // 2))
         if len(self.known) > CACHE_ENTRIES:
-            self.known = {}
-        cuts = [None if PLAIN.search(t) else t.split() for t in texts]
-        new = list(set(chain.from_iterable(c for c in cuts if c)).difference(self.runs))
+            self.known = dict(islice(self.known.items(), CACHE_ENTRIES // 2))
+
+    def _of_runs(self, runs: list[str]) -> list[bytes]:
+        self._trim()
+        new = list(set(runs).difference(self.runs))
         fine = [WORDS.findall(run.lower()) for run in new]
         if words := list(set(chain.from_iterable(fine)).difference(self.known)):
             self._learn(words)
         of_word = self.known.__getitem__
         self.runs.update((run, b"".join(map(of_word, words))) for run, words in zip(new, fine, strict=True))
-        of_run = self.runs.__getitem__
-        return [self._direct(t).tobytes() if c is None else b"".join(map(of_run, c)) for t, c in zip(texts, cuts, strict=True)]
+        return list(map(self.runs.__getitem__, runs))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """No word reaches over white space, so each run between white space is looked up once for all texts."""
+        odd = [i for i, t in enumerate(texts) if PLAIN.search(t)]
+        plain = pa.array(["" if k else t for t, k in zip(texts, _flags(odd, len(texts)), strict=True)], pa.string())
+        lists = pc.ascii_split_whitespace(plain)
+        coded = lists.flatten().dictionary_encode()
+        code = coded.indices.to_numpy()
+        ids = self._of_runs(coded.dictionary.to_pylist())
+        size = np.array(list(map(len, ids)), np.int64) // 4
+        first = np.cumsum(size) - size
+        all_ids = np.frombuffer(b"".join(ids), "<u4")
+        n = size[code]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        picked = all_ids[np.repeat(first[code] - ends[:-1], n) + np.arange(ends[-1])] if ends[-1] else all_ids[:0]
+        cuts = (ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4).tolist()
+        raw = picked.tobytes()
+        out = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        for i in odd:
+            out[i] = self._direct(texts[i]).tobytes()
+        return out
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
 
+def _flags(at: list[int], n: int) -> list[bool]:
+    flags = [False] * n
+    for i in at:
+        flags[i] = True
+    return flags
+
+
 @lru_cache(maxsize=1)
 def load(path: str) -> WordBpe:
     return WordBpe(path)
@@ -108,7 +138,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int = 0, capacity:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load(tokenizer).encode_all
-        for b in small_batches(batches, ["text"], 2 << 20):
+        for b in small_batches(batches, ["text"], 8 << 20):
             out = []
             for doc, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist()), strict=True):
                 raw = ids + end
