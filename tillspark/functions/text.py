@@ -121,7 +121,7 @@ def transaction_date(ocr: Column) -> Column:
 
     def near_line(before: Column) -> Column:
         """From 80 characters before the match's line."""
-        start = F.length(before) - F.length(F.regexp_extract(before, r"([^\n]*)$", 1))
+        start = F.length(before) - F.length(F.regexp_extract(before, r"([^\n]*)\z", 1))
         begin = F.greatest(F.lit(0), start - 80)
         return F.substr(before, begin + 1, F.length(before) - begin)
 

@@ -52,11 +52,26 @@ def write_logs(events: DataFrame, path: str) -> None:
 
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Stem, status and items of the JSON files below path, one receipt each; a bare object counts as a list of one, an empty file has none."""
-    rows = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").text(path).withColumn("_name", F.col("_metadata.file_name"))
-    body = T.strip(F.col("value"))
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").load(path).withColumn("_name", F.element_at(F.split("path", "/"), -1))
+    body = T.strip(F.coalesce(F.decode("content", "UTF-8"), F.lit("")))
     listed = F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
     item = f"array<struct<{', '.join(':'.join(f.split()) for f in FLAT_ITEM.split(', '))}>>"
-    return rows.select(T.file_stem(F.col("_name")).alias("stem"), F.when(body == "", "empty").otherwise("filled").alias("status"), F.from_json(listed, item).alias("items"))
+    filled = rows.select(T.file_stem(F.col("_name")).alias("stem"), F.when(body == "", "empty").otherwise("filled").alias("status"), F.from_json(listed, item).alias("items"))
+    none = [(name,) for name in _empty_files(spark, path) if name.endswith(".json")]
+    empty = spark.createDataFrame(none, "name string").select(T.file_stem(F.col("name")).alias("stem"), F.lit("empty").alias("status"), F.lit(None).cast(item).alias("items"))
+    return filled.unionByName(empty)
+
+
+def _empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files without content below path, which Spark's readers skip; a listing of metadata, as those make too."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(folder, True)
+    found = []
+    while listed.hasNext():
+        status = listed.next()
+        if status.getLen() == 0:
+            found.append(status.getPath().getName())
+    return found
 
 
 def write_receipts(flat: DataFrame, path: str, *, provider: str, model: Column) -> None:
