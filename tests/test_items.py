@@ -152,3 +152,18 @@ def test_provider_failures_are_rows(spark):
 def test_run_size_takes_the_smaller_of_equals(spark):
     df = spark.createDataFrame([("a", 3), ("b", 5), ("c", 3), ("d", 5)], "trace_id string, calls long")
     assert logs.run_size(df).first()["run_size"] == 3
+
+
+def test_continuations_join_the_row_above(spark):
+    word = lambda row, col, y: ("p", row, col, row * 10, "t", 0.0, y, y, 100.0)
+    # Reach is 3 * 1.5 % of 100 = 4.5, from the first y of the row that is joined.
+    laid = [word(0, "L", 0.0), word(1, "L", 3.0), word(2, "L", 4.0), word(3, "L", 9.0), word(4, "L", 10.0), word(4, "R", 10.0), word(5, "L", 11.0)]
+    df = spark.createDataFrame(laid, "page_id string, row int, col string, word_idx bigint, token string, x double, y double, cy double, height double")
+    got = sorted((r["word_idx"], r["row"]) for r in spatial.merge_continuations(df).collect())
+    assert got == [(0, 0), (10, 0), (20, 0), (30, 3), (40, 4), (40, 4), (50, 5)]
+
+
+def test_rendered_rows(spark):
+    words = [("p", 0, "L", 1, "MILK", 5.0), ("p", 0, "L", 0, "OAT", 1.0), ("p", 0, "C", 2, "2", 50.0), ("p", 0, "R", 3, "4.79", 80.0), ("p", 1, "L", 4, "You Saved", 1.0), ("p", 1, "R", 5, "1.00", 80.0)]
+    df = spark.createDataFrame(words, "page_id string, row int, col string, word_idx bigint, token string, x double")
+    assert [r["text"] for r in spatial.render(df).orderBy("row").collect()] == ["[L] OAT MILK  |  [C] 2  |  [R] 4.79", "[S] You Saved  |  [R] 1.00"]

@@ -6,15 +6,16 @@ import difflib
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the matched characters over both lengths; null where either is null."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def best_close_match(name: pd.Series, names: pd.Series) -> pd.Series:
     """Index of the closest of names, of a ratio of 0.6 or more; null if there is none."""
     out = []

@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType
 
 from ..functions import fixed as X
 from ..functions import text as T
@@ -76,24 +77,35 @@ def drop_exact_repeats(items: DataFrame) -> DataFrame:
 def drop_fuzzy_repeats(items: DataFrame) -> DataFrame:
     """In order, an item goes if one that was kept has its price and nearly its name (ratio 0.85), and not another code.
 
-    The outcome depends on the order, so each receipt and price is one small group of work.
+    The outcome depends on the order; the items of a receipt and price are a short list, and an Arrow function takes many at a time.
     """
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    rows = items.withColumn("_key", T.dedup_key(F.col("name"))).withColumn("_price", T.merge_price_key(F.col("price")))
+    row = F.struct("item_idx", F.col("_key").alias("key"), F.coalesce("code", F.lit("")).alias("code_key"), F.struct(*items.columns).alias("row"))
+    groups = rows.groupBy("receipt_id", "_price").agg(F.array_sort(F.collect_list(row)).alias("g"))
+    # Single items need no comparison, so they stay out of the Arrow function.
+    flags = F.when(F.size("g") > 1, _first_of_similar(F.when(F.size("g") > 1, F.col("g.key")), F.when(F.size("g") > 1, F.col("g.code_key"))))
+    kept = groups.withColumn("f", flags).select(F.explode(F.filter("g", lambda x, i: F.coalesce(F.get(F.col("f"), i), F.lit(True)))).alias("x"))
+    return kept.select("x.row.*")
+
+
+@F.pandas_udf(ArrayType(BooleanType()))
+def _first_of_similar(keys: pd.Series, codes: pd.Series) -> pd.Series:
+    """Which items of an ordered list stay: those that resemble none of the kept ones before, or differ from them in code."""
+
+    def flags(names, code_list):
+        if names is None:
+            return None
         kept: list[tuple[str, str]] = []
-        flags = []
-        group = group.sort_values("item_idx")
-        for name, code in zip(group["_key"], group["code"].fillna(""), strict=True):
-            same = any(
-                not (code and c and code != c) and (name == k or (name and k and difflib.SequenceMatcher(None, name, k).ratio() >= 0.85)) for k, c in kept
-            )
-            flags.append(not same)
+        out = []
+        for name, code in zip(names, code_list, strict=True):
+            same = any(not (code and c and code != c) and (name == k or (name and k and difflib.SequenceMatcher(None, name, k).ratio() >= 0.85)) for k, c in kept)
+            out.append(not same)
             if not same:
                 kept.append((name, code))
-        return group[flags].drop(columns=["_key", "_price"])
+        return out
 
-    keyed = items.withColumn("_key", T.dedup_key(F.col("name"))).withColumn("_price", T.merge_price_key(F.col("price")))
-    return keyed.groupBy("receipt_id", "_price").applyInPandas(run, items.schema)
+    return pd.Series([flags(n, c) for n, c in zip(keys, codes, strict=True)])
 
 
 def late_filter(items: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ collected per page is small; everything is grouped by page_id and no step joins
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,20 +93,19 @@ def layout(words: DataFrame) -> DataFrame:
 
 
 def merge_continuations(laid: DataFrame) -> DataFrame:
-    """A row without a price joins a price-less row above it that begins within three tolerances; in order, so by page."""
-
-    def run(page: pd.DataFrame) -> pd.DataFrame:
-        target, last, anchor, priced = {}, None, None, True
-        for row, part in page.sort_values(["row", "word_idx"]).groupby("row", sort=True):
-            own, first = bool((part["col"] == "R").any()), float(part["y"].min())
-            if last is not None and not own and not priced and first - anchor <= 3 * X.ROW_TOLERANCE * float(part["height"].iloc[0]):
-                target[row] = last
-            else:
-                target[row], last, anchor, priced = row, row, first, own
-        page["row"] = page["row"].map(target).astype("int32")
-        return page
-
-    return laid.groupBy("page_id").applyInPandas(run, laid.schema)
+    """A row without a price joins a price-less row above it that begins within three tolerances; a fold over the page's rows."""
+    rows = laid.groupBy("page_id", "row").agg(F.max((F.col("col") == "R").cast("int")).alias("priced"), F.min("y").alias("y"), (F.first("height") * 3 * X.ROW_TOLERANCE).alias("reach"))
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("anchor"), F.lit(1).alias("priced"), F.array().cast("array<struct<row:int,target:int>>").alias("out"))
+
+    def step(acc: Column, r: Column) -> Column:
+        joins = (acc["last"] >= 0) & (acc["priced"] == 0) & (r["priced"] == 0) & (r["y"] - acc["anchor"] <= r["reach"])
+        target = F.when(joins, acc["last"]).otherwise(r["row"])
+        pair = F.struct(r["row"].alias("row"), target.alias("target"))
+        return F.struct(target.alias("last"), F.when(joins, acc["anchor"]).otherwise(r["y"]).alias("anchor"), F.when(joins, acc["priced"]).otherwise(r["priced"]).alias("priced"), F.concat(acc["out"], F.array(pair)).alias("out"))
+
+    ordered = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("row", "priced", "y", "reach"))).alias("r"))
+    targets = ordered.select("page_id", F.inline(F.aggregate("r", start, step, lambda acc: acc["out"])))
+    return laid.join(targets, ["page_id", "row"]).withColumn("row", F.col("target")).select(*laid.columns)
 
 
 def render(laid: DataFrame) -> DataFrame:
