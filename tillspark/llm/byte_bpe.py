@@ -27,7 +27,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_or_empty
+from .common import small_batches, text_or_empty, worker_slot
 
 #: Pre-tokens, and coarse cuts, whose encodings a worker remembers; beyond it the memory is emptied, so it stays below about 350 MB.
 CACHE_ENTRIES, COARSE_ENTRIES = 400_000, 1_000_000
@@ -181,9 +181,8 @@ class ByteBpe:
             raise ValueError("an id lies outside the vocabulary") from None
 
 
-@lru_cache(maxsize=2)
 def load(path: str, pattern: str, coarse: str | None = None) -> ByteBpe:
-    return ByteBpe(read_ranks(path), pattern, coarse)
+    return worker_slot(("byte_bpe", path, pattern, coarse), lambda: ByteBpe(read_ranks(path), pattern, coarse))
 
 
 def encode_texts(docs: DataFrame, *, vocabulary: str, pattern: str, coarse: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -59,10 +64,33 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")  # what was shuffled for this table isn't needed once it is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_slot: dict = {}
+
+
+def worker_slot(key, make=lambda: None):
+    """What a Python worker keeps between tasks: one operator's model and caches at a time.
+
+    Workers are reused by later stages, so what the last operator remembered goes when another one starts.
+    """
+    if key not in _slot:
+        _slot.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library can, give the memory back
+            ctypes.CDLL(None).malloc_trim(0)
+        _slot[key] = make()
+    return _slot[key]
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string")
 

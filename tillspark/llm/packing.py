@@ -26,27 +26,26 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import input_partitions, materialise, small_batches, text_or_empty
+from .common import input_partitions, materialise, small_batches, text_or_empty, worker_slot
 
 CAPACITY = 2048
 GROUPS = 384
 #: Words, and runs of characters between white space, whose ids a worker remembers; beyond it the later half is forgotten, so it
 #: stays below about 250 MB.
-CACHE_ENTRIES, RUN_ENTRIES = 400_000, 800_000
+CACHE_ENTRIES, RUN_ENTRIES, LEARN_AT_ONCE = 400_000, 800_000, 4000
 
-#: Characters for which the tokenizer's normaliser only lower-cases and its pattern is the one below (fixed by the vocabulary).
+#: Characters for which the tokenizer's normaliser only lower-cases and its pattern (fixed by the vocabulary) says what the one below
+#: says: letters, single numbers, runs of other characters.
 PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
 
 
 class WordBpe:
@@ -87,10 +86,11 @@ class WordBpe:
 
     def _of_runs(self, runs: list[str]) -> list[bytes]:
         self._trim()
-        new = list(set(runs).difference(self.runs))
+        new = [run for run in runs if run not in self.runs]
         fine = [WORDS.findall(run.lower()) for run in new]
-        if words := list(set(chain.from_iterable(fine)).difference(self.known)):
-            self._learn(words)
+        words = list(set(chain.from_iterable(fine)).difference(self.known))
+        for at in range(0, len(words), LEARN_AT_ONCE):
+            self._learn(words[at : at + LEARN_AT_ONCE])
         of_word = self.known.__getitem__
         self.runs.update((run, b"".join(map(of_word, words))) for run, words in zip(new, fine, strict=True))
         return list(map(self.runs.__getitem__, runs))
@@ -127,9 +127,8 @@ def _flags(at: list[int], n: int) -> list[bool]:
     return flags
 
 
-@lru_cache(maxsize=1)
 def load(path: str) -> WordBpe:
-    return WordBpe(path)
+    return worker_slot(("packing", path), lambda: WordBpe(path))
 
 
 def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -138,7 +137,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int = 0, capacity:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load(tokenizer).encode_all
-        for b in small_batches(batches, ["text"], 8 << 20):
+        for b in small_batches(batches, ["text"], 4 << 20):
             out = []
             for doc, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist()), strict=True):
                 raw = ids + end

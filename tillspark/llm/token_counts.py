@@ -16,14 +16,13 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_or_empty
+from .common import small_batches, text_or_empty, worker_slot
 
 WORDS = re.compile(r"\w+|[^\w\s]")
 #: Runs between white space whose counts a worker remembers; beyond it the memory is emptied, so it stays below about 150 MB.
@@ -123,9 +122,8 @@ class Counter:
         return [(s >> 2 * _FIELD, s >> _FIELD & mask, s & mask) for s in sums]
 
 
-@lru_cache(maxsize=1)
 def load(path: str) -> Counter:
-    return Counter(PieceAutomaton(*sentencepiece_vocabulary(path)))
+    return worker_slot(("token_counts", path), lambda: Counter(PieceAutomaton(*sentencepiece_vocabulary(path))))
 
 
 def token_counts(docs: DataFrame, *, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
