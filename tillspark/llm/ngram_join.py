@@ -2,15 +2,15 @@
 
 Two documents link when den * |A and B| >= num * |A or B| for their sets of distinct shingles. The order of work:
 
-1. Sets. Every whole text becomes a set of 64-bit shingle hashes. Documents with equal sets collapse to one, the smallest id.
+1. Sets. Every whole text becomes a set of 64-bit shingle hashes. Documents with equal sets collapse to one, under the smallest id.
 2. Prefixes. A set of n shingles misses at most n - ceil(num n / den) shingles of a partner, p(n) is one more. Of the p(n) + q(n)
    shingles with the smallest hashes two partners share at least q + 1 (q of the smaller set), so among those, ordered by rising
    document frequency, a prefix of p(n) and a few finds every partner. Only this part of the shingles is shuffled and counted,
    and the rare ones come first, so a passage that many documents share stays out of the prefix of a document that is at least
-   half its own. A document without a prefix shingle that another has links with nothing and is done.
+   two thirds its own. A document without a prefix shingle that another has links with nothing and is done.
 3. Groups. Documents with the same prefix and the same size form a group (cut in parts of at most GROUP_ROWS). Lists of groups by
-   prefix shingle give pairs of groups, filtered by size and by an upper bound of the intersection: shingles are counted in
-   BUCKETS buckets, and the sum of the smaller counts is at least the intersection; a group's counts are its members' largest.
+   prefix shingle give pairs of groups, filtered by size and by a lower bound of the members' difference: each set has parity
+   bits, of which two sets differ in at most as many as in elements, and a group has the bits of its first member and a radius.
    The pairs that remain expand to members, which pass the same bound. Lists longer than LIST_GROUPS are cut into blocks, and
    pairs of blocks are separate pieces of work, so no list has to fit in one task.
 4. Verification on the full sets. Copies in a large group need not all be compared: a first round verifies a spanning forest of
@@ -33,17 +33,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, text_or_empty
+from .common import materialise, small_batches, text_or_empty, worker_slot
 
-BUCKETS = 256
+LEAST_BITS = 256
 GROUP_ROWS = 64
 LIST_GROUPS = 1024
 U = np.uint64
 _ODD = 0x9E3779B97F4A7C15
-_powers: dict[str, np.ndarray] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -53,6 +53,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    _powers = worker_slot("ngram_join", dict)
     if not _powers or len(_powers["up"]) < n:
         size = max(n, 1 << 21)
         for name, base in (("up", _ODD), ("down", pow(_ODD, -1, 1 << 64))):
@@ -118,7 +119,7 @@ class Limits:
 
     def spare(self, n: int) -> int:
         """q: it never falls as n grows, which the prefix rule needs."""
-        return min(n - self.prefix(n), max(self.prefix(n), 8)) if n else 0
+        return min(n - self.prefix(n), max(self.prefix(n) // 2, 8)) if n else 0
 
     def taken(self, n: int) -> int:
         """Smallest hashes of a set that take part in prefixes."""
@@ -129,59 +130,73 @@ class Limits:
         return self.taken(n) - self.spare(self.least_size(n))
 
 
-def bucket_counts(s: np.ndarray) -> bytes:
-    counts = np.bincount((s & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-    most = counts.max(initial=0)
-    return counts.astype("<u1" if most < 256 else "<u2" if most < 65536 else "<u4").tobytes()
+def parity_bits(s: np.ndarray) -> bytes:
+    """Which hash values modulo a power of two of about 4 n to 8 n occur an odd number of times in the set."""
+    width = max(LEAST_BITS, 1 << (4 * len(s) - 1).bit_length())
+    odd = np.bincount((s & U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def read_counts(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{len(raw) // BUCKETS}").astype(np.int32)
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bits of a set (64 in a word, along the last axis) for a smaller power of two."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits: two sets differ in at least as many elements."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
 def _sketch(docs: DataFrame, words: int, limits: Limits) -> DataFrame:
-    """doc_id, n, sig, taken, counts per row; of equal sets in a batch only the smallest id carries the last two."""
+    """doc_id, row, n, sig, taken, bits. Of equal sets in a task only the first row, which `row` numbers, carries the last two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        row = TaskContext.get().partitionId() << 33
         for b in small_batches(batches, ["text"], 2 << 20):
             ids = b.column("doc_id").to_pylist()
             sets = shingle_sets([t.encode() for t in b.column("text").to_pylist()], words)
             sig = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            first: dict[bytes, int] = {}
-            for k, x in enumerate(sig):
-                if ids[k] is not None and (x not in first or ids[k] < ids[first[x]]):
-                    first[x] = k
-            lead = set(first.values())
+            lead = []
+            for i, s, x in zip(ids, sets, sig, strict=True):
+                lead.append(i is not None and len(s) > 0 and x not in seen)
+                if lead[-1]:
+                    seen.add(x)
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("doc_id"),
+                    pa.array(range(row, row + len(ids)), pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(sig, pa.binary()),
-                    pa.array([s[: limits.taken(len(s))].tobytes() if k in lead and len(s) else None for k, s in enumerate(sets)], pa.binary()),
-                    pa.array([bucket_counts(s) if k in lead and len(s) else None for k, s in enumerate(sets)], pa.binary()),
+                    pa.array([s[: limits.taken(len(s))].tobytes() if k else None for k, s in zip(lead, sets, strict=True)], pa.binary()),
+                    pa.array([parity_bits(s) if k else None for k, s in zip(lead, sets, strict=True)], pa.binary()),
                 ],
-                names=["doc_id", "n", "sig", "taken", "counts"],
+                names=["doc_id", "row", "n", "sig", "taken", "bits"],
             )
+            row += len(ids)
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig binary, taken binary, counts binary")
+    return docs.mapInArrow(run, "doc_id long, row long, n long, sig binary, taken binary, bits binary")
 
 
-def _tokens(reps: DataFrame) -> DataFrame:
-    """token, rep of every shingle that takes part."""
+def _tokens(leads: DataFrame) -> DataFrame:
+    """token, row of every shingle that takes part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             taken = b.column("taken").to_pylist()
             tokens = np.frombuffer(b"".join(taken), "<i8")
-            reps_ = np.repeat(b.column("rep").to_numpy(), [len(t) // 8 for t in taken])
+            rows = np.repeat(b.column("row").to_numpy(), [len(t) // 8 for t in taken])
             for at in range(0, len(tokens), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(tokens[at : at + 200_000]), pa.array(reps_[at : at + 200_000])], names=["token", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[at : at + 200_000]), pa.array(rows[at : at + 200_000])], names=["token", "row"])
 
-    return reps.select("rep", "taken").mapInArrow(run, "token long, rep long")
+    return leads.select("row", "taken").mapInArrow(run, "token long, row long")
 
 
 def _prefixes(shared: DataFrame, limits: Limits) -> DataFrame:
-    """rep, n, counts, prefix (of the shingles that others have too) of rows with rep, n, m (shingles that take part), counts, seen; rows without any are left out."""
+    """sig, n, bits, prefix (of the shingles that others have too) of rows with sig, n, m (shingles that take part), bits, seen; rows without any are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -196,16 +211,16 @@ def _prefixes(shared: DataFrame, limits: Limits) -> DataFrame:
                 keep.append(k)
                 out.append(token[order].astype("<i8").tobytes())
             picked = b.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([picked.column(c) for c in ("rep", "n", "counts")] + [pa.array(out, pa.binary())], names=["rep", "n", "counts", "prefix"])
+            yield pa.RecordBatch.from_arrays([picked.column(c) for c in ("sig", "n", "bits")] + [pa.array(out, pa.binary())], names=["sig", "n", "bits", "prefix"])
 
-    return shared.mapInArrow(run, "rep long, n long, counts binary, prefix binary")
+    return shared.mapInArrow(run, "sig binary, n long, bits binary, prefix binary")
 
 
 def _groups(prefixes: DataFrame) -> DataFrame:
-    """group, n, prefix, members (array of rep, counts): equal prefix and size, in parts of about GROUP_ROWS at most."""
+    """group, n, prefix, members (array of rep, bits): equal prefix and size, in parts of about GROUP_ROWS at most."""
     large = prefixes.groupBy("n", "prefix").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > GROUP_ROWS)
     parts = prefixes.join(large, ["n", "prefix"], "left").withColumn("part", F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce("rows", F.lit(1)) / GROUP_ROWS).cast("int")))
-    return parts.groupBy("n", "prefix", "part").agg(F.min("rep").alias("group"), F.sort_array(F.collect_list(F.struct("rep", "counts"))).alias("members")).drop("part")
+    return parts.groupBy("n", "prefix", "part").agg(F.min("rep").alias("group"), F.sort_array(F.collect_list(F.struct("rep", "bits"))).alias("members")).drop("part")
 
 
 def _lists(groups: DataFrame, label: DataFrame | None) -> DataFrame:
@@ -243,47 +258,45 @@ class _Forest:
         return True
 
 
-def _passing(counts: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, limits: Limits) -> np.ndarray:
-    """Which pairs may reach the threshold, by the sums of the smaller bucket counts."""
-    ok = np.zeros(len(i), bool)
-    for at in range(0, len(i), 8192):
-        a, b = i[at : at + 8192], j[at : at + 8192]
-        ok[at : at + 8192] = np.minimum(counts[a], counts[b]).sum(axis=1) >= limits.overlap(n[a] + n[b])
-    return ok
-
-
 def list_pairs(rows: list[dict], limits: Limits) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidate pairs (reps) of one piece of work; rows have own, left, right, n, members."""
     rows.sort(key=lambda r: (r["n"], r["group"]))
     n = np.array([r["n"] for r in rows], np.int64)
-    members = [r["members"] for r in rows]
-    counts = [np.stack([read_counts(m["counts"]) for m in ms]) for ms in members]
-    top = np.stack([c.max(axis=0) for c in counts])
+    bits = [np.stack([np.frombuffer(m["bits"], np.uint64) for m in r["members"]]) for r in rows]
+    ids = [np.array([m["rep"] for m in r["members"]]) for r in rows]
+    size = np.array(list(map(len, ids)))
+    radius = np.array([int(distance(b[0], b).max()) if len(b) > 1 else 0 for b in bits])
     own = np.array([r["own"] for r in rows])
     within = rows[0]["left"] == rows[0]["right"]
-    ends = np.searchsorted(n, [limits.den * int(x) // limits.num for x in n], side="right")  # partners are at most so large
+    ends = np.searchsorted(n, limits.den * n // limits.num, side="right")  # partners are at most so large
+    words = np.array([b.shape[1] for b in bits])  # never falls, as the rows are in order of n
+    first: dict[int, tuple[int, np.ndarray]] = {}
+    for w in np.unique(words).tolist():
+        at = int(np.searchsorted(words, w))
+        first[w] = (at, np.stack([folded(b[0], w) for b in bits[at:]]))
     for k in range(len(rows)):
-        if within and len(members[k]) > 1:
-            a, b = np.triu_indices(len(members[k]), 1)
-            ok = _passing(counts[k], np.full(len(members[k]), n[k]), a, b, limits)
-            ids = np.array([m["rep"] for m in members[k]])
-            yield ids[a[ok]], ids[b[ok]]
-        j = np.arange(k + 1, ends[k])
-        if not within:
-            j = j[own[j] != own[k]]
-        if not len(j):
+        if within and size[k] > 1:
+            a, b = np.triu_indices(size[k], 1)
+            ok = (2 * n[k] - distance(bits[k][a], bits[k][b])) // 2 >= limits.overlap(2 * n[k])
+            yield ids[k][a[ok]], ids[k][b[ok]]
+        if ends[k] <= k + 1:
             continue
-        j = j[_passing(top, n, np.full(len(j), k), j, limits)]
-        for other in j.tolist():
-            na, nb = len(members[k]), len(members[other])
-            a, b = np.repeat(np.arange(na), nb), np.tile(np.arange(nb), na)
-            ids_a, ids_b = np.array([m["rep"] for m in members[k]]), np.array([m["rep"] for m in members[other]])
-            if na * nb > 1:
-                stacked = np.concatenate([counts[k], counts[other]])
-                sizes = np.concatenate([np.full(na, n[k]), np.full(nb, n[other])])
-                ok = _passing(stacked, sizes, a, b + na, limits)
-                a, b = a[ok], b[ok]
-            yield ids_a[a], ids_b[b]
+        w = int(words[k])
+        at, table = first[w]
+        # A group's first member stands for it; no member lies farther from it than the group's radius.
+        apart = distance(table[k - at], table[k + 1 - at : ends[k] - at]) - radius[k] - radius[k + 1 : ends[k]]
+        both = n[k] + n[k + 1 : ends[k]]
+        ok = (both - apart) // 2 >= limits.overlap(both)
+        if not within:
+            ok &= own[k + 1 : ends[k]] != own[k]
+        j = np.flatnonzero(ok) + k + 1
+        alone = j[(size[j] == 1) & (size[k] == 1)]
+        if len(alone):
+            yield np.repeat(ids[k], len(alone)), np.concatenate([ids[o] for o in alone])
+        for o in j[(size[j] > 1) | (size[k] > 1)].tolist():
+            apart = distance(bits[k][:, None, :], folded(bits[o], w)[None, :, :])
+            a, b = np.nonzero((n[k] + n[o] - apart) // 2 >= limits.overlap(n[k] + n[o]))
+            yield ids[k][a], ids[o][b]
 
 
 def _candidates(lists: DataFrame, limits: Limits, labelled: bool) -> DataFrame:
@@ -390,14 +403,15 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, num: int = 80, den: int
     sketch = materialise(_sketch(rows, words, limits), "sketch")
     usable = sketch.where("n > 0 and doc_id is not null")
     first = usable.groupBy("sig").agg(F.min("doc_id").alias("rep"))
-    reps = usable.where("taken is not null").join(first.select(F.col("rep").alias("doc_id"), "sig"), ["doc_id", "sig"], "left_semi").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
-    reps = materialise(reps.drop("sig"), "reps")
 
-    tokens = _tokens(reps)
+    leads = usable.where("taken is not null")
+    tokens = _tokens(leads)
     frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = tokens.join(frequent, "token").groupBy("rep").agg(F.collect_list(F.struct("df", "token")).alias("seen"))
-    sized = reps.select("rep", "n", F.floor(F.octet_length("taken") / 8).alias("m"), "counts").join(shared, "rep")
-    prefixes = materialise(_prefixes(sized.select("rep", "n", "m", "counts", "seen"), limits), "prefixes")
+    shared = tokens.join(frequent, "token").groupBy("row").agg(F.collect_list(F.struct("df", "token")).alias("seen"))
+    sized = leads.select("row", "sig", "n", F.floor(F.octet_length("taken") / 8).alias("m"), "bits").join(shared, "row")
+    found = materialise(_prefixes(sized.select("sig", "n", "m", "bits", "seen"), limits), "prefixes")
+    # Leads of equal sets in several tasks have the same prefix; one row stays for each set, under its smallest id.
+    prefixes = materialise(found.join(first, "sig").drop("sig").dropDuplicates(["rep"]), "prefixes")
     groups = materialise(_groups(prefixes), "groups")
 
     found = materialise(_verified(rows, materialise(_candidates(_lists(groups, None), limits, False).distinct(), "pairs"), words, limits), "links")
