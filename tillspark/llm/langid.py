@@ -155,15 +155,15 @@ def identify(rows: DataFrame, model: Model | None, *, id_col: str, text: Column,
     by_host = by_host.withColumn("suffix", F.element_at(labels, -1)).withColumn("domain", F.when(F.size(labels) > 1, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(F.col("host")))
     by_domain = by_host.groupBy("suffix", "domain").agg(*[F.sum(f"p{k}").alias(f"d{k}") for k in range(L)])
     by_suffix = by_domain.groupBy("suffix").agg(*[F.sum(f"d{k}").alias(f"s{k}") for k in range(L)])
-    whole = by_suffix.agg(*[F.sum(f"s{k}").alias(f"g{k}") for k in range(L)])
+    whole = by_suffix.agg(*[F.sum(f"s{k}").alias(f"g{k}") for k in range(L)]).first()  # one number for each language
+    given = [whole[k] or 0.0 for k in range(L)]
+    top = [F.lit((g + strength / L) / (sum(given) + strength)) for g in given]
 
     def smooth(own: str, above: list[Column]) -> list[Column]:
         total = sum((F.col(f"{own}{k}") for k in range(L)), F.lit(0.0))
         return [(F.col(f"{own}{k}") + F.lit(strength) * above[k]) / (total + F.lit(strength)) for k in range(L)]
 
-    top = smooth("g", [F.lit(1.0 / L)] * L)
-    suffix = by_suffix.crossJoin(F.broadcast(whole))  # `whole` is one row
-    suffix = suffix.select("suffix", *[c.alias(f"s{k}") for k, c in enumerate(smooth("s", top))])
+    suffix = by_suffix.select("suffix", *[c.alias(f"s{k}") for k, c in enumerate(smooth("s", top))])
     domain = by_domain.join(suffix, "suffix").select("domain", *[c.alias(f"d{k}") for k, c in enumerate(smooth("d", [F.col(f"s{k}") for k in range(L)]))])
     prior = by_host.drop("suffix").join(domain, "domain").select("host", F.array(*[F.log(c) for c in smooth("p", [F.col(f"d{k}") for k in range(L)])]).alias("prior"))
 
