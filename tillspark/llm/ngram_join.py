@@ -41,7 +41,7 @@ from .common import materialise, small_batches, text_or_empty, worker_slot
 
 LEAST_BITS = 256
 GROUP_ROWS = 64
-LIST_GROUPS = 1024
+LIST_GROUPS = 4096
 U = np.uint64
 _ODD = 0x9E3779B97F4A7C15
 
@@ -55,7 +55,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     _powers = worker_slot("ngram_join", dict)
     if not _powers or len(_powers["up"]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         for name, base in (("up", _ODD), ("down", pow(_ODD, -1, 1 << 64))):
             _powers[name] = np.concatenate([np.ones(1, U), np.cumprod(np.full(size, base, U))])
     return _powers["up"], _powers["down"]
@@ -131,8 +131,8 @@ class Limits:
 
 
 def parity_bits(s: np.ndarray) -> bytes:
-    """Which hash values modulo a power of two of about 4 n to 8 n occur an odd number of times in the set."""
-    width = max(LEAST_BITS, 1 << (4 * len(s) - 1).bit_length())
+    """Which hash values modulo a power of two of about 2 n to 4 n occur an odd number of times in the set."""
+    width = max(LEAST_BITS, 1 << (2 * len(s) - 1).bit_length())
     odd = np.bincount((s & U(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -156,7 +156,7 @@ def _sketch(docs: DataFrame, words: int, limits: Limits) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         row = TaskContext.get().partitionId() << 33
-        for b in small_batches(batches, ["text"], 2 << 20):
+        for b in small_batches(batches, ["text"], 1 << 20):
             ids = b.column("doc_id").to_pylist()
             sets = shingle_sets([t.encode() for t in b.column("text").to_pylist()], words)
             sig = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
@@ -342,7 +342,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, limits: Limits) ->
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, ["text"], 2 << 20):
+        for b in small_batches(batches, ["text"], 1 << 20):
             found = shingle_sets([t.encode() for t in b.column("text").to_pylist()], words)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.tobytes() for s in found], pa.binary())], names=["doc_id", "set"])
 
