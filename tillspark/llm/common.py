@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import functools
 import gc
 import tempfile
 import uuid
@@ -83,14 +84,32 @@ def worker_slot(key, make=lambda: None):
     """
     if key not in _slot:
         _slot.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # where the C library can, give the memory back
-            ctypes.CDLL(None).malloc_trim(0)
+        release()
         _slot[key] = make()
     return _slot[key]
 
 
+def release() -> None:
+    """Give back to the system what a Python worker no longer needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """A function over batches that releases memory at the end of its task, since idle workers stay beside the next stage."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string")
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, text_or_empty, worker_slot
+from .common import materialise, small_batches, text_or_empty, tidy, worker_slot
 
 SAMPLE_ROWS = 3000
 BUCKETS = 1 << 16
@@ -126,6 +126,7 @@ def identify(rows: DataFrame, model: Model | None, *, id_col: str, text: Column,
     languages, L = model.languages, len(model.languages)
     names = ["id", "host", "evidence", "letters", "junk", *[f"p{k}" for k in range(L)]]
 
+    @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_slot("langid")
         for b in small_batches(batches, ["text"], 2 << 20):

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, text_or_empty, worker_slot
+from .common import materialise, small_batches, text_or_empty, tidy, worker_slot
 
 LEAST_BITS = 256
 GROUP_ROWS = 64
@@ -153,6 +153,7 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _sketch(docs: DataFrame, words: int, limits: Limits) -> DataFrame:
     """doc_id, row, n, sig, taken, bits. Of equal sets in a task only the first row, which `row` numbers, carries the last two."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         row = TaskContext.get().partitionId() << 33
@@ -184,6 +185,7 @@ def _sketch(docs: DataFrame, words: int, limits: Limits) -> DataFrame:
 def _tokens(leads: DataFrame) -> DataFrame:
     """token, row of every shingle that takes part."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             taken = b.column("taken").to_pylist()
@@ -198,6 +200,7 @@ def _tokens(leads: DataFrame) -> DataFrame:
 def _prefixes(shared: DataFrame, limits: Limits) -> DataFrame:
     """sig, n, bits, prefix (of the shingles that others have too) of rows with sig, n, m (shingles that take part), bits, seen; rows without any are left out."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep, out = [], []
@@ -226,6 +229,7 @@ def _groups(prefixes: DataFrame) -> DataFrame:
 def _lists(groups: DataFrame, label: DataFrame | None) -> DataFrame:
     """Rows of the work on lists: token, left and right block, own block, group, n, members, labels (components known so far)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             prefix = b.column("prefix").to_pylist()
@@ -302,6 +306,7 @@ def list_pairs(rows: list[dict], limits: Limits) -> Iterator[tuple[np.ndarray, n
 def _candidates(lists: DataFrame, limits: Limits, labelled: bool) -> DataFrame:
     """a, b: pairs to verify. Without labels, each task thins its candidates to a spanning forest; with labels, all whose labels differ."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, told = _Forest(), set()
 
@@ -341,6 +346,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, limits: Limits) ->
     """The pairs that link, by their full sets."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
 
+    @tidy
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, ["text"], 1 << 20):
             found = shingle_sets([t.encode() for t in b.column("text").to_pylist()], words)
@@ -349,6 +355,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, limits: Limits) ->
     known = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(sets, "doc_id long, set binary")
     both = pairs.join(known.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a").join(known.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, ["set_a", "set_b"], 4 << 20):
             ok = []
@@ -365,6 +372,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, limits: Limits) ->
 def _stars(links: DataFrame) -> DataFrame:
     """Links of a task contracted to stars: the same components with fewer, shallower edges."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, seen = _Forest(), set()
         for b in batches:

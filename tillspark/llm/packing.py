@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import input_partitions, materialise, small_batches, text_or_empty, worker_slot
+from .common import input_partitions, materialise, small_batches, text_or_empty, tidy, worker_slot
 
 CAPACITY = 2048
 GROUPS = 384
@@ -135,6 +135,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int = 0, capacity:
     """doc_id, piece, start, length, ids_crc32 of each piece of each row."""
     end = struct.pack("<I", end_id)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load(tokenizer).encode_all
         for b in small_batches(batches, ["text"], 4 << 20):
