@@ -60,6 +60,22 @@ def test_filters_remove_rows(spark):
     assert counts == sorted(counts, reverse=True) and len(set(counts)) == 4
 
 
+def test_line_context_covers_every_receipt(spark):
+    """Against brute force over the whole texts, with those that carry a spatial layout."""
+    from tillspark.plans.derive import ocr_texts
+
+    def context(text):
+        lines = text.splitlines()
+        for k, line in enumerate(lines):
+            if "MEMBER" in line.upper():
+                return "\n".join(lines[max(0, k - 3) : k + 4])
+        return text[:500]
+
+    want = {r["receipt_id"]: context(r["ocr"]) for r in ocr_texts(spark, SF).collect()}
+    got = {r["receipt_id"]: r["context"] for r in plans.QUERIES["t17_line_context_whole"](spark, SF).collect()}
+    assert got == want and any("SPATIAL LAYOUT" in c for c in got.values())
+
+
 def test_stream_equals_batch(spark, tmp_path):
     from tillspark.streaming import logs
 

@@ -134,6 +134,15 @@ def t17_line_context(spark: SparkSession, sf: str) -> DataFrame:
     return ocr_texts(spark, sf).where("receipt_id % 2 = 1").select("receipt_id", T.line_context(F.col("ocr"), F.lit("member card")).alias("context"))
 
 
+@query(duck("ocr_texts") + r""", split AS (SELECT receipt_id, ocr, string_split(regexp_replace(ocr, '\n$', ''), chr(10)) AS lines FROM ocr_texts),
+n AS (SELECT receipt_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS n FROM split),
+found AS (SELECT receipt_id, min(n) FILTER (WHERE contains(upper(line), 'MEMBER')) AS k FROM n GROUP BY receipt_id)
+SELECT s.receipt_id, CASE WHEN k IS NULL THEN substr(ocr, 1, 500) ELSE array_to_string(list_slice(lines, greatest(1, k - 3), k + 3), chr(10)) END AS context FROM split s JOIN found f ON s.receipt_id = f.receipt_id""")
+def t17_line_context_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Every receipt with its whole text; t17_line_context has only those without a spatial part."""
+    return ocr_texts(spark, sf).select("receipt_id", T.line_context(F.col("ocr"), F.lit("member card")).alias("context"))
+
+
 @query(duck("items") + r""", p AS (SELECT receipt_id, item_idx, currency, regexp_replace(price, '[A-Za-z]+$', '') AS bare, price, amount FROM items),
 c AS (SELECT *, CAST(round(try_cast(nullif(regexp_extract(bare, '\d+\.?\d*'), '') AS decimal(20, 6)) * 100) AS bigint) AS cents FROM p)
 SELECT receipt_id, item_idx, cents, CAST(cents // 100 AS varchar) || '.' || lpad(CAST(cents % 100 AS varchar), 2, '0') || currency AS price,
