@@ -301,6 +301,22 @@ def test_language_held_out_accuracy(spark):
     assert langid.identify_documents(rows, model).where("not kept").count() == 0
 
 
+def test_language_keeps_short_texts_with_keys(spark):
+    """No labelled row is rejected by models of other rows; texts in no known language still are."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text is not null and lang is not null").cache()
+    junk = ["Жъщюя " * 20, "xqzvkj wqpzx jjkq " * 5, "to jest tekst w jezyku polskim ktory nie jest znany modelowi wcale dzisiaj", "8b1a9953c4611296a827abf8c47804d7 " * 9]
+    for part in range(3):
+        model = langid.fit(rows.where(f"doc_id % 3 = {part}"))
+        texts = {r["doc_id"]: r["text"].encode() for r in rows.where(f"doc_id % 3 != {part}").collect()}
+        n, sums = model.scores(list(texts.values()))
+        assert not [i for i, bad in zip(texts, model.junk(list(texts.values()), n, sums), strict=True) if bad]
+        other = [t.encode() for t in junk]
+        assert model.junk(other, *model.scores(other)).all()
+    judged = langid.identify_documents(rows.where("doc_id in (415, 6361, 6880, 8971, 9588)"), langid.fit(rows.where("doc_id % 3 = 0")))
+    assert [r["kept"] for r in judged.collect()] == [True] * 5
+    rows.unpersist()
+
+
 def test_language_trigrams():
     keys, counts = langid.trigrams([b"", b"ab", b"A1b", b"ab"])
     assert counts.tolist() == [0, 2, 3, 2] and len(keys) == 7

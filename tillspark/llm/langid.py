@@ -9,8 +9,10 @@ For each row and language, log odds add up from
 
 The model is fitted on labelled rows whose hash falls in a share chosen so that about SAMPLE_ROWS of them take part, whole texts;
 everything else covers all rows. A row is rejected (kept = false) if no evidence about it exists: no letters in its text, or a
-final posterior under MIN_POSTERIOR, or a text in no known language (of MIN_TRIGRAMS or more, whose mean log likelihood lies more
-than JUNK_DEVIATIONS of a trigram's deviations below the sample's mean in every language).
+final posterior under MIN_POSTERIOR, or a text in no known language. That is judged on its words, without the runs of ASCII letters
+and signs that hold a digit (keys, digests; a text of such runs alone is judged on them): MIN_TRIGRAMS trigrams or more, whose mean
+log likelihood lies with confidence, that is by MARGIN standard errors, more than JUNK_DEVIATIONS of a trigram's deviations below
+the sample's mean in every language.
 
 A null or empty text has no letters, so it is rejected, with the language that the other evidence suggests. A null or unknown
 declaration and a null host are no evidence (the host's prior is then the corpus's). Ties between languages go to the first in
@@ -21,6 +23,7 @@ only if there is a row to judge.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +38,7 @@ SAMPLE_ROWS = 3000
 BUCKETS = 1 << 16
 TEMPER, DECLARED, STRENGTH = 60.0, 0.9, 20.0
 MIN_POSTERIOR, JUNK_DEVIATIONS, MIN_TRIGRAMS = 0.5, 2.5, 20
+MARGIN = 3.0 * 3**0.5  # three standard errors; neighbouring trigrams share letters, so only a third of them count as independent
 
 
 @dataclass
@@ -55,6 +59,19 @@ class Model:
                 out[:, k] = sums[ends] - sums[ends - counts]
         return counts, out
 
+    def junk(self, texts: list[bytes], counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """Whether each text, with the trigrams and sums that scores() gives, is in no known language."""
+        counts, sums = counts.copy(), sums.copy()
+        mixed = [i for i, t in enumerate(texts) if _DIGIT.search(t)]
+        if mixed:
+            n, words = self.scores([_MIXED.sub(b" ", texts[i]) for i in mixed])
+            for k, i in enumerate(mixed):
+                if n[k]:
+                    counts[i], sums[i] = n[k], words[k]
+        below = ((sums / np.maximum(counts, 1)[:, None] - self.mean) / self.deviation).max(axis=1)
+        # JUNK_DEVIATIONS isn't scaled by length: a text of several known languages lies below each one's mean, but not by whole deviations.
+        return (counts >= MIN_TRIGRAMS) & (below + MARGIN / np.sqrt(np.maximum(counts, 1)) < -JUNK_DEVIATIONS)
+
 
 def trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all byte trigrams, text after text, and each text's number. ASCII letters are lower-cased, runs of other ASCII count as one space."""
@@ -77,6 +94,9 @@ def trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 _FOLD = bytes((c + 32) if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
+_DIGIT = re.compile(rb"\d")
+_MIXED = re.compile(rb"(?<![\w+/=-])[A-Za-z_+/=-]*+\d[\w+/=-]*+")
+
 
 def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """A model from about sample_rows labelled rows (at most twice as many), chosen by hashing their ids."""
@@ -134,8 +154,7 @@ def identify(rows: DataFrame, model: Model | None, *, id_col: str, text: Column,
             n, sums = model.scores(texts)
             each = sums / np.maximum(n, 1)[:, None]
             evidence = each * (n * TEMPER / (n + TEMPER))[:, None]
-            # Not scaled by length: a text of several known languages lies below each one's mean, but not by whole deviations.
-            junk = (n >= MIN_TRIGRAMS) & (((each - model.mean) / model.deviation).max(axis=1) < -JUNK_DEVIATIONS)
+            junk = model.junk(texts, n, sums)
             for i, d in enumerate(b.column("declared").to_pylist()):
                 if d in languages:
                     evidence[i] += np.log((1 - DECLARED) / max(1, L - 1)) if L > 1 else 0.0
