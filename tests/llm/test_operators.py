@@ -190,6 +190,17 @@ def test_pii_finds_and_leaves(spark):
     assert pii.pseudonymise(empty(spark), key="k").count() == 0
 
 
+def test_pii_finds_phones_with_long_groups(spark):
+    """Of 7 to 15 digits, in groups of any length; the country code stays, digits and punctuation keep their places."""
+    phones = ["+44 7911 123456", "+49 30 1234567", "+49 151 23456789", "+33 612345678", "+39 06 698821", "+123456789012345", "+44(0)20 7946 0958", "+1234567"]
+    for x, text in zip(phones, pseudonyms(spark, [f"see {x}, or {x}." for x in phones]), strict=True):
+        first, second = re.fullmatch(r"see (.*), or (.*)\.", text).groups()
+        assert first == second != x and re.sub(r"\d", "9", first) == re.sub(r"\d", "9", x) and first[:3] == x[:3]
+        assert re.sub(r"\D", "", first)[4:] != re.sub(r"\D", "", x)[4:]
+    left = ["+1234567890123456", "+123456", "+44 2012345678901234"]
+    assert pseudonyms(spark, left) == left
+
+
 PAGES = "page_id long, url string, html string"
 
 

@@ -11,7 +11,7 @@ Found, in this order at each place of a text:
 - dates from 1900 to 2099 that exist: year-month-day with "-", "/" or ".", day.month.year, and month/day/year (day/month/year
   where only that exists): the day's number. Digits keep their count, so 2024-1-5 gives two-digit month and day only if needed;
 - telephone numbers: ten digits of the North American plan with or without +1, whose area and exchange begin with 2 to 9, inside
-  that plan; other numbers of 7 to 14 digits after "+": all but the country code's digits (the first group, of up to three);
+  that plan; other numbers of 7 to 15 digits after "+": all but the country code's digits (the first group, of up to three);
 - social security numbers ddd-dd-dddd with valid parts, inside the valid ones;
 - payment card numbers of 13 to 19 digits, bare or in groups, that begin with 2 to 6 and pass the Luhn test: all but the first
   digit, which stays, and the last, which is computed.
@@ -34,7 +34,7 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*+\.
 IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
 DATE = r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([./])\d{1,2}\2\d{4})(?!\w|[./-]\d)"
 NANP = r"(?<![\w+])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\w)"
-ABROAD = r"(?<!\w)\+[1-9]\d{0,14}(?:[ .-]\(?\d{1,5}\)?){0,6}(?!\w)"
+ABROAD = r"(?<!\w)\+[1-9](?:[ .-]?\(?\d\)?){6,14}(?!\w)"  # digits are bounded here, so a match ends with a group of a number of 7 to 15
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<!\w)(?:\d{13,19}|\d{4}([ -])\d{4}\3\d{4}\3\d{1,7}|\d{4}([ -])\d{6}\4\d{5})(?!\w)"
 ALL = "|".join((EMAIL, IPV4, DATE, NANP, ABROAD, SSN, CARD))
@@ -151,7 +151,7 @@ def _abroad(m: Column, key: str) -> Column:
     group = F.length(F.regexp_extract(m, r"^\+(\d+)", 1))
     keep = F.when(group <= 3, group).otherwise(F.lit(2))
     rest = F.substr(d, keep + 1, F.length(d) - keep)
-    return F.when(F.length(d).between(7, 14), refill(m, F.concat(F.substr(d, F.lit(1), keep), permute_digits(rest, key, "phone")))).otherwise(m)
+    return F.when(F.length(d).between(7, 15), refill(m, F.concat(F.substr(d, F.lit(1), keep), permute_digits(rest, key, "phone")))).otherwise(m)
 
 
 def _ssn(m: Column, key: str) -> Column:
