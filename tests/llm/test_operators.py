@@ -201,6 +201,22 @@ def test_pii_finds_phones_with_long_groups(spark):
     assert pseudonyms(spark, left) == left
 
 
+def test_pii_parts_phones_from_what_follows(spark):
+    """Each value gets the pseudonym that it has alone."""
+    plus_one = ["+1 (168) 555-5254", "+1 (017) 555-5036", "+1 168 555 5254", "+11685555254"]
+    abroad = ["+44 20 7946 0958", "+44 20 7946 3958", "+49 30 1234567", "+49 30 12345"]
+    others = ["126.57.31.34", "2024-01-05", "31.12.1999", "a.b@example.com", "12@example.com", "415-555-2671", "1 415 555 2671", "123-45-6789", "4111 1111 1111 1111", "378282246310005", "+44 20 7946 0958"]
+    alone = dict(zip([*plus_one, *abroad, *others], pseudonyms(spark, [*plus_one, *abroad, *others]), strict=True))
+    assert all(x != y for x, y in alone.items())
+    pairs = [(a, b) for a in [*plus_one, *abroad] for b in others]
+    assert pseudonyms(spark, [f"{a} {b}" for a, b in pairs]) == [f"{alone[a]} {alone[b]}" for a, b in pairs]
+    # Numbers that are no values stay, and the phone before them goes.
+    joined = [(a, b) for a in plus_one for b in ("2020 12", "126", "7")] + [("+44 20 7946 0958", "2021"), ("+44 20 7946 0958", "12345 6")]
+    assert pseudonyms(spark, [f"{a} {b}" for a, b in joined]) == [f"{alone[a]} {b}" for a, b in joined]
+    dotted = ["+33.1.42.68.53.00", "+41 44.66.18.00"]
+    assert all(re.sub(r"\d", "9", x) == re.sub(r"\d", "9", y) and x.split(".")[-1] != y.split(".")[-1] for x, y in zip(dotted, pseudonyms(spark, dotted), strict=True))
+
+
 PAGES = "page_id long, url string, html string"
 
 

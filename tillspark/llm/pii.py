@@ -11,7 +11,9 @@ Found, in this order at each place of a text:
 - dates from 1900 to 2099 that exist: year-month-day with "-", "/" or ".", day.month.year, and month/day/year (day/month/year
   where only that exists): the day's number. Digits keep their count, so 2024-1-5 gives two-digit month and day only if needed;
 - telephone numbers: ten digits of the North American plan with or without +1, whose area and exchange begin with 2 to 9, inside
-  that plan; other numbers of 7 to 15 digits after "+": all but the country code's digits (the first group, of up to three);
+  that plan; other numbers of 7 to 15 digits after "+": all but the country code's digits (the first group, of up to three).
+  After +1 and ten digits the number is complete; others take the groups that follow them up to 15 digits, but not a value that
+  is found by itself;
 - social security numbers ddd-dd-dddd with valid parts, inside the valid ones;
 - payment card numbers of 13 to 19 digits, bare or in groups, that begin with 2 to 6 and pass the Luhn test: all but the first
   digit, which stays, and the last, which is computed.
@@ -34,10 +36,23 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*+\.
 IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
 DATE = r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([./])\d{1,2}\2\d{4})(?!\w|[./-]\d)"
 NANP = r"(?<![\w+])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\w)"
-ABROAD = r"(?<!\w)\+[1-9](?:[ .-]?\(?\d\)?){6,14}(?!\w)"  # digits are bounded here, so a match ends with a group of a number of 7 to 15
+PLUS_ONE = r"(?<!\w)\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
+#: Values that may follow a number of 7 digits or more after a space and don't belong to it, without groups of their own.
+OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+NEXT = "|".join((
+    r"[A-Za-z0-9._%+-]++@[A-Za-z0-9]",
+    rf"{OCTET}(?:\.{OCTET}){{3}}(?!\w|\.\d)",
+    r"(?:19|20)\d\d(?:-\d{1,2}-|/\d{1,2}/|\.\d{1,2}\.)\d{1,2}(?!\w|[./-]\d)",
+    r"\d{1,2}(?:/\d{1,2}/|\.\d{1,2}\.)(?:19|20)\d\d(?!\w|[./-]\d)",
+    r"(?:1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\w)",
+    r"\d{3}-\d{2}-\d{4}(?![\w-])",
+    # A phone's last group and the start of a card may look like a card; then the card is the later one.
+    r"[2-6]\d{3}(?:(?! [2-6]\d{3}(?: \d{4}){2} \d{1,7}(?!\w))(?: \d{4}){2} \d{1,7}|(?:-\d{4}){2}-\d{1,7}|[ -]\d{6}[ -]\d{5})(?!\w)",
+))
+ABROAD = rf"(?<!\w)\+[1-9](?:[ .-]?\(?\d\)?){{6}}(?:(?! (?:{NEXT}))[ .-]?\(?\d\)?){{0,8}}(?!\w)"  # digits are bounded here, so a match ends with a group of a number of 7 to 15
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<!\w)(?:\d{13,19}|\d{4}([ -])\d{4}\3\d{4}\3\d{1,7}|\d{4}([ -])\d{6}\4\d{5})(?!\w)"
-ALL = "|".join((EMAIL, IPV4, DATE, NANP, ABROAD, SSN, CARD))
+ALL = "|".join((EMAIL, IPV4, DATE, NANP, PLUS_ONE, ABROAD, SSN, CARD))
 #: Every match holds a sign that this finds fast.
 LIKELY = r"@|\d\W{0,3}\d"
 
