@@ -247,18 +247,19 @@ def test_warc(spark, tmp_path):
 
 
 def components(rows, words, num, den):
-    sets = {}
+    sets, names = [], []
     for i, text in rows:
         lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
         w = re.findall(r"[^\x20\x09-\x0D]+", lowered)
-        sets[i] = set(zip(*[w[k:] for k in range(words)])) if len(w) >= words else ({tuple(w)} if w else set())
-    label = {i: i for i in sets}
-    for a, b in itertools.combinations(sets, 2):
+        sets.append(set(zip(*[w[k:] for k in range(words)])) if len(w) >= words else ({tuple(w)} if w else set()))
+        names.append(i)
+    label = dict(zip(names, names, strict=True))
+    for a, b in itertools.combinations(range(len(sets)), 2):
         same = len(sets[a] & sets[b])
         if same and den * same >= num * (len(sets[a]) + len(sets[b]) - same):
-            old, new = max(label[a], label[b]), min(label[a], label[b])
+            old, new = sorted((label[names[a]], label[names[b]]))[::-1]
             label = {i: new if x == old else x for i, x in label.items()}
-    return {i: (len(sets[i]), label[i]) for i in sets}
+    return sorted((i, len(x), label[i] if x else i) for i, x in zip(names, sets, strict=True))
 
 
 @pytest.mark.parametrize(("words", "num", "den", "lists", "group"), [(3, 90, 100, 1024, 64), (5, 80, 100, 3, 2), (2, 50, 100, 4, 2)])
@@ -274,8 +275,10 @@ def test_ngram_join(spark, monkeypatch, words, num, den, lists, group):
             text[random.randrange(len(text))] = f"v{random.randrange(4)}"
         rows.append((100 + k, (" " if k % 2 else "\n").join(text).upper() if k % 5 == 0 else " ".join(text)))
     rows += [(300 + k, " ".join(random.choices(base, k=30))) for k in range(20)]
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs(spark, rows).repartition(5), words=words, num=num, den=den).collect()}
-    assert got == components(rows, words, num, den)
+    rows += [(400 + k % 7, rows[40 + 5 * k][1]) for k in range(12)]  # ids that repeat with other texts
+    for frame in (docs(spark, rows).repartition(5), docs(spark, rows[::-1]).coalesce(1)):
+        got = ngram_join.near_duplicates(frame, words=words, num=num, den=den).collect()
+        assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == components(rows, words, num, den)
 
 
 def test_ngram_join_edges(spark):

@@ -7,30 +7,42 @@ import contextlib
 import ctypes
 import functools
 import gc
+import re
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _written: list[tuple[SparkSession, str]] = []
+_tables: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (local runs)."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local master gets a folder of its own (tests); on a cluster that is an error, since executors would write
+    to their own disks.
+    """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         conf = "file://" + tempfile.mkdtemp(prefix="tillspark-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one, removed when the driver's process ends."""
+    """A fresh folder below the shared one, removed by discard() or when the driver's process ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if not _written:
         atexit.register(_clean)
@@ -42,8 +54,8 @@ def _clean() -> None:
     for spark, path in _written:
         try:
             remove(spark, path)
-        except Exception:  # the session may have ended before the process
-            return
+        except Exception:  # the session may have ended before the process; another one may not have
+            continue
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -58,6 +70,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+#: While a table is written: what was shuffled for it isn't needed afterwards, and Python workers get batches of bounded size.
+WRITING = {
+    CLEAN_UP: "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df to the shared folder as Parquet and read it back.
 
@@ -65,13 +85,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    before = spark.conf.get(CLEAN_UP, "false")
-    spark.conf.set(CLEAN_UP, "true")  # what was shuffled for this table isn't needed once it is written
+    before = {k: spark.conf.get(k, None) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    out = spark.read.schema(df.schema).parquet(path)
+    _tables[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of materialise() that nothing reads any more."""
+    for df in tables:
+        if path := _tables.pop(df, None):
+            remove(df.sparkSession, path)
+            _written[:] = [w for w in _written if w[1] != path]
 
 
 _slot: dict = {}
@@ -134,7 +169,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], columns: list[str], most_by
             continue
         sizes = [0] * n
         for c in columns:
-            for i, v in enumerate(pa.compute.binary_length(batch.column(c)).to_pylist()):
+            for i, v in enumerate(pc.binary_length(batch.column(c)).to_pylist()):
                 sizes[i] += v or 0
         start = held = 0
         for i, v in enumerate(sizes):
@@ -145,4 +180,44 @@ def small_batches(batches: Iterator[pa.RecordBatch], columns: list[str], most_by
         yield batch.slice(start)
 
 
-import pyarrow.compute  # noqa: E402,F401  (registers pa.compute)
+class Remembered:
+    """What a worker remembers of strings: a run of 32-bit numbers for each, in columns of at most about most_bytes.
+
+    Places in the columns hold until the next trim().
+    """
+
+    def __init__(self, most_bytes: int):
+        self.most_bytes = most_bytes
+        self.keys = pa.array([], pa.string())
+        self.numbers = np.zeros(0, "<u4")
+        self.ends = np.zeros(1, np.int64)
+
+    def trim(self) -> None:
+        """Forget the later half: frequent strings come early in any text, so most of them stay."""
+        if self.keys.nbytes + self.numbers.nbytes + self.ends.nbytes > self.most_bytes:
+            n = len(self.keys) // 2
+            self.keys = pa.concat_arrays([self.keys.slice(0, n)])
+            self.ends = self.ends[: n + 1].copy()
+            self.numbers = self.numbers[: self.ends[-1]].copy()
+
+    def find(self, keys: pa.Array) -> np.ndarray:
+        """The place of each key, or -1."""
+        return pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy(zero_copy_only=False)
+
+    def add(self, keys: pa.Array, numbers: np.ndarray, sizes: np.ndarray) -> None:
+        """New keys with sizes[k] of the numbers each, in order."""
+        self.keys = pa.concat_arrays([self.keys, keys])
+        self.numbers = np.concatenate([self.numbers, numbers])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes, dtype=np.int64)])
+
+    def sizes(self, places: np.ndarray) -> np.ndarray:
+        return self.ends[places + 1] - self.ends[places]
+
+    def gather(self, places: np.ndarray) -> np.ndarray:
+        """The numbers at these places, one run after the other."""
+        n = self.sizes(places)
+        total = int(n.sum())
+        if not total:
+            return self.numbers[:0]
+        shift = self.ends[places] - np.cumsum(n) + n
+        return self.numbers[np.repeat(shift, n) + np.arange(total)]

@@ -2,28 +2,32 @@
 
 Two documents link when den * |A and B| >= num * |A or B| for their sets of distinct shingles. The order of work:
 
-1. Sets. Every whole text becomes a set of 64-bit shingle hashes. Documents with equal sets collapse to one, under the smallest id.
+1. Sets. Every whole text becomes a set of 64-bit shingle hashes. Rows with equal sets collapse to one node, which the number of
+   one of those rows names.
 2. Prefixes. A set of n shingles misses at most n - ceil(num n / den) shingles of a partner, p(n) is one more. Of the p(n) + q(n)
    shingles with the smallest hashes two partners share at least q + 1 (q of the smaller set), so among those, ordered by rising
    document frequency, a prefix of p(n) and a few finds every partner. Only this part of the shingles is shuffled and counted,
    and the rare ones come first, so a passage that many documents share stays out of the prefix of a document that is at least
    two thirds its own. A document without a prefix shingle that another has links with nothing and is done.
-3. Groups. Documents with the same prefix and the same size form a group (cut in parts of at most GROUP_ROWS). Lists of groups by
-   prefix shingle give pairs of groups, filtered by size and by a lower bound of the members' difference: each set has parity
-   bits, of which two sets differ in at most as many as in elements, and a group has the bits of its first member and a radius.
-   The pairs that remain expand to members, which pass the same bound. Lists longer than LIST_GROUPS are cut into blocks, and
-   pairs of blocks are separate pieces of work, so no list has to fit in one task.
+3. Groups. Nodes with the same prefix and the same size form a group (cut in parts of at most GROUP_ROWS). Lists of groups by
+   prefix shingle give pairs of groups; of lists that hold the same groups one is worked on, so copies that share many shingles
+   meet once. Pairs are filtered by size and by a lower bound of the members' difference: each set has parity bits, of which two
+   sets differ in at most as many as in elements, and a group has the bits of its first member and a radius. The pairs that
+   remain expand to members, which pass the same bound. Lists of more than LIST_GROUPS groups or LIST_BYTES of bits are cut into
+   blocks, and pairs of blocks are separate pieces of work, so no list has to fit in one task.
 4. Verification on the full sets. Copies in a large group need not all be compared: a first round verifies a spanning forest of
    the candidates and a second round those candidates whose ends are not connected yet. So no link between different components
-   can be missed, and a group of m near copies costs about m verifications.
-5. Connected components by alternating large-star and small-star steps on the links.
+   can be missed, and a group of m near copies costs about m verifications. Lists whose groups are all connected by then are left
+   out of the second round before any bits move.
+5. Connected components by alternating large-star and small-star steps on the links, and on the sets that share a document id.
 
 Words: A-Z lower-cased, then runs of characters other than space and bytes 9 to 13. A set: distinct n-word shingles; with fewer
 words, the whole sequence as one; a null, empty or blank text has the empty set and links with nothing. Repeated rows have equal
-sets and share a component; of rows that repeat an id with another text one stands for the id in links, while n_shingles is each
-row's own. A row with a null id has a null component and takes no part. Ties need no rule. Other columns are ignored by
-`near_duplicates` and carried by `keep_one`. An empty table gives an empty result. Hashes of 64 bits stand for shingles: two
-different shingles of two compared documents are taken for one with a chance of about 2**-64.
+sets and share a component; rows that repeat an id with other texts are one document with all their links, while n_shingles is
+each row's own; an empty row has its own id as component. A row with a null id has a null component and takes no part. Ties need no rule, and the order of the rows makes
+no difference. Texts are read whole, of any length. Other columns are ignored by `near_duplicates` and carried by `keep_one`. An
+empty table gives an empty result. Hashes of 64 bits stand for shingles: two different shingles of two compared documents are
+taken for one with a chance of about 2**-64.
 """
 
 from __future__ import annotations
@@ -37,11 +41,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, text_or_empty, tidy, worker_slot
+from .common import discard, materialise, small_batches, text_or_empty, tidy, worker_slot
 
-LEAST_BITS = 256
+#: Parity bits of a set of n shingles: the power of two from BITS n on, LEAST_BITS at least.
+BITS, LEAST_BITS = 8, 256
 GROUP_ROWS = 64
-LIST_GROUPS = 4096
+LIST_GROUPS, LIST_BYTES = 4096, 16 << 20
+#: Rows that a task remembers to spare work; then it starts anew. Results don't depend on it.
+REMEMBERED = 200_000
 U = np.uint64
 _ODD = 0x9E3779B97F4A7C15
 
@@ -131,8 +138,8 @@ class Limits:
 
 
 def parity_bits(s: np.ndarray) -> bytes:
-    """Which hash values modulo a power of two of about 2 n to 4 n occur an odd number of times in the set."""
-    width = max(LEAST_BITS, 1 << (2 * len(s) - 1).bit_length())
+    """Which hash values modulo a power of two of BITS n or more occur an odd number of times in the set."""
+    width = max(LEAST_BITS, 1 << (BITS * len(s) - 1).bit_length())
     odd = np.bincount((s & U(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -165,6 +172,8 @@ def _sketch(docs: DataFrame, words: int, limits: Limits) -> DataFrame:
             for i, s, x in zip(ids, sets, sig, strict=True):
                 lead.append(i is not None and len(s) > 0 and x not in seen)
                 if lead[-1]:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
                     seen.add(x)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -198,13 +207,17 @@ def _tokens(leads: DataFrame) -> DataFrame:
 
 
 def _prefixes(shared: DataFrame, limits: Limits) -> DataFrame:
-    """sig, n, bits, prefix (of the shingles that others have too) of rows with sig, n, m (shingles that take part), bits, seen; rows without any are left out."""
+    """node, n, bits, prefix (of the shingles that others have too) of rows with row, n, m (shingles that take part), bits, seen.
+
+    Rows without any are left out.
+    """
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep, out = [], []
-            for k, (n, m, seen) in enumerate(zip(b.column("n").to_pylist(), b.column("m").to_pylist(), b.column("seen"), strict=True)):
+            sizes = zip(b.column("n").to_pylist(), b.column("m").to_pylist(), b.column("seen"), strict=True)
+            for k, (n, m, seen) in enumerate(sizes):
                 room = limits.kept(n) - (m - len(seen))  # shingles of its own come first
                 if room <= 0:
                     continue
@@ -214,39 +227,63 @@ def _prefixes(shared: DataFrame, limits: Limits) -> DataFrame:
                 keep.append(k)
                 out.append(token[order].astype("<i8").tobytes())
             picked = b.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([picked.column(c) for c in ("sig", "n", "bits")] + [pa.array(out, pa.binary())], names=["sig", "n", "bits", "prefix"])
+            columns = [picked.column(c) for c in ("row", "n", "bits")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["node", "n", "bits", "prefix"])
 
-    return shared.mapInArrow(run, "sig binary, n long, bits binary, prefix binary")
+    return shared.mapInArrow(run, "node long, n long, bits binary, prefix binary")
 
 
 def _groups(prefixes: DataFrame) -> DataFrame:
     """group, n, prefix, members (array of rep, bits): equal prefix and size, in parts of about GROUP_ROWS at most."""
     large = prefixes.groupBy("n", "prefix").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > GROUP_ROWS)
-    parts = prefixes.join(large, ["n", "prefix"], "left").withColumn("part", F.pmod(F.xxhash64("rep"), F.ceil(F.coalesce("rows", F.lit(1)) / GROUP_ROWS).cast("int")))
-    return parts.groupBy("n", "prefix", "part").agg(F.min("rep").alias("group"), F.sort_array(F.collect_list(F.struct("rep", "bits"))).alias("members")).drop("part")
+    share = F.ceil(F.coalesce("rows", F.lit(1)) / GROUP_ROWS).cast("int")
+    parts = prefixes.join(large, ["n", "prefix"], "left").withColumn("part", F.pmod(F.xxhash64("node"), share))
+    members = F.sort_array(F.collect_list(F.struct(F.col("node").alias("rep"), "bits"))).alias("members")
+    return parts.groupBy("n", "prefix", "part").agg(F.min("node").alias("group"), members).drop("part")
 
 
-def _lists(groups: DataFrame, label: DataFrame | None) -> DataFrame:
-    """Rows of the work on lists: token, left and right block, own block, group, n, members, labels (components known so far)."""
+def _lists(groups: DataFrame) -> DataFrame:
+    """token, group, own block, blocks: the lists of groups by prefix shingle, one of those that hold the same groups."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             prefix = b.column("prefix").to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(prefix), "<i8")), pa.array(np.repeat(b.column("group").to_numpy(), [len(p) // 8 for p in prefix])), pa.array(np.repeat(b.column("size").to_numpy(), [len(p) // 8 for p in prefix]))], names=["token", "group", "size"])
-
-    tokens = groups.select("group", "prefix", F.size("members").alias("size")).mapInArrow(run, "token long, group long, size int")
-    lengths = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("groups"), F.sum("size").alias("rows")).where(F.col("rows") > 1).select("token", F.ceil(F.col("groups") / LIST_GROUPS).cast("int").alias("blocks"))
-    placed = tokens.join(lengths, "token").withColumn("own", F.pmod(F.xxhash64("group"), F.col("blocks")))
-    worked = placed.select("token", "group", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    data = groups.select("group", "n", "members", *([] if label is None else ["labels"]))
-    return worked.select("token", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "group").join(data, "group")
+            times = [len(p) // 8 for p in prefix]
+            columns = [np.repeat(b.column(c).to_numpy(), times) for c in ("group", "size", "n")]
+            tokens = np.frombuffer(b"".join(prefix), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tokens, *columns)], names=["token", "group", "size", "n"])
+
+    sized = groups.select("group", "prefix", F.size("members").alias("size"), "n")
+    tokens = sized.mapInArrow(run, "token long, group long, size int, n long")
+    held = F.sum(F.col("size") * F.greatest(F.col("n") * (BITS / 4), F.lit(LEAST_BITS / 8)))  # bytes of bits, rounded up
+    lists = tokens.groupBy("token").agg(
+        F.count(F.lit(1)).alias("groups"), F.sum("size").alias("rows"), held.alias("bytes"),
+        F.bit_xor(F.xxhash64("group")).alias("h1"), F.bit_xor(F.xxhash64("group", F.lit(1))).alias("h2"),
+    )
+    blocks = F.ceil(F.greatest(F.col("groups") / LIST_GROUPS, F.least(F.col("bytes") / LIST_BYTES, F.col("groups")))).cast("int")
+    alike = lists.where("rows > 1").groupBy("groups", "h1", "h2")
+    chosen = alike.agg(F.min("token").alias("token"), F.max(blocks).alias("blocks")).select("token", "blocks")
+    own = F.pmod(F.xxhash64("group"), F.col("blocks"))
+    return tokens.select("token", "group").join(chosen, "token").select("token", "group", own.alias("own"), "blocks")
+
+
+def _work(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pieces of work: token, left and right block, own block, and the columns of groups."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    placed = lists.select("token", "group", "own", other)
+    blocks = [F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right")]
+    return placed.select("token", *blocks, "own", "group").join(groups, "group")
 
 
 class _Forest:
     def __init__(self):
         self.parent: dict[int, int] = {}
 
+    def bounded(self) -> None:
+        if len(self.parent) > REMEMBERED:
+            self.parent.clear()
+
     def root(self, x: int) -> int:
         p = self.parent
         while (y := p.get(x, x)) != x:
@@ -311,6 +348,9 @@ def _candidates(lists: DataFrame, limits: Limits, labelled: bool) -> DataFrame:
         forest, told = _Forest(), set()
 
         def work(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+            forest.bounded()
+            if len(told) > REMEMBERED:
+                told.clear()
             known = {m["rep"]: x for r in rows for m, x in zip(r["members"], r["labels"], strict=True)} if labelled else {}
             found = []
             if not labelled or len(set(known.values())) > 1:
@@ -342,18 +382,27 @@ def _candidates(lists: DataFrame, limits: Limits, labelled: bool) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, words: int, limits: Limits) -> DataFrame:
-    """The pairs that link, by their full sets."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """node, set of the nodes wanted (node, sig, first), from the rows of the ids in first that have the set."""
 
     @tidy
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, ["text"], 1 << 20):
             found = shingle_sets([t.encode() for t in b.column("text").to_pylist()], words)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.tobytes() for s in found], pa.binary())], names=["doc_id", "set"])
+            raw = [s.tobytes() for s in found]
+            same = [xxhash.xxh3_128_digest(r) == sig for r, sig in zip(raw, b.column("sig").to_pylist(), strict=True)]
+            sets = pa.RecordBatch.from_arrays([b.column("node"), pa.array(raw, pa.binary())], names=["node", "set"])
+            yield sets.filter(pa.array(same, pa.bool_()))
+
+    named = wanted.select(F.col("first").alias("doc_id"), "node", "sig")
+    return docs.join(named, "doc_id").select("node", "sig", "text").mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
 
-    known = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(sets, "doc_id long, set binary")
-    both = pairs.join(known.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a").join(known.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, limits: Limits) -> DataFrame:
+    """The pairs that link, by their full sets."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    known = materialise(_sets(docs, nodes.join(ends, "node", "left_semi"), words), "sets")
+    a, b = (known.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
 
     @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,7 +415,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, limits: Limits) ->
             picked = b.filter(pa.array(ok, pa.bool_()))
             yield pa.RecordBatch.from_arrays([picked.column("a"), picked.column("b")], names=["a", "b"])
 
-    return both.mapInArrow(compare, "a long, b long")
+    links = materialise(pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long"), "links")
+    discard(known)
+    return links
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -375,21 +426,28 @@ def _stars(links: DataFrame) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, seen = _Forest(), set()
+
+        def stars() -> Iterator[pa.RecordBatch]:
+            out = [(forest.root(x), x) for x in seen if forest.root(x) != x]
+            for at in range(0, len(out), 100_000):
+                columns = zip(*out[at : at + 100_000], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
         for b in batches:
             for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True):
                 forest.join(x, y)
                 seen.update((x, y))
-        out = [(forest.root(x), x) for x in seen if forest.root(x) != x]
-        for at in range(0, len(out), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out[at : at + 100_000], strict=True)], names=["a", "b"])
+            if len(seen) > REMEMBERED:
+                yield from stars()
+                forest, seen = _Forest(), set()
+        yield from stars()
 
     return links.mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, label (smallest node of its component, other than itself) from links a, b; nodes that are their own label are left out."""
-    edges = materialise(_stars(links).distinct(), "edges")
-    before = None
+    edges, before = materialise(_stars(links).distinct(), "edges"), None
     while True:
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
@@ -401,7 +459,8 @@ def components(links: DataFrame) -> DataFrame:
         # Edges point from a smaller a to a larger b here, so the small-star step ties a node's smaller neighbours together.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).where("x <> y")
-        edges = materialise(small.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        last, edges = edges, materialise(small.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        discard(last)
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -410,37 +469,54 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, num: int = 80, den: int
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     sketch = materialise(_sketch(rows, words, limits), "sketch")
     usable = sketch.where("n > 0 and doc_id is not null")
-    first = usable.groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    nodes = materialise(usable.groupBy("sig").agg(F.min("row").alias("node"), F.min("doc_id").alias("first")), "nodes")
 
     leads = usable.where("taken is not null")
     tokens = _tokens(leads)
     frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = tokens.join(frequent, "token").groupBy("row").agg(F.collect_list(F.struct("df", "token")).alias("seen"))
-    sized = leads.select("row", "sig", "n", F.floor(F.octet_length("taken") / 8).alias("m"), "bits").join(shared, "row")
-    found = materialise(_prefixes(sized.select("sig", "n", "m", "bits", "seen"), limits), "prefixes")
-    # Leads of equal sets in several tasks have the same prefix; one row stays for each set, under its smallest id.
-    prefixes = materialise(found.join(first, "sig").drop("sig").dropDuplicates(["rep"]), "prefixes")
+    # Of leads of equal sets in several tasks the one that names the node stays.
+    chosen = shared.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
+    sized = leads.select("row", "n", F.floor(F.octet_length("taken") / 8).alias("m"), "bits").join(chosen, "row")
+    prefixes = materialise(_prefixes(sized.select("row", "n", "m", "bits", "seen"), limits), "prefixes")
     groups = materialise(_groups(prefixes), "groups")
-
-    found = materialise(_verified(rows, materialise(_candidates(_lists(groups, None), limits, False).distinct(), "pairs"), words, limits), "links")
-    label = components(found)
-    # Round two: what the forest left unconnected.
-    spread = groups.select("group", F.posexplode("members").alias("at", "m")).select("group", "at", F.col("m.rep").alias("rep"))
-    named = spread.join(label.select(F.col("node").alias("rep"), "label"), "rep", "left").select("group", "at", F.coalesce("label", "rep").alias("label"))
-    labels = named.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("at", "label"))).alias("l")).select("group", F.col("l.label").alias("labels"))
-    again = materialise(_candidates(_lists(materialise(groups.join(labels, "group"), "groups"), label), limits, True).distinct(), "pairs")
+    discard(prefixes)
+    lists = materialise(_lists(groups), "lists")
+
+    def candidates(lists: DataFrame, groups: DataFrame, labelled: bool) -> DataFrame:
+        return materialise(_candidates(_work(lists, groups), limits, labelled).distinct(), "pairs")
+
+    plain = groups.select("group", "n", "members")
+    pairs = candidates(lists, plain, False)
+    links = _verified(rows, nodes, pairs, words, limits)
+    discard(pairs)
+    label = components(links)
+    # Round two: what the forest left unconnected, in lists that hold more than one label.
+    members = groups.select("group", F.posexplode("members.rep").alias("at", "node"))
+    named = members.join(label, "node", "left").select("group", "at", F.coalesce("label", "node").alias("label"))
+    told = F.sort_array(F.collect_list(F.struct("at", "label"))).alias("told")
+    labels = materialise(named.groupBy("group").agg(told, F.min("label").alias("low"), F.max("label").alias("high")), "labels")
+    several = lists.join(labels.select("group", "low", "high"), "group").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    open_lists = lists.join(several.where("low < high").select("token"), "token", "left_semi")
+    again = candidates(open_lists, plain.join(labels.select("group", F.col("told.label").alias("labels")), "group"), True)
     if not again.isEmpty():
-        more = materialise(_verified(rows, again, words, limits), "links")
-        label = components(found.union(more))
-
-    named = first.join(label.select(F.col("node").alias("rep"), "label"), "rep", "left").select("sig", F.coalesce("label", "rep").alias("component"))
-    out = sketch.select("doc_id", "n", "sig").join(named, "sig", "left")
-    own = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+        links = links.union(_verified(rows, nodes, again, words, limits))
+    discard(groups, lists, again, labels)
+
+    # Sets of one document belong together too; then every node gets the smallest id of its component.
+    placed = materialise(usable.select("doc_id", "n", "sig").join(nodes.select("sig", "node"), "sig").drop("sig"), "placed")
+    ids = placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a < high").drop("high")
+    own = placed.join(ids, "doc_id").where("a <> node").select("a", F.col("node").alias("b"))
+    label = components(links.union(own))
+    named = materialise(nodes.select("node", "first").join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
+    least = materialise(named.groupBy("label").agg(F.min("first").alias("component_id")), "components")
+    found = materialise(named.select("node", "label").join(least, "label").select("node", "component_id"), "components")
+    discard(nodes, named, least)
+    alone = sketch.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return placed.join(found, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(alone)
 
 
 def keep_one(docs: DataFrame, *, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs (doc_id, text and other columns) with the smallest id left of each component; rows with a null id stay."""
     found = near_duplicates(docs, words=words, num=num, den=den)
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")
+    return docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)

@@ -26,7 +26,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +34,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import input_partitions, materialise, small_batches, text_or_empty, tidy, worker_slot
+from .common import Remembered, input_partitions, materialise, small_batches, text_or_empty, tidy, worker_slot
 
 CAPACITY = 2048
 GROUPS = 384
-#: Words, and runs of characters between white space, whose ids a worker remembers; beyond it the later half is forgotten, so it
-#: stays below about 250 MB.
-CACHE_ENTRIES, RUN_ENTRIES, LEARN_AT_ONCE = 400_000, 800_000, 4000
+#: What a worker remembers of words, and of runs of characters between white space, with their ids.
+WORD_BYTES, RUN_BYTES, LEARN_AT_ONCE = 12 << 20, 20 << 20, 4000
+BATCH_BYTES = 4 << 20
 
 #: Characters for which the tokenizer's normaliser only lower-cases and its pattern (fixed by the vocabulary) says what the one below
 #: says: letters, single numbers, runs of other characters.
@@ -56,61 +56,51 @@ class WordBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)], bool)
+        self.words, self.runs = Remembered(WORD_BYTES), Remembered(RUN_BYTES)
 
     def _direct(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        """All new words in one call: each ends with a piece that ends a word."""
-        ids = self._direct(" ".join(words))
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(words):
-            self.known.update((w, self._direct(w).tobytes()) for w in words)
-            return
-        raw, at = ids.tobytes(), 0
-        for w, stop in zip(words, (stops * 4).tolist(), strict=True):
-            self.known[w] = raw[at:stop]
-            at = stop
-
-    def _trim(self) -> None:
-        """Forget the later half: frequent words come early in any text, so most of them stay."""
-        if len(self.runs) > RUN_ENTRIES:
-            self.runs = dict(islice(self.runs.items(), RUN_ENTRIES // 2))
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = dict(islice(self.known.items(), CACHE_ENTRIES // 2))
-
-    def _of_runs(self, runs: list[str]) -> list[bytes]:
-        self._trim()
-        new = [run for run in runs if run not in self.runs]
-        fine = [WORDS.findall(run.lower()) for run in new]
-        words = list(set(chain.from_iterable(fine)).difference(self.known))
+    def _learn_words(self, words: pa.Array) -> None:
+        """Many new words in one call: each ends with a piece that ends a word."""
         for at in range(0, len(words), LEARN_AT_ONCE):
-            self._learn(words[at : at + LEARN_AT_ONCE])
-        of_word = self.known.__getitem__
-        self.runs.update((run, b"".join(map(of_word, words))) for run, words in zip(new, fine, strict=True))
-        return list(map(self.runs.__getitem__, runs))
+            part = words.slice(at, LEARN_AT_ONCE)
+            texts = part.to_pylist()
+            ids = self._direct(" ".join(texts))
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(texts):
+                each = [self._direct(w) for w in texts]
+                ids, stops = np.concatenate(each), np.cumsum(list(map(len, each)))
+            self.words.add(part, ids, np.diff(stops, prepend=0))
+
+    def _learn_runs(self, runs: pa.Array) -> None:
+        fine = [WORDS.findall(run.lower()) for run in runs.to_pylist()]
+        coded = pa.array(chain.from_iterable(fine), pa.string()).dictionary_encode()
+        words = coded.dictionary
+        self._learn_words(words.filter(pa.array(self.words.find(words) < 0)))
+        places = self.words.find(words)[coded.indices.to_numpy()]
+        before = np.concatenate([[0], np.cumsum(self.words.sizes(places))])
+        stops = before[np.cumsum(list(map(len, fine)))]
+        self.runs.add(runs, self.words.gather(places), np.diff(stops, prepend=0))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """No word reaches over white space, so each run between white space is looked up once for all texts."""
+        self.words.trim()
+        self.runs.trim()
         odd = [i for i, t in enumerate(texts) if PLAIN.search(t)]
         plain = pa.array(["" if k else t for t, k in zip(texts, _flags(odd, len(texts)), strict=True)], pa.string())
         lists = pc.ascii_split_whitespace(plain)
         coded = lists.flatten().dictionary_encode()
-        code = coded.indices.to_numpy()
-        ids = self._of_runs(coded.dictionary.to_pylist())
-        size = np.array(list(map(len, ids)), np.int64) // 4
-        first = np.cumsum(size) - size
-        all_ids = np.frombuffer(b"".join(ids), "<u4")
-        n = size[code]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        picked = all_ids[np.repeat(first[code] - ends[:-1], n) + np.arange(ends[-1])] if ends[-1] else all_ids[:0]
+        at = self.runs.find(coded.dictionary)
+        if (at < 0).any():
+            self._learn_runs(coded.dictionary.filter(pa.array(at < 0)))
+            at = self.runs.find(coded.dictionary)
+        places = at[coded.indices.to_numpy()]
+        ends = np.concatenate([[0], np.cumsum(self.runs.sizes(places))])
         cuts = (ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4).tolist()
-        raw = picked.tobytes()
+        raw = self.runs.gather(places).tobytes()
         out = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         for i in odd:
             out[i] = self._direct(texts[i]).tobytes()
@@ -138,7 +128,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int = 0, capacity:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load(tokenizer).encode_all
-        for b in small_batches(batches, ["text"], 4 << 20):
+        for b in small_batches(batches, ["text"], BATCH_BYTES):
             out = []
             for doc, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist()), strict=True):
                 raw = ids + end
