@@ -17,8 +17,8 @@ Two documents link when den * |A and B| >= num * |A or B| for their sets of dist
    blocks, and pairs of blocks are separate pieces of work, so no list has to fit in one task.
 4. Verification on the full sets. Copies in a large group need not all be compared: a first round verifies a spanning forest of
    the candidates and a second round those candidates whose ends are not connected yet. So no link between different components
-   can be missed, and a group of m near copies costs about m verifications. Lists whose groups are all connected by then are left
-   out of the second round before any bits move.
+   can be missed, and a group of m near copies costs about m verifications. Lists of which no pair was left out, and those whose
+   groups are all connected by then, are not worked on again.
 5. Connected components by alternating large-star and small-star steps on the links, and on the sets that share a document id.
 
 Words: A-Z lower-cased, then runs of characters other than space and bytes 9 to 13. A set: distinct n-word shingles; with fewer
@@ -41,10 +41,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, small_batches, text_or_empty, tidy, worker_slot
+from .common import discard, materialise, narrowed, small_batches, text_or_empty, tidy, worker_slot
 
 #: Parity bits of a set of n shingles: the power of two from BITS n on, LEAST_BITS at least.
-BITS, LEAST_BITS = 8, 256
+BITS, LEAST_BITS = 4, 512
 GROUP_ROWS = 64
 LIST_GROUPS, LIST_BYTES = 4096, 16 << 20
 #: Rows that a task remembers to spare work; then it starts anew. Results don't depend on it.
@@ -207,7 +207,7 @@ def _tokens(leads: DataFrame) -> DataFrame:
 
 
 def _prefixes(shared: DataFrame, limits: Limits) -> DataFrame:
-    """node, n, bits, prefix (of the shingles that others have too) of rows with row, n, m (shingles that take part), bits, seen.
+    """node, n, prefix (of the shingles that others have too) of rows with row, n, m (shingles that take part), seen.
 
     Rows without any are left out.
     """
@@ -227,10 +227,10 @@ def _prefixes(shared: DataFrame, limits: Limits) -> DataFrame:
                 keep.append(k)
                 out.append(token[order].astype("<i8").tobytes())
             picked = b.take(pa.array(keep, pa.int64()))
-            columns = [picked.column(c) for c in ("row", "n", "bits")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["node", "n", "bits", "prefix"])
+            columns = [picked.column(c) for c in ("row", "n")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["node", "n", "prefix"])
 
-    return shared.mapInArrow(run, "node long, n long, bits binary, prefix binary")
+    return shared.mapInArrow(run, "node long, n long, prefix binary")
 
 
 def _groups(prefixes: DataFrame) -> DataFrame:
@@ -340,31 +340,35 @@ def list_pairs(rows: list[dict], limits: Limits) -> Iterator[tuple[np.ndarray, n
             yield ids[k][a], ids[o][b]
 
 
-def _candidates(lists: DataFrame, limits: Limits, labelled: bool) -> DataFrame:
-    """a, b: pairs to verify. Without labels, each task thins its candidates to a spanning forest; with labels, all whose labels differ."""
+def _candidates(work: DataFrame, limits: Limits, labelled: bool) -> DataFrame:
+    """a, b, thinned: pairs to verify. Without labels, each task thins its candidates to a spanning forest and names the lists of
+    which it left out pairs, in rows with thinned (a token) alone; with labels, all pairs whose labels differ."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, told = _Forest(), set()
 
-        def work(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        def piece(rows: list[dict]) -> Iterator[pa.RecordBatch]:
             forest.bounded()
             if len(told) > REMEMBERED:
                 told.clear()
             known = {m["rep"]: x for r in rows for m, x in zip(r["members"], r["labels"], strict=True)} if labelled else {}
-            found = []
+            found, thinned = [], False
             if not labelled or len(set(known.values())) > 1:
                 for a, b in list_pairs(rows, limits):
                     for x, y in zip(a.tolist(), b.tolist(), strict=True):
                         pair = (min(x, y), max(x, y))
-                        if labelled:
-                            if known[x] != known[y] and pair not in told:
-                                told.add(pair)
-                                found.append(pair)
-                        elif forest.join(x, y):
-                            found.append(pair)
+                        if pair in told or labelled and known[x] == known[y]:
+                            continue
+                        if labelled or forest.join(x, y):
+                            told.add(pair)
+                            found.append((*pair, None))
+                        else:
+                            thinned = True
+            if thinned:
+                found.append((None, None, rows[0]["token"]))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b", "thinned"])
 
         held, key = [], None
         for b in batches:
@@ -372,14 +376,14 @@ def _candidates(lists: DataFrame, limits: Limits, labelled: bool) -> DataFrame:
                 at = (row["token"], row["left"], row["right"])
                 if at != key:
                     if held:
-                        yield from work(held)
+                        yield from piece(held)
                     held, key = [], at
                 held.append(row)
         if held:
-            yield from work(held)
+            yield from piece(held)
 
-    dealt = lists.repartition("token", "left", "right").sortWithinPartitions("token", "left", "right")
-    return dealt.mapInArrow(run, "a long, b long")
+    dealt = work.repartition("token", "left", "right").sortWithinPartitions("token", "left", "right")
+    return dealt.mapInArrow(run, "a long, b long, thinned long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -395,13 +399,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield sets.filter(pa.array(same, pa.bool_()))
 
     named = wanted.select(F.col("first").alias("doc_id"), "node", "sig")
-    return docs.join(named, "doc_id").select("node", "sig", "text").mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
+    return narrowed(docs, "doc_id", named).join(named, "doc_id").select("node", "sig", "text").mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, limits: Limits) -> DataFrame:
     """The pairs that link, by their full sets."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    known = materialise(_sets(docs, nodes.join(ends, "node", "left_semi"), words), "sets")
+    wanted = materialise(nodes.join(ends, "node", "left_semi"), "wanted")
+    known = materialise(_sets(docs, wanted, words), "sets")
     a, b = (known.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
 
     @tidy
@@ -416,7 +421,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, l
             yield pa.RecordBatch.from_arrays([picked.column("a"), picked.column("b")], names=["a", "b"])
 
     links = materialise(pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long"), "links")
-    discard(known)
+    discard(known, wanted)
     return links
 
 
@@ -477,21 +482,23 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, num: int = 80, den: int
     shared = tokens.join(frequent, "token").groupBy("row").agg(F.collect_list(F.struct("df", "token")).alias("seen"))
     # Of leads of equal sets in several tasks the one that names the node stays.
     chosen = shared.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    sized = leads.select("row", "n", F.floor(F.octet_length("taken") / 8).alias("m"), "bits").join(chosen, "row")
-    prefixes = materialise(_prefixes(sized.select("row", "n", "m", "bits", "seen"), limits), "prefixes")
-    groups = materialise(_groups(prefixes), "groups")
+    sized = leads.select("row", "n", F.floor(F.octet_length("taken") / 8).alias("m")).join(chosen, "row")
+    prefixes = materialise(_prefixes(sized.select("row", "n", "m", "seen"), limits), "prefixes")
+    bits = narrowed(leads.select(F.col("row").alias("node"), "bits"), "node", prefixes.select("node"))
+    groups = materialise(_groups(prefixes.join(bits, "node")), "groups")
     discard(prefixes)
-    lists = materialise(_lists(groups), "lists")
+    lists = whole = materialise(_lists(groups), "lists")
 
     def candidates(lists: DataFrame, groups: DataFrame, labelled: bool) -> DataFrame:
         return materialise(_candidates(_work(lists, groups), limits, labelled).distinct(), "pairs")
 
     plain = groups.select("group", "n", "members")
     pairs = candidates(lists, plain, False)
-    links = _verified(rows, nodes, pairs, words, limits)
-    discard(pairs)
+    links = _verified(rows, nodes, pairs.where("thinned is null").select("a", "b"), words, limits)
     label = components(links)
-    # Round two: what the forest left unconnected, in lists that hold more than one label.
+    # Round two: what the forest left unconnected, in thinned lists that hold more than one label.
+    thinned = pairs.where("thinned is not null").select(F.col("thinned").alias("token"))
+    lists = lists.join(thinned, "token", "left_semi")
     members = groups.select("group", F.posexplode("members.rep").alias("at", "node"))
     named = members.join(label, "node", "left").select("group", "at", F.coalesce("label", "node").alias("label"))
     told = F.sort_array(F.collect_list(F.struct("at", "label"))).alias("told")
@@ -500,8 +507,8 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, num: int = 80, den: int
     open_lists = lists.join(several.where("low < high").select("token"), "token", "left_semi")
     again = candidates(open_lists, plain.join(labels.select("group", F.col("told.label").alias("labels")), "group"), True)
     if not again.isEmpty():
-        links = links.union(_verified(rows, nodes, again, words, limits))
-    discard(groups, lists, again, labels)
+        links = links.union(_verified(rows, nodes, again.select("a", "b"), words, limits))
+    discard(groups, whole, pairs, again, labels)
 
     # Sets of one document belong together too; then every node gets the smallest id of its component.
     placed = materialise(usable.select("doc_id", "n", "sig").join(nodes.select("sig", "node"), "sig").drop("sig"), "placed")
