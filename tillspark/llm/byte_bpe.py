@@ -7,7 +7,7 @@ itself an entry has that id, every other one is encoded by the model. Decoding m
 
 A null text counts as empty and has no ids. Any string is accepted, control characters and lone lines included; texts are read
 whole. Repeated rows are encoded alike, other columns ignored, and an empty table gives an empty result. Decoding rejects ids
-outside the vocabulary with a ValueError.
+outside the vocabulary with a ValueError. A null id is carried like any other.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, text_or_empty, worker_slot
 
-#: Pre-tokens, and coarse cuts, whose encodings a worker remembers; beyond it the memory is emptied, so it stays below about 350 MB.
-CACHE_ENTRIES, COARSE_ENTRIES = 400_000, 1_000_000
+#: Bytes, about, of the pre-tokens and of the coarse cuts with their ids that a worker remembers; beyond them a memory is emptied.
+FINE_BYTES, COARSE_BYTES = 96 << 20, 192 << 20
 
 #: Coarse cuts of a text, each a run of whole pre-tokens of public_tokenizers.PATTERN: a pre-token reaches over white space only
 #: by one leading space, so a word with that space and its punctuation can be looked up at once.
@@ -113,14 +113,15 @@ class ByteBpe:
         self.single = [[i] for i in range(len(tokens))]
         self.decimal = [str(i) for i in range(len(tokens))]
         self.known: dict[str, list[int]] = {}
+        self.fine_held = self.coarse_held = 0
         self.coarse = re.compile(coarse or r"(?s).+")
         self.use_coarse = coarse is not None
         self.packed: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
         """Remember the ids of these pre-tokens; those that are no entries themselves are encoded in one call."""
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = {}
+        if self.fine_held > FINE_BYTES:
+            self.known, self.fine_held = {}, 0
         new = list(words.difference(self.known))
         raw = [w.encode() for w in new]
         ids = [self.whole.get(r) for r in raw]
@@ -137,6 +138,7 @@ class ByteBpe:
             for k, found in zip(ask, self.model.encode(mapped, num_threads=1), strict=True):
                 self.known[new[k]] = found
         self.known.update((w, self.single[i]) for w, i in zip(new, ids, strict=True) if i is not None)
+        self.fine_held += 160 * len(new) + 2 * sum(map(len, raw)) + 40 * sum(len(self.known[new[k]]) for k in ask)
 
     def is_odd(self, text: str) -> bool:
         return bool(self.unusual.search(text)) and not self.stand_ins.keys().isdisjoint(map(ord, text))
@@ -149,14 +151,16 @@ class ByteBpe:
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
-        if len(self.packed) > COARSE_ENTRIES:
-            self.packed = {}
+        if self.coarse_held > COARSE_BYTES:
+            self.packed, self.coarse_held = {}, 0
         cuts: list[list[str] | None] = [self.coarse.findall(t) if self.use_coarse and not self.is_odd(t) else None for t in texts]
         new = list(set(chain.from_iterable(c for c in cuts if c)).difference(self.packed))
         whole = [self.split(t) for t, c in zip(texts, cuts, strict=True) if c is None]
         fine = [self.pattern.findall(c) for c in new]
         self.learn(set(chain.from_iterable(fine)) | set(chain.from_iterable(whole)))
-        self.packed.update((c, array("i", self.ids_of(words)).tobytes()) for c, words in zip(new, fine, strict=True))
+        ids = [array("i", self.ids_of(words)).tobytes() for words in fine]
+        self.packed.update(zip(new, ids, strict=True))
+        self.coarse_held += 190 * len(new) + 2 * sum(map(len, new)) + sum(map(len, ids))
         rest = iter(whole)
         out = []
         for c in cuts:

@@ -237,5 +237,7 @@ class Remembered:
         total = int(n.sum())
         if not total:
             return self.numbers[:0]
-        shift = self.ends[places] - np.cumsum(n) + n
-        return self.numbers[np.repeat(shift, n) + np.arange(total)]
+        shift = (self.ends[places] - np.cumsum(n) + n).astype(np.int32)
+        at = np.repeat(shift, n)
+        at += np.arange(total, dtype=np.int32)
+        return self.numbers[at]

@@ -8,8 +8,9 @@ Found, in this order at each place of a text:
 - e-mail addresses: local part and domain become "u", 16 hexadecimal digits of a keyed hash of the lower-cased address, and
   "@example.invalid" (an address has no small set of valid values to permute);
 - IPv4 addresses with octets up to 255: all 32 bits;
-- dates from 1900 to 2099 that exist: year-month-day with "-", "/" or ".", day.month.year, and month/day/year (day/month/year
-  where only that exists): the day's number. Digits keep their count, so 2024-1-5 gives two-digit month and day only if needed;
+- dates from 1900 to 2099 that exist: year-month-day with "-", "/" or ".", also ahead of a time ("T10:00"), day.month.year, and
+  month/day/year: the day's number. Digits keep their count, so 2024-1-5 gives two-digit month and day only if needed. Where only
+  day/month/year exists, the permutation is taken again until that holds for the pseudonym too, so both are read alike;
 - telephone numbers: ten digits of the North American plan with or without +1, whose area and exchange begin with 2 to 9, inside
   that plan; other numbers of 7 to 15 digits after "+": all but the country code's digits (the first group, of up to three).
   After +1 and ten digits the number is complete; others take the groups that follow them up to 15 digits, but not a value that
@@ -31,10 +32,11 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 DAYS, DAY_A, DAY_B = 73049, 17, 4297  # days of 1900 to 2099, and factors of their number
+WALK = 48
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*+\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
-DATE = r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([./])\d{1,2}\2\d{4})(?!\w|[./-]\d)"
+DATE = r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([./])\d{1,2}\2\d{4})(?!(?!T\d\d:)\w|[./-]\d)"
 NANP = r"(?<![\w+])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\w)"
 PLUS_ONE = r"(?<!\w)\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
 #: Values that may follow a number of 7 digits or more after a space and don't belong to it, without groups of their own.
@@ -42,8 +44,8 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 NEXT = "|".join((
     r"[A-Za-z0-9._%+-]++@[A-Za-z0-9]",
     rf"{OCTET}(?:\.{OCTET}){{3}}(?!\w|\.\d)",
-    r"(?:19|20)\d\d(?:-\d{1,2}-|/\d{1,2}/|\.\d{1,2}\.)\d{1,2}(?!\w|[./-]\d)",
-    r"\d{1,2}(?:/\d{1,2}/|\.\d{1,2}\.)(?:19|20)\d\d(?!\w|[./-]\d)",
+    r"(?:19|20)\d\d(?:-\d{1,2}-|/\d{1,2}/|\.\d{1,2}\.)\d{1,2}(?!(?!T\d\d:)\w|[./-]\d)",
+    r"\d{1,2}(?:/\d{1,2}/|\.\d{1,2}\.)(?:19|20)\d\d(?!(?!T\d\d:)\w|[./-]\d)",
     r"(?:1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\w)",
     r"\d{3}-\d{2}-\d{4}(?![\w-])",
     # A phone's last group and the start of a card may look like a card; then the card is the later one.
@@ -136,10 +138,16 @@ def _date(m: Column, key: str) -> Column:
     month_first = ~year_first & (sign == "/") & mdy.isNotNull()
     day = F.when(year_first, ymd).when(month_first, mdy).otherwise(dmy)
     number = F.datediff(day, F.lit("1900-01-01").cast("date"))
-    out = feistel(F.floor(number / DAY_B), number % DAY_B, F.lit(DAY_A), F.lit(DAY_B), key, "date")
+    permuted = lambda a, b: feistel(a, b, F.lit(DAY_A), F.lit(DAY_B), key, "date")
+    first = permuted(F.floor(number / DAY_B), number % DAY_B)
+    day_of = lambda s: F.date_add(F.lit("1900-01-01").cast("date"), (s["a"] * DAY_B + s["b"]).cast("int"))
+    # Of the days, three in five are above the 12th, so a walk this long always ends.
+    walk = lambda s, _: F.when(F.dayofmonth(day_of(s)) > 12, s).otherwise(permuted(s["a"], s["b"]))
+    day_first = ~year_first & ~month_first & (sign == "/")
+    out = F.when(day_first, F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, lambda s, i: walk(s, i))).otherwise(first)
 
     def text(s: Column) -> Column:
-        new = F.date_add(F.lit("1900-01-01").cast("date"), (s["a"] * DAY_B + s["b"]).cast("int"))
+        new = day_of(s)
         y, mo, d = F.date_format(new, "yyyy"), F.date_format(new, "MM"), F.date_format(new, "dd")
         bare = lambda x, like: F.when(F.length(like) == 1, F.regexp_replace(x, "^0", "")).otherwise(x)
         return (

@@ -7,7 +7,7 @@ one of pieces that begin a word, one of pieces that continue it.
 
 Words are maximal runs of letters, digits, marks and underscores; every other character that isn't white space is a word by
 itself. A word that the vocabulary can't spell is one unknown token. A null or empty text has no words and no tokens; texts are
-read whole, words of any length included. Repeated rows are counted alike, ties don't arise (the longest match is unique), other
+read whole, words of any length included. A null id is carried like any other. Repeated rows are counted alike, ties don't arise (the longest match is unique), other
 columns are ignored and an empty table gives an empty result.
 """
 
@@ -16,18 +16,18 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_or_empty, worker_slot
+from .common import Remembered, small_batches, text_or_empty, tidy, worker_slot
 
 WORDS = re.compile(r"\w+|[^\w\s]")
-#: Runs between white space whose counts a worker remembers; beyond it the memory is emptied, so it stays below about 150 MB.
-CACHE_ENTRIES = 800_000
-_FIELD = 64  # bits of each of the three sums that one integer carries
+#: What a worker remembers of runs between white space with their counts.
+CACHE_BYTES = 24 << 20
 
 
 class PieceAutomaton:
@@ -99,27 +99,28 @@ def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
 class Counter:
     def __init__(self, automaton: PieceAutomaton):
         self.automaton = automaton
-        self.runs: dict[str, int] = {}
-
-    def _run(self, run: str) -> int:
-        words = tokens = unknown = 0
-        for word in WORDS.findall(run):
-            n = self.automaton.pieces(word)
-            words += 1
-            tokens += n or 1
-            unknown += not n
-        return words << 2 * _FIELD | tokens << _FIELD | unknown
-
-    def counts(self, texts: list[str]) -> list[tuple[int, int, int]]:
-        """(words, tokens, unknown words) of each text; no word reaches over white space, so its runs are counted once."""
-        if len(self.runs) > CACHE_ENTRIES:
-            self.runs = {}
-        cuts = [t.split() for t in texts]
-        for run in set(chain.from_iterable(cuts)).difference(self.runs):
-            self.runs[run] = self._run(run)
-        mask = (1 << _FIELD) - 1
-        sums = [sum(map(self.runs.__getitem__, c)) for c in cuts]
-        return [(s >> 2 * _FIELD, s >> _FIELD & mask, s & mask) for s in sums]
+        self.runs = Remembered(CACHE_BYTES)
+
+    def _run(self, run: str) -> tuple[int, int, int]:
+        found = [self.automaton.pieces(word) for word in WORDS.findall(run)]
+        return len(found), sum(n or 1 for n in found), found.count(0)
+
+    def counts(self, texts: list[str] | pa.Array) -> np.ndarray:
+        """Words, tokens and unknown words of each text; no word reaches over white space, so its runs are counted once."""
+        self.runs.trim()
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        at = self.runs.find(coded.dictionary)
+        if (at < 0).any():
+            new = coded.dictionary.filter(pa.array(at < 0))
+            each = np.array([self._run(run) for run in new.to_pylist()], "<u4")
+            self.runs.add(new, each.ravel(), np.full(len(new), 3))
+            at = self.runs.find(coded.dictionary)
+        of_run = self.runs.numbers.reshape(-1, 3)[at[coded.indices.to_numpy()]]
+        sums = np.zeros((len(of_run) + 1, 3), np.int64)
+        np.cumsum(of_run, axis=0, out=sums[1:])
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        return sums[ends[1:]] - sums[ends[:-1]]
 
 
 def load(path: str) -> Counter:
@@ -129,10 +130,13 @@ def load(path: str) -> Counter:
 def token_counts(docs: DataFrame, *, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_tokens, n_unknown per row."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = load(vocabulary)
         for b in small_batches(batches, ["text"], 2 << 20):
-            found = counter.counts(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*found, strict=True))], names=["doc_id", "n_words", "n_tokens", "n_unknown"])
+            found = counter.counts(b.column("text"))
+            columns = [b.column("doc_id"), *(pa.array(np.ascontiguousarray(found[:, k])) for k in range(3))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_tokens", "n_unknown"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, "doc_id long, n_words long, n_tokens long, n_unknown long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_words long, n_tokens long, n_unknown long")

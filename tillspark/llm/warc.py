@@ -1,7 +1,8 @@
 """A deterministic sharded WARC writer and its reader.
 
-Writing: records are sorted by id and dealt to shards by ranges of ids. The ranges' bounds come from a sample that hashing picks,
-so the same rows give the same shards, whatever the number of tasks. A shard's records are gzip members, one each, with headers
+Writing: records are sorted by id and dealt to shards by ranges of ids, one task each. There are as many shards as SHARD_BYTES of
+payload ask for, or the session's partitions for smaller tables. The ranges' bounds come from the ids and sizes of a sample that
+hashing picks, so shards hold about as many bytes each, and the same rows give the same shards, whatever the number of tasks. A shard's records are gzip members, one each, with headers
 and digests made anew; a file is closed when its compressed size passes `roll_bytes`. Each file is written under a temporary
 name, one for each attempt, and renamed when it is whole. A task that runs again writes the same bytes under the same final name.
 The files of a finished job are listed in a manifest (name, records, bytes, SHA-256), which is itself renamed into place last:
@@ -28,6 +29,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.fs
@@ -37,8 +39,10 @@ from pyspark.sql import functions as F
 from .common import input_partitions, scratch, small_batches, text_or_empty
 
 ROLL_BYTES = 64 << 20
-#: Rows of the sample that sets the shards' bounds, at most about twice this.
-SAMPLE_ROWS = 20_000
+#: Rows of the sample that sets the shards' bounds, at most twice this; shards are at most a quarter of it.
+SAMPLE_ROWS = 100_000
+#: Payload bytes of a shard, which one task sorts and writes.
+SHARD_BYTES, LEAST_BYTES = 64 << 20, 1 << 20
 DATE = "2000-01-01T00:00:00Z"  # of every record: the tables have no fetch time, and a clock would make the bytes differ
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 
@@ -120,9 +124,17 @@ def record_row(raw: bytes) -> tuple:
     return _page(head["warc-record-id"]), size, digest, head["warc-type"], refers, head.get("warc-target-uri")
 
 
+def bounds_of(sample: list, shards: int) -> list[int]:
+    """The ids that begin new shards, from (id, size) in order of id: each shard has about its share of the bytes and rows."""
+    if not sample:
+        return []
+    weight = list(accumulate(size + 512 for _, size in sample))  # a record's headers count too
+    cuts = (bisect.bisect_left(weight, weight[-1] * k / shards) for k in range(1, shards))
+    return sorted({sample[min(c + 1, len(sample) - 1)][0] for c in cuts})
+
+
 def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0, roll_bytes: int = ROLL_BYTES, shards: int | None = None) -> dict:
     """Write pages to the folder `path` (shared by driver and executors); returns the manifest."""
-    shards = shards or input_partitions(pages)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), text_or_empty(payload_col).alias("payload"))
     rows = rows.withColumn("page_id", F.coalesce("page_id", F.raise_error(F.lit("a page without id can't be written")).cast("long")))
     keyed = rows.withColumn("sha", F.unhex(F.sha2(F.col("payload").cast("binary"), 256)))
@@ -132,10 +144,11 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
     groups = narrow.where(F.col("size") >= least_bytes).groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "first")
     revisits = narrow.join(groups, "sha").where("page_id > first").select("page_id", "sha", F.col("first").alias("refers_to")).distinct()
 
-    total = narrow.count()
+    total, size = narrow.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    shards = shards or min(max(-(-size // SHARD_BYTES), min(input_partitions(pages), 1 + size // LEAST_BYTES)), SAMPLE_ROWS // 4)
     share = max(1, total // SAMPLE_ROWS)
-    sample = [r[0] for r in narrow.where(F.pmod(F.xxhash64("page_id"), F.lit(share)) == 0).select("page_id").orderBy("page_id").limit(4 * SAMPLE_ROWS).collect()]
-    bounds = sorted({sample[i * len(sample) // shards] for i in range(1, shards)}) if sample else []
+    picked = narrow.where(F.pmod(F.xxhash64("page_id"), F.lit(share)) == 0).select("page_id", "size")
+    bounds = bounds_of(picked.orderBy("page_id", "size").limit(2 * SAMPLE_ROWS).collect(), shards)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -145,7 +158,7 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
     links = revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("payload"), "sha", "refers_to", F.lit(0).alias("kind"))
     bodies = rows.select("page_id", "url", "payload", F.lit(None).cast("binary").alias("sha"), F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind"))
     dealt = links.unionByName(bodies).mapInArrow(place, "page_id long, url string, payload string, sha binary, refers_to long, kind int, shard int")
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "kind", "url")
+    dealt = dealt.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "page_id", "kind", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = open_fs(path)
@@ -238,7 +251,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 if seen + len(rows) != records:
                     raise ValueError(f"{name} has not the records that the manifest gives")
 
-    return listed.repartition(min(len(files), input_partitions(listed)), "name").mapInArrow(run, READ)
+    tasks = min(len(files), input_partitions(listed))
+    return listed.repartitionByRange(tasks, "name").mapInArrow(run, READ)
 
 
 def warc_round_trip(pages: DataFrame, *, path: str | None = None, **options) -> DataFrame:
