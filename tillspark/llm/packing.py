@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import Remembered, input_partitions, materialise, small_batches, text_or_empty, tidy, worker_slot
 
 CAPACITY = 2048
-GROUPS = 384
+GROUPS = 2048
 #: What a worker remembers of words, and of runs of characters between white space, with their ids.
 WORD_BYTES, RUN_BYTES, LEARN_AT_ONCE = 12 << 20, 20 << 20, 4000
 BATCH_BYTES = 4 << 20
@@ -306,7 +306,7 @@ def best_fit(kinds: list[list], counts: np.ndarray, most: int, capacity: int) ->
 
 def make_plan(counts: np.ndarray, *, capacity: int = CAPACITY, groups: int = GROUPS, small: int | None = None) -> list[list]:
     """Kinds of sequences [count, room, [(length, copies), ...]] that hold counts[length] pieces of each length 0 < length <= capacity."""
-    small = capacity // 3 if small is None else small
+    small = 2 * capacity // 5 if small is None else small
     rest = counts.copy()
     kinds = [[int(counts[capacity]), 0, [(capacity, 1)]]] if counts[capacity] else []
     rest[capacity] = 0
