@@ -95,15 +95,28 @@ def test_breaker_trips_cools_and_half_opens(spark):
     assert got == [("closed", True), ("closed", True), ("closed", True), ("open", False), ("half-open", True), ("half-open", True), ("half-open", True), ("closed", True)]
 
 
+def page_words(spark, *lines):
+    """lines: (line_y, (token, x, y), ...) of one page of 100 x 100, so the tolerance is 1.5."""
+    words, k = [], 0
+    for i, (line_y, *tokens) in enumerate(lines):
+        for token, x, y in tokens:
+            words.append(("p", k, i, token, float(x), float(y), float(line_y), 100.0, 100.0))
+            k += 1
+    return spark.createDataFrame(words, "page_id string, word_idx long, line_idx long, token string, x double, y double, line_y double, width double, height double")
+
+
+def spatial_lines(spark, *lines):
+    return spatial.spatial_text(page_words(spark, *lines)).first()["spatial"].split("\n")
+
+
 def test_anchored_rows(spark):
-    df = spark.createDataFrame([("p", k, y, 10 / 0.015) for k, y in enumerate([0.0, 8.0, 16.0])], "page_id string, word_idx bigint, y double, height double")
-    assert [r["row"] for r in spatial.group_rows(df).orderBy("word_idx").collect()] == [0, 0, 1]
+    words = page_words(spark, *((y, (f"t{y}", 0, y)) for y in (0, 1.2, 2.4)), (90, ("9", 80, 90)))
+    assert [e["row"] for e in spatial.layout(words).first()["l"]] == [0, 0, 1]
 
 
 def test_token_below_all_rows_goes_to_the_topmost(spark):
-    heights = spark.createDataFrame([("p", 0, 10.0), ("p", 1, 50.0)], "page_id string, row int, row_cy double")
-    tokens = spark.createDataFrame([("p", 7, 300.0, 1000.0), ("p", 8, 30.0, 1000.0)], "page_id string, word_idx bigint, cy double, height double")
-    assert {r["word_idx"]: r["row"] for r in spatial.assign(tokens, heights).collect()} == {7: 0, 8: 1}
+    words = page_words(spark, (10, ("A", 0, 10)), (50, ("B", 0, 50)), (95, ("1", 80, 95)), (30, ("2", 80, 30)))
+    assert {e["text"]: e["row"] for e in spatial.layout(words).first()["r"]} == {"1": 0, "2": 1}
 
 
 def test_words_of_pages(spark):
@@ -112,7 +125,7 @@ def test_words_of_pages(spark):
     word = lambda i, t, x, y: (i, t, [x, y, x + 10, y, x + 10, y + 10, x, y + 10])
     page = ("p", 0, 100.0, 100.0, [word(0, "MILK", 5.0, 5.0), word(1, "2.00", 80.0, 5.0)], [word(0, "MILK 2.00", 5.0, 5.0)])
     got = spatial.words_of_pages(spark.createDataFrame([page], OCR_PAGE)).orderBy("word_idx").collect()
-    assert [(r["token"], r["x"], r["y"], r["line_idx"]) for r in got] == [("MILK", 5.0, 10.0, 0), ("2.00", 80.0, 10.0, 0)]
+    assert [(r["token"], r["x"], r["y"], r["line_idx"], r["line_y"]) for r in got] == [("MILK", 5.0, 10.0, 0, 10.0), ("2.00", 80.0, 10.0, 0, 10.0)]
 
 
 def test_logs_round_trip(spark, tmp_path):
@@ -155,15 +168,21 @@ def test_run_size_takes_the_smaller_of_equals(spark):
 
 
 def test_continuations_join_the_row_above(spark):
-    word = lambda row, col, y: ("p", row, col, row * 10, "t", 0.0, y, y, 100.0)
     # Reach is 3 * 1.5 % of 100 = 4.5, from the first y of the row that is joined.
-    laid = [word(0, "L", 0.0), word(1, "L", 3.0), word(2, "L", 4.0), word(3, "L", 9.0), word(4, "L", 10.0), word(4, "R", 10.0), word(5, "L", 11.0)]
-    df = spark.createDataFrame(laid, "page_id string, row int, col string, word_idx bigint, token string, x double, y double, cy double, height double")
-    got = sorted((r["word_idx"], r["row"]) for r in spatial.merge_continuations(df).collect())
-    assert got == [(0, 0), (10, 0), (20, 0), (30, 3), (40, 4), (40, 4), (50, 5)]
+    left = [(y, (f"t{y}", 0, y)) for y in (10, 13, 14.6, 19, 30)]
+    page = spatial.layout(page_words(spark, *left, (30, ("1", 80, 30)), (33, ("u", 0, 33)))).first()
+    assert [e["row"] for e in page["lm"]] == [0, 0, 2, 2, 4, 5]
+
+
+def test_prices_in_the_centre_keep_rows_apart(spark):
+    got = spatial_lines(spark, (10, ("CREAM", 0, 10), ("2.99", 60, 10)), (13, ("BUTTER", 0, 13), ("3.99", 60, 13)), (90, ("9", 99, 90)))
+    assert got == ["[L] CREAM  |  [C] 2.99  |  [R] 9", "[L] BUTTER  |  [C] 3.99"]
 
 
-def test_rendered_rows(spark):
-    words = [("p", 0, "L", 1, "MILK", 5.0), ("p", 0, "L", 0, "OAT", 1.0), ("p", 0, "C", 2, "2", 50.0), ("p", 0, "R", 3, "4.79", 80.0), ("p", 1, "L", 4, "You Saved", 1.0), ("p", 1, "R", 5, "1.00", 80.0)]
-    df = spark.createDataFrame(words, "page_id string, row int, col string, word_idx bigint, token string, x double")
-    assert [r["text"] for r in spatial.render(df).orderBy("row").collect()] == ["[L] OAT MILK  |  [C] 2  |  [R] 4.79", "[S] You Saved  |  [R] 1.00"]
+def test_close_names_are_printed_one_by_one(spark):
+    got = spatial_lines(spark, (10, ("EGGS", 0, 10)), (11, ("MILK", 1, 11), ("2", 50, 11)), (11.2, ("3.99", 80, 11.2)))
+    assert got == ["[L] EGGS", "[L] MILK  |  [C] 2  |  [R] 3.99"]
+    got = spatial_lines(spark, (10, ("You", 0, 10), ("Saved", 5, 10)), (10.5, ("1.00", 80, 10.5)), (20, ("OAT", 0, 20), ("MILK", 8, 20), ("3", 50, 20), ("4.79", 80, 20)))
+    assert got == ["[L] OAT MILK  |  [C] 3  |  [R] 1.00  |  [R] 4.79"]  # the savings line is noise here, its price finds the next row
+    got = spatial_lines(spark, (10, ("Member", 0, 10), ("Savings", 5, 10), ("1.00", 80, 10)))
+    assert got == ["[S] Member Savings  |  [R] 1.00"]

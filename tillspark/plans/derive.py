@@ -56,14 +56,18 @@ SELECT receipt_id, item_idx * 10 + n,
             ELSE CASE n WHEN 0 THEN 'Terminal 7' ELSE lower(pname) || ' (' || ptype || ')' END END
 FROM base JOIN (SELECT 0 AS n UNION ALL SELECT 1) k ON n >= 0"""
 
-#: One page per receipt; words of a line share a height that tilts with x.
+#: One page per receipt. Words tilt with x; some lines nearly touch, some have no price, some are savings or noise, and short
+#: tokens repeat on a page.
 WORDS = """
 SELECT receipt_id AS page_id, item_idx * 10 + w AS word_idx, item_idx AS line_idx,
-       CASE w WHEN 0 THEN pname WHEN 1 THEN 'Q' || CAST(qty AS {str}) ELSE CAST(cents AS {str}) || '.00' END AS token,
-       CAST(CASE w WHEN 0 THEN 60 WHEN 1 THEN 560 ELSE 860 END + part % 7 AS double) AS x,
-       CAST(item_idx * 40 + (receipt_id % 3) * CASE w WHEN 0 THEN 0 WHEN 1 THEN 4 ELSE 8 END + part % 5 AS double) AS y,
+       CASE w WHEN 0 THEN CASE WHEN item_idx % 7 <> 6 THEN pname WHEN part % 2 = 0 THEN 'COUPON SAVINGS' ELSE 'SUBTOTAL' END
+              WHEN 1 THEN 'W' || CAST(part % 9 AS {str}) WHEN 2 THEN 'Q' || CAST(qty AS {str}) ELSE CAST(cents AS {str}) || '.00' END AS token,
+       CAST(CASE w WHEN 0 THEN 60 WHEN 1 THEN 300 WHEN 2 THEN 560 ELSE 860 END + part % 7 AS double) AS x,
+       CAST(item_idx * 40 - CASE WHEN item_idx % 7 = 5 THEN 30 ELSE 0 END + part % 5 + (receipt_id % 3) * CASE w WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 8 END AS double) AS y,
+       CAST(item_idx * 40 - CASE WHEN item_idx % 7 = 5 THEN 30 ELSE 0 END + part % 5 + (receipt_id % 3) * 3 AS double) AS line_y,
        CAST(1000 AS double) AS width, CAST(1000 AS double) AS height
-FROM base JOIN (SELECT 0 AS w UNION ALL SELECT 1 UNION ALL SELECT 2) k ON w < 2 OR item_idx % 4 > 0"""
+FROM base JOIN (SELECT 0 AS w UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) k
+  ON w = 0 OR (w = 1 AND item_idx % 3 = 1) OR (w = 2 AND item_idx % 7 NOT IN (2, 3)) OR (w = 3 AND item_idx % 4 > 0 AND item_idx % 7 NOT IN (2, 3))"""
 
 LOGS = """
 SELECT event_id, {iso} AS time,

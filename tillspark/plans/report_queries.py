@@ -176,8 +176,13 @@ def g01_token_places(spark: SparkSession, sf: str) -> DataFrame:
 
 
 TILT = f""", places AS (SELECT page_id, token, arg_max(x, word_idx) AS px, arg_max(y, word_idx) AS py, count(*) AS n FROM words GROUP BY page_id, token),
-lines AS (SELECT w.page_id, line_idx, count(*) AS k, max(n) AS most, min(py) AS top, arg_min(py, px) AS y0, arg_max(py, px) AS y1, min(px) AS x0, max(px) AS x1, string_agg(w.token, ' ' ORDER BY word_idx) AS text FROM words w JOIN places p ON p.page_id = w.page_id AND p.token = w.token GROUP BY w.page_id, line_idx),
-slopes AS (SELECT page_id, quantile_cont((y1 - y0) / (x1 - x0), 0.5) AS tilt FROM lines WHERE k >= 2 AND most = 1 AND top <= 600 AND x1 - x0 >= 50 AND NOT regexp_matches(text, {q(X.SPATIAL_NOISE_LINE)}) GROUP BY page_id),
+lines AS (
+  SELECT w.page_id, line_idx, count(*) AS k, max(n) AS most, any_value(line_y) AS ly, arg_min(py, px) AS y0, arg_max(py, px) AS y1, min(px) AS x0, max(px) AS x1,
+         string_agg(w.token, ' ' ORDER BY word_idx) AS text
+  FROM words w JOIN places p ON p.page_id = w.page_id AND p.token = w.token GROUP BY w.page_id, line_idx),
+slopes AS (
+  SELECT page_id, quantile_cont((y1 - y0) / (x1 - x0), 0.5) AS tilt FROM lines
+  WHERE k >= 2 AND most = 1 AND ly <= 600 AND x1 - x0 >= 50 AND NOT regexp_matches(text, {q(X.SPATIAL_NOISE_LINE)}) GROUP BY page_id),
 tilts AS (SELECT DISTINCT w.page_id, coalesce(tilt, 0.0) AS tilt FROM words w LEFT JOIN slopes s ON s.page_id = w.page_id)"""
 
 
@@ -186,36 +191,87 @@ def g02_tilt(spark: SparkSession, sf: str) -> DataFrame:
     return spatial.tilt(derived(spark, sf, "words")).select("page_id", F.round("tilt", 9).alias("tilt"))
 
 
-COLUMNS = """, cols AS (SELECT *, max(x) OVER (PARTITION BY page_id) AS eff_width FROM words), placed AS (SELECT *, CASE WHEN x / eff_width < 0.48 THEN 'L' WHEN x / eff_width < 0.75 THEN 'C' ELSE 'R' END AS col FROM cols)"""
+ENTRIES = TILT + f""", placed AS (
+  SELECT w.*, px, px / max(px) OVER (PARTITION BY w.page_id) AS share FROM words w JOIN places p ON p.page_id = w.page_id AND p.token = w.token),
+kept AS (
+  SELECT p.*, CASE WHEN share < 0.48 THEN 'L' WHEN share < 0.75 THEN 'C' ELSE 'R' END AS col FROM placed p JOIN lines l ON l.page_id = p.page_id AND l.line_idx = p.line_idx
+  WHERE NOT regexp_matches(l.text, {q(X.SPATIAL_NOISE_LINE)})),
+entries AS (
+  SELECT page_id, col, line_y AS y, line_idx, min(word_idx) AS seq, arg_min(px, word_idx) AS x, string_agg(token, ' ' ORDER BY word_idx) AS text
+  FROM kept GROUP BY page_id, col, line_y, line_idx, CASE WHEN col = 'C' THEN word_idx ELSE -1 END)"""
 
 
-@query(duck("words") + COLUMNS + " SELECT page_id, word_idx, eff_width, col FROM placed")
+@query(duck("words") + ENTRIES + " SELECT page_id, col, y, line_idx, seq, x, text FROM entries")
 def g03_g04_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return spatial.columns(derived(spark, sf, "words")).select("page_id", "word_idx", "eff_width", "col")
+    return spatial.entries(derived(spark, sf, "words")).drop("tilt", "height")
 
 
-ROWS = COLUMNS + """, lw AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY y, word_idx) AS k FROM placed WHERE col = 'L'),
-walk AS (SELECT page_id, k, word_idx, CAST(0 AS bigint) AS grp, y AS anchor FROM lw WHERE k = 1 UNION ALL
-  SELECT l.page_id, l.k, l.word_idx, CASE WHEN abs(l.y - w.anchor) > 15 THEN w.grp + 1 ELSE w.grp END, CASE WHEN abs(l.y - w.anchor) > 15 THEN l.y ELSE w.anchor END FROM walk w JOIN lw l ON l.page_id = w.page_id AND l.k = w.k + 1)"""
+#: Rows by an anchored walk over the left entries, then the nearest row below for the others.
+ROWS = ENTRIES + """, le AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY y, line_idx, seq) AS k FROM entries WHERE col = 'L'),
+walk AS (
+  SELECT page_id, k, CAST(0 AS bigint) AS grp, y AS anchor FROM le WHERE k = 1
+  UNION ALL
+  SELECT l.page_id, l.k, CASE WHEN abs(l.y - w.anchor) > 15 THEN w.grp + 1 ELSE w.grp END, CASE WHEN abs(l.y - w.anchor) > 15 THEN l.y ELSE w.anchor END
+  FROM walk w JOIN le l ON l.page_id = w.page_id AND l.k = w.k + 1),
+lrow AS (SELECT l.*, l.y - tilt * l.x AS cy, grp FROM le l JOIN walk w ON w.page_id = l.page_id AND w.k = l.k JOIN tilts t ON t.page_id = l.page_id)"""
+ASSIGN = ROWS + """, heights AS (SELECT page_id, grp, arg_max(cy, k) AS h FROM lrow GROUP BY page_id, grp),
+other AS (SELECT e.*, e.y - tilt * e.x AS cy FROM entries e JOIN tilts t ON t.page_id = e.page_id WHERE col <> 'L'),
+given AS (
+  SELECT o.page_id, o.seq, coalesce(arg_min(grp, (h, grp)) FILTER (WHERE h >= cy - 7.5), arg_min(grp, (h, grp))) AS grp
+  FROM other o JOIN heights h ON h.page_id = o.page_id GROUP BY o.page_id, o.seq)"""
 
 
-@query(duck("words") + ROWS + " SELECT page_id, word_idx, grp AS \"row\" FROM walk")
+@query(duck("words") + ROWS + ' SELECT page_id, seq, grp AS "row" FROM lrow')
 def g05_group_rows(spark: SparkSession, sf: str) -> DataFrame:
-    left = spatial.columns(derived(spark, sf, "words")).where("col = 'L'")
-    return spatial.group_rows(left).select("page_id", "word_idx", F.col("row").cast("long").alias("row"))
+    rows = spatial.layout(derived(spark, sf, "words")).select("page_id", F.inline("l"))
+    return rows.select("page_id", "seq", F.col("row").cast("long").alias("row"))
 
 
-ASSIGN = ROWS + TILT + """, cw AS (SELECT p.*, y - tilt * x AS cy FROM placed p JOIN tilts t ON t.page_id = p.page_id),
-heights AS (SELECT c.page_id, grp, arg_max(cy, k) AS h FROM walk w JOIN cw c ON c.page_id = w.page_id AND c.word_idx = w.word_idx GROUP BY c.page_id, grp),
-given AS (SELECT c.page_id, c.word_idx, coalesce(arg_min(grp, (h, grp)) FILTER (WHERE h >= cy - 7.5), arg_min(grp, (h, grp))) AS grp FROM cw c JOIN heights h ON h.page_id = c.page_id WHERE col <> 'L' GROUP BY c.page_id, c.word_idx)"""
+@query(duck("words") + ASSIGN + ' SELECT page_id, seq, grp AS "row" FROM given UNION ALL SELECT page_id, seq, grp FROM lrow')
+def g06_g07_layout(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spatial.layout(derived(spark, sf, "words")).select("page_id", F.inline(F.concat("l", "c", "r")))
+    return rows.select("page_id", "seq", F.col("row").cast("long").alias("row"))
 
 
-@query(duck("words") + ASSIGN + " SELECT page_id, word_idx, grp AS \"row\" FROM given UNION ALL SELECT page_id, word_idx, grp FROM walk")
-def g06_g07_layout(spark: SparkSession, sf: str) -> DataFrame:
-    return spatial.layout(derived(spark, sf, "words")).select("page_id", "word_idx", F.col("row").cast("long").alias("row"))
+#: Rows without a price join the row above by a second walk; rows of several names that are no savings are printed name by name.
+TEXT = ASSIGN + f""", tops AS (
+  SELECT l.page_id, l.grp, arg_min(l.y, l.k) AS y, bool_or(g.seq IS NOT NULL) AS priced
+  FROM lrow l LEFT JOIN given g ON g.page_id = l.page_id AND g.grp = l.grp GROUP BY l.page_id, l.grp),
+joined AS (
+  SELECT page_id, grp, grp AS target, y AS anchor, priced FROM tops WHERE grp = 0
+  UNION ALL
+  SELECT t.page_id, t.grp, CASE WHEN s.joins THEN j.target ELSE t.grp END, CASE WHEN s.joins THEN j.anchor ELSE t.y END, CASE WHEN s.joins THEN j.priced ELSE t.priced END
+  FROM joined j JOIN tops t ON t.page_id = j.page_id AND t.grp = j.grp + 1, LATERAL (SELECT NOT j.priced AND NOT t.priced AND t.y - j.anchor <= 45 AS joins) s),
+names AS (SELECT l.*, target FROM lrow l JOIN joined j ON j.page_id = l.page_id AND j.grp = l.grp),
+lows AS (SELECT page_id, target, arg_max(cy, k) AS h, count(*) AS n, string_agg(text, ' ' ORDER BY k) AS all_names FROM names GROUP BY page_id, target),
+marked AS (SELECT *, CASE WHEN regexp_matches(all_names, {q(X.SAVINGS_LINE)}) THEN 'S' ELSE 'L' END AS label FROM lows),
+centres AS (
+  SELECT o.page_id, o.seq, any_value(o.y) AS y, any_value(o.x) AS x, any_value(o.cy) AS cy, any_value(o.line_idx) AS line_idx, any_value(o.text) AS text,
+         coalesce(arg_min(target, (h, target)) FILTER (WHERE h >= cy - 7.5), arg_min(target, (h, target))) AS target
+  FROM other o JOIN lows h ON h.page_id = o.page_id WHERE col = 'C' GROUP BY o.page_id, o.seq),
+rights AS (SELECT o.*, target FROM other o JOIN given g ON g.page_id = o.page_id AND g.seq = o.seq JOIN joined j ON j.page_id = g.page_id AND j.grp = g.grp WHERE col = 'R'),
+near AS (
+  SELECT c.page_id, c.seq, arg_min(n.k, (abs(n.cy - c.cy), n.y, n.k)) AS k
+  FROM centres c JOIN names n ON n.page_id = c.page_id AND n.target = c.target GROUP BY c.page_id, c.seq),
+ends AS (SELECT page_id, target, arg_max(k, (y, k)) AS last FROM names GROUP BY page_id, target),
+cells AS (
+  SELECT n.page_id, n.target, CASE WHEN m.n > 1 AND label = 'L' THEN n.k ELSE 0 END AS part, CASE WHEN m.n > 1 AND label = 'L' THEN n.y ELSE 0 END AS top,
+         CASE WHEN m.n > 1 AND label = 'L' THEN (0, 0.0, 0, n.k) ELSE (0, n.x, 0, n.k) END AS place, '[' || label || '] ' || n.text AS cell
+  FROM names n JOIN marked m ON m.page_id = n.page_id AND m.target = n.target
+  UNION ALL
+  SELECT c.page_id, c.target, CASE WHEN m.n > 1 AND label = 'L' THEN near.k ELSE 0 END, CASE WHEN m.n > 1 AND label = 'L' THEN nn.y ELSE 0 END,
+         CASE WHEN m.n > 1 AND label = 'L' THEN (1, c.y, c.line_idx, c.seq) ELSE (0, c.x, 1, row_number() OVER (PARTITION BY c.page_id, c.target ORDER BY c.y, c.line_idx, c.seq)) END, '[C] ' || c.text
+  FROM centres c JOIN marked m ON m.page_id = c.page_id AND m.target = c.target JOIN near ON near.page_id = c.page_id AND near.seq = c.seq
+       JOIN names nn ON nn.page_id = c.page_id AND nn.k = near.k
+  UNION ALL
+  SELECT r.page_id, r.target, CASE WHEN m.n > 1 AND label = 'L' THEN e.last ELSE 0 END, CASE WHEN m.n > 1 AND label = 'L' THEN nn.y ELSE 0 END,
+         (2, r.x, r.line_idx, r.seq), '[R] ' || r.text
+  FROM rights r JOIN marked m ON m.page_id = r.page_id AND m.target = r.target JOIN ends e ON e.page_id = r.page_id AND e.target = r.target
+       JOIN names nn ON nn.page_id = r.page_id AND nn.k = e.last),
+printed AS (SELECT page_id, target, top, part, string_agg(cell, '  |  ' ORDER BY place) AS text FROM cells GROUP BY page_id, target, top, part)"""
 
 
-@query()
+@query(duck("words") + TEXT + " SELECT page_id, string_agg(text, chr(10) ORDER BY target, top, part) AS spatial FROM printed GROUP BY page_id")
 def g08_g09_spatial_text(spark: SparkSession, sf: str) -> DataFrame:
     return spatial.spatial_text(derived(spark, sf, "words"))
 
