@@ -24,6 +24,11 @@ def rows(spark, *named):
         ({"name": "OAT MILK", "price": "0.50"}, ("OAT MILK", "0.50USD", "1")),
         ({"name": "OAT MILK", "price": "99.00"}, ("OAT MILK", "99.00USD", "1")),
         ({"name": "OAT MILK", "price": "99.01"}, None),
+        ({"name": "OAT MILK", "price": "0.496"}, None),
+        ({"name": "OAT MILK", "price": "99.004"}, None),
+        ({"name": "OAT MILK", "price": "98.996"}, ("OAT MILK", "99.00USD", "1")),
+        ({"name": "OAT MILK", "price": "123456789012345678.00"}, None),
+        ({"name": "OAT MILK", "price": "1" * 60}, None),
         ({"name": "OAT MILK", "price": "11.99A"}, ("OAT MILK", "11.99USD", "1")),
         ({"name": "OAT MILK", "price": "4.79", "amount": "4.79 S"}, ("OAT MILK", "4.79USD", "1")),
         ({"name": "OAT MILK", "price": None, "amount": "4.79"}, ("OAT MILK", "4.79USD", "1")),
@@ -77,6 +82,8 @@ def test_score_of_a_perfect_and_a_partial_output(spark):
     truth = spark.createDataFrame([("a", 0, "Oat Milk", "4.79USD", "1", "The Vons", "2026.01.03"), ("a", 1, "Tea", "2.00USD", "2 lbs", "The Vons", "2026.01.03")], schema)
     assert evaluate.scores(truth, truth).first()["overall"] == 100.0
     part = spark.createDataFrame([("a", 0, "oat  milk", "4.79", "", "Vons Store", "2026-01-03"), ("a", 1, "Tea Bags", "9.00", "", "Vons Store", "2026-01-03")], schema)
+    row = evaluate.scores(truth.withColumn("latitude", F.lit(1.0)), part.withColumn("latitude", F.lit(1.03)).withColumn("longitude", F.lit(2.0))).first()
+    assert not row["lat_ok"] and not row["lon_ok"] and row["overall"] == 56.25
     row = evaluate.scores(truth, part).first()
     assert (row["store_ok"], row["date_ok"], row["count_ok"], row["names"], row["prices"], row["amounts"]) == (True, True, True, 2, 1, 0)
     assert row["overall"] == 81.25
@@ -93,6 +100,7 @@ def test_breaker_trips_cools_and_half_opens(spark):
     df = spark.createDataFrame([("p", t, k, f) for k, (t, f) in enumerate(fails)], "provider string, t long, seq long, failed boolean")
     got = [(r["state"], r["passed"]) for r in resilience.breaker(df).orderBy("seq").collect()]
     assert got == [("closed", True), ("closed", True), ("closed", True), ("open", False), ("half-open", True), ("half-open", True), ("half-open", True), ("closed", True)]
+    assert [r["tripped"] for r in resilience.breaker(df).orderBy("seq").collect()] == [False, False, True] + [False] * 5
 
 
 def page_words(spark, *lines):
@@ -133,7 +141,47 @@ def test_logs_round_trip(spark, tmp_path):
     events = files.read_logs(spark, str(tmp_path))
     assert sorted(r["event"] for r in events.collect()) == ["adi_ocr", "llm_extraction"]
     files.write_logs(events, str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out")).count() == 2
+    files.write_logs(events, str(tmp_path / "out"))
+    assert sorted(map(str, files.read_logs(spark, str(tmp_path / "out")).collect())) == sorted(2 * list(map(str, events.collect())))
+
+
+def test_receipts_written_and_read_back(spark, tmp_path):
+    schema = "stem string, item_idx int, productName string, purchaseDate string, price string, amount string, storeName string, latitude double, longitude double"
+    flat = spark.createDataFrame([("a", 1, "TEA", None, "2.00USD", "1", "S", None, None), ("a", 0, "OAT", None, "3.00USD", "1", "S", 1.5, 2.5), ("b", 0, "EGG", None, "4.00USD", "2", "S", None, None)], schema)
+    for provider, model in (("openrouter", "x/Model-A"), ("clod", "Model-B"), ("clod", "Model-B")):
+        done = files.write_receipts(flat, str(tmp_path), provider=provider, model=F.lit(model))
+        assert sorted((r["provider_model"], r["stem"], r["items"]) for r in done.collect()) == [(f"{provider}-{model.split('/')[-1].lower()}", s, n) for s, n in (("a", 2), ("b", 1))]
+    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.json")) == ["clod-model-b/a.json", "clod-model-b/b.json", "openrouter-model-a/a.json", "openrouter-model-a/b.json"]
+    assert not [p for p in tmp_path.rglob("_*")]
+    back = {r["stem"]: [i["productName"] for i in r["items"]] for r in files.read_items(spark, str(tmp_path / "clod-model-b")).collect()}
+    assert back == {"a": ["OAT", "TEA"], "b": ["EGG"]}
+
+
+def test_content_types(spark):
+    names = {"a.JPG": "image/jpeg", "a.png": "image/png", "a.tif": "image/tiff", "a.gif": "image/jpeg", "a": "image/jpeg", "a.heic": "image/jpeg"}
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    assert {r["n"]: r["t"] for r in df.select("n", files.content_type(F.col("n")).alias("t")).collect()} == names
+
+
+def test_statuses_of_outputs(spark):
+    truth = spark.createDataFrame([(s, 0) for s in "abcd"], "stem string, item_idx int")
+    output = spark.createDataFrame([("a", 0), ("a", 1)], "stem string, item_idx int")
+    listed = spark.createDataFrame([("a", "filled"), ("b", "empty"), ("c", "filled")], "stem string, status string")
+    got = {r["stem"]: (r["out_items"], r["status"]) for r in evaluate.statuses(truth, output, listed).collect()}
+    assert got == {"a": (2, "scored"), "b": (None, "empty output"), "c": (0, "scored"), "d": (None, "no output")}
+
+
+def test_labels_of_cost_sources(spark):
+    from tillspark.functions import stats
+
+    rows_ = [("a", "api", True), ("a", None, False), ("b", "api", True), ("b", None, True), ("c", None, True), ("d", "estimate", True)]
+    df = spark.createDataFrame(rows_, "g string, s string, ok boolean")
+    assert {r["g"]: r["l"] for r in df.groupBy("g").agg(stats.cost_source_label(F.col("s"), F.col("ok")).alias("l")).collect()} == {"a": "api", "b": "mixed", "c": "est", "d": "est"}
+
+
+def test_dollars(spark):
+    df = spark.createDataFrame([(0.00385,), (0.0,), (None,)], "c double")
+    assert [r[0] for r in df.select(logs.dollars(F.col("c"), 4)).collect()] == ["$0.0039", "$0.00", "—"]
 
 
 def test_receipt_files(spark, tmp_path):
@@ -146,7 +194,7 @@ def test_receipt_files(spark, tmp_path):
 def test_images(spark, tmp_path):
     for name in ("b.PNG", "a.jpg", "c.txt"):
         (tmp_path / name).write_bytes(b"x")
-    assert [r["name"] for r in files.read_images(spark, str(tmp_path)).collect()] == ["a.jpg", "b.PNG"]
+    assert sorted(r["name"] for r in files.read_images(spark, str(tmp_path)).collect()) == ["a.jpg", "b.PNG"]
     sizes = iter([50, 40, 30, 20, 9])
     assert len(images.shrink(b"y" * 100, "a.png", lambda *_: b"z" * next(sizes), most=10)) == 9
     assert images.shrink(b"y", "a.png", None) == b"y"

@@ -72,7 +72,7 @@ def test_line_context_covers_every_receipt(spark):
         return text[:500]
 
     want = {r["receipt_id"]: context(r["ocr"]) for r in ocr_texts(spark, SF).collect()}
-    got = {r["receipt_id"]: r["context"] for r in plans.QUERIES["t17_line_context_whole"](spark, SF).collect()}
+    got = {r["receipt_id"]: r["context"] for r in plans.QUERIES["t17_line_context"](spark, SF).collect()}
     assert got == want and any("SPATIAL LAYOUT" in c for c in got.values())
 
 

@@ -23,7 +23,7 @@ def main() -> None:
     spark = SparkSession.builder.appName("tillspark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.query == "report":
         events = files.read_logs(spark, args.path)
-        calls = events.where("event = 'llm_extraction'").selectExpr("time", "trace_id", "image_name", "llm_provider provider", "llm_model model", "llm_latency_ms latency_ms", "llm_success success", "llm_input_tokens input_tokens", "llm_output_tokens output_tokens", "llm_cost_usd cost_usd", "llm_cost_source cost_source", "items_extracted", "0L event_id")
+        calls = events.where("event = 'llm_extraction'").selectExpr("time", "trace_id", "image_name", "llm_provider provider", "llm_model model", "llm_latency_ms latency_ms", "llm_success success", "llm_input_tokens input_tokens", "llm_output_tokens output_tokens", "llm_input_chars input_chars", "llm_cost_usd cost_usd", "llm_cost_source cost_source", "items_extracted", "0L event_id")
         ends = events.where("event = 'pipeline_complete'").selectExpr("llm_provider provider", "llm_model model", "total_latency_ms latency_ms", "success")
         scoped = logs.of_traces(calls, logs.recent_complete_traces(calls))
         summary = logs.provider_summary(scoped, ends)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 
@@ -10,16 +10,14 @@ def nearest_index_percentile(c: Column, p: float, *, clamp_low: bool = False) ->
     """A3, A4: sorted[min(int(p n), n - 1)]; null for no rows.
 
     percentile() of the group's counts would interpolate; here the value at an index is wanted, so the sorted values of a group
-    are kept in one array. Where groups are too large for that, use `indexed_percentile`.
+    are kept in one array. For small groups alone; reports over logs use `indexed_percentile`.
     """
     values = F.array_sort(F.collect_list(c))
     return F.get(values, F.least(F.floor(F.lit(p) * F.size(values)), F.size(values) - 1).cast("int"))
 
 
 def indexed_percentile(df, by: list[str], value: str, p: float, name: str):
-    """The same percentile for groups of any size: ranks from counts of equal values, so a group is spread over many tasks."""
-    from pyspark.sql import Window
-
+    """The same percentile for groups of any size: equal values are counted before they are shuffled, and places come from the counts."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy(*by).orderBy(value)
     ranked = counts.withColumn("_to", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
@@ -32,9 +30,9 @@ def median(c: Column) -> Column:
     return F.percentile(c, 0.5)
 
 
-def cost_source_label(sources: Column) -> Column:
-    """Over the distinct sources of a group, nulls as unknown."""
-    found = F.collect_set(F.coalesce(sources, F.lit("unknown")))
+def cost_source_label(sources: Column, counted: Column) -> Column:
+    """Over the distinct sources of a group's rows that count, nulls as unknown."""
+    found = F.collect_set(F.when(counted, F.coalesce(sources, F.lit("unknown"))))
     return F.when(F.array_contains(found, "api") & (F.size(found) == 1), "api").when(~F.array_contains(found, "api"), "est").otherwise("mixed")
 
 

@@ -245,10 +245,20 @@ def line_context(ocr: Column, name: Column, window: int = 3) -> Column:
     return F.when((word != "") & (at > 0), F.array_join(F.slice(all_lines, first, at + window - first + 1), "\n")).otherwise(F.substring(ocr, 1, 500))
 
 
-def price_cents(price: Column) -> Column:
-    """The first number, after trailing letters, in cents; rounding is by decimal arithmetic, never by doubles."""
+def price_digits(price: Column) -> Column:
+    """The first number of a price, after trailing letters, as text; empty if there is none."""
     bare = F.regexp_replace(strip(F.coalesce(price, F.lit(""))), r"^(\d+\.?\d*)[A-Za-z]+$", "$1")
-    return F.round(F.regexp_extract(bare, r"(\d+\.?\d*)", 1).try_cast("decimal(20,6)") * 100, 0).cast("long")
+    return F.regexp_extract(bare, r"(\d+\.?\d*)", 1)
+
+
+def digits_cents(digits: Column) -> Column:
+    """Cents of a number's text; rounding is by decimal arithmetic, never by doubles."""
+    return F.round(digits.try_cast("decimal(20,6)") * 100, 0).cast("long")
+
+
+def price_cents(price: Column) -> Column:
+    """The first number in cents; null without one, or above 14 digits before the point."""
+    return digits_cents(price_digits(price))
 
 
 def format_cents(cents: Column, currency: Column) -> Column:

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
-def statuses(truth: DataFrame, output: DataFrame) -> DataFrame:
-    """Every truth receipt with its numbers of items and a status."""
+def statuses(truth: DataFrame, output: DataFrame, files: DataFrame) -> DataFrame:
+    """Every truth receipt with its numbers of items and a status. files: stem and status ("empty" or other) of the output
+    files, as read_items gives them; a file without text is an empty output, one with an empty list is scored."""
     t = truth.groupBy("stem").agg(F.count(F.lit(1)).alias("gt_items"))
-    o = output.groupBy("stem").agg(F.count(F.lit(1)).alias("out_items"))
-    status = F.when(F.col("out_items").isNull(), "no output").when(F.col("out_items") == 0, "empty output").otherwise("scored")
-    return t.join(o, "stem", "left").select("stem", "gt_items", "out_items", status.alias("status"))
+    o = output.groupBy("stem").agg(F.count(F.lit(1)).alias("n"))
+    both = t.join(files.select("stem", "status").withColumnRenamed("status", "file"), "stem", "left").join(o, "stem", "left")
+    scored = F.col("file").isNotNull() & (F.col("file") != "empty")
+    status = F.when(F.col("file").isNull(), "no output").when(F.col("file") == "empty", "empty output").otherwise("scored")
+    return both.select("stem", "gt_items", F.when(scored, F.coalesce("n", F.lit(0))).alias("out_items"), status.alias("status"))
 
 
 def _keyed(rows: DataFrame, prefix: str) -> DataFrame:
@@ -43,8 +46,18 @@ def matches(truth: DataFrame, output: DataFrame, *, fuzzy: bool = False) -> Data
 
 
 def scores(truth: DataFrame, output: DataFrame, *, fuzzy: bool = False) -> DataFrame:
-    """Five scalars and three rates of each receipt that has output; coordinates count as equal where neither side has any."""
-    first = lambda rows, p: rows.groupBy("stem").agg(F.min_by("store", "item_idx").alias(f"{p}_store"), F.min_by("purchase_date", "item_idx").alias(f"{p}_date"), F.count(F.lit(1)).alias(f"{p}_n"))
+    """Five scalars and three rates of each receipt that has output.
+
+    Coordinates agree within 0.02 degrees, or where neither side has any; rows without such columns have none.
+    """
+
+    def first(rows: DataFrame, p: str) -> DataFrame:
+        head = {c: F.col(c) if c in rows.columns else F.lit(None).cast("double") for c in ("store", "purchase_date", "latitude", "longitude")}
+        one = F.min_by(F.struct(*[v.alias(c) for c, v in head.items()]), "item_idx")
+        found = rows.groupBy("stem").agg(one.alias("h"), F.count(F.lit(1)).alias(f"{p}_n"))
+        names = {"store": "store", "purchase_date": "date", "latitude": "latitude", "longitude": "longitude"}
+        return found.select("stem", f"{p}_n", *[F.col("h")[c].alias(f"{p}_{n}") for c, n in names.items()])
+
     heads = first(truth, "t").join(first(output, "o"), "stem")
     hit = F.col("o_idx").isNotNull()
     close = hit & (F.abs(F.col("t_price") - F.col("o_price")) <= 0.01)
@@ -53,9 +66,13 @@ def scores(truth: DataFrame, output: DataFrame, *, fuzzy: bool = False) -> DataF
     store = F.arrays_overlap(T.store_words(F.col("t_store")), T.store_words(F.col("o_store")))
     date = T.date_key(F.col("t_date")).eqNullSafe(T.date_key(F.col("o_date")))
     count = F.col("t_n") == F.col("o_n")
-    scalar = store.cast("int") + date.cast("int") + count.cast("int") + 2
+    none = lambda c: F.col(f"t_{c}").isNull() & F.col(f"o_{c}").isNull()
+    near = lambda c: none(c) | F.coalesce(F.abs(F.col(f"t_{c}") - F.col(f"o_{c}")) <= 0.02, F.lit(False))
+    lat, lon = near("latitude"), near("longitude")
+    scalar = sum((c.cast("int") for c in (store, date, count, lat, lon)), F.lit(0))
     overall = (scalar + (F.col("names") + F.col("prices") + F.col("amounts")) / F.col("t_n")) / 8 * 100
-    return heads.join(items, "stem").select("stem", store.alias("store_ok"), date.alias("date_ok"), count.alias("count_ok"), "names", "prices", "amounts", F.col("t_n").alias("n"), F.round(overall, 6).alias("overall"))
+    flags = [c.alias(n) for n, c in (("store_ok", store), ("date_ok", date), ("lat_ok", lat), ("lon_ok", lon), ("count_ok", count))]
+    return heads.join(items, "stem").select("stem", *flags, "names", "prices", "amounts", F.col("t_n").alias("n"), F.round(overall, 6).alias("overall"))
 
 
 def summary(scored: DataFrame, by: list[str]) -> DataFrame:
@@ -68,10 +85,25 @@ def summary(scored: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def provider_gaps(scored: DataFrame, gap: float = 30.0) -> DataFrame:
-    """Receipts on which two providers differ by gap points or more, each with the first such pair of providers."""
-    a = scored.select("stem", F.col("provider").alias("first"), F.col("overall").alias("first_score"))
-    b = scored.select("stem", F.col("provider").alias("second"), F.col("overall").alias("second_score"))
-    pairs = a.join(b, "stem").where(F.col("first") < F.col("second")).where(F.abs(F.col("first_score") - F.col("second_score")) >= gap)
-    order = Window.partitionBy("stem").orderBy("first", "second")
-    return pairs.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+def price_ranks(scored: DataFrame) -> DataFrame:
+    """provider, price_match over all its receipts, and its rank by it (of equals the first by name). A row per provider."""
+    from ..functions.stats import ratio_of_sums
+
+    found = scored.groupBy("provider").agg(ratio_of_sums(F.col("prices"), F.col("n")).alias("price_match"))
+    return found.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("price_match"), "provider")))
+
+
+def provider_gaps(scored: DataFrame, gap: float = 0.30) -> DataFrame:
+    """Receipts whose shares of matched prices differ between two providers by gap or more, each with the first such pair
+    in order of the providers' ranks. Rows: provider, stem, prices, n."""
+    ranked = scored.join(price_ranks(scored).select("provider", "rank"), "provider")
+    ratio = F.coalesce(F.col("prices") / F.nullif("n", F.lit(0)), F.lit(0.0))
+    side = lambda p: ranked.select("stem", F.struct(F.col("rank").alias("rank"), F.col("provider").alias("provider"), ratio.alias("ratio")).alias(p))
+    pairs = side("a").join(side("b"), "stem").where("a.rank < b.rank").where(F.abs(F.col("a.ratio") - F.col("b.ratio")) >= gap)
+    first = pairs.groupBy("stem").agg(F.min_by(F.struct("a", "b"), F.struct("a.rank", "b.rank")).alias("p"))
+    a, b = F.col("p.a"), F.col("p.b")
+    more = a["ratio"] >= b["ratio"]
+    pick = lambda c, x, y: F.when(more, x[c]).otherwise(y[c])
+    return first.select(
+        "stem", pick("provider", a, b).alias("stronger"), pick("ratio", a, b).alias("high"), pick("provider", b, a).alias("weaker"), pick("ratio", b, a).alias("low")
+    )

@@ -27,11 +27,23 @@ def clean_name(name: Column) -> Column:
     return F.regexp_replace(name, r"(?i)^(?:\(sale\)\s+)?(?:\d{4,}\s+(?=\S))?", "")
 
 
+def once(rows: DataFrame, **more: Column) -> DataFrame:
+    """rows with more columns that are computed once each, whatever refers to them: optimiser rules would otherwise put their
+    expressions in the place of every reference, filters that move below them included."""
+    made = F.inline(F.array(F.struct(*[c.alias(n) for n, c in more.items()])))
+    return rows.select(*[c for c in rows.columns if c not in more], made).select(*rows.columns, *[n for n in more if n not in rows.columns])
+
+
 def validate(items: DataFrame) -> DataFrame:
-    """product names, prices inside the bounds with their currency, amounts that are amounts. Narrow work, no shuffle."""
-    kept = items.withColumn("name", T.strip(F.col("name"))).where(is_product(F.col("name")))
-    kept = kept.withColumn("name", clean_name(F.col("name"))).withColumn("_cents", T.price_cents(F.col("price")))
-    kept = kept.where(F.col("_cents").isNull() | F.col("_cents").between(X.MIN_CENTS, X.MAX_CENTS))
+    """product names, prices inside the bounds with their currency, amounts that are amounts. Narrow work, no shuffle.
+
+    Bounds hold for the number as it is written, before it is rounded to cents; one too long for a decimal is too high.
+    """
+    kept = once(items, name=T.strip(F.col("name")), _digits=T.price_digits(F.col("price"))).where(is_product(F.col("name")))
+    number = F.col("_digits").try_cast("decimal(38,18)")
+    low, high = (F.lit(c).cast("decimal(10,2)") / 100 for c in (X.MIN_CENTS, X.MAX_CENTS))
+    kept = kept.where((F.col("_digits") == "") | F.coalesce(number.between(low, high), F.lit(False)))
+    kept = once(kept, name=clean_name(F.col("name")), _cents=T.digits_cents(F.col("_digits"))).drop("_digits")
     tidy = F.regexp_replace(T.strip(F.coalesce(F.col("amount"), F.lit(""))), r"^(\d+\.\d{2})\s*[A-Za-z]$", "$1")
     swapped = F.col("_cents").isNull() & tidy.rlike(r"^\d+\.\d{2}\s*[A-Za-z]?$")
     price = F.when(swapped, F.concat(tidy, F.col("currency"))).when(F.col("_cents").isNotNull(), T.format_cents(F.col("_cents"), F.col("currency"))).otherwise(F.col("price"))
@@ -41,10 +53,11 @@ def validate(items: DataFrame) -> DataFrame:
 
 def flatten(items: DataFrame) -> DataFrame:
     """F2 without de-duplication: rows fit for the output table. Flat rows pass unchanged, so applying it twice is applying it once."""
-    n, p, store = T.strip(F.coalesce(F.col("name"), F.lit(""))), T.strip(F.coalesce(F.col("price"), F.lit(""))), F.lower(F.coalesce(F.col("store"), F.lit("")))
+    items = once(items, name=T.strip(F.coalesce(F.col("name"), F.lit(""))), price=T.strip(F.coalesce(F.col("price"), F.lit(""))))
+    n, p, store = F.col("name"), F.col("price"), F.lower(F.coalesce(F.col("store"), F.lit("")))
     garbled = (n == F.lower(n)) & n.rlike(r"\p{L}")
     keep = (n != "") & p.rlike(r"^\d+\.\d{2}[A-Z]{3}$") & ~n.rlike(X.FLAT_NON_PRODUCT) & ~garbled & ~((store != "") & F.contains(F.lower(n), store))
-    return items.where(keep).withColumn("name", n).withColumn("price", p).withColumn("amount", F.coalesce(F.nullif(F.col("amount"), F.lit("")), F.lit("1")))
+    return items.where(keep).withColumn("amount", F.coalesce(F.nullif(F.col("amount"), F.lit("")), F.lit("1")))
 
 
 def explode_receipts(receipts: DataFrame) -> DataFrame:

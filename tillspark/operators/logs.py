@@ -54,8 +54,11 @@ def of_traces(events: DataFrame, valid: DataFrame) -> DataFrame:
 
 def ocr_summary(ocr: DataFrame) -> DataFrame:
     ok = ocr.where("success")
-    lat = F.col("latency_ms")
-    return ok.groupBy(F.lit(1).alias("_g")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(lat), 4).alias("avg_ms"), stats.median(lat).alias("p50_ms"), stats.nearest_index_percentile(lat, 0.95).alias("p95_ms"), F.min(lat).alias("min_ms"), F.max(lat).alias("max_ms")).drop("_g")
+    lat, one = F.col("latency_ms"), ok.withColumn("_g", F.lit(1))
+    means = one.groupBy("_g").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(lat), 4).alias("avg_ms"), stats.median(lat).alias("p50_ms"), F.min(lat).alias("min_ms"), F.max(lat).alias("max_ms")
+    )
+    return means.join(stats.indexed_percentile(one, ["_g"], "latency_ms", 0.95, "p95_ms"), "_g", "left").drop("_g")
 
 
 def provider_summary(calls: DataFrame, pipeline: DataFrame) -> DataFrame:
@@ -69,17 +72,17 @@ def provider_summary(calls: DataFrame, pipeline: DataFrame) -> DataFrame:
         F.count_if(~ok).alias("errors"),
         F.round(F.avg(lat), 4).alias("avg_ms"),
         stats.median(lat).alias("p50_ms"),
-        stats.nearest_index_percentile(lat, 0.95).alias("p95_ms"),
         F.round(F.avg(F.when(ok, F.col("input_tokens"))), 4).alias("avg_in"),
+        F.round(F.avg(F.when(ok, F.col("input_chars"))), 4).alias("avg_chars"),
         F.round(F.avg(F.when(ok, F.col("output_tokens"))), 4).alias("avg_out"),
         F.count_distinct(F.when(ok, F.col("image_name"))).alias("receipts"),
         F.round(F.sum(F.when(ok, F.col("cost_usd"))), 9).alias("total_cost"),
-        F.max(F.when(ok, (F.col("cost_source") == "api").cast("int"))).alias("_api"),
-        F.min(F.when(ok, (F.col("cost_source") == "api").cast("int"))).alias("_all_api"),
+        stats.cost_source_label(F.col("cost_source"), ok).alias("cost_src"),
     ).where("successes > 0")
-    e2e = pipeline.where("success").groupBy(*by).agg(stats.median(F.col("latency_ms")).alias("e2e_p50"), stats.nearest_index_percentile(F.col("latency_ms"), 0.95).alias("e2e_p95"))
-    label = F.when(F.col("_all_api") == 1, "api").when(F.col("_api") == 0, "est").otherwise("mixed")
-    both = own.join(e2e, by, "left").withColumn("cost_src", label).drop("_api", "_all_api")
+    own = own.join(stats.indexed_percentile(calls.where(ok), by, "latency_ms", 0.95, "p95_ms"), by, "left")
+    done = pipeline.where("success")
+    e2e = done.groupBy(*by).agg(stats.median(F.col("latency_ms")).alias("e2e_p50")).join(stats.indexed_percentile(done, by, "latency_ms", 0.95, "e2e_p95"), by, "left")
+    both = own.join(e2e, by, "left")
     return both.withColumn("cost_per", F.round(F.col("total_cost") / F.col("successes"), 9)).withColumn("per_minute", F.round(F.lit(60000) / F.col("e2e_p50"), 6)).withColumn("fail_pct", F.round(F.lit(100.0) * F.col("errors") / F.col("calls"), 6))
 
 
@@ -106,6 +109,11 @@ def per_receipt(calls: DataFrame, ocr: DataFrame, truth_counts: DataFrame) -> Da
     return both.select("event_id", "stem", "trace_id", "latency_ms", "ocr_ms", "items_extracted", "truth", mark.alias("mark"))
 
 
+def dollars(cost: Column, digits: int) -> Column:
+    """a cost with 4 or 6 digits; what costs nothing is shown short."""
+    return F.when(cost > 0, F.format_string(f"$%.{digits}f", cost.cast("double"))).when(cost.isNotNull(), "$0.00").otherwise("—")
+
+
 def display(rows: DataFrame) -> DataFrame:
     """text of a report's cells: thousands separators, a sign for slow calls, a dash for missing values."""
     shown = lambda c: F.coalesce(F.format_number(F.round(c).cast("bigint"), 0), F.lit("—"))
@@ -114,8 +122,17 @@ def display(rows: DataFrame) -> DataFrame:
 
 
 def findings(summary: DataFrame) -> DataFrame:
-    """Fastest, cheapest, and the providers in order of speed as one text. One row; the summary has a row per provider."""
+    """Fastest (which is the primary), cheapest, fallbacks, and the providers' speed and throughput in order of speed.
+
+    One row; the summary has a row per provider and model.
+    """
     speed = F.coalesce("e2e_p50", "p50_ms")
     named = F.concat_ws("/", "provider", T.model_slug(F.col("model")))
-    ordered = F.array_sort(F.collect_list(F.struct(speed.alias("s"), named.alias("n"))))
-    return summary.agg(F.min_by(named, F.struct(speed, named)).alias("fastest"), F.min_by(named, F.struct(F.col("cost_per"), named)).alias("cheapest"), F.array_join(F.transform(ordered, lambda x: x["n"]), ", ").alias("by_speed"))
+    pace = F.coalesce(F.format_string("~%.0f/min", F.col("per_minute")), F.lit("—"))
+    ordered = F.array_sort(F.collect_list(F.struct(speed.alias("s"), named.alias("n"), pace.alias("t"))))
+    joined = lambda rows, text: F.array_join(F.transform(rows, text), ", ")
+    return summary.agg(ordered.alias("_o"), F.min_by(named, F.struct(F.col("cost_per"), named)).alias("cheapest")).select(
+        F.col("_o")[0]["n"].alias("fastest"), "cheapest", joined(F.col("_o"), lambda x: x["n"]).alias("by_speed"),
+        joined(F.col("_o"), lambda x: F.concat(x["n"], F.lit(" "), x["t"])).alias("throughput"),
+        joined(F.slice("_o", 2, F.greatest(F.size("_o") - 1, F.lit(0))), lambda x: x["n"]).alias("fallbacks"),
+    )

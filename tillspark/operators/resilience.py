@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,34 +55,51 @@ def breaker(events: DataFrame, *, threshold: int = 3, cooldown: int = 30) -> Dat
     """Per provider, in order of time (seconds), the state before each call and whether the call went through.
 
     Closed until `threshold` failures in a row, open for `cooldown` seconds, then half open: a success closes it, and it takes
-    `threshold` more failures to open again. A fold over each provider's ordered events. Rows: provider, t, seq, failed.
+    `threshold` more failures to open again. A provider's calls follow each other, so one task walks them, in sorted batches and
+    with a few numbers as its state; providers share the tasks. Rows: provider, t, seq, failed. tripped: the call opened it.
     """
-    start = F.struct(F.lit("closed").alias("state"), F.lit(0).alias("fails"), F.lit(0).cast("long").alias("since"), F.array().cast("array<struct<seq:bigint,state:string,passed:boolean>>").alias("out"))
 
-    def step(acc: Column, e: Column) -> Column:
-        state = F.when((acc["state"] == "open") & (e["t"] - acc["since"] >= cooldown), F.lit("half-open")).otherwise(acc["state"])
-        passed = state != "open"
-        fresh = F.when((acc["state"] == "open") & passed, F.lit(0)).otherwise(acc["fails"])
-        fails = F.when(~passed, acc["fails"]).when(e["failed"], fresh + 1).otherwise(F.lit(0))
-        trips = passed & (fails >= threshold)
-        after = F.when(trips, F.lit("open")).when(passed & ~e["failed"], F.lit("closed")).otherwise(state)
-        row = F.struct(e["seq"].alias("seq"), state.alias("state"), passed.alias("passed"))
-        return F.struct(after.alias("state"), fails.alias("fails"), F.when(trips, e["t"]).otherwise(acc["since"]).alias("since"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    ordered = events.groupBy("provider").agg(F.array_sort(F.collect_list(F.struct("t", "seq", "failed"))).alias("e"))
-    return ordered.select("provider", F.inline(F.aggregate("e", start, step, lambda acc: acc["out"])))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = state = None
+        fails = since = 0
+        for b in batches:
+            out = []
+            for provider, t, failed in zip(*(b.column(c).to_pylist() for c in ("provider", "t", "failed")), strict=True):
+                if of is None or provider != of[0]:
+                    of, state, fails, since = (provider,), "closed", 0, 0
+                if state == "open" and t - since >= cooldown:
+                    state, fails = "half-open", 0
+                before, passed = state, state != "open"
+                if passed:
+                    fails = fails + 1 if failed else 0
+                    if fails >= threshold:
+                        state, since = "open", t
+                    elif not failed:
+                        state = "closed"
+                out.append((before, passed, passed and state == "open"))
+            columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.string(), pa.bool_(), pa.bool_()), strict=True)] if out else None
+            if columns:
+                yield pa.RecordBatch.from_arrays([b.column("provider"), b.column("seq"), *columns], names=["provider", "seq", "state", "passed", "tripped"])
+
+    kind = events.schema["provider"].dataType.simpleString()
+    rows = events.select("provider", F.col("t").cast("long").alias("t"), F.col("seq").cast("long").alias("seq"), F.coalesce("failed", F.lit(False)).alias("failed"))
+    ordered = rows.repartition("provider").sortWithinPartitions("provider", "t", "seq")
+    return ordered.mapInArrow(run, f"provider {kind}, seq long, state string, passed boolean, tripped boolean")
 
 
 def run_statistics(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Of calls with ok, latency_ms, attempts: success rate, P50 of successes, P99 of all, mean attempts, calls a minute."""
+    """Of calls with ok, latency_ms, attempts: success rate, P50 of successes, P99 of all, mean attempts, calls a minute, and
+    the breaker's trips where rows have tripped."""
     lat = F.col("latency_ms")
-    return rows.groupBy(*by).agg(
+    trips = [F.count_if("tripped").alias("trips")] if "tripped" in rows.columns else []
+    means = rows.groupBy(*by).agg(
         F.round(stats.rate(F.col("ok")), 6).alias("success_pct"),
-        stats.nearest_index_percentile(F.when(F.col("ok"), lat), 0.50).alias("p50_ms"),
-        stats.nearest_index_percentile(lat, 0.99).alias("p99_ms"),
         F.round(F.avg("attempts"), 6).alias("avg_attempts"),
         F.round(F.lit(60000.0) * F.count(F.lit(1)) / F.sum(lat), 6).alias("per_minute"),
+        *trips,
     )
+    p50 = stats.indexed_percentile(rows.where("ok"), by, "latency_ms", 0.50, "p50_ms")
+    return means.join(p50, by, "left").join(stats.indexed_percentile(rows, by, "latency_ms", 0.99, "p99_ms"), by, "left")
 
 
 def run_averages(runs: DataFrame, by: list[str], measures: list[str]) -> DataFrame:

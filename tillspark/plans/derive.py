@@ -30,7 +30,8 @@ SELECT receipt_id, item_idx * 10 + extra AS item_idx, store, purchase_date, curr
             WHEN item_idx % 17 = 9 THEN 'www.shop.example' WHEN item_idx % 17 = 11 THEN 'ITEM 3' WHEN part % 41 = 0 THEN store || ' CLUB' WHEN part % 43 = 0 THEN 'TAX 5%'
             WHEN part % 5 = 0 THEN '1' || CAST(10000 + part % 900 AS {{str}}) || ' ' || pname WHEN item_idx % 6 = 0 THEN pname || ' ' || ptype ELSE pname END AS name,
        CASE WHEN part % 7 = 0 THEN 'C' || CAST(part % 50 AS {{str}}) ELSE '' END AS code,
-       CASE WHEN part % 23 = 0 AND extra = 0 THEN '' ELSE CAST(cents {{div}} 100 AS {{str}}) || '.' || lpad(CAST(cents % 100 AS {{str}}), 2, '0') || CASE WHEN part % 3 = 0 THEN 'A' ELSE '' END END AS price,
+       CASE WHEN part % 23 = 0 AND extra = 0 THEN '' WHEN part % 29 = 1 AND extra = 0 THEN '0.496' WHEN part % 29 = 2 AND extra = 0 THEN '99.004'
+            WHEN part % 29 = 3 AND extra = 0 THEN '123456789012345678.00' WHEN part % 29 = 4 AND extra = 0 THEN '98.996' ELSE CAST(cents {{div}} 100 AS {{str}}) || '.' || lpad(CAST(cents % 100 AS {{str}}), 2, '0') || CASE WHEN part % 3 = 0 THEN 'A' ELSE '' END END AS price,
        CASE part % 6 WHEN 0 THEN CAST(cents {{div}} 100 AS {{str}}) || '.' || lpad(CAST(cents % 100 AS {{str}}), 2, '0') || ' S' WHEN 1 THEN '' WHEN 2 THEN CAST(qty AS {{str}}) || ' EA' ELSE CAST(qty AS {{str}}) END AS amount
 FROM base JOIN (SELECT 0 AS extra UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) e
   ON extra = 0 OR (extra = 1 AND item_idx % 6 = 0) OR (extra = 2 AND item_idx % 9 = 0) OR (extra = 3 AND item_idx % 13 = 0)"""
@@ -75,27 +76,41 @@ SELECT event_id, {iso} AS time,
        'trace' || CAST(user_id % 12 AS {str}) AS trace_id, 'img' || CAST(event_id % 40 AS {str}) || '.jpg' AS image_name,
        CASE WHEN user_id % 3 = 0 THEN 'clod' ELSE 'openrouter' END AS provider, CASE user_id % 3 WHEN 0 THEN 'gemma-3n-E4B-it' WHEN 1 THEN 'anthropic/claude-haiku-4.5' ELSE 'qwen/qwen-2.5-7b-instruct' END AS model,
        CAST(round(value * 10) AS bigint) AS latency_ms, event_type <> 'error' AS success, {k} AS input_tokens, {k} % 37 AS output_tokens, {k} % 9 AS items_extracted,
-       CASE WHEN user_id % 5 = 0 THEN 'api' ELSE 'estimate' END AS cost_source
+       CASE WHEN event_id % 7 > 0 THEN {k} * 11 END AS input_chars, CASE WHEN user_id % 15 IN (0, 1, 3, 6, 9, 12) THEN 'api' WHEN user_id % 5 <> 2 THEN 'estimate' END AS cost_source
 FROM {events}"""
 
 #: Ground truth, and an output with wrong names, prices and amounts, lost items and lost receipts.
-TRUTH = "SELECT CAST(receipt_id AS {str}) AS stem, item_idx, pname AS name, CAST(cents AS {str}) || '.00' || currency AS price, CAST(qty AS {str}) || ' LBS' AS amount, store, purchase_date FROM base WHERE receipt_id % 5 > 0"
+TRUTH = """
+SELECT CAST(receipt_id AS {str}) AS stem, item_idx, pname AS name, CAST(cents AS {str}) || '.00' || currency AS price, CAST(qty AS {str}) || ' LBS' AS amount, store, purchase_date,
+       CASE WHEN receipt_id % 6 > 0 THEN CAST(receipt_id % 90 AS double) END AS latitude, CASE WHEN receipt_id % 8 > 0 THEN CAST(receipt_id % 170 AS double) END AS longitude
+FROM base WHERE receipt_id % 5 > 0"""
 OUTPUT = """SELECT CAST(receipt_id AS {str}) AS stem, item_idx, CASE item_idx % 11 WHEN 1 THEN pname || ' ' || ptype WHEN 2 THEN lower(pname) WHEN 3 THEN 'QQQQ' ELSE pname END AS name,
        CAST(cents + CASE WHEN item_idx % 11 = 4 THEN 1 ELSE 0 END AS {str}) || '.00' || currency AS price, CASE WHEN item_idx % 11 = 5 THEN '' ELSE CAST(qty AS {str}) || 'lb' END AS amount,
-       CASE WHEN receipt_id % 4 = 0 THEN 'Other Place' ELSE store END AS store, replace(purchase_date, '.', '-') AS purchase_date
-FROM base WHERE item_idx % 11 <> 7 AND receipt_id % 7 > 0"""
+       CASE WHEN receipt_id % 4 = 0 THEN 'Other Place' ELSE store END AS store, replace(purchase_date, '.', '-') AS purchase_date,
+       CASE WHEN receipt_id % 9 > 0 AND receipt_id % 12 > 0 THEN receipt_id % 90 + CASE WHEN receipt_id % 11 = 1 THEN 0.0625 ELSE 0.015625 END END AS latitude,
+       CASE WHEN receipt_id % 16 > 0 THEN receipt_id % 170 - CASE WHEN receipt_id % 13 = 1 THEN 0.0625 ELSE 0.015625 END END AS longitude
+FROM base WHERE item_idx % 11 <> 7 AND receipt_id % 7 > 0 AND receipt_id % 14 <> 1"""
 
-FROM_BASE = {"items": ITEMS, "ocr_lines": LINES, "words": WORDS, "truth": TRUTH, "output": OUTPUT}
+#: The files of that output; a few have no text.
+OUTPUT_FILES = "SELECT DISTINCT CAST(receipt_id AS {str}) AS stem, CASE WHEN receipt_id % 14 = 1 THEN 'empty' ELSE 'filled' END AS status FROM base WHERE receipt_id % 7 > 0"
+
+FROM_BASE = {"items": ITEMS, "ocr_lines": LINES, "words": WORDS, "truth": TRUTH, "output": OUTPUT, "output_files": OUTPUT_FILES}
 STAR = ["lineitem", "orders", "part", "customer", "nation", "events"]
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of items, ocr_lines, words, truth, output, logs."""
+    """One of items, ocr_lines, words, truth, output, output_files, logs.
+
+    Columns are computed once each, as those of a stored table would be, whatever the operators refer to.
+    """
+    from pyspark.sql import functions as F
+
     text = LOGS if name == "logs" else f"WITH base AS ({BASE}) {FROM_BASE[name]}"
     for mark, sql in SPARK.items():
         text = text.replace("{" + mark + "}", sql)
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in STAR if "{" + t + "}" in text}
-    return spark.sql(text, **tables)
+    rows = spark.sql(text, **tables)
+    return rows.select(F.inline(F.array(F.struct(*rows.columns)))) if name in ("items", "ocr_lines") else rows
 
 
 def ocr_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,14 +15,15 @@ from .text_queries import q
 VALID = rf""", named AS (SELECT *, trim(name) AS n0 FROM items),
 product AS (
     SELECT *, coalesce(nullif(trim(regexp_replace(trim(regexp_replace(n0, '(?i)^\(sale\)\s+', '')), '^\d{{4,}}\s+', '')), ''), trim(regexp_replace(n0, '(?i)^\(sale\)\s+', ''))) AS n1,
-           CAST(round(try_cast(nullif(regexp_extract(price, '\d+\.?\d*'), '') AS decimal(20, 6)) * 100) AS bigint) AS c, regexp_replace(trim(amount), '^(\d+\.\d{{2}})\s*[A-Za-z]$', '\1') AS a
+           CAST(round(try_cast(nullif(regexp_extract(price, '\d+\.?\d*'), '') AS decimal(20, 6)) * 100) AS bigint) AS c,
+           nullif(regexp_extract(price, '\d+\.?\d*'), '') AS digits, regexp_replace(trim(amount), '^(\d+\.\d{{2}})\s*[A-Za-z]$', '\1') AS a
     FROM named WHERE n0 <> '' AND length(n0) BETWEEN 3 AND 100 AND NOT regexp_matches(n0, {q(X.NON_PRODUCT)}) AND NOT regexp_matches(n0, {q(X.JUNK_NAME)})
       AND NOT regexp_matches(n0, '^[\d\s\.\,\-]+$') AND NOT regexp_matches(n0, {q(X.METADATA_NAME)})
 ), valid AS (
     SELECT receipt_id, item_idx, store, purchase_date, currency, n1 AS name, code,
            CASE WHEN c IS NULL AND regexp_matches(a, '^\d+\.\d{{2}}$') THEN a || currency WHEN c IS NOT NULL THEN CAST(c // 100 AS varchar) || '.' || lpad(CAST(c % 100 AS varchar), 2, '0') || currency ELSE price END AS price,
            coalesce(nullif(CASE WHEN regexp_matches(a, '^\d+\.\d{{2}}$') THEN '' ELSE trim(regexp_replace(a, {q(X.UNIT_CODES)}, '', 'g')) END, ''), '1') AS amount
-    FROM product WHERE c IS NULL OR c BETWEEN 50 AND 9900)"""
+    FROM product WHERE digits IS NULL OR coalesce(try_cast(digits AS decimal(38, 18)) BETWEEN 0.5 AND 99, false))"""
 FLAT = rf""", flat AS (SELECT * FROM valid WHERE regexp_matches(price, '^\d+\.\d{{2}}[A-Z]{{3}}$') AND NOT regexp_matches(name, {q(X.FLAT_NON_PRODUCT)}) AND NOT (name = lower(name) AND regexp_matches(name, '[a-z]')) AND NOT contains(lower(name), lower(store)))"""
 UNIQUE = """, whole AS (SELECT f.* FROM flat f WHERE NOT EXISTS (SELECT 1 FROM flat g WHERE g.receipt_id = f.receipt_id AND g.price = f.price AND lower(g.name) <> lower(f.name) AND contains(lower(g.name), lower(f.name))))"""
 COLS = ["receipt_id", "item_idx", "store", "purchase_date", "currency", "name", "code", "price", "amount"]

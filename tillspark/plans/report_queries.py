@@ -47,11 +47,11 @@ def a01_a02_a03_ocr_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 SUMMARY = CALLS + f""", book(provider, model, rate_in, rate_out) AS (VALUES {BOOK}),
 priced AS (SELECT c.*, input_tokens / 1e6 * coalesce(rate_in, 0) + output_tokens / 1e6 * coalesce(rate_out, 0) AS cost_usd FROM calls c LEFT JOIN book b ON c.provider = b.provider AND c.model = b.model),
-ok AS (SELECT provider, model, count(*) AS successes, round(avg(latency_ms), 4) AS avg_ms, quantile_cont(latency_ms, 0.5) AS p50_ms, {P95.format('latency_ms', 0.95)} AS p95_ms, round(avg(input_tokens), 4) AS avg_in, round(avg(output_tokens), 4) AS avg_out,
-  count(DISTINCT image_name) AS receipts, round(sum(cost_usd), 9) AS total_cost, list_sort(list_distinct(list(cost_source))) AS src FROM priced WHERE success GROUP BY provider, model),
+ok AS (SELECT provider, model, count(*) AS successes, round(avg(latency_ms), 4) AS avg_ms, quantile_cont(latency_ms, 0.5) AS p50_ms, {P95.format('latency_ms', 0.95)} AS p95_ms, round(avg(input_tokens), 4) AS avg_in, round(avg(output_tokens), 4) AS avg_out, round(avg(input_chars), 4) AS avg_chars,
+  count(DISTINCT image_name) AS receipts, round(sum(cost_usd), 9) AS total_cost, list_sort(list_distinct(list(coalesce(cost_source, 'unknown')))) AS src FROM priced WHERE success GROUP BY provider, model),
 n AS (SELECT provider, model, count(*) AS calls FROM calls GROUP BY provider, model),
 e2e AS (SELECT provider, model, quantile_cont(latency_ms, 0.5) AS e2e_p50, {P95.format('latency_ms', 0.95)} AS e2e_p95 FROM logs WHERE event = 'pipeline_complete' AND success GROUP BY provider, model),
-summary AS (SELECT ok.provider, ok.model, calls, successes, calls - successes AS errors, avg_ms, p50_ms, p95_ms, avg_in, avg_out, receipts, total_cost, e2e_p50, e2e_p95,
+summary AS (SELECT ok.provider, ok.model, calls, successes, calls - successes AS errors, avg_ms, p50_ms, p95_ms, avg_in, avg_out, avg_chars, receipts, total_cost, e2e_p50, e2e_p95,
   CASE WHEN src = ['api'] THEN 'api' WHEN NOT list_contains(src, 'api') THEN 'est' ELSE 'mixed' END AS cost_src, round(total_cost / successes, 9) AS cost_per, round(60000 / e2e_p50, 6) AS per_minute, round(100.0 * (calls - successes) / calls, 6) AS fail_pct
   FROM ok JOIN n ON n.provider = ok.provider AND n.model = ok.model LEFT JOIN e2e ON e2e.provider = ok.provider AND e2e.model = ok.model)"""
 
@@ -65,8 +65,10 @@ def a06_a08_a09_j05_provider_summary(spark: SparkSession, sf: str) -> DataFrame:
     return _summary(spark, sf)
 
 
-@query(duck("logs") + SUMMARY + """, named AS (SELECT provider || '/' || lower(split_part(model, '/', -1)) AS n, coalesce(e2e_p50, p50_ms) AS s, cost_per FROM summary)
-SELECT arg_min(n, (s, n)) AS fastest, arg_min(n, (cost_per, n)) AS cheapest, string_agg(n, ', ' ORDER BY s, n) AS by_speed FROM named""")
+@query(duck("logs") + SUMMARY + """, named AS (SELECT provider || '/' || lower(split_part(model, '/', -1)) AS n, coalesce(e2e_p50, p50_ms) AS s, cost_per, coalesce('~' || CAST(CAST(round(per_minute) AS bigint) AS varchar) || '/min', '—') AS t FROM summary),
+placed AS (SELECT *, row_number() OVER (ORDER BY s, n) AS k FROM named)
+SELECT arg_min(n, k) AS fastest, arg_min(n, (cost_per, n)) AS cheapest, string_agg(n, ', ' ORDER BY k) AS by_speed, string_agg(n || ' ' || t, ', ' ORDER BY k) AS throughput,
+       coalesce(string_agg(n, ', ' ORDER BY k) FILTER (WHERE k > 1), '') AS fallbacks FROM placed""")
 def a17_findings(spark: SparkSession, sf: str) -> DataFrame:
     return logs.findings(_summary(spark, sf))
 
@@ -120,9 +122,12 @@ def _pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return derived(spark, sf, "truth"), derived(spark, sf, "output")
 
 
-@query(duck("truth", "output") + """ SELECT t.stem, t.n AS gt_items, o.n AS out_items, CASE WHEN o.n IS NULL THEN 'no output' ELSE 'scored' END AS status FROM (SELECT stem, count(*) AS n FROM truth GROUP BY stem) t LEFT JOIN (SELECT stem, count(*) AS n FROM output GROUP BY stem) o ON o.stem = t.stem""")
+@query(duck("truth", "output", "output_files") + """ SELECT t.stem, t.n AS gt_items, CASE WHEN f.status = 'filled' THEN coalesce(o.n, 0) END AS out_items,
+  CASE WHEN f.stem IS NULL THEN 'no output' WHEN f.status = 'empty' THEN 'empty output' ELSE 'scored' END AS status
+FROM (SELECT stem, count(*) AS n FROM truth GROUP BY stem) t LEFT JOIN output_files f ON f.stem = t.stem
+     LEFT JOIN (SELECT stem, count(*) AS n FROM output GROUP BY stem) o ON o.stem = t.stem""")
 def j01_statuses(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluate.statuses(*_pair(spark, sf))
+    return evaluate.statuses(*_pair(spark, sf), derived(spark, sf, "output_files"))
 
 
 MATCH = r""", t AS (SELECT stem, item_idx, lower(name) AS name, CAST(regexp_replace(price, '[^0-9.]', '', 'g') AS double) AS price, regexp_replace(replace(lower(amount), ' ', ''), 'lbs$', 'lbs') AS amount, store, purchase_date FROM truth),
@@ -142,9 +147,12 @@ def j02_fuzzy_matches(spark: SparkSession, sf: str) -> DataFrame:
 
 SCORE = MATCH + r""", hit AS (SELECT t.stem, count(b.o_idx) AS names, count(*) FILTER (WHERE abs(t.price - o.price) <= 0.01) AS prices, count(*) FILTER (WHERE t.amount <> '' AND o.amount = t.amount) AS amounts
   FROM t LEFT JOIN best b ON b.stem = t.stem AND b.item_idx = t.item_idx LEFT JOIN o ON o.stem = b.stem AND o.item_idx = b.o_idx GROUP BY t.stem),
-th AS (SELECT stem, arg_min(store, item_idx) AS store, arg_min(purchase_date, item_idx) AS d, count(*) AS n FROM truth GROUP BY stem), oh AS (SELECT stem, arg_min(store, item_idx) AS store, replace(arg_min(purchase_date, item_idx), '-', '.') AS d, count(*) AS n FROM output GROUP BY stem),
-flags AS (SELECT th.stem, len(list_intersect(list_filter(string_split_regex(lower(th.store), '\W+'), lambda w: length(w) > 3), list_filter(string_split_regex(lower(oh.store), '\W+'), lambda w: length(w) > 3))) > 0 AS store_ok, th.d = oh.d AS date_ok, th.n = oh.n AS count_ok, th.n FROM th JOIN oh ON oh.stem = th.stem),
-scored AS (SELECT f.stem, store_ok, date_ok, count_ok, names, prices, amounts, n, round((store_ok::int + date_ok::int + count_ok::int + 2 + (names + prices + amounts) / n) / 8 * 100, 6) AS overall FROM flags f JOIN hit h ON h.stem = f.stem)"""
+th AS (SELECT stem, arg_min(store, item_idx) AS store, arg_min(purchase_date, item_idx) AS d, min(latitude) AS lat, min(longitude) AS lon, count(*) AS n FROM truth GROUP BY stem),
+oh AS (SELECT stem, arg_min(store, item_idx) AS store, replace(arg_min(purchase_date, item_idx), '-', '.') AS d, min(latitude) AS lat, min(longitude) AS lon, count(*) AS n FROM output GROUP BY stem),
+flags AS (SELECT th.stem, len(list_intersect(list_filter(string_split_regex(lower(th.store), '\W+'), lambda w: length(w) > 3), list_filter(string_split_regex(lower(oh.store), '\W+'), lambda w: length(w) > 3))) > 0 AS store_ok, th.d = oh.d AS date_ok, th.n = oh.n AS count_ok, th.n,
+  CASE WHEN th.lat IS NULL AND oh.lat IS NULL THEN true ELSE coalesce(abs(th.lat - oh.lat) <= 0.02, false) END AS lat_ok,
+  CASE WHEN th.lon IS NULL AND oh.lon IS NULL THEN true ELSE coalesce(abs(th.lon - oh.lon) <= 0.02, false) END AS lon_ok FROM th JOIN oh ON oh.stem = th.stem),
+scored AS (SELECT f.stem, store_ok, date_ok, lat_ok, lon_ok, count_ok, names, prices, amounts, n, round((store_ok::int + date_ok::int + count_ok::int + lat_ok::int + lon_ok::int + (names + prices + amounts) / n) / 8 * 100, 6) AS overall FROM flags f JOIN hit h ON h.stem = f.stem)"""
 
 
 @query(duck("truth", "output") + SCORE + " SELECT * FROM scored")
@@ -161,13 +169,17 @@ def a12_a13_eval_summary(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.summary(scored, ["provider"])
 
 
-@query(duck("truth", "output") + SCORE + """, p(provider, k) AS (VALUES ('a', 0), ('b', 40), ('c', 60)), s AS (SELECT stem, provider, greatest(overall - k, 0) AS overall FROM scored, p)
-SELECT x.stem, x.provider AS first, x.overall AS first_score, y.provider AS second, y.overall AS second_score FROM s x JOIN s y ON y.stem = x.stem AND x.provider < y.provider AND abs(x.overall - y.overall) >= 30
-QUALIFY row_number() OVER (PARTITION BY x.stem ORDER BY x.provider, y.provider) = 1""")
+@query(duck("truth", "output") + SCORE + """, p(provider, k) AS (VALUES ('c', 0), ('b', 1), ('a', 2)), s AS (SELECT stem, provider, n, greatest(prices - k, 0) AS prices FROM scored, p),
+ranked AS (SELECT provider, row_number() OVER (ORDER BY sum(prices) / sum(n) DESC, provider) AS rank FROM s GROUP BY provider),
+r AS (SELECT s.stem, s.provider, rank, prices / n AS ratio FROM s JOIN ranked USING (provider)),
+pairs AS (
+  SELECT x.stem, x.provider AS xp, x.ratio AS xr, y.provider AS yp, y.ratio AS yr FROM r x JOIN r y ON y.stem = x.stem AND x.rank < y.rank AND abs(x.ratio - y.ratio) >= 0.30
+  QUALIFY row_number() OVER (PARTITION BY x.stem ORDER BY x.rank, y.rank) = 1)
+SELECT stem, CASE WHEN xr >= yr THEN xp ELSE yp END AS stronger, greatest(xr, yr) AS high, CASE WHEN xr >= yr THEN yp ELSE xp END AS weaker, least(xr, yr) AS low FROM pairs""")
 def j07_w10_provider_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    p = spark.createDataFrame([("a", 0), ("b", 40), ("c", 60)], "provider string, k int")
+    p = spark.createDataFrame([("c", 0), ("b", 1), ("a", 2)], "provider string, k int")
     s = evaluate.scores(*_pair(spark, sf)).crossJoin(F.broadcast(p))  # three fixed rows
-    return evaluate.provider_gaps(s.select("stem", "provider", F.greatest(F.col("overall") - F.col("k"), F.lit(0.0)).alias("overall")))
+    return evaluate.provider_gaps(s.select("stem", "provider", "n", F.greatest(F.col("prices") - F.col("k"), F.lit(0)).alias("prices")))
 
 
 @query(duck("words") + """ SELECT page_id, token, arg_max(x, word_idx) AS x, arg_max(y, word_idx) AS y, count(*) AS n FROM words GROUP BY page_id, token""")
@@ -319,7 +331,7 @@ walk AS (
   FROM walk w JOIN e ON e.trace_id = w.trace_id AND e.k = w.k + 1,
   LATERAL (SELECT CASE WHEN w.opened AND e.event_id - w.since >= 30 THEN 'half-open' WHEN w.opened THEN 'open' WHEN w.state = 'half-open' AND w.fails > 0 THEN 'half-open' ELSE 'closed' END AS state) s,
   LATERAL (SELECT CASE WHEN s.state = 'open' THEN w.fails WHEN NOT e.failed THEN 0 WHEN w.opened THEN 1 ELSE w.fails + 1 END AS fails) n
-) SELECT trace_id AS provider, event_id AS seq, state, passed FROM walk""")
+) SELECT trace_id AS provider, event_id AS seq, state, passed, passed AND opened AS tripped FROM walk""")
 def e06_breaker(spark: SparkSession, sf: str) -> DataFrame:
     events = _logs(spark, sf).select(F.col("trace_id").alias("provider"), F.col("event_id").alias("t"), F.col("event_id").alias("seq"), (~F.col("success")).alias("failed"))
     return resilience.breaker(events)

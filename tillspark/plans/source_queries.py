@@ -38,10 +38,10 @@ def k03_events(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", back.alias("e")).select("event_id", "e.level", "e.usage.total_tokens", F.col("e.llm_provider").alias("provider"))
 
 
-@query(duck("logs") + """, u AS (SELECT replace(image_name, '.jpg', '') AS image_stem, arg_max(trace_id, event_id) AS id FROM logs WHERE event_id % 2 = 0 GROUP BY 1), r AS (SELECT 'img' || i AS image_stem, 'old' AS id FROM range(0, 60, 7) t(i))
+@query(duck("logs") + """, u AS (SELECT replace(image_name, '.jpg', '') AS image_stem, arg_max(trace_id, event_id) AS id FROM logs GROUP BY 1), r AS (SELECT 'img' || i AS image_stem, 'old' AS id FROM range(0, 60, 7) t(i))
 SELECT coalesce(u.image_stem, r.image_stem) AS image_stem, coalesce(u.id, r.id) AS id FROM u FULL JOIN r ON u.image_stem = r.image_stem""")
 def k05_registry(spark: SparkSession, sf: str) -> DataFrame:
-    uploads = derived(spark, sf, "logs").where("event_id % 2 = 0").select(T.file_stem(F.col("image_name")).alias("image_stem"), F.array("trace_id").alias("ids"), F.col("event_id").alias("seq"))
+    uploads = derived(spark, sf, "logs").select(T.file_stem(F.col("image_name")).alias("image_stem"), F.array("trace_id").alias("ids"), F.col("event_id").alias("seq"))
     old = spark.range(0, 60, 7).select(F.concat(F.lit("img"), F.col("id").cast("string")).alias("image_stem"), F.array(F.lit("old")).alias("ids"))
     return files.registry_upsert(old, uploads).select("image_stem", F.col("ids")[0].alias("id"))
 
@@ -58,13 +58,12 @@ def j11_s07_cache_misses(spark: SparkSession, sf: str) -> DataFrame:
     return files.missing_from_cache(rows.where("event = 'adi_ocr'").select(F.col("image_name").alias("stem")).distinct(), cache).withColumnRenamed("stem", "image_name")
 
 
-@query(duck("ocr_lines", "items") + r""", a AS (SELECT receipt_id, coalesce(string_agg(trim(line), ' ' ORDER BY line_idx) FILTER (WHERE NOT regexp_matches(line, 'Dir |Mgr |Main:|Rx:|Phone:|Tel:|Manager|\(\d{3}\) \d{3}-\d{4}')), '') AS address FROM ocr_lines WHERE line_idx <= 2 GROUP BY receipt_id),
+@query(duck("ocr_lines", "items") + r""", a AS (SELECT receipt_id, coalesce(string_agg(trim(line), ' ' ORDER BY line_idx) FILTER (WHERE NOT regexp_matches(line, 'Dir |Mgr |Main:|Rx:|Phone:|Tel:|Manager|\(\d{3}\) \d{3}-\d{4}')), '') AS address FROM ocr_lines GROUP BY receipt_id),
 s AS (SELECT receipt_id, min(store) AS store FROM items GROUP BY receipt_id), k AS (SELECT a.receipt_id, trim(split_part(store, ' ', 1) || ' ' || trim(replace(address, 'Store 2216', ''))) AS query FROM a JOIN s ON s.receipt_id = a.receipt_id)
 SELECT receipt_id, query, CASE WHEN length(query) % 2 = 0 THEN CAST(length(query) AS double) END AS latitude FROM k""")
 def e01_geocode(spark: SparkSession, sf: str) -> DataFrame:
-    head = F.array_join(F.slice(T.lines(F.col("ocr")), 1, 3), "\n")
     stores = derived(spark, sf, "items").groupBy("receipt_id").agg(F.min("store").alias("store"))
-    receipts = ocr_texts(spark, sf).withColumn("address", head).join(stores, "receipt_id")
+    receipts = ocr_texts(spark, sf).withColumn("address", T.raw_part(F.col("ocr"))).join(stores, "receipt_id")
     asked = T.strip(F.concat_ws(" ", T.first_word(F.col("store")), T.address_for_geocoder(F.col("address"))))
     places = receipts.select(asked.alias("query")).distinct().where(F.length("query") % 2 == 0).select("query", F.length("query").cast("double").alias("latitude"), F.lit(0.0).alias("longitude"))
     return providers.geocode(receipts, places).select("receipt_id", "query", "latitude")

@@ -109,10 +109,10 @@ def t14_address(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(duck("ocr_lines") + r""" SELECT receipt_id, trim(replace(coalesce(string_agg(trim(line), ' ' ORDER BY line_idx) FILTER (WHERE NOT regexp_matches(line, 'Dir |Mgr |Main:|Rx:|Phone:|Tel:|Manager|\(\d{3}\) \d{3}-\d{4}')), ''), 'Store 2216', '')) AS address
-FROM ocr_lines WHERE line_idx <= 2 GROUP BY receipt_id""")
+FROM ocr_lines GROUP BY receipt_id""")
 def t15_address_for_geocoder(spark: SparkSession, sf: str) -> DataFrame:
-    head = F.array_join(F.slice(T.lines(F.col("ocr")), 1, 3), "\n")
-    return ocr_texts(spark, sf).select("receipt_id", T.address_for_geocoder(head).alias("address"))
+    """Of the whole raw text, as an address of many lines."""
+    return ocr_texts(spark, sf).select("receipt_id", T.address_for_geocoder(T.raw_part(F.col("ocr"))).alias("address"))
 
 
 @query(duck("ocr_lines") + rf""", n AS (SELECT receipt_id, row_number() OVER (PARTITION BY receipt_id ORDER BY line_idx) AS n, trim(line) AS line, trim(regexp_replace(line, '(\d)\.\s+(\d)', '\1.\2', 'g')) AS norm FROM ocr_lines),
@@ -127,19 +127,11 @@ def t16_weight_items(spark: SparkSession, sf: str) -> DataFrame:
     return ocr_texts(spark, sf).select("receipt_id", F.inline(T.weight_items(F.col("ocr"))))
 
 
-@query(duck("ocr_lines") + r""", n AS (SELECT receipt_id, line, row_number() OVER (PARTITION BY receipt_id ORDER BY line_idx) AS n FROM ocr_lines WHERE receipt_id % 2 = 1),
-found AS (SELECT receipt_id, min(n) FILTER (WHERE contains(upper(line), 'MEMBER')) AS k, substr(string_agg(line, chr(10) ORDER BY n), 1, 500) AS start FROM n GROUP BY receipt_id)
-SELECT f.receipt_id, CASE WHEN any_value(k) IS NULL THEN any_value(start) ELSE string_agg(line, chr(10) ORDER BY n) FILTER (WHERE n BETWEEN k - 3 AND k + 3) END AS context FROM n JOIN found f ON n.receipt_id = f.receipt_id GROUP BY f.receipt_id""")
-def t17_line_context(spark: SparkSession, sf: str) -> DataFrame:
-    return ocr_texts(spark, sf).where("receipt_id % 2 = 1").select("receipt_id", T.line_context(F.col("ocr"), F.lit("member card")).alias("context"))
-
-
 @query(duck("ocr_texts") + r""", split AS (SELECT receipt_id, ocr, string_split(regexp_replace(ocr, '\n$', ''), chr(10)) AS lines FROM ocr_texts),
 n AS (SELECT receipt_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS n FROM split),
 found AS (SELECT receipt_id, min(n) FILTER (WHERE contains(upper(line), 'MEMBER')) AS k FROM n GROUP BY receipt_id)
 SELECT s.receipt_id, CASE WHEN k IS NULL THEN substr(ocr, 1, 500) ELSE array_to_string(list_slice(lines, greatest(1, k - 3), k + 3), chr(10)) END AS context FROM split s JOIN found f ON s.receipt_id = f.receipt_id""")
-def t17_line_context_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """Every receipt with its whole text; t17_line_context has only those without a spatial part."""
+def t17_line_context(spark: SparkSession, sf: str) -> DataFrame:
     return ocr_texts(spark, sf).select("receipt_id", T.line_context(F.col("ocr"), F.lit("member card")).alias("context"))
 
 

@@ -35,14 +35,19 @@ def is_image(name: Column) -> Column:
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Path, name, content of the images of a folder (with its folders below) or of one file, in order of path."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return rows.where(is_image(F.col("path"))).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "content").orderBy("path")
+    """Path, name, content of the images of a folder (with its folders below) or of one file.
+
+    Other files are left out by name, before any is read. Rows have no order; sort paths where one is wanted, not contents.
+    """
+    endings = ",".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e) for e in X.IMAGE_EXTENSIONS)
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{{{endings}}}").load(path)
+    return rows.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "content")
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """The events of etl_*.jsonl below path; blank and malformed lines are dropped."""
-    return spark.read.schema(LOG_EVENT).option("mode", "DROPMALFORMED").option("pathGlobFilter", "etl_*.jsonl").json(path)
+    """The events of etl_*.jsonl, and of what write_logs wrote, below path; blank and malformed lines are dropped."""
+    lines = spark.read.schema(LOG_EVENT).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true")
+    return lines.option("pathGlobFilter", "{etl_*.jsonl,part-*.json}").json(path)
 
 
 def write_logs(events: DataFrame, path: str) -> None:
@@ -74,10 +79,37 @@ def _empty_files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
-def write_receipts(flat: DataFrame, path: str, *, provider: str, model: Column) -> None:
-    """K1: flat items as JSON in a folder for each provider and model."""
-    named = flat.withColumn("provider_model", F.concat(F.lit(provider + "-"), T.model_slug(model)))
-    named.write.mode("overwrite").partitionBy("provider_model").json(path)
+def write_receipts(flat: DataFrame, path: str, *, provider: str, model: Column) -> DataFrame:
+    """K1: one file for each receipt, <provider>-<model>/<stem>.json, a list of its flat items; returns provider_model, stem, items.
+
+    Rows: stem, item_idx and the output columns. Files of other receipts, providers and models stay. Each file is written under
+    a temporary name and renamed, so a task that runs again writes the same file. The path is one that driver and executors share.
+    """
+    import uuid
+
+    import pyarrow as pa
+    import pyarrow.fs
+
+    columns = [c.split()[0] for c in FLAT_ITEM.split(", ")]
+    item = F.struct("item_idx", F.struct(*columns).alias("i"))
+    folder = F.concat(F.lit(provider + "-"), T.model_slug(model))
+    lists = flat.groupBy(folder.alias("provider_model"), "stem").agg(F.array_sort(F.collect_list(item)).alias("l"))
+    texts = lists.select("provider_model", "stem", F.size("l").alias("items"), F.to_json("l.i", {"ignoreNullFields": "false"}).alias("text"))
+    uri = path if "://" in path else "file://" + path.removeprefix("file:")
+
+    def run(batches):
+        fs, root = pyarrow.fs.FileSystem.from_uri(uri)
+        for b in batches:
+            for place, stem, text in zip(*(b.column(c).to_pylist() for c in ("provider_model", "stem", "text")), strict=True):
+                fs.create_dir(f"{root}/{place}", recursive=True)
+                temporary = f"{root}/{place}/_{stem}-{uuid.uuid4().hex}"
+                with fs.open_output_stream(temporary, compression=None) as out:
+                    out.write(text.encode())
+                fs.move(temporary, f"{root}/{place}/{stem}.json")
+            yield pa.RecordBatch.from_arrays(b.columns[:3], names=["provider_model", "stem", "items"])
+
+    rows = texts.mapInArrow(run, "provider_model string, stem string, items int").collect()  # a short row for each receipt of this batch
+    return flat.sparkSession.createDataFrame(rows, "provider_model string, stem string, items int")
 
 
 def missing_from_cache(pages: DataFrame, cache: DataFrame, *, use_cache: bool = True) -> DataFrame:
@@ -103,9 +135,12 @@ def event(kind: str, common: dict[str, Column], measures: dict[str, Column]) ->
 
 
 def content_type(name: Column) -> Column:
-    """S8's map from extension to content type."""
+    """S8's map from extension to content type; what isn't listed counts as JPEG."""
     suffix = T.file_suffix(name)
-    return F.when(suffix.isin(".jpg", ".jpeg"), "image/jpeg").when(suffix.isin(".tif", ".tiff"), "image/tiff").when(suffix == "", "image/jpeg").otherwise(F.concat(F.lit("image/"), F.substring(suffix, 2, 10)))
+    kinds = F.when(suffix.isin(".tif", ".tiff"), "image/tiff")
+    for kind in ("png", "webp", "bmp"):
+        kinds = kinds.when(suffix == f".{kind}", f"image/{kind}")
+    return kinds.otherwise("image/jpeg")
 
 
 def markdown_table(rows: DataFrame, columns: list[str], *, order: list[str]) -> DataFrame:

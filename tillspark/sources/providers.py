@@ -66,5 +66,5 @@ def repair_prices(items: DataFrame, answers: DataFrame) -> DataFrame:
     """Items without a price take the first number of an answer for them; those still without go. answers: receipt_id, item_idx, answer."""
     found = items.join(answers.select("receipt_id", "item_idx", "answer"), ["receipt_id", "item_idx"], "left")
     cents = T.price_cents(F.col("answer"))
-    price = F.when(T.price_cents(F.col("price")).isNotNull(), F.col("price")).when(cents.isNotNull(), T.format_cents(cents, F.col("currency")))
+    price = F.when(T.price_digits(F.col("price")) != "", F.col("price")).when(cents.isNotNull(), T.format_cents(cents, F.col("currency")))
     return found.withColumn("price", price).where("price is not null").drop("answer")
