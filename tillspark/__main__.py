@@ -1,36 +1,92 @@
-"""python -m tillspark QUERY SF_DIR [--limit N], or: python -m tillspark report LOG_DIR. Prints a result."""
+"""Command line.
+
+    python -m tillspark list
+    python -m tillspark QUERY SF_DIR [--limit N]
+    python -m tillspark report LOG_DIR [--out DIR]
+    python -m tillspark eval OUTPUT_DIR TRUTH_DIR [--out DIR]
+    python -m tillspark run OCR_CACHE_DIR ANSWERS_DIR [--provider P] [--model M] [--out DIR]
+
+`report` and `eval` print their report, or write it with --out. `run` takes cached OCR texts (STEM.txt) and recorded answers (JSON
+lines with receipt_id, chunk_idx, raw), writes a file for each receipt and prints the outcome of each; it exits with 1 if any failed.
+"""
 
 from __future__ import annotations
 
 import argparse
+import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import plans
-from .operators import logs
+from . import pipeline, plans, reports
+from .config import Settings
+from .functions import text as T
+from .operators import items
 from .sources import files
 
+CALL = (
+    "time", "trace_id", "image_name", "llm_provider provider", "llm_model model", "llm_latency_ms latency_ms", "llm_success success", "llm_input_tokens input_tokens",
+    "llm_output_tokens output_tokens", "llm_input_chars input_chars", "llm_cost_usd cost_usd", "llm_cost_source cost_source", "items_extracted",
+    "xxhash64(time, trace_id, image_name, llm_provider) event_id",
+)
+OCR = ("image_name", "trace_id", "ocr_latency_ms latency_ms", "ocr_success success", "xxhash64(time, trace_id, image_name) event_id")
+END = ("llm_provider provider", "llm_model model", "total_latency_ms latency_ms", "success")
+
 
-def main() -> None:
-    parser = argparse.ArgumentParser(prog="tillspark", description=__doc__)
-    parser.add_argument("query", help="a query's name, `list`, or `report`")
-    parser.add_argument("path", nargs="?", default="")
+def log_report(spark: SparkSession, path: str) -> DataFrame:
+    events = files.read_logs(spark, path)
+    of = lambda kind, columns: events.where(F.col("event") == kind).selectExpr(*columns)
+    none = spark.createDataFrame([], "stem string, truth long")
+    return reports.baseline(of("llm_extraction", CALL), of("adi_ocr", OCR), of("pipeline_complete", END), none)
+
+
+def show(lines: DataFrame, out: str | None) -> None:
+    if out:
+        reports.write_report(lines, out)
+        return
+    for row in lines.orderBy("section", "place").toLocalIterator():
+        print(row["line"])
+
+
+def run(spark: SparkSession, cache: str, answers: str, provider: str, model: str, out: str) -> bool:
+    """Receipts from cached texts and recorded answers to files; whether all succeeded."""
+    texts = spark.read.text(cache, wholetext=True, pathGlobFilter="*.txt").select(T.file_stem(F.input_file_name()).alias("receipt_id"), F.col("value").alias("ocr"))
+    said = spark.read.schema("receipt_id string, chunk_idx int, raw string").json(answers)
+    rows = pipeline.structure(pipeline.prepare(texts), said).withColumns({c: F.lit(None).cast("double") for c in ("latitude", "longitude")})
+    flat = items.output_rows(rows).withColumnRenamed("receipt_id", "stem").withColumn("item_idx", F.col("item_idx").cast("long"))
+    files.write_receipts(flat, out, provider=provider, model=F.lit(model))
+    outcome = pipeline.results(texts.select("receipt_id", F.col("receipt_id").alias("file")), rows)
+    ok = True
+    for row in outcome.orderBy("file").toLocalIterator():
+        print("✓" if row["success"] else "✗", row["file"], row["message"])
+        ok = ok and row["success"]
+    return ok
+
+
+def main(argv: list[str] | None = None) -> int:
+    settings = Settings.from_env()
+    parser = argparse.ArgumentParser(prog="tillspark", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    parser.add_argument("command", help="a query's name, list, report, eval or run")
+    parser.add_argument("paths", nargs="*")
     parser.add_argument("--limit", type=int, default=20)
-    args = parser.parse_args()
-    if args.query == "list":
+    parser.add_argument("--out")
+    parser.add_argument("--provider", default=settings.provider, choices=("openrouter", "clod"))
+    parser.add_argument("--model")
+    args = parser.parse_args(argv)
+    if args.command == "list":
         print("\n".join(plans.QUERIES))
-        return
+        return 0
     spark = SparkSession.builder.appName("tillspark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    if args.query == "report":
-        events = files.read_logs(spark, args.path)
-        calls = events.where("event = 'llm_extraction'").selectExpr("time", "trace_id", "image_name", "llm_provider provider", "llm_model model", "llm_latency_ms latency_ms", "llm_success success", "llm_input_tokens input_tokens", "llm_output_tokens output_tokens", "llm_input_chars input_chars", "llm_cost_usd cost_usd", "llm_cost_source cost_source", "items_extracted", "0L event_id")
-        ends = events.where("event = 'pipeline_complete'").selectExpr("llm_provider provider", "llm_model model", "total_latency_ms latency_ms", "success")
-        scoped = logs.of_traces(calls, logs.recent_complete_traces(calls))
-        summary = logs.provider_summary(scoped, ends)
-        print(files.markdown_table(summary, summary.columns, order=["provider", "model"]).first()["report"])
+    if args.command == "report":
+        show(log_report(spark, args.paths[0]), args.out)
+    elif args.command == "eval":
+        show(reports.evaluation(spark, *args.paths[:2]), args.out)
+    elif args.command == "run":
+        return 0 if run(spark, *args.paths[:2], args.provider, settings.model(args.model, args.provider), args.out or settings.output_dir) else 1
     else:
-        plans.QUERIES[args.query](spark, args.path).show(args.limit, truncate=False)
+        plans.QUERIES[args.command](spark, *args.paths[:1]).show(args.limit, truncate=False)
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

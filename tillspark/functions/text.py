@@ -320,10 +320,6 @@ def prompt_path(ocr: Column, n_chunks: Column) -> Column:
     return F.concat(F.when((n_chunks == 1) & has_spatial(ocr), "direct").otherwise("cot"), F.when(costco, "+costco").otherwise(""))
 
 
-def wants_costco_addendum(ocr: Column) -> Column:
-    return F.contains(F.substring(F.upper(ocr), 1, 1000), F.lit("COSTCO"))
-
-
 def model_json(raw: Column) -> Column:
     """The JSON text in a model's answer, ready for from_json; null where there is none."""
     s = strip(raw)

@@ -37,6 +37,27 @@ def route(calls: DataFrame, strategy: str, *, order: str = "key") -> DataFrame:
     return calls.withColumn("provider", chosen)
 
 
+def cost_aware(cheap: DataFrame, costly: DataFrame, *, least_items: int = 2) -> DataFrame:
+    """E3's chain over results: the cheap provider's where it succeeded with least_items or more, else the costly one's.
+
+    Rows: key, ok, items and any other columns, the same on both sides. Adds provider; a failure of both is a row that isn't ok.
+    """
+    names = [c for c in cheap.columns if c != "key"]
+    both = cheap.select("key", F.struct(*names).alias("c")).join(costly.select("key", F.struct(*names).alias("d")), "key", "left")
+    enough = F.coalesce(F.col("c.ok") & (F.col("c.items") >= least_items), F.lit(False))
+    chosen = F.when(enough, F.col("c")).otherwise(F.coalesce("d", "c"))
+    provider = F.when(enough | F.col("d").isNull(), "clod").otherwise("openrouter")
+    return both.select("key", provider.alias("provider"), chosen.alias("r")).select("key", "provider", "r.*")
+
+
+def write_run(statistics: DataFrame, path: str, *, order: list[str]) -> None:
+    """The statistics of a sweep as JSON lines and as a Markdown table, in two folders below path. A small result."""
+    from ..sources.files import markdown_table
+
+    statistics.coalesce(1).write.mode("overwrite").json(f"{path}/json")
+    markdown_table(statistics, statistics.columns, order=order).select("report").write.mode("overwrite").text(f"{path}/markdown")
+
+
 def injected_failure(key: Column, attempt: Column, percent: Column) -> Column:
     """A fault at a given rate, by arithmetic on the key, so a run can be repeated."""
     return F.pmod(key * 7919 + attempt * 104729, F.lit(100)) < percent

@@ -20,6 +20,31 @@ def requests(prepared: DataFrame) -> DataFrame:
     return chunks.split(prepared)
 
 
+def without_hallucinations(prepared: DataFrame, answers: DataFrame, again: DataFrame) -> DataFrame:
+    """Answers (receipt_id, chunk_idx, raw), with those of another model in place of a receipt's whose items aren't in its text.
+
+    again: the other model's answers for such receipts, all their chunks; where none of them parses, the first answers stay.
+    """
+    read = lambda rows: rows.withColumn("_r", F.from_json(T.model_json(F.col("raw")), RECEIPT))
+    chunk = F.struct("chunk_idx", F.coalesce("_r.items.productName", F.array().cast("array<string>")).alias("names"))
+    names = read(answers).groupBy("receipt_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(chunk)), lambda s: s["names"])).alias("names"))
+    suspect = names.join(prepared.select("receipt_id", "ocr"), "receipt_id").where(T.is_hallucinated(F.col("names"), F.col("ocr"))).select("receipt_id")
+    parses = F.get_json_object(T.model_json(F.col("raw")), "$").isNotNull()
+    better = again.where(parses).join(suspect, "receipt_id", "left_semi")
+    kept = answers.join(better.select("receipt_id").distinct(), "receipt_id", "left_anti")
+    return kept.unionByName(better.select(*answers.columns))
+
+
+def results(files: DataFrame, rows: DataFrame, failures: DataFrame | None = None) -> DataFrame:
+    """File, success, message of each file of a batch. files: receipt_id, file; rows: item rows; failures: receipt_id, error of stages that failed."""
+    counts = rows.groupBy("receipt_id").agg(F.count(F.lit(1)).alias("n"))
+    both = files.join(counts, "receipt_id", "left")
+    both = both.join(failures.groupBy("receipt_id").agg(F.min("error").alias("error")), "receipt_id", "left") if failures is not None else both.withColumn("error", F.lit(None).cast("string"))
+    ok = F.col("error").isNull() & F.col("n").isNotNull()
+    message = F.coalesce("error", F.concat(F.col("n").cast("string"), F.lit(" items")), F.lit("no items found"))
+    return both.select("file", ok.alias("success"), message.alias("message"))
+
+
 def structure(prepared: DataFrame, answers: DataFrame, weights: bool = True) -> DataFrame:
     """Item rows from a model's answers (receipt_id, chunk_idx, raw); receipts that are no object or don't parse give no rows.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions import stats
+from .. import reports
 from ..operators import evaluate, logs, resilience, spatial
 from .derive import derived, duck
 from .registry import query
@@ -87,6 +88,18 @@ def a16_count_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return logs.count_accuracy(_calls(spark, sf), _truth_counts(spark))
 
 
+@query(duck("logs") + SUMMARY + TRUTH_COUNTS + """, c AS (SELECT provider, model, image_name, items_extracted, count(*) AS n FROM calls WHERE success GROUP BY ALL),
+m AS (SELECT provider, model, image_name, arg_max(items_extracted, (n, -items_extracted)) AS modal FROM c GROUP BY provider, model, image_name),
+acc AS (SELECT provider, model, count(*) FILTER (WHERE modal = truth) AS correct, count(*) AS checked FROM m JOIN truth_counts t ON t.stem = replace(image_name, '.jpg', '') GROUP BY provider, model)
+SELECT s.provider, s.model, '| ' || concat_ws(' | ', s.provider, split_part(s.model, '/', -1), receipts, errors || '/' || calls || ' (' || format('{:,.0f}', 100.0 * errors / calls) || '%)',
+  coalesce(format('{:,.0f}', e2e_p50), '—'), coalesce(format('{:,.0f}', e2e_p95::double), '—'), coalesce('~' || format('{:,.0f}', 60000 / e2e_p50) || '/min', '—'),
+  format('{:,.0f}', p50_ms), format('{:,.0f}', p95_ms::double), format('{:,.0f}', avg_ms), format('{:,.0f}', avg_in), format('{:,.0f}', avg_out), coalesce(format('{:,.0f}', avg_chars), '—'),
+  CASE WHEN cost_per > 0 THEN printf('$%.4f', cost_per) ELSE '$0.00' END, cost_src, printf('$%.4f', total_cost), coalesce(correct || '/' || checked, '—')) || ' |' AS line
+FROM summary s LEFT JOIN acc ON acc.provider = s.provider AND acc.model = s.model""")
+def k06_provider_table(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.provider_lines(_summary(spark, sf), logs.count_accuracy(_calls(spark, sf), _truth_counts(spark)))
+
+
 PER = CALLS + TRUTH_COUNTS + """, o AS (SELECT image_name, trace_id, arg_max(latency_ms, event_id) AS ocr_ms FROM logs WHERE event = 'adi_ocr' GROUP BY image_name, trace_id),
 per AS (SELECT event_id, replace(c.image_name, '.jpg', '') AS stem, c.trace_id, latency_ms, ocr_ms, items_extracted, truth, CASE WHEN truth IS NULL THEN '—' WHEN truth = items_extracted THEN '✓' ELSE '✗' END AS mark
 FROM calls c LEFT JOIN o ON o.image_name = c.image_name AND o.trace_id = c.trace_id LEFT JOIN truth_counts t ON t.stem = replace(c.image_name, '.jpg', ''))"""

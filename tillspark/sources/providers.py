@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -62,9 +62,38 @@ def geocode(receipts: DataFrame, places: DataFrame) -> DataFrame:
     return rows.join(distinct.select("query", "latitude", "longitude"), "query", "left")
 
 
-def repair_prices(items: DataFrame, answers: DataFrame) -> DataFrame:
-    """Items without a price take the first number of an answer for them; those still without go. answers: receipt_id, item_idx, answer."""
-    found = items.join(answers.select("receipt_id", "item_idx", "answer"), ["receipt_id", "item_idx"], "left")
-    cents = T.price_cents(F.col("answer"))
-    price = F.when(T.price_digits(F.col("price")) != "", F.col("price")).when(cents.isNotNull(), T.format_cents(cents, F.col("currency")))
-    return found.withColumn("price", price).where("price is not null").drop("answer")
+def _missing(price: Column) -> Column:
+    bare = T.strip(F.coalesce(price, F.lit("")))
+    return (bare == "") | (F.lower(bare) == "null")
+
+
+def repair_requests(items: DataFrame, texts: DataFrame) -> DataFrame:
+    """receipt_id, item_idx, prompt of the items without a price: the lines around the name (T17) and what is asked. texts: receipt_id, ocr."""
+    open_ = items.where(_missing(F.col("price"))).join(texts.select("receipt_id", "ocr"), "receipt_id")
+    asked = F.concat(F.lit('The price of "'), F.col("name"), F.lit('" in this part of a receipt, as a number alone:\n'), T.line_context(F.col("ocr"), F.col("name")))
+    return open_.select("receipt_id", "item_idx", asked.alias("prompt"))
+
+
+def repair_prices(items: DataFrame, answers: DataFrame, escalated: DataFrame | None = None) -> DataFrame:
+    """Items without a price take the first number of the model's answer, else of the stronger model's; those still without go.
+
+    answers, escalated: receipt_id, item_idx, answer.
+    """
+    keys = ["receipt_id", "item_idx"]
+    found, cents = items, []
+    for k, given in enumerate(g for g in (answers, escalated) if g is not None):
+        found = found.join(given.select(*keys, F.col("answer").alias(f"_a{k}")), keys, "left")
+        cents.append(T.price_cents(F.regexp_extract(F.coalesce(f"_a{k}", F.lit("")), r"\d+\.?\d*", 0)))
+    first = F.coalesce(*cents)
+    price = F.when(~_missing(F.col("price")), F.col("price")).when(first.isNotNull(), T.format_cents(first, F.col("currency")))
+    return found.withColumn("price", price).where("price is not null").select(*items.columns)
+
+
+def upload_outcomes(results: DataFrame) -> DataFrame:
+    """K4: per receipt, items attempted, uploaded and failed, and the error to raise where any failed. Rows: receipt_id, ok, error."""
+    ok = F.coalesce("ok", F.lit(False))
+    by = results.groupBy("receipt_id").agg(
+        F.count(F.lit(1)).alias("items_attempted"), F.count_if(ok).alias("items_uploaded"), F.count_if(~ok).alias("items_failed"), F.min(F.when(~ok, F.col("error"))).alias("_first")
+    )
+    text = F.concat(F.col("items_failed").cast("string"), F.lit("/"), F.col("items_attempted").cast("string"), F.lit(" items failed: "), F.coalesce("_first", F.lit("unknown")))
+    return by.withColumn("error", F.when(F.col("items_failed") > 0, text)).drop("_first")
