@@ -417,6 +417,54 @@ def test_language_evidence_and_edges(spark):
     assert found[99][0] == "fr" and not found[100][1]
 
 
+def test_language_fusion_against_a_second_implementation(spark):
+    """Scores of the fitted model fused in plain Python: evidence, declared language, and priors by host, domain, suffix and corpus."""
+    model = langid.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    random.seed(9)
+    words = {"en": "the and of with that", "fr": "les des et pour dans", "de": "der und die nicht mit", "es": "los que para con una"}
+    hosts = ["a.x.com", "b.x.com", "y.com", "z.org", "", "a.x.com"]
+    rows = []
+    for k in range(60):
+        lang = random.choice(sorted(words))
+        text = random.choice([" ".join(random.choices(words[lang].split(), k=random.randint(1, 9))), "a", "ŵ 12", ""])
+        rows.append((k, text or None, random.choice([lang, lang, "en", "xx", None]), random.choice(hosts) or None))
+    rows.append((60, "the and of " * 40_000, None, "z.org"))
+    n_langs = len(model.languages)
+    evidence = []
+    for _, text, declared, _ in rows:
+        (n,), sums = model.scores([(text or "").encode()])
+        e = sums[0] / max(n, 1) * (n * langid.TEMPER / (n + langid.TEMPER))
+        if declared in model.languages:
+            rest = np.log((1 - langid.DECLARED) / (n_langs - 1))
+            e = e + rest
+            e[model.languages.index(declared)] += np.log(langid.DECLARED) - rest
+        evidence.append(e)
+    first = [np.exp(e - e.max()) / np.exp(e - e.max()).sum() for e in evidence]
+    total = lambda keep: sum((p for p, r in zip(first, rows, strict=True) if keep(r[3] or "")), np.zeros(n_langs))
+    smooth = lambda own, above: (own + langid.STRENGTH * above) / (own.sum() + langid.STRENGTH)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    named = df.select("*", *[F.lit("x").alias(c) for c in ("id", "host", "evidence", "p0", "letters")])
+    got = {r["doc_id"]: r for r in langid.identify_documents(named, model).collect()}
+    for (k, *_, host), e in zip(rows, evidence, strict=True):
+        host = host or ""
+        domain, suffix = ".".join(host.split(".")[-2:]), host.split(".")[-1]
+        corpus = smooth(total(lambda _: True), np.full(n_langs, 1 / n_langs))
+        by_suffix = smooth(total(lambda h: h.split(".")[-1] == suffix), corpus)  # noqa: B023
+        by_domain = smooth(total(lambda h: ".".join(h.split(".")[-2:]) == domain), by_suffix)  # noqa: B023
+        odds = e + np.log(smooth(total(lambda h: h == host), by_domain))  # noqa: B023
+        assert got[k]["lang"] == model.languages[int(odds.argmax())]
+        assert abs(got[k]["confidence"] - 1 / np.exp(odds - odds.max()).sum()) < 1e-5
+
+
+def test_language_sample_keeps_rare_languages(spark):
+    """A label of one row in 400 is learned, whatever the sample."""
+    rows = [(k, "the and of with that", "en") for k in range(4000)] + [(9000 + k, "ystod y flwyddyn hon mae pobl", "cy") for k in range(10)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=100)
+    assert model.languages == ["cy", "en"]
+    _, sums = model.scores([b"mae pobl hon", b"with that"])
+    assert sums.argmax(axis=1).tolist() == [0, 1]
+
+
 def judge(url, rules, default):
     host = path = ""
     if url and "://" in url:
@@ -491,6 +539,72 @@ def test_media_round_trip(spark):
     assert media.read_media(media.store_texts(empty(spark))).count() == 0
 
 
+def baseline_jpeg(planes, factors, restart=0):
+    """A baseline JPEG of sample planes (each as large as its factors say), all quantised by 1, with codes of fixed length."""
+    symbols = [r << 4 | s for r in range(16) for s in range(1, 11)] + [0x00, 0xF0]
+    height, width = planes[0].shape
+    most_h, most_v = max(h for h, _ in factors), max(v for _, v in factors)
+    across, down = -(-width // (8 * most_h)), -(-height // (8 * most_v))
+    coded = []
+    for plane, (h, v) in zip(planes, factors, strict=True):
+        full = np.pad(plane, ((0, down * v * 8 - plane.shape[0]), (0, across * h * 8 - plane.shape[1])), mode="edge").astype(float) - 128
+        k = np.arange(8)
+        basis = np.where(k[:, None] == 0, 8**-0.5, 0.5 * np.cos((2 * k[None, :] + 1) * k[:, None] * np.pi / 16))
+        coded.append({(y, x): np.rint(basis @ full[8 * y : 8 * y + 8, 8 * x : 8 * x + 8] @ basis.T).astype(int) for y in range(down * v) for x in range(across * h)})
+    zigzag = sorted(((y, x) for y in range(8) for x in range(8)), key=lambda p: (sum(p), p[0] if sum(p) % 2 else p[1]))
+    size = lambda d: abs(d).bit_length()
+    extra = lambda d: format(d if d > 0 else d + (1 << size(d)) - 1, f"0{size(d)}b") if d else ""
+    scans, bits, last = [], "", [0] * len(planes)
+    for unit in range(across * down):
+        if restart and unit and unit % restart == 0:
+            scans.append(bits)
+            bits, last = "", [0] * len(planes)
+        for c, (h, v) in enumerate(factors):
+            for j in range(h * v):
+                block = coded[c][unit // across * v + j // h, unit % across * h + j % h]
+                z = [int(block[p]) for p in zigzag]
+                bits += format(size(z[0] - last[c]), "04b") + extra(z[0] - last[c])
+                last[c], run = z[0], 0
+                for a in z[1:]:
+                    if not a:
+                        run += 1
+                        continue
+                    while run > 15:
+                        bits, run = bits + format(symbols.index(0xF0), "08b"), run - 16
+                    bits, run = bits + format(symbols.index(run << 4 | size(a)), "08b") + extra(a), 0
+                if run:
+                    bits += format(symbols.index(0), "08b")
+    data = b""
+    for k, s in enumerate([*scans, bits]):
+        s += "1" * (-len(s) % 8)
+        data += (b"\xff" + bytes([0xD0 + (k - 1) % 8]) if k else b"") + int(s, 2).to_bytes(len(s) // 8, "big").replace(b"\xff", b"\xff\x00")
+    segment = media._segment
+    n = len(planes)
+    return (
+        b"\xff\xd8" + segment(0xDB, b"\x00" + b"\x01" * 64)
+        + segment(0xC0, bytes([8, height >> 8, height & 255, width >> 8, width & 255, n]) + b"".join(bytes([c + 1, h << 4 | v, 0]) for c, (h, v) in enumerate(factors)))
+        + segment(0xC4, b"\x00" + bytes([0, 0, 0, 12] + [0] * 12) + bytes(range(12)) + b"\x10" + bytes([0] * 7 + [len(symbols)] + [0] * 8) + bytes(symbols))
+        + (segment(0xDD, bytes([0, restart])) if restart else b"") + segment(0xDA, bytes([n]) + b"".join(bytes([c + 1, 0]) for c in range(n)) + b"\x00\x3f\x00") + data + b"\xff\xd9"
+    )
+
+
+@pytest.mark.parametrize(("factors", "restart"), [([(1, 1)], 0), ([(2, 2), (1, 1), (1, 1)], 0), ([(2, 1), (1, 1), (1, 1)], 2)])
+def test_media_reads_baseline_frames(spark, factors, restart):
+    rng = np.random.default_rng(8)
+    most_h, most_v = max(h for h, _ in factors), max(v for _, v in factors)
+    clip = []
+    for k in range(3):
+        whole = (rng.integers(0, 256, (24, 40)) if k else np.add.outer(np.arange(24) * 4, np.arange(40) * 3) % 256).astype(np.uint8)
+        clip.append([whole[:: most_v // v, :: most_h // h] for h, v in factors])
+    files = [baseline_jpeg(planes, factors, restart) for planes in clip]
+    frames, rate = media.decode_avi(media.write_avi(files))
+    assert frames.shape == (3, 24, 40) and rate == 25
+    assert all(np.abs(frames[k].astype(int) - clip[k][0]).max() <= 2 for k in range(3))
+    df = spark.createDataFrame([(1, 0, bytearray(media.write_avi(files))), (2, 0, bytearray(media.write_avi([files[0][:-40] + b"\xff\xd9"])))], "doc_id long, n_bytes long, media binary")
+    got = {r["doc_id"]: (r["frames"], r["error"] is None) for r in media.read_media(df).collect()}
+    assert got == {1: (3, True), 2: (None, False)}
+
+
 def test_media_shots_and_broken_files(spark):
     dark, light = bytes([20]) * 576, bytes([230]) * 576
     clip = media.write_avi(media.encode_frames(dark * 10 + light * 7 + dark * 5))

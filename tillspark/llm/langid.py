@@ -7,8 +7,9 @@ For each row and language, log odds add up from
   corpus. The counts behind it are sums of first-round posteriors (text and declaration) by grouped aggregation over all rows, so
   a host's own habit shows once it has rows enough.
 
-The model is fitted on labelled rows whose hash falls in a share chosen so that about SAMPLE_ROWS of them take part, whole texts;
-everything else covers all rows. A row is rejected (kept = false) if no evidence about it exists: no letters in its text, or a
+The model is fitted on a sample of labelled rows, whole texts: of each label those whose hash falls in a share chosen so that about
+SAMPLE_ROWS rows take part in all, and LEAST_ROWS of a label that has so many. Labels are counted over all rows, so no language is
+lost for being rare. Only trigram counts reach the driver. Everything else covers all rows. A row is rejected (kept = false) if no evidence about it exists: no letters in its text, or a
 final posterior under MIN_POSTERIOR, or a text in no known language. That is judged on its words, without the runs of ASCII letters
 and signs that hold a digit (keys, digests; a text of such runs alone is judged on them): MIN_TRIGRAMS trigrams or more, whose mean
 log likelihood lies with confidence, that is by MARGIN standard errors, more than JUNK_DEVIATIONS of a trigram's deviations below
@@ -16,7 +17,7 @@ the sample's mean in every language.
 
 A null or empty text has no letters, so it is rejected, with the language that the other evidence suggests. A null or unknown
 declaration and a null host are no evidence (the host's prior is then the corpus's). Ties between languages go to the first in
-alphabetical order. Repeated rows are each judged and counted. Columns of the input may have any other names; they are carried
+alphabetical order. Very long texts are scored whole, in batches of their own. Repeated rows are each judged and counted. Columns of the input may have any other names; they are carried
 by `keep_languages` and ignored by `identify`. An empty table gives an empty result; without labelled rows a ValueError is raised
 only if there is a row to judge.
 """
@@ -26,6 +27,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, small_batches, text_or_empty, tidy, worker_slot
 
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS, LEAST_ROWS = 3000, 50
 BUCKETS = 1 << 16
 TEMPER, DECLARED, STRENGTH = 60.0, 0.9, 20.0
 MIN_POSTERIOR, JUNK_DEVIATIONS, MIN_TRIGRAMS = 0.5, 2.5, 20
@@ -99,15 +101,35 @@ _MIXED = re.compile(rb"(?<![\w+/=-])[A-Za-z_+/=-]*+\d[\w+/=-]*+")
 
 
 def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """A model from about sample_rows labelled rows (at most twice as many), chosen by hashing their ids."""
-    rows = labelled.select(F.xxhash64(F.col(id_col), F.lit("langid")).alias("h"), F.col(text_col).alias("text"), F.col(label_col).alias("label")).where("text is not null and label is not null")
-    share = max(1, rows.count() // sample_rows)
-    sample = rows.where(F.pmod("h", F.lit(share)) == 0).limit(2 * sample_rows).collect()
-    languages = sorted({r["label"] for r in sample})
-    if not languages:
+    """A model from about sample_rows labelled rows, or LEAST_ROWS of each label, chosen by hashing their ids."""
+    hashed = F.xxhash64(F.col(id_col), F.lit("langid")).alias("h")
+    rows = labelled.select(hashed, F.col(text_col).alias("text"), F.col(label_col).alias("label")).where("text is not null and label is not null")
+    found = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each language
+    if not found:
         return None
-    texts = {lang: [r["text"].encode() for r in sample if r["label"] == lang] for lang in languages}
-    counts = np.stack([np.bincount(trigrams(texts[lang])[0], minlength=BUCKETS) for lang in languages], axis=1).astype(float)
+    languages = sorted(found)
+    each = max(LEAST_ROWS, sample_rows // len(languages))
+    shares = F.create_map(*chain.from_iterable((F.lit(label), F.lit(max(1, n // each))) for label, n in found.items()))
+    sample = rows.where(F.pmod("h", shares[F.col("label")]) == 0)
+
+    @tidy
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, np.ndarray] = {}
+        for b in small_batches(batches, ["text"], 1 << 20):
+            label = np.array(b.column("label").to_pylist())
+            texts = [t.encode() for t in b.column("text").to_pylist()]
+            for one in set(label.tolist()):
+                keys = trigrams([texts[i] for i in np.flatnonzero(label == one)])[0]
+                seen[one] = seen.get(one, np.zeros(BUCKETS, np.int64)) + np.bincount(keys, minlength=BUCKETS)
+        for one, counts in seen.items():
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([one] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at])], names=["label", "bucket", "n"])
+
+    partial = sample.select("label", "text").mapInArrow(count, "label string, bucket long, n long")
+    totals = partial.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows for each language
+    column = np.searchsorted(languages, totals.column("label").to_pylist()) if totals.num_rows else np.zeros(0, np.int64)
+    counts = np.zeros((BUCKETS, len(languages)))
+    counts[totals.column("bucket").to_numpy(), column] = totals.column("n").to_numpy()
     table = np.log((counts + 0.1) / (counts.sum(axis=0) + 0.1 * BUCKETS))
     total = np.maximum(counts.sum(axis=0), 1)
     mean = (counts * table).sum(axis=0) / total

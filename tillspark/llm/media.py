@@ -9,10 +9,11 @@ Huffman decoding runs in step over all frames of a batch: sample k of every fram
 
 Payload: the text in UTF-8 (null: empty), then bytes 255 up to a positive multiple of 576, so an empty text has one frame.
 Texts are stored whole. Equal texts give equal media and features. Repeated rows give repeated results, ties do not arise,
-other columns are ignored and an empty table gives an empty result. A null, broken or foreign media value (another container,
+other columns are ignored and an empty table gives an empty result. Files of other writers are read too where their frames are
+baseline JPEG (module jpeg): their samples are the grey or luma ones. A null, broken or foreign media value (another container,
 another JPEG process) raises ValueError in `decode_avi`; `read_media` turns it into a row with null fields and the reason in
-`error`. Memory: about 1 MB of payload at a time, or one longer
-document, of which 2048 frames are worked on at once.
+`error`. A null id is carried like any other. Memory: about 1 MB of payload at a time, or one longer document, of which 2048
+frames are worked on at once.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import jpeg as baseline
 from .common import small_batches, text_or_empty
 
 SIDE = 24
@@ -204,7 +206,7 @@ class _Scan:
             elif 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
                 bits, height, width, parts = struct.unpack_from(">BHHB", body)
                 if marker != 0xC3 or bits != 8 or parts != 1:
-                    raise ValueError("only lossless JPEG of 8 grey bits is decoded")
+                    raise ValueError("only baseline JPEG and lossless JPEG of 8 grey bits are decoded")
                 shape = (height, width)
             elif marker == 0xDA:
                 if body[-3] != 1 or body[-1] != 0:
@@ -244,10 +246,24 @@ def _scan_of(jpeg: bytes) -> _Scan:
     return scan
 
 
+def _is_lossless(jpeg: bytes) -> bool:
+    at = 2
+    while at + 4 <= len(jpeg) and jpeg[at] == 0xFF and jpeg[at + 1] != 0xDA:
+        if jpeg[at + 1] == 0xC3:
+            return True
+        at += 2 + struct.unpack_from(">H", jpeg, at + 2)[0]
+    return False
+
+
 def decode_frames(jpegs: list[bytes]) -> np.ndarray:
-    """Samples (frame, row, column) of lossless JPEGs that share one header."""
+    """Samples (frame, row, column) of lossless JPEGs that share one header, or of baseline JPEGs of one size."""
     if not jpegs:
         return np.zeros((0, SIDE, SIDE), np.uint8)
+    if not jpegs[0].startswith(_HEADER) and not _is_lossless(jpegs[0]):
+        frames = [baseline.decode(j) for j in jpegs]
+        if len({f.shape for f in frames}) > 1:
+            raise ValueError("frames of different sizes")
+        return np.stack(frames)
     return np.concatenate([_decode(jpegs[at : at + AT_ONCE]) for at in range(0, len(jpegs), AT_ONCE)])
 
 
