@@ -231,5 +231,6 @@ def identify_pages(pages: DataFrame, model: Model | None) -> DataFrame:
 
 def keep_languages(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs without the rows that are rejected; rows that repeat an id stay or go together."""
-    rejected = identify_documents(docs, model).groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select(F.col("doc_id").alias("_rejected"))
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(F.col("_rejected")), "left_anti")
+    judged = identify_documents(docs, model).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    rejected = judged.where("not kept").select(F.col("doc_id").alias("_rejected"))
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_rejected"]), "left_anti")
