@@ -1,4 +1,8 @@
-"""The corpus pipeline: five stages over `documents`, each of them written as Parquet and reread as the next one's input."""
+"""The corpus pipeline: five stages over `documents`, each of them written as Parquet and reread as the next one's input.
+
+All but the last return the columns of their input, whatever others there are beside doc_id, text, lang, source and n_chars and
+however they are named. Texts are read whole, of any length. An empty table gives an empty result at every stage.
+"""
 
 from __future__ import annotations
 
@@ -11,27 +15,46 @@ from tillspark.llm.queries import PII_KEY
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language identification rejects go; the model is fitted on the stage's own labelled rows."""
+    """Documents that language identification rejects go; the model is fitted on the stage's own labelled rows.
+
+    A null, empty or blank text has no language and goes. A null language or source is no evidence. Rows that repeat an id stay or
+    go together, those without an id too; languages that tie go by the alphabet.
+    """
     return langid.keep_languages(docs, langid.fit(docs))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts the smallest doc_id stays."""
+    """Of documents with equal texts the smallest doc_id stays.
+
+    Null counts as the empty text. Of repeated rows one stays; rows that tie on the id go by their other columns. A row without an
+    id stays only where no row of its text has one.
+    """
     return exact_dedup.unique_rows(docs, keep="smallest")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 or more over five-word shingles the smallest doc_id stays."""
+    """Of documents linked by a Jaccard similarity of 0.8 or more over five-word shingles the smallest doc_id stays.
+
+    A null, empty or blank text links with nothing and stays, and so does a row without an id. Rows that repeat an id are one
+    document and stay or go together. Links chain: of a component one document stays.
+    """
     return ngram_join.keep_one(docs, words=5, num=80, den=100)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by format-preserving pseudonyms; n_chars follows the new text."""
+    """Personal data is replaced by format-preserving pseudonyms; n_chars follows the new text.
+
+    A null text stays null, with n_chars null, and an empty one empty. Rows are changed each by itself, repeated ones alike.
+    """
     return pii.with_new_length(pii.pseudonymise(docs, key=PII_KEY))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces with the sequence and offset they are packed at."""
+    """Every document's pieces with the sequence and offset they are packed at.
+
+    A null or empty text is one piece of the end id alone. Every row is packed, those that repeat an id or have none too; pieces of
+    equal length are placed in order of salt, id, piece and checksum.
+    """
     return packing.pack(docs, tokenizer=str(public_tokenizers.path("word_bpe_49k.json")), end_id=0, capacity=2048)
 
 
