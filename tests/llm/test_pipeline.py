@@ -43,7 +43,7 @@ def test_pipeline_against_brute_force(spark):
     second = sorted((i, t) for t, i in least.items())
     got = corpus_pipeline.exact_dedup_stage(spark, spark.createDataFrame(first), SF)
     assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == second
-    third = {i for i, (_, label) in components(second, 5, 80, 100).items() if i == label}
+    third = {i for i, _, label in components(second, 5, 80, 100) if i == label}
     assert {r["doc_id"] for r in corpus_pipeline.near_dedup_stage(spark, got, SF).collect()} == third
 
 

@@ -38,6 +38,8 @@ from .common import Remembered, input_partitions, materialise, small_batches, te
 
 CAPACITY = 2048
 GROUPS = 2048
+#: The linear program ends within NEAR of a sequence of its optimum, or after IDLE steps without gain.
+NEAR, IDLE = 0.25, 60
 #: What a worker remembers of words, and of runs of characters between white space, with their ids.
 WORD_BYTES, RUN_BYTES, LEARN_AT_ONCE = 12 << 20, 20 << 20, 4000
 BATCH_BYTES = 4 << 20
@@ -188,19 +190,26 @@ def _knapsack(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[floa
 
 
 def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[int, np.ndarray]]:
-    """Configurations with counts that cover the demand: the linear program's optimum rounded down, the rest by best-fit decreasing."""
+    """Configurations with counts that cover the demand: the linear program's solution rounded down, the rest by best-fit decreasing."""
     sizes_, need = np.array(sizes), np.array(demand, float)
     n = len(sizes_)
     columns = np.diag(capacity // sizes_).astype(float)
     inverse = np.linalg.inv(columns)
     amount = inverse @ need
-    for step in range(60 * n):
+    best, idle = float("inf"), 0
+    for step in range(20 * n):
         if step % 50 == 49:
             inverse = np.linalg.inv(columns)
             amount = inverse @ need
         price = inverse.sum(axis=0)
         worth, column = _knapsack(sizes_, price, capacity)
-        if worth <= 1 + 1e-7:
+        value = float(amount.sum())
+        if value - value / worth < NEAR:  # value / worth is a lower bound of the optimum
+            break
+        if value < best - 1e-9:
+            best, idle = value, 0
+        idle += 1
+        if idle > IDLE:  # steps that change nothing, as those of equal ratios may be
             break
         change = inverse @ column
         usable = change > 1e-9
