@@ -40,9 +40,8 @@ CAPACITY = 2048
 GROUPS = 2048
 #: The linear program ends within NEAR of a sequence of its optimum, or after IDLE steps without gain.
 NEAR, IDLE = 0.25, 60
-#: What a worker remembers of words, and of runs of characters between white space, with their ids.
-WORD_BYTES, RUN_BYTES, LEARN_AT_ONCE = 12 << 20, 20 << 20, 4000
-BATCH_BYTES = 4 << 20
+#: What a worker remembers of words, and of runs of characters between white space, with their ids; text in a batch; new words in a call.
+REMEMBER_BYTES, BATCH_BYTES, LEARN_AT_ONCE = 32 << 20, 4 << 20, 4000
 
 #: Characters for which the tokenizer's normaliser only lower-cases and its pattern (fixed by the vocabulary) says what the one below
 #: says: letters, single numbers, runs of other characters.
@@ -53,14 +52,14 @@ WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½
 class WordBpe:
     """Ids as little-endian 32-bit bytes. Texts of plain characters are looked up word by word; any other text goes to the tokenizer whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember_bytes: int = REMEMBER_BYTES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)], bool)
-        self.words, self.runs = Remembered(WORD_BYTES), Remembered(RUN_BYTES)
+        self.words, self.runs = Remembered(remember_bytes * 3 // 8), Remembered(remember_bytes * 5 // 8)
 
     def _direct(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -119,18 +118,24 @@ def _flags(at: list[int], n: int) -> list[bool]:
     return flags
 
 
-def load(path: str) -> WordBpe:
-    return worker_slot(("packing", path), lambda: WordBpe(path))
+def load(path: str, remember_bytes: int = REMEMBER_BYTES) -> WordBpe:
+    return worker_slot(("packing", path, remember_bytes), lambda: WordBpe(path, remember_bytes))
 
 
-def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of each piece of each row."""
+def token_pieces(
+    docs: DataFrame, *, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
+    remember_bytes: int = REMEMBER_BYTES, batch_bytes: int = BATCH_BYTES,
+) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of each piece of each row.
+
+    remember_bytes, batch_bytes: a worker's memory against its time; smaller ones give the same result more slowly.
+    """
     end = struct.pack("<I", end_id)
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = load(tokenizer).encode_all
-        for b in small_batches(batches, ["text"], BATCH_BYTES):
+        encode = load(tokenizer, remember_bytes).encode_all
+        for b in small_batches(batches, ["text"], batch_bytes):
             out = []
             for doc, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist()), strict=True):
                 raw = ids + end
@@ -344,9 +349,9 @@ def plan_tables(plan: list[list], capacity: int) -> tuple[np.ndarray, ...]:
     return tuple(np.array(c, np.int64) for c in zip(*sorted(rows), strict=True))
 
 
-def pack(docs: DataFrame, *, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, groups: int = GROUPS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset per piece."""
-    pieces = materialise(token_pieces(docs, tokenizer=tokenizer, end_id=end_id, capacity=capacity, id_col=id_col, text_col=text_col), "pieces")
+def pack(docs: DataFrame, *, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, groups: int = GROUPS, **options) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset per piece. options: further ones of token_pieces."""
+    pieces = materialise(token_pieces(docs, tokenizer=tokenizer, end_id=end_id, capacity=capacity, **options), "pieces")
     salts = 4 * input_partitions(docs)
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
     parts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
