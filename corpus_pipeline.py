@@ -55,7 +55,9 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A null or empty text is one piece of the end id alone. Every row is packed, those that repeat an id or have none too; pieces of
     equal length are placed in order of salt, id, piece and checksum.
     """
-    return packing.pack(docs, tokenizer=str(public_tokenizers.path("word_bpe_49k.json")), end_id=0, capacity=2048)
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    # Executors come here with the heap that the stages before have filled, so workers get less memory than the operator's default.
+    return packing.pack(docs, tokenizer=path, end_id=0, capacity=2048, remember_bytes=12 << 20, batch_bytes=1 << 20)
 
 
 STAGES = [
