@@ -65,7 +65,32 @@ def t07_header_date(spark: SparkSession, sf: str) -> DataFrame:
     return ocr_texts(spark, sf).select("receipt_id", T.header_date(T.raw_part(F.col("ocr"))).alias("date"))
 
 
-@query()
+#: The first match that no promotion announces (pattern 1: date with time, else pattern 2: written date), by its place in the text.
+DATES = rf""", r AS (SELECT receipt_id, split_part(ocr, chr(10) || '---' || chr(10), 1) AS t FROM ocr_texts),
+h AS (
+    SELECT receipt_id, t, 1 AS kind, regexp_extract_all(t, {q(X.DATE_WITH_TIME)}) AS hits, string_split_regex(t, {q(X.DATE_WITH_TIME)}) AS gaps FROM r
+    UNION ALL SELECT receipt_id, t, 2, regexp_extract_all(t, {q(X.WRITTEN_DATE)}), string_split_regex(t, {q(X.WRITTEN_DATE)}) FROM r
+), m AS (
+    SELECT receipt_id, t, kind, u.hit, u.n, CAST(list_sum(list_transform(gaps[1:u.n], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:u.n - 1], lambda x: length(x))), 0) AS bigint) AS place
+    FROM h, unnest(hits) WITH ORDINALITY AS u(hit, n)
+), b AS (SELECT *, substr(t, 1, place) AS before FROM m),
+near AS (SELECT *, CASE WHEN kind = 1 THEN substr(before, greatest(1, place - length(regexp_extract(before, '[^\n]*$')) - 79)) ELSE right(before, 80) END AS beside FROM b),
+p AS (
+    SELECT *, string_split_regex(regexp_extract(hit, '^\S+'), '[/-]') AS d, regexp_extract(hit, {q(X.WRITTEN_DATE)}, ['month', 'day', 'year']) AS w
+    FROM near WHERE NOT regexp_matches(beside, {q(X.PROMOTION)})
+), v AS (
+    SELECT receipt_id, kind, n,
+           CASE WHEN kind = 2 THEN try_cast(w.year AS int) WHEN length(d[1]) = 4 THEN try_cast(d[1] AS int) WHEN length(d[3]) > 2 THEN try_cast(d[3] AS int) ELSE 2000 + try_cast(d[3] AS int) END AS y,
+           CASE WHEN kind = 2 THEN list_position({X.MONTHS}, lower(left(w.month, 3))) WHEN length(d[1]) = 4 OR try_cast(d[1] AS int) > 12 OR try_cast(d[2] AS int) > 31 THEN try_cast(d[2] AS int) ELSE try_cast(d[1] AS int) END AS mo,
+           CASE WHEN kind = 2 THEN try_cast(w.day AS int) WHEN length(d[1]) = 4 THEN try_cast(d[3] AS int) WHEN try_cast(d[1] AS int) > 12 OR try_cast(d[2] AS int) > 31 THEN try_cast(d[1] AS int) ELSE try_cast(d[2] AS int) END AS dy
+    FROM p
+), firsts AS (
+    SELECT receipt_id, arg_min(CAST(y AS varchar) || '.' || lpad(CAST(mo AS varchar), 2, '0') || '.' || lpad(CAST(dy AS varchar), 2, '0'), kind * 1000000 + n) AS date
+    FROM v WHERE y >= 2022 AND (kind = 1 OR y <= 2030) AND mo BETWEEN 1 AND 12 AND dy BETWEEN 1 AND 31 GROUP BY receipt_id
+)"""
+
+
+@query(duck("ocr_texts") + DATES + " SELECT r.receipt_id, date FROM r LEFT JOIN firsts f ON f.receipt_id = r.receipt_id")
 def t08_transaction_date(spark: SparkSession, sf: str) -> DataFrame:
     return ocr_texts(spark, sf).select("receipt_id", T.transaction_date(F.col("ocr")).alias("date"))
 
@@ -234,9 +259,29 @@ def c01_c02_chunk_bodies(spark: SparkSession, sf: str) -> DataFrame:
     return chunks.split(ocr_texts(spark, sf), with_header=False).select("receipt_id", F.col("chunk_idx").cast("long").alias("chunk_idx"), "text")
 
 
-@query()
+#: What each chunk begins with: three clean lines of the first ten and the date beside a layout, else the first six lines.
+HEADERS = r""", top AS (
+    SELECT receipt_id, n, line, trim(line) AS s FROM body, unnest(string_split(raw, chr(10))) WITH ORDINALITY AS u(line, n) WHERE n <= 10
+), clean AS (
+    SELECT receipt_id, line, row_number() OVER (PARTITION BY receipt_id ORDER BY n) AS k FROM top
+    WHERE s <> '' AND length(regexp_replace(s, '[^A-Za-z0-9 ]', '', 'g')) >= 0.55 * length(s) AND (regexp_matches(s, '[0-9]') OR regexp_matches(s, '^[A-Z]'))
+), dates AS (
+    SELECT receipt_id, regexp_extract(raw, '\b(\d{1,2})/(\d{1,2})/(\d{4})\b', ['a', 'b', 'c']) AS f, regexp_extract(raw, '\b(\d{2})/(\d{2})/(\d{2})\b', ['a', 'b', 'c']) AS g FROM body WHERE spatial
+), dated AS (
+    SELECT receipt_id, CASE WHEN f.c <> '' THEN f.c || '.' || lpad(f.a, 2, '0') || '.' || lpad(f.b, 2, '0') WHEN try_cast(g.a AS int) > 12 THEN '20' || g.a || '.' || g.b || '.' || g.c
+           WHEN try_cast(g.c AS int) > 12 THEN '20' || g.c || '.' || g.a || '.' || g.b END AS date FROM dates
+), head_lines AS (
+    SELECT c.receipt_id, k, line FROM clean c JOIN body b ON b.receipt_id = c.receipt_id WHERE spatial AND k <= 3
+    UNION ALL SELECT receipt_id, 4, 'Purchase date: ' || date FROM dated WHERE date IS NOT NULL
+    UNION ALL SELECT t.receipt_id, n, line FROM top t JOIN body b ON b.receipt_id = t.receipt_id WHERE NOT spatial AND n <= 6
+), heads AS (SELECT receipt_id, string_agg(line, chr(10) ORDER BY k) || chr(10) AS head FROM head_lines GROUP BY receipt_id)"""
+
+
+@query(duck("ocr_texts") + CHUNKED + HEADERS + """, bodies AS (SELECT c.receipt_id, c.chunk_idx, string_agg(l.line, chr(10) ORDER BY l.n) AS text FROM chunks c JOIN lines l ON l.receipt_id = c.receipt_id AND l.n BETWEEN a AND b GROUP BY c.receipt_id, c.chunk_idx)
+SELECT b.receipt_id, chunk_idx, coalesce(head, '') || text AS text FROM bodies b LEFT JOIN heads h ON h.receipt_id = b.receipt_id
+UNION ALL SELECT receipt_id, 0, ocr FROM ocr_texts WHERE receipt_id NOT IN (SELECT receipt_id FROM body)""")
 def c02_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return chunks.split(ocr_texts(spark, sf))
+    return chunks.split(ocr_texts(spark, sf)).withColumn("chunk_idx", F.col("chunk_idx").cast("long"))
 
 
 @query(duck("ocr_texts") + CHUNKED + """, counted AS (SELECT t.receipt_id, ocr, coalesce(max(chunk_idx) + 1, 1) AS n FROM ocr_texts t LEFT JOIN chunks c ON c.receipt_id = t.receipt_id GROUP BY t.receipt_id, ocr)
