@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, importance, langid, media, ngram_join, packing, pii, token_counts, url_filter, vector_codes, warc
+from . import byte_bpe, exact_dedup, importance, langid, media, neighbours, ngram_join, packing, pii, token_counts, url_filter, vector_codes, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,11 +76,15 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_token_counts, op3_best_fit_packing, op4_pii, op5_warc, op6_ngram_join, op7_language_id, op8_url_filter, op9_byte_bpe, op10_media,
-        op11_importance, op12_vector_codes,
+        op11_importance, op12_vector_codes, op13_neighbours,
     )
 }
 
