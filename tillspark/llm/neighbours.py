@@ -172,10 +172,21 @@ def _both_ways(lists: DataFrame, links: int) -> DataFrame:
 
 
 def _gathered(lists: DataFrame, links: int) -> DataFrame:
-    """For each centre the array of its members with what the comparison needs: links and half as many at most."""
+    """For each centre the array of its members with what the comparison needs: links and half as many at most; some are there twice."""
     info = lists.select(F.col("node").alias("member"), "code", "scale", "last")
-    met = _both_ways(lists, links).join(info, "member").groupBy("centre", "member").agg(F.max("fresh").alias("fresh"), *[F.first(c).alias(c) for c in ("code", "scale", "last")])
-    return met.groupBy("centre").agg(F.collect_list(F.struct("member", "fresh", "code", "scale", "last")).alias("with"))
+    return _both_ways(lists, links).join(info, "member").groupBy("centre").agg(F.collect_list(F.struct("member", "fresh", "code", "scale", "last")).alias("with"))
+
+
+def _members(column: pa.Array) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Of arrays of members: how many different ones each has, and their columns, one after the other; fresh if one of two is."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    member, fresh, code, scale, last = column.flatten().flatten()
+    member, fresh, row = member.to_numpy(), fresh.to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((~fresh, member, row))
+    first = np.ones(len(order), bool)
+    first[1:] = (np.diff(member[order]) != 0) | (np.diff(row[order]) != 0)
+    at = order[first]
+    return np.bincount(row[at], minlength=len(sizes)), (member[at], fresh[at], _codes_of(code)[at], scale.to_numpy()[at], last.to_numpy()[at])
 
 
 @tidy
@@ -183,19 +194,16 @@ def _compare_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """Links that members of a centre propose to each other: pairs with a fresh one that beat the last link."""
     for whole in batches:
         for start in range(0, whole.num_rows, STEP):
-            column = whole.column(0).slice(start, STEP)
-            sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(int)
-            member, fresh, code, scale, last = column.flatten().flatten()
+            sizes, (member, fresh, codes, scale, last) = _members(whole.column(0).slice(start, STEP))
             n, width = len(sizes), int(sizes.max(initial=0))
             row = np.repeat(np.arange(n), sizes)
             place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            codes = _codes_of(code)
             x, ids = np.zeros((n, width, codes.shape[1]), np.float32), np.full((n, width), -1, np.int64)
             new, need = np.zeros((n, width), bool), np.full((n, width), np.inf, np.float32)
             held = np.zeros((n, width), bool)
             size = np.zeros((n, width), np.float32)
-            x[row, place], ids[row, place], size[row, place] = codes, member.to_numpy(), scale.to_numpy()
-            new[row, place], need[row, place], held[row, place] = fresh.to_numpy(zero_copy_only=False), last.to_numpy(), True
+            x[row, place], ids[row, place], size[row, place] = codes, member, scale
+            new[row, place], need[row, place], held[row, place] = fresh, last, True
             score = np.matmul(x, x.transpose(0, 2, 1)) * (size[:, :, None] * size[:, None, :])
             good = (new[:, :, None] | new[:, None, :]) & held[:, :, None] & held[:, None, :] & (score > need[:, :, None])
             good[:, np.arange(width), np.arange(width)] = False
@@ -250,13 +258,10 @@ def _bucketed(spark: SparkSession, index: Index) -> tuple[str, str]:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, STEP):
-                column = batch.column(1).slice(start, STEP)
-                sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-                member, _, code, scale, _ = column.flatten().flatten()
-                codes = _codes_of(code)
+                sizes, (member, _, codes, scale, _) = _members(batch.column(1).slice(start, STEP))
                 at = np.append(0, np.cumsum(sizes) * codes.shape[1]).astype(np.int32)
                 joined = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(codes))])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, STEP), _lists(member.to_numpy(), sizes), joined, _lists(scale.to_numpy(), sizes)], ["node", "members", "codes", "scales"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, STEP), _lists(member, sizes), joined, _lists(scale, sizes)], ["node", "members", "codes", "scales"])
 
     buckets = input_partitions(index.lists)
     rows = _gathered(index.lists, index.links).select("centre", "with").mapInArrow(pack, "node long, members array<long>, codes binary, scales array<float>")
@@ -353,7 +358,7 @@ def _merge(pool: int, expand: int):
     return run
 
 
-def walk(index: Index, queries: DataFrame, *, pool: int = 192, expand: int = 48, starts: int = 16) -> DataFrame:
+def walk(index: Index, queries: DataFrame, *, pool: int = 192, expand: int = 64, starts: int = 16) -> DataFrame:
     """Pools of queries (q, vector, own: a node or null) after their walks: q, ids, scores by codes, best first."""
     spark = queries.sparkSession
     name, path = _bucketed(spark, index)
@@ -362,10 +367,13 @@ def walk(index: Index, queries: DataFrame, *, pool: int = 192, expand: int = 48,
     while not state.where(F.size("frontier") > 0).isEmpty():
         steps = state.select("q", "code", "scale", "need", F.explode("frontier").alias("node"))
         at = graph.join(steps.hint("shuffle_hash"), "node").select("q", "code", "scale", "need", "members", "codes", "scales")
-        found = at.mapInArrow(_expand, "q long, found array<long>, near array<float>").groupBy("q")
-        found = found.agg(F.flatten(F.collect_list("found")).alias("found"), F.flatten(F.collect_list("near")).alias("near"))
-        joined = state.join(found, "q", "left").select("q", "code", "scale", "ids", "scores", "done", "found", "near")
-        after = materialise(joined.mapInArrow(_merge(pool, expand), STATE), "walks")
+        found = at.mapInArrow(_expand, "q long, found array<long>, near array<float>")
+        # A query's pool and what its frontier found meet in one shuffle: at most expand + 1 rows.
+        both = state.select("q", "code", "scale", "ids", "scores", "done").unionByName(found, allowMissingColumns=True).groupBy("q")
+        joined = both.agg(
+            *[F.max(c).alias(c) for c in ("code", "scale")], *[F.max_by(c, F.size("ids")).alias(c) for c in ("ids", "scores", "done")], *[F.flatten(F.collect_list(c)).alias(c) for c in ("found", "near")]
+        )
+        after = materialise(joined.select("q", "code", "scale", "ids", "scores", "done", "found", "near").mapInArrow(_merge(pool, expand), STATE), "walks")
         discard(state)
         state = after
     spark.sql(f"DROP TABLE {name}")
