@@ -11,10 +11,11 @@ Found, in this order at each place of a text:
 - dates from 1900 to 2099 that exist: year-month-day with "-", "/" or ".", also ahead of a time ("T10:00"), day.month.year, and
   month/day/year: the day's number. Digits keep their count, so 2024-1-5 gives two-digit month and day only if needed. Where only
   day/month/year exists, the permutation is taken again until that holds for the pseudonym too, so both are read alike;
-- telephone numbers: ten digits of the North American plan with or without +1, whose area and exchange begin with 2 to 9, inside
-  that plan; other numbers of 7 to 15 digits after "+": all but the country code's digits (the first group, of up to three).
-  After +1 and ten digits the number is complete; others take the groups that follow them up to 15 digits, but not a value that
-  is found by itself;
+- telephone numbers: ten digits of the North American plan, whose area and exchange begin with 2 to 9, inside that plan, after +1 in
+  any grouping or none, else in groups. All ways to write one number have one pseudonym, whether +1 or 1 stands before it or not.
+  Ten digits after +1 that are outside the plan are permuted among such. Other numbers of 7 to 15 digits after "+": all but the
+  country code's digits (the first group, of up to three). After +1 and ten digits the number is complete; others take the groups
+  that follow them up to 15 digits, but not a value that is found by itself;
 - social security numbers ddd-dd-dddd with valid parts, inside the valid ones;
 - payment card numbers of 13 to 19 digits, bare or in groups, that begin with 2 to 6 and pass the Luhn test: all but the first
   digit, which stays, and the last, which is computed.
@@ -39,6 +40,8 @@ IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
 DATE = r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([./])\d{1,2}\2\d{4})(?!(?!T\d\d:)\w|[./-]\d)"
 NANP = r"(?<![\w+])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\w)"
 PLUS_ONE = r"(?<!\w)\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
+#: Ten digits of the plan.
+IN_PLAN = r"^[2-9]\d{2}[2-9]\d{6}$"
 #: Values that may follow a number of 7 digits or more after a space and don't belong to it, without groups of their own.
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 NEXT = "|".join((
@@ -169,6 +172,14 @@ def _nanp(m: Column, key: str) -> Column:
     return refill(m, F.concat(prefix, F.transform(F.array(out), number)[0]))
 
 
+def _outside_plan(m: Column, key: str) -> Column:
+    """+1 and ten digits that are no number of the plan: permuted again until they are none again, so both sets stay apart."""
+    ten = F.substring(_digits(m), 2, 10)
+    step = lambda d: F.when(d.rlike(IN_PLAN), permute_digits(d, key, "plus one")).otherwise(d)
+    out = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), permute_digits(ten, key, "plus one"), lambda d, _: step(d))
+    return refill(m, F.concat(F.lit("1"), out))
+
+
 def _abroad(m: Column, key: str) -> Column:
     d = _digits(m)
     group = F.length(F.regexp_extract(m, r"^\+(\d+)", 1))
@@ -203,6 +214,8 @@ def pseudonym(m: Column, key: str) -> Column:
         .when(m.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), _ipv4(m, key))
         .when(m.rlike(r"^(\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[./]\d{1,2}[./]\d{4})$"), _date(m, key))
         .when(m.rlike(r"^(\+?1[ .-]?)?(\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}$"), _nanp(m, key))
+        .when(m.rlike(PLUS_ONE) & F.substring(_digits(m), 2, 10).rlike(IN_PLAN), _nanp(m, key))
+        .when(m.rlike(PLUS_ONE), _outside_plan(m, key))
         .when(F.startswith(m, F.lit("+")), _abroad(m, key))
         .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), _ssn(m, key))
         .otherwise(_card(m, key))
