@@ -6,6 +6,7 @@ Whatever else a file may hold (progressive or arithmetic coding, several scans,
 
 from __future__ import annotations
 
+import contextlib
 import math
 import re
 import struct
@@ -31,28 +32,52 @@ def huffman(counts: bytes, symbols: bytes) -> dict[tuple[int, int], int]:
 
 
 class _Bits:
+    """A cursor over a run's bytes: a window of at most some 64 bits, filled from the front, so reading is linear in the bytes."""
+
     def __init__(self, data: bytes):
-        self.value, self.left = int.from_bytes(data, "big"), 8 * len(data)
+        self.data, self.at, self.window, self.held = data, 0, 0, 0
+
+    def _fill(self, n: int) -> None:
+        while self.held < n:
+            part = self.data[self.at : self.at + 4]
+            if not part:
+                raise ValueError("a JPEG scan ends too early")
+            self.at += len(part)
+            self.window = (self.window & ((1 << self.held) - 1)) << 8 * len(part) | int.from_bytes(part, "big")
+            self.held += 8 * len(part)
 
     def take(self, n: int) -> int:
-        if n > self.left:
-            raise ValueError("a JPEG scan ends too early")
-        self.left -= n
-        return (self.value >> self.left) & ((1 << n) - 1)
-
-    def symbol(self, table: dict[tuple[int, int], int]) -> int:
-        code = 0
-        for length in range(1, 17):
-            code = code << 1 | self.take(1)
-            if (length, code) in table:
-                return table[length, code]
-        raise ValueError("an unknown JPEG code")
+        if self.held < n:
+            self._fill(n)
+        self.held -= n
+        return (self.window >> self.held) & ((1 << n) - 1)
+
+    def symbol(self, table: np.ndarray) -> int:
+        """The next symbol, by a table of what each 16 bits begin with: 32 * symbol + length, or 0."""
+        if self.held < 16:
+            with contextlib.suppress(ValueError):  # near the end there may be fewer
+                self._fill(16)
+        short = max(0, 16 - self.held)
+        found = int(table[(self.window << short >> self.held + short - 16) & 0xFFFF])
+        length = found & 31
+        if not found or length > self.held:
+            raise ValueError("an unknown JPEG code" if not found else "a JPEG scan ends too early")
+        self.held -= length
+        return found >> 5
 
     def signed(self, size: int) -> int:
         x = self.take(size) if size else 0
         return x if not size or x >> (size - 1) else x - (1 << size) + 1
 
 
+def lookup(table: dict[tuple[int, int], int]) -> np.ndarray:
+    """What each 16 bits begin with, for a table of huffman()."""
+    out = np.zeros(1 << 16, np.int32)
+    for (length, code), symbol in table.items():
+        out[code << 16 - length : code + 1 << 16 - length] = 32 * symbol + length
+    return out
+
+
 def _header(jpeg: bytes):
     """Frame, tables, components of the scan, restart interval and the scan's start."""
     if jpeg[:2] != b"\xff\xd8":
@@ -112,12 +137,13 @@ def _decode(jpeg: bytes) -> np.ndarray:
     _, h0, v0, q0 = parts[0]
     blocks = np.zeros((down * v0, across * h0, 64), np.int64)
     last = dict.fromkeys(picked, 0)
+    looked = {k: lookup(tables[k]) for k in {k for pair in picked.values() for k in pair}}
     for unit in range(across * down):
         if restart and unit and unit % restart == 0:
             last = dict.fromkeys(picked, 0)
         bits = runs[unit // restart if restart else 0]
         for number, (name, h, v, _) in enumerate(parts):
-            dc, ac = (tables[k] for k in picked[name])
+            dc, ac = (looked[k] for k in picked[name])
             for k in range(h * v):
                 block = np.zeros(64, np.int64)
                 last[name] += bits.signed(bits.symbol(dc))
