@@ -116,6 +116,15 @@ def test_packing_needs_no_more_sequences_than_best_fit(spark):
     assert check_plan(counts, packing.make_plan(counts), 2048) <= best == -(-int((counts * np.arange(2049)).sum()) // 2048)
 
 
+def test_plans_never_need_more_than_best_fit():
+    rng = np.random.default_rng(7)
+    histograms = [rng.integers(1, 2049, 1500), rng.integers(830, 1300, 1500), rng.integers(300, 1400, 1500), np.clip(rng.lognormal(6.4, 0.9, 1500).astype(int), 1, 2048), np.where(rng.random(1500) < 0.5, 720, 1300)]
+    for lengths in histograms:
+        for times in (1, 50):
+            counts = times * np.bincount(lengths, minlength=2049)
+            assert check_plan(counts, packing.make_plan(counts, groups=256), 2048) <= sum(n for n, _, _ in packing.best_fit([], counts, 2048, 2048))
+
+
 def test_pack(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     rows = [*EDGES, (20, "it's DON'T we'll 12 ²³ Straße İx " * 700)]
@@ -238,6 +247,28 @@ def test_pii_finds_and_leaves(spark):
     assert pii.pseudonymise(empty(spark), key="k").count() == 0
 
 
+def test_pii_gives_a_number_one_pseudonym_however_it_is_written(spark):
+    random.seed(8)
+    digits = lambda text: re.sub(r"\D", "", text)[-10:]
+    for _ in range(12):
+        a, b, c = str(random.randint(200, 999)), str(random.randint(200, 999)), f"{random.randint(0, 9999):04}"
+        grouped = [f"{a}-{b}-{c}", f"({a}) {b}-{c}", f"({a}){b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}"]
+        plus = [f"+1{s}{g}" for s in ("", " ", "-", ".") for g in [*grouped, a + b + c, f"({a}){b}{c}", f"{a}{b}-{c}"]]
+        written = [*grouped, *[f"1 {g}" for g in grouped], *[f"1-{g}" for g in grouped], *plus]
+        new = pseudonyms(spark, written)
+        assert len({digits(x) for x in new}) == 1 and re.fullmatch(r"[2-9]\d\d[2-9]\d{6}", digits(new[0])) and digits(new[0]) != a + b + c
+        assert [re.sub(r"\d", "0", x) for x in new] == [re.sub(r"\d", "0", x) for x in written]
+        assert all(x.startswith("+1") for x, w in zip(new, written, strict=True) if w.startswith("+1"))
+
+
+def test_pii_keeps_numbers_outside_the_plan_apart(spark):
+    outside = [f"+1{a}{b}{k:04}" for a, b in (("017", "555"), ("555", "010"), ("199", "100"), ("415", "155")) for k in range(100)]
+    new = pseudonyms(spark, outside)
+    assert len(set(new)) == len(new) and not [x for x in new if re.fullmatch(r"\+1[2-9]\d\d[2-9]\d{6}", x)] and not set(new) & set(outside)
+    apart = pseudonyms(spark, [f"+1 ({x[2:5]}) {x[5:8]}-{x[8:]}" for x in outside[:9]])
+    assert [re.sub(r"\D", "", x) for x in apart] == [x[1:] for x in new[:9]]
+
+
 def test_pii_finds_phones_with_long_groups(spark):
     """Of 7 to 15 digits, in groups of any length; the country code stays, digits and punctuation keep their places."""
     phones = ["+44 7911 123456", "+49 30 1234567", "+49 151 23456789", "+33 612345678", "+39 06 698821", "+123456789012345", "+44(0)20 7946 0958", "+1234567"]
