@@ -64,7 +64,7 @@ def test_run_command(spark, tmp_path, capsys):
     (cache / "b.txt").write_text("nothing")
     (answers / "x.json").write_text(json.dumps({"receipt_id": "a", "chunk_idx": 0, "raw": json.dumps({"storeName": "VONS", "currency": "USD", "items": [{"productName": "OAT MILK", "price": "4.79"}]})}))
     assert cli.main(["run", str(cache), str(answers), "--provider", "clod", "--model", "x/Model-B", "--out", str(tmp_path / "out")]) == 1
-    assert capsys.readouterr().out.splitlines() == ["✓ a 1 items", "✗ b no items found"]
+    assert capsys.readouterr().out.splitlines() == ["✓ a ETL completed successfully", "✗ b Failed to parse data from source: no answer recorded", "1/2 succeeded"]
     written = json.loads((tmp_path / "out" / "clod-model-b" / "a.json").read_text())
     assert [(i["productName"], i["price"], i["latitude"]) for i in written] == [("OAT MILK", "4.79USD", None)]
 

@@ -2,12 +2,14 @@
 
     python -m tillspark list
     python -m tillspark QUERY SF_DIR [--limit N]
-    python -m tillspark report LOG_DIR [--out DIR]
+    python -m tillspark report LOG_DIR [--truth DIR] [--output DIR] [--out DIR]
     python -m tillspark eval OUTPUT_DIR TRUTH_DIR [--out DIR]
-    python -m tillspark run OCR_CACHE_DIR ANSWERS_DIR [--provider P] [--model M] [--out DIR]
+    python -m tillspark run OCR_CACHE_DIR ANSWERS_DIR [--provider P] [--model M] [--user U] [--logs DIR] [--out DIR]
 
-`report` and `eval` print their report, or write it with --out. `run` takes cached OCR texts (STEM.txt) and recorded answers (JSON
-lines with receipt_id, chunk_idx, raw), writes a file for each receipt and prints the outcome of each; it exits with 1 if any failed.
+`report` and `eval` print their report, or write it with --out; a report given --truth and --output compares item counts and adds the
+accuracy of each provider. `run` takes cached OCR texts (STEM.txt) and recorded answers (JSON lines with raw and what they answer:
+receipt_id and chunk_idx; with a stage of "again" too; "repair" and "escalate": receipt_id and item_idx; "geocode": text), writes a file
+for each receipt, an event for each with --logs, and prints the outcome of each; it exits with 1 if any failed.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pipeline, plans, reports
+from . import pipeline, plans, reports, storage
 from .config import Settings
 from .functions import text as T
 from .operators import items
@@ -48,19 +50,27 @@ def show(lines: DataFrame, out: str | None) -> None:
         print(row["line"])
 
 
-def run(spark: SparkSession, cache: str, answers: str, provider: str, model: str, out: str) -> bool:
+def run(spark: SparkSession, cache: str, answers: str, provider: str, model: str, out: str, user: str = "unknown", logs_dir: str | None = None) -> bool:
     """Receipts from cached texts and recorded answers to files; whether all succeeded."""
-    texts = spark.read.text(cache, wholetext=True, pathGlobFilter="*.txt").select(T.file_stem(F.input_file_name()).alias("receipt_id"), F.col("value").alias("ocr"))
-    said = spark.read.schema("receipt_id string, chunk_idx int, raw string").json(answers)
-    rows = pipeline.structure(pipeline.prepare(texts), said).withColumns({c: F.lit(None).cast("double") for c in ("latitude", "longitude")})
+    texts = files.read_ocr_cache(spark, cache).withColumnRenamed("stem", "receipt_id").withColumnRenamed("text", "ocr")
+    said = spark.read.schema("stage string, receipt_id string, chunk_idx int, item_idx long, text string, raw string").json(answers).withColumnRenamed("raw", "answer")
+    said = said.withColumn("stage", F.coalesce("stage", F.lit("extract")))
+    keys = {"extract": ["receipt_id", "chunk_idx"], "again": ["receipt_id", "chunk_idx"], "repair": ["receipt_id", "item_idx"], "escalate": ["receipt_id", "item_idx"], "geocode": ["text"]}
+    tables = {stage: said.where(F.col("stage") == stage).select(*on, "answer").dropDuplicates(on) for stage, on in keys.items()}
+    listed = storage.written(texts.select("receipt_id", F.col("receipt_id").alias("file")), "files")
+    rows, failed, _ = pipeline.extract(listed, texts, pipeline.recorded(tables))
     flat = items.output_rows(rows).withColumnRenamed("receipt_id", "stem").withColumn("item_idx", F.col("item_idx").cast("long"))
-    files.write_receipts(flat, out, provider=provider, model=F.lit(model))
-    outcome = pipeline.results(texts.select("receipt_id", F.col("receipt_id").alias("file")), rows)
-    ok = True
+    # Receipts that succeeded without items get a file too: an empty list.
+    whole = listed.join(failed.select("receipt_id"), "receipt_id", "left_anti").select(F.col("receipt_id").alias("stem")).join(flat, "stem", "left")
+    files.write_receipts(whole, out, provider=provider, model=F.lit(model))
+    outcome = storage.written(pipeline.results(listed, failed), "outcomes")
+    if logs_dir:
+        files.write_logs(files.completed_events(outcome, user=user, provider=provider, model=model), logs_dir)
     for row in outcome.orderBy("file").toLocalIterator():
         print("✓" if row["success"] else "✗", row["file"], row["message"])
-        ok = ok and row["success"]
-    return ok
+    total = pipeline.summary(outcome).first()
+    print(total["message"])
+    return total["success"]
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -72,6 +82,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--out")
     parser.add_argument("--provider", default=settings.provider, choices=("openrouter", "clod"))
     parser.add_argument("--model")
+    parser.add_argument("--user", default="unknown")
+    parser.add_argument("--logs")
+    parser.add_argument("--truth")
+    parser.add_argument("--output")
     args = parser.parse_args(argv)
     if args.command == "list":
         print("\n".join(plans.QUERIES))
@@ -82,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "eval":
         show(reports.evaluation(spark, *args.paths[:2]), args.out)
     elif args.command == "run":
-        return 0 if run(spark, *args.paths[:2], args.provider, settings.model(args.model, args.provider), args.out or settings.output_dir) else 1
+        return 0 if run(spark, *args.paths[:2], args.provider, settings.model(args.model, args.provider), args.out or settings.output_dir, args.user, args.logs) else 1
     else:
         plans.QUERIES[args.command](spark, *args.paths[:1]).show(args.limit, truncate=False)
     return 0

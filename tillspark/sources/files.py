@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import fixed as X
 from ..functions import text as T
 from ..schemas import FLAT_ITEM, LOG_EVENT
+from . import sink
 
 
 def source_kind(source: Column) -> Column:
@@ -79,37 +81,35 @@ def _empty_files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
-def write_receipts(flat: DataFrame, path: str, *, provider: str, model: Column) -> DataFrame:
-    """K1: one file for each receipt, <provider>-<model>/<stem>.json, a list of its flat items; returns provider_model, stem, items.
+def receipt_files(flat: DataFrame, *, provider: str, model: Column) -> DataFrame:
+    """K1: folder (<provider>-<model>), name (<stem>.json) and body (a list of its flat items, in order) of each receipt's file.
 
-    Rows: stem, item_idx and the output columns. Files of other receipts, providers and models stay. Each file is written under
-    a temporary name and renamed, so a task that runs again writes the same file. The path is one that driver and executors share.
+    Rows: stem, item_idx and the output columns. A row whose item_idx is null stands for a receipt without items.
     """
-    import uuid
-
-    import pyarrow as pa
-    import pyarrow.fs
-
     columns = [c.split()[0] for c in FLAT_ITEM.split(", ")]
-    item = F.struct("item_idx", F.struct(*columns).alias("i"))
+    item = F.when(F.col("item_idx").isNotNull(), F.struct("item_idx", F.struct(*columns).alias("i")))
     folder = F.concat(F.lit(provider + "-"), T.model_slug(model))
-    lists = flat.groupBy(folder.alias("provider_model"), "stem").agg(F.array_sort(F.collect_list(item)).alias("l"))
-    texts = lists.select("provider_model", "stem", F.size("l").alias("items"), F.to_json("l.i", {"ignoreNullFields": "false"}).alias("text"))
-    uri = path if "://" in path else "file://" + path.removeprefix("file:")
+    lists = flat.groupBy(folder.alias("folder"), "stem").agg(F.array_sort(F.collect_list(item)).alias("l"))
+    return lists.select("folder", F.concat("stem", F.lit(".json")).alias("name"), F.to_json("l.i", {"ignoreNullFields": "false"}).alias("body"))
+
+
+def write_receipts(flat: DataFrame, path: str, *, provider: str, model: Column) -> int:
+    """K1: a file for each receipt below path, all of them or none; the number of files. Other files stay. The path is one that driver
+    and executors share."""
+    return sink.write_files(receipt_files(flat, provider=provider, model=model), path)
 
-    def run(batches):
-        fs, root = pyarrow.fs.FileSystem.from_uri(uri)
-        for b in batches:
-            for place, stem, text in zip(*(b.column(c).to_pylist() for c in ("provider_model", "stem", "text")), strict=True):
-                fs.create_dir(f"{root}/{place}", recursive=True)
-                temporary = f"{root}/{place}/_{stem}-{uuid.uuid4().hex}"
-                with fs.open_output_stream(temporary, compression=None) as out:
-                    out.write(text.encode())
-                fs.move(temporary, f"{root}/{place}/{stem}.json")
-            yield pa.RecordBatch.from_arrays(b.columns[:3], names=["provider_model", "stem", "items"])
 
-    rows = texts.mapInArrow(run, "provider_model string, stem string, items int").collect()  # a short row for each receipt of this batch
-    return flat.sparkSession.createDataFrame(rows, "provider_model string, stem string, items int")
+def write_ocr_cache(texts: DataFrame, path: str) -> int:
+    """New texts (stem, text) as <stem>.txt of the cache."""
+    return sink.write_files(texts.select(F.lit("").alias("folder"), F.concat("stem", F.lit(".txt")).alias("name"), F.col("text").alias("body")), path)
+
+
+def read_ocr_cache(spark: SparkSession, path: str) -> DataFrame:
+    """Stem and text of the cache's files; a cache that doesn't exist has none."""
+    if not storage.exists(path):
+        return spark.createDataFrame([], "stem string, text string")
+    rows = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt")
+    return rows.select(T.file_stem(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).alias("stem"), F.col("value").alias("text"))
 
 
 def missing_from_cache(pages: DataFrame, cache: DataFrame, *, use_cache: bool = True) -> DataFrame:
@@ -134,6 +134,16 @@ def event(kind: str, common: dict[str, Column], measures: dict[str, Column]) ->
     return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
 
 
+def completed_events(outcomes: DataFrame, *, user: str, provider: str, model: str) -> DataFrame:
+    """K3: a pipeline_complete event for each outcome (file, success, message) of a batch, as a row of the log's columns."""
+    given = {
+        "time": F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss"), "level": F.when(F.col("success"), "INFO").otherwise("ERROR"),
+        "service": F.lit("etl"), "event": F.lit("pipeline_complete"), "user_id": F.lit(user), "image_name": F.col("file"), "error": F.when(~F.col("success"), F.col("message")),
+        "llm_provider": F.lit(provider), "llm_model": F.lit(model), "success": F.col("success"),
+    }
+    return outcomes.select(*[c.alias(n) for n, c in given.items()])
+
+
 def content_type(name: Column) -> Column:
     """S8's map from extension to content type; what isn't listed counts as JPEG."""
     suffix = T.file_suffix(name)
