@@ -1,5 +1,9 @@
 """Golden cases of the text operators, worked out by hand."""
 
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,12 +111,37 @@ def test_context(spark):
 
 
 def test_percentiles(spark):
-    df = spark.createDataFrame([(1,), (2,), (3,), (4,)], "x int")
-    row = df.agg(stats.nearest_index_percentile(F.col("x"), 0.95).alias("p95"), stats.median(F.col("x")).alias("p50")).first()
-    assert (row["p95"], row["p50"]) == (4, 2.5)
-    two = spark.createDataFrame([(10,), (20,)], "x int")
-    assert two.agg(stats.nearest_index_percentile(F.col("x"), 0.5).alias("p")).first()["p"] == 20
-    assert stats.indexed_percentile(two.withColumn("g", F.lit(1)), ["g"], "x", 0.5, "p").first()["p"] == 20
+    four = spark.createDataFrame([(1,), (2,), (3,), (4,)], "x int").withColumn("g", F.lit(1))
+    assert tuple(stats.summary(four, ["g"], "x", median="p50", indexed={"p95": 0.95}).first()) == (1, 2.5, 4)
+    two = spark.createDataFrame([(10,), (20,)], "x int").withColumn("g", F.lit(1))
+    assert stats.indexed_percentile(two, ["g"], "x", 0.5, "p").first()["p"] == 20
+    assert tuple(stats.summary(two, [], "x", median="p50").first()) == (15.0,)
+
+
+def test_order_statistics_of_large_groups(spark):
+    """Groups of continuous, repeated, skewed and equal values, large and small, null keys and values: as the sorted list has them."""
+    rng = random.Random(9)
+    groups = {
+        "continuous": [rng.gauss(0, 1e6) for _ in range(3000)], "repeated": [float(rng.choice([1, 1, 1, 1, 2, 3, 50])) for _ in range(3000)], "skewed": [10.0 ** rng.uniform(-200, 200) for _ in range(3000)],
+        "equal": [7.0] * 3000, "nearly": [7.0] * 2990 + [8.0 + k for k in range(10)], "small": [3.0, 1.0, 2.0], None: [rng.random() for _ in range(900)],
+    }
+    rows = [(g, x) for g, xs in groups.items() for x in xs] + [("small", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(7)
+    got = {r["g"]: tuple(r)[1:] for r in stats.order_statistics(df, ["g"], "x", {"first": lambda n: n * 0, "mid": stats.lower_middle, "p95": stats.at_index(0.95), "last": lambda n: n - 1}, few=40, parts=8).collect()}
+    want = {}
+    for g, xs in groups.items():
+        xs, n = sorted(xs), len(xs)
+        want[g] = (xs[0], xs[(n - 1) // 2], xs[min(int(0.95 * n), n - 1)], xs[-1])
+    assert got == want
+
+
+def test_no_task_sorts_a_large_group(spark):
+    df = spark.range(200_000).select(F.lit("all").alias("g"), F.hash("id").cast("double").alias("x"))
+    found = stats.summary(df, ["g"], "x", median="p50", indexed={"p95": 0.95})
+    values = sorted(r["x"] for r in df.collect())
+    assert tuple(found.first()) == ("all", (values[99_999] + values[100_000]) / 2, values[190_000])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
 
 
 def test_chunks_cover_the_body(spark):
@@ -130,3 +159,45 @@ def test_chunks_cover_the_body(spark):
 def test_hallucination(spark):
     df = spark.createDataFrame([(["GREEN APPLES"], "green things"), (["BANANA"], "milk"), (["a b"], "milk"), ([], "x")], "n array<string>, o string")
     assert [r[0] for r in df.select(T.is_hallucinated(F.col("n"), F.col("o"))).collect()] == [False, True, False, False]
+
+
+def folded_prices(text):
+    """T2 line by line."""
+    out, last = [], None
+    for line in text.split("\n"):
+        bare = line.strip()
+        if not re.match(r"^\$?\d+\.\d{2}\s*$", bare) or last is None:
+            out.append(line)
+            last = len(out) - 1 if bare else last
+        elif not re.search(r"\$?\d+\.\d{2}\s*$", out[last].rstrip()):
+            out[last] = out[last].rstrip() + "  " + bare
+    return "\n".join(out)
+
+
+def folded_chunks(lines, most=700, overlap=6):
+    done, now = [], []
+    for line in lines:
+        if now and sum(map(len, now)) + len(line) > most:
+            done.append(now)
+            now = now[-overlap:]
+        now = [*now, line]
+    return [*done, now] if now else done
+
+
+def test_price_lines_against_a_fold(spark):
+    rng = random.Random(5)
+    texts = ["\n".join(rng.choice(["", " ", "MILK", "TEA ", "OAT 2.00", "3.00", "$4.10 ", " 5.25", "x 1.5", "\tRYE\t"]) for _ in range(rng.randint(1, 14))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", T.join_price_lines(F.col("t")).alias("t"))
+    assert {r["k"]: r["t"] for r in df.collect()} == dict(enumerate(map(folded_prices, texts)))
+
+
+def test_receipts_of_a_hundred_thousand_lines(spark):
+    """Chunks and price lines of one long text: the same rows as a fold, in time that is linear in the lines."""
+    rng = random.Random(6)
+    lines = [rng.choice(["", "3.00", "OAT MILK " * rng.randint(1, 5), "TEA  2.00"]) for _ in range(100_000)]
+    text, began = "\n".join(lines), time.time()
+    df = spark.createDataFrame([("a", text)], "receipt_id string, ocr string")
+    assert df.select(T.join_price_lines(F.col("ocr"))).first()[0] == folded_prices(text)
+    got = [r["text"] for r in chunks.split(df, with_header=False).orderBy("chunk_idx").collect()]
+    assert time.time() - began < 40
+    assert got == ["\n".join(c) for c in folded_chunks(lines[6:])]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions import text as T
+from .items import once
 
 
 def needs_chunks(ocr: Column) -> Column:
@@ -22,33 +23,53 @@ def chunk_header(ocr: Column) -> Column:
     return F.when(T.has_spatial(ocr), dated).otherwise(F.slice(T.lines(ocr), 1, X.CHUNK_HEADER))
 
 
-def chunk_bodies(ocr: Column) -> Column:
-    """C2 without headers: array of arrays of lines. A fold inside the row; nothing is shuffled."""
-    none = F.array().cast("array<string>")
-    body = F.when(T.has_spatial(ocr), T.lines(T.spatial_part(ocr))).otherwise(F.slice(T.lines(ocr), X.CHUNK_HEADER + 1, 1 << 30))
+def line_runs(sizes: Column) -> Column:
+    """Which lines each chunk has, of the lines' lengths: array of (first, n), lines counted from 0.
+
+    A fold over numbers alone: what it carries from line to line is a few of them and the list of chunks, whatever the texts.
+    """
 
-    def step(acc: Column, line: Column) -> Column:
-        full = (acc["chars"] + F.length(line) > X.CHUNK_CHARS) & (F.size(acc["now"]) > 0)
-        carry = F.slice(acc["now"], F.greatest(F.lit(1), F.size(acc["now"]) - X.CHUNK_OVERLAP + 1), F.lit(X.CHUNK_OVERLAP))
-        now = F.when(full, carry).otherwise(acc["now"])
-        chars = F.when(full, F.aggregate(carry, F.lit(0), lambda a, x: a + F.length(x))).otherwise(acc["chars"])
+    def step(acc: Column, size: Column) -> Column:
+        full = (acc["chars"] + size > X.CHUNK_CHARS) & (acc["n"] > 0)
+        # tail: lengths of the last lines, which the next chunk repeats.
+        kept = F.when(full, F.size(acc["tail"])).otherwise(acc["n"])
+        chars = F.when(full, F.aggregate(acc["tail"], F.lit(0), lambda a, x: a + x)).otherwise(acc["chars"])
+        tail = F.concat(acc["tail"], F.array(size))
         return F.struct(
-            F.when(full, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]).alias("done"),
-            F.concat(now, F.array(line)).alias("now"),
-            (chars + F.length(line)).alias("chars"),
+            F.when(full, F.concat(acc["done"], F.array(F.struct(acc["first"].alias("first"), acc["n"].alias("n"))))).otherwise(acc["done"]).alias("done"),
+            F.when(full, acc["first"] + acc["n"] - kept).otherwise(acc["first"]).alias("first"),
+            (kept + 1).alias("n"),
+            (chars + size).alias("chars"),
+            F.slice(tail, F.greatest(F.lit(1), F.size(tail) - X.CHUNK_OVERLAP + 1), F.lit(X.CHUNK_OVERLAP)).alias("tail"),
         )
 
-    start = F.struct(F.array().cast("array<array<string>>").alias("done"), none.alias("now"), F.lit(0).alias("chars"))
-    folded = F.aggregate(body, start, step, lambda acc: F.when(F.size(acc["now"]) > 0, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]))
-    whole = F.array(F.array(ocr))
-    return F.when(needs_chunks(ocr), F.when(F.size(folded) > 0, folded).otherwise(whole)).otherwise(whole)
+    zero, none = F.lit(0), F.array().cast("array<int>")
+    start = F.struct(F.array().cast("array<struct<first:int,n:int>>").alias("done"), zero.alias("first"), zero.alias("n"), zero.alias("chars"), none.alias("tail"))
+    last = lambda acc: F.when(acc["n"] > 0, F.concat(acc["done"], F.array(F.struct(acc["first"].alias("first"), acc["n"].alias("n"))))).otherwise(acc["done"])
+    return F.aggregate(sizes, start, step, last)
 
 
-def split(texts: DataFrame, *, id_col: str = "receipt_id", ocr_col: str = "ocr", with_header: bool = True) -> DataFrame:
-    """id, chunk_idx, text."""
+def with_runs(texts: DataFrame, *, ocr_col: str = "ocr") -> DataFrame:
+    """texts with `_head` and `_body`, arrays of lines, and `_runs`, the part of the body that each chunk has.
+
+    Each array is made once for a text, and nothing is shuffled; a text that isn't chunked is one line of one chunk.
+    """
     ocr = F.col(ocr_col)
-    rows = texts.select(id_col, F.when(needs_chunks(ocr), chunk_header(ocr)).otherwise(F.array().cast("array<string>")).alias("head"), F.posexplode(chunk_bodies(ocr)).alias("chunk_idx", "body"))
-    return rows.select(id_col, "chunk_idx", F.array_join(F.concat("head", "body") if with_header else F.col("body"), "\n").alias("text"))
+    none = F.array().cast("array<string>")
+    rows = once(texts, _whole=~needs_chunks(ocr), _head=F.when(needs_chunks(ocr), chunk_header(ocr)).otherwise(none))
+    body = F.when(T.has_spatial(ocr), T.lines(T.spatial_part(ocr))).otherwise(F.slice(T.lines(ocr), X.CHUNK_HEADER + 1, 1 << 30))
+    rows = once(rows, _body=F.when(F.col("_whole"), F.array(ocr)).otherwise(body))
+    rows = once(rows, _body=F.when(F.size("_body") > 0, F.col("_body")).otherwise(F.array(ocr)))
+    rows = once(rows, _sizes=F.transform("_body", F.length))
+    return rows.withColumn("_runs", line_runs(F.col("_sizes"))).drop("_sizes", "_whole")
+
+
+def split(texts: DataFrame, *, id_col: str = "receipt_id", ocr_col: str = "ocr", with_header: bool = True) -> DataFrame:
+    """Id, chunk_idx, text. Time and memory are linear in a text's lines."""
+    lines = lambda r: F.slice(F.col("_body"), r["first"] + 1, r["n"])
+    text = lambda r: F.array_join(F.concat("_head", lines(r)) if with_header else lines(r), "\n")
+    rows = once(with_runs(texts.select(id_col, ocr_col), ocr_col=ocr_col), _texts=F.transform("_runs", text))
+    return rows.select(id_col, F.posexplode("_texts").alias("chunk_idx", "text"))
 
 
 def first_items(items: DataFrame, *, keys: list[str], order: list[str]) -> DataFrame:

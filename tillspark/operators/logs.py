@@ -56,9 +56,9 @@ def ocr_summary(ocr: DataFrame) -> DataFrame:
     ok = ocr.where("success")
     lat, one = F.col("latency_ms"), ok.withColumn("_g", F.lit(1))
     means = one.groupBy("_g").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg(lat), 4).alias("avg_ms"), stats.median(lat).alias("p50_ms"), F.min(lat).alias("min_ms"), F.max(lat).alias("max_ms")
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(lat), 4).alias("avg_ms"), F.min(lat).alias("min_ms"), F.max(lat).alias("max_ms")
     )
-    return means.join(stats.indexed_percentile(one, ["_g"], "latency_ms", 0.95, "p95_ms"), "_g", "left").drop("_g")
+    return means.join(stats.summary(one, ["_g"], "latency_ms", median="p50_ms", indexed={"p95_ms": 0.95}), "_g", "left").drop("_g")
 
 
 def provider_summary(calls: DataFrame, pipeline: DataFrame) -> DataFrame:
@@ -71,7 +71,6 @@ def provider_summary(calls: DataFrame, pipeline: DataFrame) -> DataFrame:
         F.count_if(ok).alias("successes"),
         F.count_if(~ok).alias("errors"),
         F.round(F.avg(lat), 4).alias("avg_ms"),
-        stats.median(lat).alias("p50_ms"),
         F.round(F.avg(F.when(ok, F.col("input_tokens"))), 4).alias("avg_in"),
         F.round(F.avg(F.when(ok, F.col("input_chars"))), 4).alias("avg_chars"),
         F.round(F.avg(F.when(ok, F.col("output_tokens"))), 4).alias("avg_out"),
@@ -79,9 +78,9 @@ def provider_summary(calls: DataFrame, pipeline: DataFrame) -> DataFrame:
         F.round(F.sum(F.when(ok, F.col("cost_usd"))), 9).alias("total_cost"),
         stats.cost_source_label(F.col("cost_source"), ok).alias("cost_src"),
     ).where("successes > 0")
-    own = own.join(stats.indexed_percentile(calls.where(ok), by, "latency_ms", 0.95, "p95_ms"), by, "left")
+    own = own.join(stats.summary(calls.where(ok), by, "latency_ms", median="p50_ms", indexed={"p95_ms": 0.95}), by, "left")
     done = pipeline.where("success")
-    e2e = done.groupBy(*by).agg(stats.median(F.col("latency_ms")).alias("e2e_p50")).join(stats.indexed_percentile(done, by, "latency_ms", 0.95, "e2e_p95"), by, "left")
+    e2e = stats.summary(done, by, "latency_ms", median="e2e_p50", indexed={"e2e_p95": 0.95})
     both = own.join(e2e, by, "left")
     return both.withColumn("cost_per", F.round(F.col("total_cost") / F.col("successes"), 9)).withColumn("per_minute", F.round(F.lit(60000) / F.col("e2e_p50"), 6)).withColumn("fail_pct", F.round(F.lit(100.0) * F.col("errors") / F.col("calls"), 6))
 

@@ -287,8 +287,8 @@ def c02_chunks(spark: SparkSession, sf: str) -> DataFrame:
 @query(duck("ocr_texts") + CHUNKED + """, counted AS (SELECT t.receipt_id, ocr, coalesce(max(chunk_idx) + 1, 1) AS n FROM ocr_texts t LEFT JOIN chunks c ON c.receipt_id = t.receipt_id GROUP BY t.receipt_id, ocr)
 SELECT receipt_id, CASE WHEN n = 1 AND receipt_id % 2 = 0 THEN 'direct' ELSE 'cot' END || CASE WHEN contains(upper(substr(ocr, 1, 500)), 'COSTCO') THEN '+costco' ELSE '' END AS path FROM counted""")
 def t22_prompt_path(spark: SparkSession, sf: str) -> DataFrame:
-    texts = ocr_texts(spark, sf).withColumn("parts", chunks.chunk_bodies(F.col("ocr")))
-    return texts.select("receipt_id", T.prompt_path(F.col("ocr"), F.size("parts")).alias("path"))
+    texts = chunks.with_runs(ocr_texts(spark, sf))
+    return texts.select("receipt_id", T.prompt_path(F.col("ocr"), F.size("_runs")).alias("path"))
 
 
 @query(duck("ocr_texts", "items") + r""", first5 AS (SELECT receipt_id, name, row_number() OVER (PARTITION BY receipt_id ORDER BY item_idx) AS n FROM items),
