@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tillspark.sources import journal
+from tillspark.sources import journal, store, uploads
 
 REPO = Path(__file__).resolve().parents[1]
 
@@ -76,7 +76,7 @@ import sys
 sys.path[:0] = [{str(REPO)!r}]
 from pyspark.sql import SparkSession
 from tests.test_journal import HOW, asks, logged
-from tillspark.sources import journal
+from tillspark.sources import journal, store, uploads
 spark = SparkSession.builder.master("local[2, 3]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
 j = journal.Journal(spark, "file://{tmp_path}/j")
 rows = j.call(asks(spark, range(12)), logged({str(tmp_path)!r}, kill_at=7), **HOW | {{"concurrency": 1, "flush_every": 1}}).collect()
@@ -105,3 +105,77 @@ def test_answers_that_were_cut_off_are_dropped(spark, tmp_path):
     (folder / "part-00000-0-1").write_text(json.dumps(row) + "\n" + json.dumps(row)[:40])
     (folder / "_half").write_text("{")
     assert [r["answer"] for r in journal.resolve(journal.Journal(spark, f"file://{tmp_path}/j").attempts()).collect()] == ['{"twice": 1}']
+
+
+FLAT = "receipt_id string, item_idx int, productName string, purchaseDate string, price string, amount string, storeName string, latitude double, longitude double"
+
+
+def test_items_are_uploaded_once(spark, tmp_path):
+    log = str(tmp_path / "sent")
+
+    def send(row):
+        with open(log, "a") as f:
+            f.write(row["productName"] + "\n")
+        if row["productName"] == "EGG":
+            raise ConnectionError("gone")
+        return {"id": f"{row['receipt_id']}-{row['item_idx']}"}
+
+    item = lambda r, k, name: (r, k, name, "2026.01.03", "2.00USD", "1", "S", None, None)
+    flat = [item("a", 0, "TEA"), item("a", 1, "OAT"), item("b", 0, "TEA"), item("b", 1, "EGG")]
+    j = journal.Journal(spark, f"file://{tmp_path}/j")
+    for _ in range(2):  # the second run sends nothing
+        _, by = uploads.upload(j, spark.createDataFrame(flat, FLAT), send, wait_s=0.0)
+        got = {r["receipt_id"]: (r["items_uploaded"], r["items_failed"], r["ids"], r["error"]) for r in by.collect()}
+        assert got == {"a": (2, 0, ["a-0", "a-1"], None), "b": (1, 1, ["b-0"], "1/2 items failed: ConnectionError: gone")}
+        assert Counter(open(log).read().split()) == {"TEA": 2, "OAT": 1, "EGG": 3}
+    uploads.upload(j, spark.createDataFrame([item("a", 0, "GREEN")], FLAT), send, wait_s=0.0)[1].collect()
+    assert Counter(open(log).read().split())["GREEN"] == 1
+
+
+def test_tokens():
+    assert [uploads.token_for(t, "env") for t in ("Bearer abc", "abc", "Bearer ", "", None)] == ["abc", "abc", "env", "env", "env"]
+
+
+def rows_of(s):
+    return {r["image_stem"]: r["ids"] for r in s.read().collect()}
+
+
+def updates(spark, *rows):
+    return spark.createDataFrame(list(rows), "image_stem string, ids array<string>, seq long")
+
+
+def test_registry_keeps_the_last_write(spark, tmp_path):
+    s = store.upload_registry(spark, f"file://{tmp_path}/r")
+    assert rows_of(s) == {} and s.upsert(updates(spark), order="seq") == 0
+    assert s.upsert(updates(spark, ("a", ["1"], 1), ("b", ["2"], 1), ("a", ["3"], 2), (None, ["x"], 1)), order="seq") == 1
+    first = {p: p.read_bytes() for p in (tmp_path / "r").rglob("*.parquet")}
+    assert s.upsert(updates(spark, ("b", [], 1), ("c", ["4", "5"], 1)), order="seq") == 2
+    assert rows_of(s) == {"a": ["3"], "b": [], "c": ["4", "5"]}
+    assert all(p.read_bytes() == body for p, body in first.items())  # copy on write: a reader of the first version still can
+    s.clean()
+    assert rows_of(s) == {"a": ["3"], "b": [], "c": ["4", "5"]}
+
+
+def test_registry_survives_a_crash_and_a_broken_bucket(spark, tmp_path):
+    s = store.KeyedStore(spark, f"file://{tmp_path}/r", "image_stem", "ids array<string>", buckets=4)
+    s.upsert(updates(spark, *[(f"k{n}", ["1"], 1) for n in range(40)]), order="seq")
+
+    class Dies(store.KeyedStore):
+        def _switch(self, *_):
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        Dies(spark, s.root, "image_stem", "ids array<string>", buckets=4).upsert(updates(spark, ("k1", ["2"], 1)), order="seq")
+    assert rows_of(s) == {f"k{n}": ["1"] for n in range(40)}
+    s.upsert(updates(spark, ("k2", ["3"], 1)), order="seq")
+    s.clean()
+    assert rows_of(s) == {f"k{n}": ["3" if n == 2 else "1"] for n in range(40)}
+    broken = next(p for p in (tmp_path / "r").rglob("*.parquet"))
+    lost = {r["image_stem"] for r in spark.read.parquet(str(broken)).collect()}
+    broken.write_bytes(b"no parquet at all")
+    for crc in broken.parent.glob(".*.crc"):
+        crc.unlink()
+    assert 0 < len(lost) < 40 and set(rows_of(s)) == {f"k{n}" for n in range(40)} - lost
+    again = sorted(lost)[0]
+    s.upsert(updates(spark, (again, ["9"], 1)), order="seq")
+    assert rows_of(s)[again] == ["9"] and set(rows_of(s)) == {f"k{n}" for n in range(40)} - lost | {again}

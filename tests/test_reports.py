@@ -8,7 +8,7 @@ from tillspark import __main__ as cli
 from tillspark import pipeline, reports
 from tillspark.config import Settings
 from tillspark.operators import resilience
-from tillspark.sources import providers
+from tillspark.sources import providers, uploads
 
 
 def test_settings():
@@ -94,14 +94,8 @@ def test_repair_asks_then_escalates_then_drops(spark):
 
 def test_upload_outcomes_and_results(spark):
     tried = spark.createDataFrame([("a", True, None), ("a", False, "down"), ("b", True, None)], "receipt_id string, ok boolean, error string")
-    got = {r["receipt_id"]: (r["items_attempted"], r["items_uploaded"], r["items_failed"], r["error"]) for r in providers.upload_outcomes(tried).collect()}
+    got = {r["receipt_id"]: (r["items_attempted"], r["items_uploaded"], r["items_failed"], r["error"]) for r in uploads.outcomes(tried).collect()}
     assert got == {"a": (2, 1, 1, "1/2 items failed: down"), "b": (1, 1, 0, None)}
-    listed = spark.createDataFrame([("a", "a.jpg"), ("b", "b.jpg"), ("c", "c.jpg")], "receipt_id string, file string")
-    failed = providers.upload_outcomes(tried).where("error is not null")
-    rows = spark.createDataFrame([("a",), ("b",), ("b",)], "receipt_id string")
-    got = {r["file"]: (r["success"], r["message"]) for r in pipeline.results(listed, rows, failed).collect()}
-    assert got == {"a.jpg": (False, "1/2 items failed: down"), "b.jpg": (True, "2 items"), "c.jpg": (False, "no items found")}
-    assert resilience.batch_outcome(pipeline.results(listed, rows, failed), []).first()["message"] == "1/3 succeeded"
 
 
 def test_cost_aware_chain(spark, tmp_path):

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import text as T
-from ..sources import files, providers
+from ..sources import files, journal, providers, store
 from .derive import derived, duck, ocr_texts
 from .registry import query
 
@@ -46,6 +47,41 @@ def k05_registry(spark: SparkSession, sf: str) -> DataFrame:
     return files.registry_upsert(old, uploads).select("image_stem", F.col("ids")[0].alias("id"))
 
 
+#: Log events as recorded attempts: a request is an image and a model, its answer the trace that got one.
+ATTEMPTS = """, a AS (SELECT image_name || ' ' || model AS request, event_id AS place, success AS ok, CASE WHEN success THEN trace_id END AS answer, CASE WHEN NOT success THEN 'failed in ' || trace_id END AS error FROM logs WHERE event = 'llm_extraction'),
+r AS (SELECT request, bool_or(ok) AS ok, arg_min(answer, place) FILTER (WHERE ok) AS answer, count(*)::INT AS attempts, arg_max(error, place) FILTER (WHERE NOT ok) AS last FROM a GROUP BY request)"""
+
+
+def _attempts(spark: SparkSession, sf: str) -> DataFrame:
+    rows, ok = derived(spark, sf, "logs").where("event = 'llm_extraction'"), F.col("success")
+    request = F.concat_ws(" ", "image_name", "model")
+    return rows.select(request.alias("request"), F.col("event_id").cast("double").alias("at"), F.lit(0).alias("place"), ok.alias("ok"), F.when(ok, F.col("trace_id")).alias("answer"), F.when(~ok, F.concat(F.lit("failed in "), "trace_id")).alias("error"))
+
+
+@query(duck("logs") + ATTEMPTS + """ SELECT request, ok, answer, attempts, CASE WHEN NOT ok THEN last END AS error FROM r""")
+def s07_c03_journal(spark: SparkSession, sf: str) -> DataFrame:
+    """A journal replayed: what each request got in all its attempts."""
+    return journal.resolve(_attempts(spark, sf), ["request"])
+
+
+@query(duck("logs") + ATTEMPTS + """ SELECT DISTINCT image_name || ' ' || model AS request FROM logs WHERE image_name || ' ' || model NOT IN (SELECT request FROM r WHERE ok OR attempts >= 3)""")
+def k04_unanswered(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run has to ask yet: requests of all events without a good answer and with fewer than three attempts."""
+    asked = derived(spark, sf, "logs").select(F.concat_ws(" ", "image_name", "model").alias("request"))
+    return journal.unanswered(asked, _attempts(spark, sf), ["request"])
+
+
+@query(duck("logs") + """ SELECT replace(image_name, '.jpg', '') AS image_stem, arg_max(trace_id, event_id) AS id FROM logs GROUP BY 1""")
+def k05_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The registry as a store: the first half of the events, then all of the later half in a second upsert."""
+    rows = derived(spark, sf, "logs").select(T.file_stem(F.col("image_name")).alias("image_stem"), F.array("trace_id").alias("ids"), "event_id")
+    registry = store.upload_registry(spark, storage.fresh(spark, "registry"))
+    middle = rows.agg(F.avg("event_id")).first()[0]
+    for half in (F.col("event_id") <= middle, F.col("event_id") > middle):
+        registry.upsert(rows.where(half), order="event_id")
+    return registry.read().select("image_stem", F.col("ids")[0].alias("id"))
+
+
 @query("""SELECT '| r_regionkey | r_name |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || r_regionkey || ' | ' || r_name || ' |', chr(10) ORDER BY r_regionkey) AS report FROM region""")
 def k06_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return files.markdown_table(spark.read.parquet(f"{sf}/region.parquet"), ["r_regionkey", "r_name"], order=["r_regionkey"])

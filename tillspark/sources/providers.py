@@ -125,13 +125,3 @@ def normalised(answers: DataFrame, provider: Column, model: Column, prices: Data
     priced = priced.withColumns({"cost_usd": F.coalesce("_cost", estimate), "cost_source": F.when(F.col("_cost").isNull(), "estimate").otherwise("api")})
     said = F.when(~known, F.concat(F.lit("Unknown provider: "), F.coalesce("_provider", F.lit("none"))))
     return priced.withColumn("error", said).drop("_provider", "_model", "_cost", "rate_in", "rate_out")
-
-
-def upload_outcomes(results: DataFrame) -> DataFrame:
-    """K4: per receipt, items attempted, uploaded and failed, and the error to raise where any failed. Rows: receipt_id, ok, error."""
-    ok = F.coalesce("ok", F.lit(False))
-    by = results.groupBy("receipt_id").agg(
-        F.count(F.lit(1)).alias("items_attempted"), F.count_if(ok).alias("items_uploaded"), F.count_if(~ok).alias("items_failed"), F.min(F.when(~ok, F.col("error"))).alias("_first")
-    )
-    text = F.concat(F.col("items_failed").cast("string"), F.lit("/"), F.col("items_attempted").cast("string"), F.lit(" items failed: "), F.coalesce("_first", F.lit("unknown")))
-    return by.withColumn("error", F.when(F.col("items_failed") > 0, text)).drop("_first")
