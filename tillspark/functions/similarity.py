@@ -1,25 +1,112 @@
-"""Matching-block similarity (Ratcliff and Obershelp) as Arrow functions: no JVM expression computes it."""
+"""Matching-block similarity (Ratcliff and Obershelp): bounds as column expressions, the ratio itself as an Arrow function.
+
+No JVM expression computes the ratio, but two say what it can't exceed: the matched characters are at most those of the shorter
+text, and at most the characters that both have, each as often as in the text that has it less often. Both bounds are computed as the
+ratio is, so a pair whose bound lies below a threshold has its ratio below it too. Only pairs that may reach the threshold leave the
+JVM, and equal pairs are compared once by a worker that remembers them.
+"""
 
 from __future__ import annotations
 
 import difflib
+from functools import lru_cache
 
 import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType
+
+#: Pairs that a worker remembers.
+REMEMBERED = 1 << 16
+
+
+def length_bound(a: Column, b: Column) -> Column:
+    """The ratio is at most this, by the lengths alone; 1 for two empty texts."""
+    both = F.length(a) + F.length(b)
+    return F.when(both == 0, F.lit(1.0)).otherwise(F.lit(2.0) * F.least(F.length(a), F.length(b)) / both)
+
+
+def common_characters(a: Column, b: Column) -> Column:
+    """Number of characters that both texts have, counted as often as in the one that has each less often."""
+    count = lambda text, c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
+    return F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, c: n + F.when(c == "", 0).otherwise(F.least(count(a, c), count(b, c))))
+
+
+def character_bound(a: Column, b: Column) -> Column:
+    """The ratio is at most this, by the characters of both; never above the length bound."""
+    both = F.length(a) + F.length(b)
+    return F.when(both == 0, F.lit(1.0)).otherwise(F.lit(2.0) * common_characters(a, b) / both)
+
+
+def may_reach(a: Column, b: Column, threshold: float) -> Column:
+    """Whether the ratio may be this high; the cheaper bound goes first."""
+    return F.when(length_bound(a, b) < threshold, F.lit(False)).otherwise(character_bound(a, b) >= threshold)
+
+
+@lru_cache(REMEMBERED)
+def compare(a: str, b: str) -> float:
+    return difflib.SequenceMatcher(None, a, b).ratio()
 
 
 @F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the matched characters over both lengths; null where either is null."""
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([None if x is None or y is None else compare(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 @F.pandas_udf(IntegerType())
-def best_close_match(name: pd.Series, names: pd.Series) -> pd.Series:
-    """Index of the closest of names, of a ratio of 0.6 or more; null if there is none."""
+def _closest(name: pd.Series, names: pd.Series) -> pd.Series:
+    """Index of the name with the highest ratio of 0.6 or more, of equal ones the greatest text; null if there is none."""
     out = []
     for x, ys in zip(name, names, strict=True):
-        near = difflib.get_close_matches(x, list(ys), n=1, cutoff=0.6) if x else []
-        out.append(list(ys).index(near[0]) if near else None)
+        near = [(score, y) for y in ys if (score := compare(y, x)) >= 0.6] if x and ys is not None else []
+        out.append(list(ys).index(max(near)[1]) if near else None)
     return pd.Series(out, dtype="Int32")
+
+
+def with_closest(df: DataFrame, name: str, rows: str, text, out: str) -> DataFrame:
+    """df with `out`, of the array in column rows the element whose text is closest to the column name, of a ratio of 0.6 or more, else null.
+
+    Elements that can't reach it are left out before; where none is left, nothing is compared.
+    """
+    near = F.when(F.col(name) != "", F.filter(rows, lambda r: may_reach(text(r), F.col(name), 0.6)))
+    # Made once a row, by a generator: the optimiser would else copy it to where the Arrow function's result is used.
+    found = df.select("*", F.inline(F.array(F.struct(near.alias("_near")))))
+    some = F.size("_near") > 0
+    at = found.withColumn("_at", _closest(F.when(some, F.col(name)), F.when(some, F.transform("_near", text))))
+    return at.withColumn(out, F.get("_near", F.col("_at"))).drop("_near", "_at")
+
+
+def candidate_pairs(rows: Column, text, apart, threshold: float) -> Column:
+    """Of an array of rows the pairs of places (i < j) whose texts differ and may be this similar, unless apart(a, b) holds."""
+
+    def of(j: Column, b: Column) -> Column:
+        earlier = F.transform(F.slice(rows, F.lit(1), j), lambda a, i: F.when((text(a) != text(b)) & (text(a) != "") & (text(b) != "") & ~apart(a, b) & may_reach(text(a), text(b), threshold), F.struct(i.alias("i"), j.alias("j"))))
+        return F.array_compact(earlier)
+
+    return F.flatten(F.transform(rows, lambda b, j: of(j, b)))
+
+
+@F.pandas_udf(ArrayType(BooleanType()))
+def first_of_similar(keys: pd.Series, codes: pd.Series, pairs: pd.Series) -> pd.Series:
+    """Which items of an ordered list stay: those that equal or resemble (ratio 0.85, of the candidate pairs) none of the kept ones
+    before, or differ from them in code."""
+
+    def flags(names, code_list, candidates):
+        if names is None:
+            return None
+        near: dict[int, list[int]] = {}
+        for p in candidates:
+            if compare(names[p["j"]], names[p["i"]]) >= 0.85:
+                near.setdefault(p["j"], []).append(p["i"])
+        kept: dict[str, list[str]] = {}  # codes of the kept items of a name
+        out: list[bool] = []
+        for j, (name, code) in enumerate(zip(names, code_list, strict=True)):
+            equal = any(not (code and c and code != c) for c in kept.get(name, ()))
+            same = equal or any(out[i] for i in near.get(j, ()))  # pairs apart in code are no candidates
+            out.append(not same)
+            if not same:
+                kept.setdefault(name, []).append(code)
+        return out
+
+    return pd.Series([flags(n, c, p) for n, c, p in zip(keys, codes, pairs, strict=True)])

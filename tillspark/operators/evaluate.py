@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import similarity as S
 from ..functions import text as T
 
 
@@ -36,11 +37,9 @@ def matches(truth: DataFrame, output: DataFrame, *, fuzzy: bool = False) -> Data
     best = ranked.groupBy("stem", "t_idx").agg(F.min_by(F.struct("o_idx", "o_price", "o_amount"), "r").alias("b"), F.min("r.leg").alias("leg"))
     found = best.select("stem", "t_idx", "leg", "b.*")
     if fuzzy:
-        from ..functions.similarity import best_close_match
-
         lists = o.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("o_idx", "o_name", "o_price", "o_amount"))).alias("all"))
         rest = t.join(found.select("stem", "t_idx"), ["stem", "t_idx"], "left_anti").join(lists, "stem")
-        near = rest.withColumn("_at", best_close_match(F.col("t_name"), F.col("all.o_name"))).where("_at is not null").withColumn("b", F.get("all", F.col("_at")))
+        near = S.with_closest(rest, "t_name", "all", lambda x: x["o_name"], "b").where("b is not null")
         found = found.unionByName(near.select("stem", "t_idx", F.lit(2).alias("leg"), "b.o_idx", "b.o_price", "b.o_amount"))
     return t.join(found, ["stem", "t_idx"], "left")
 

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType
 
 from ..functions import fixed as X
+from ..functions import similarity as S
 from ..functions import text as T
 
 
@@ -87,38 +84,26 @@ def drop_exact_repeats(items: DataFrame) -> DataFrame:
     return items.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def drop_fuzzy_repeats(items: DataFrame) -> DataFrame:
-    """In order, an item goes if one that was kept has its price and nearly its name (ratio 0.85), and not another code.
-
-    The outcome depends on the order; the items of a receipt and price are a short list, and an Arrow function takes many at a time.
-    """
-
+def repeat_groups(items: DataFrame) -> DataFrame:
+    """W3's lists: receipt_id, _price, g (items in order with their keys) and pairs, the places of items that may be alike."""
     rows = items.withColumn("_key", T.dedup_key(F.col("name"))).withColumn("_price", T.merge_price_key(F.col("price")))
     row = F.struct("item_idx", F.col("_key").alias("key"), F.coalesce("code", F.lit("")).alias("code_key"), F.struct(*items.columns).alias("row"))
     groups = rows.groupBy("receipt_id", "_price").agg(F.array_sort(F.collect_list(row)).alias("g"))
-    # Single items need no comparison, so they stay out of the Arrow function.
-    flags = F.when(F.size("g") > 1, _first_of_similar(F.when(F.size("g") > 1, F.col("g.key")), F.when(F.size("g") > 1, F.col("g.code_key"))))
-    kept = groups.withColumn("f", flags).select(F.explode(F.filter("g", lambda x, i: F.coalesce(F.get(F.col("f"), i), F.lit(True)))).alias("x"))
-    return kept.select("x.row.*")
+    apart = lambda x, y: (x["code_key"] != "") & (y["code_key"] != "") & (x["code_key"] != y["code_key"])
+    return once(groups, pairs=S.candidate_pairs(F.col("g"), lambda x: x["key"], apart, 0.85))
 
 
-@F.pandas_udf(ArrayType(BooleanType()))
-def _first_of_similar(keys: pd.Series, codes: pd.Series) -> pd.Series:
-    """Which items of an ordered list stay: those that resemble none of the kept ones before, or differ from them in code."""
-
-    def flags(names, code_list):
-        if names is None:
-            return None
-        kept: list[tuple[str, str]] = []
-        out = []
-        for name, code in zip(names, code_list, strict=True):
-            same = any(not (code and c and code != c) and (name == k or (name and k and difflib.SequenceMatcher(None, name, k).ratio() >= 0.85)) for k, c in kept)
-            out.append(not same)
-            if not same:
-                kept.append((name, code))
-        return out
+def drop_fuzzy_repeats(items: DataFrame) -> DataFrame:
+    """In order, an item goes if one that was kept has its price and nearly its name (ratio 0.85), and not another code.
 
-    return pd.Series([flags(n, c) for n, c in zip(keys, codes, strict=True)])
+    The outcome depends on the order; the items of a receipt and price are a short list. Bounds say which pairs can be so similar; a
+    list without such pairs and without equal keys never leaves the JVM.
+    """
+    groups = repeat_groups(items)
+    work = (F.size("pairs") > 0) | (F.size(F.array_distinct("g.key")) < F.size("g"))
+    flags = F.when(work, S.first_of_similar(F.when(work, F.col("g.key")), F.when(work, F.col("g.code_key")), F.when(work, F.col("pairs"))))
+    kept = groups.withColumn("f", flags).select(F.explode(F.filter("g", lambda x, i: F.coalesce(F.get(F.col("f"), i), F.lit(True)))).alias("x"))
+    return kept.select("x.row.*")
 
 
 def late_filter(items: DataFrame) -> DataFrame:
@@ -149,12 +134,10 @@ def inject_weights(items: DataFrame, weights: DataFrame, *, fuzzy: bool = False)
     named = items.withColumn("_upper", F.upper(F.coalesce("name", F.lit(""))))
     exact = named.join(w.withColumnRenamed("key", "_upper"), ["receipt_id", "_upper"], "left").withColumn("_key", F.when(F.col("total").isNotNull(), F.col("_upper")))
     if fuzzy:
-        from ..functions.similarity import best_close_match
-
         lists = w.groupBy("receipt_id").agg(F.array_sort(F.collect_list(F.struct("key", "weight", "total"))).alias("all"))
         left = exact.where("_key is null").drop("weight", "total", "_key").join(lists, "receipt_id", "left")
-        at = left.withColumn("_at", best_close_match(F.col("_upper"), F.coalesce(F.col("all.key"), F.array().cast("array<string>"))))
-        near = at.withColumn("_hit", F.get("all", F.col("_at"))).select(*named.columns, F.col("_hit.weight").alias("weight"), F.col("_hit.total").alias("total"), F.col("_hit.key").alias("_key"))
+        near = S.with_closest(left, "_upper", "all", lambda x: x["key"], "_hit")
+        near = near.select(*named.columns, F.col("_hit.weight").alias("weight"), F.col("_hit.total").alias("total"), F.col("_hit.key").alias("_key"))
         exact = exact.where("_key is not null").unionByName(near)
     price = F.when(F.col("_key").isNotNull(), T.format_cents(T.price_cents(F.col("total")), F.col("currency"))).otherwise(F.col("price"))
     amount = F.when(F.col("_key").isNotNull(), F.concat("weight", F.lit(" kg"))).otherwise(F.col("amount"))

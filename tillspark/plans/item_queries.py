@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed as X
+from ..functions import similarity as S
 from ..functions import text as T
 from ..operators import chunks, items
 from .derive import derived, duck, ocr_texts
@@ -87,6 +88,30 @@ def w03_exact_repeats(spark: SparkSession, sf: str) -> DataFrame:
     return items.drop_exact_repeats(valid_items(spark, sf)).select(*COLS)
 
 
+#: Keys of items of one receipt and price, in order; of each pair of different keys what its ratio can't exceed.
+PAIRS = r""", keyed AS (
+    SELECT receipt_id, currency, item_idx, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS k, regexp_replace(price, '[A-Za-z]+$', '') AS p, code FROM valid
+), pairs AS (
+    SELECT a.currency, a.k AS x, b.k AS y FROM keyed a JOIN keyed b ON a.receipt_id = b.receipt_id AND a.p = b.p AND a.item_idx < b.item_idx
+    WHERE a.k <> b.k AND a.k <> '' AND b.k <> '' AND NOT (a.code <> '' AND b.code <> '' AND a.code <> b.code)
+), bounds AS (
+    SELECT currency, 2.0 * least(length(x), length(y)) / (length(x) + length(y)) AS by_length,
+           2.0 * list_sum(list_transform(list_distinct(string_split(x, '')), lambda c: least(length(x) - length(replace(x, c, '')), length(y) - length(replace(y, c, ''))))) / (length(x) + length(y)) AS by_characters FROM pairs
+)"""
+
+
+@query(duck("items") + VALID + PAIRS + """ SELECT currency, count(*) AS pairs, count(*) FILTER (WHERE by_length >= 0.85) AS long_enough, count(*) FILTER (WHERE by_characters >= 0.85) AS compared FROM bounds GROUP BY currency""")
+def w03_pruned_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """How many pairs the bounds leave to be compared."""
+    groups = items.repeat_groups(valid_items(spark, sf).select(*COLS))
+    apart = lambda x, y: (x["code_key"] != "") & (y["code_key"] != "") & (x["code_key"] != y["code_key"])
+    every = groups.select(F.col("g")[0]["row"]["currency"].alias("currency"), F.size(S.candidate_pairs(F.col("g"), lambda x: x["key"], apart, 0.0)).alias("n"), "pairs", "g")
+    key = lambda i: F.get(F.col("g"), i)["key"]
+    long_enough = F.size(F.filter(S.candidate_pairs(F.col("g"), lambda x: x["key"], apart, 0.0), lambda p: S.length_bound(key(p["i"]), key(p["j"])) >= 0.85))
+    total = lambda c, name: F.sum(c).cast("long").alias(name)
+    return every.groupBy("currency").agg(total(F.col("n"), "pairs"), total(long_enough, "long_enough"), total(F.size("pairs"), "compared")).where("pairs > 0")
+
+
 @query()
 def w03_fuzzy_repeats(spark: SparkSession, sf: str) -> DataFrame:
     return items.drop_fuzzy_repeats(valid_items(spark, sf).select(*COLS))

@@ -13,9 +13,7 @@ from .journal import Journal
 
 def token_for(request_token: str | None, environment_token: str) -> str:
     """The request's own token, without its "Bearer " prefix, goes before the environment's."""
-    own = (request_token or "").strip()
-    own = own.removeprefix("Bearer ").strip()
-    return own or environment_token
+    return (request_token or "").removeprefix("Bearer ").strip() or environment_token
 
 
 def upload(journal: Journal, flat: DataFrame, send: Callable[[dict], dict], *, attempts: int = 3, wait_s: float = 1.0, **how) -> tuple[DataFrame, DataFrame]:
