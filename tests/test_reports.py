@@ -106,6 +106,6 @@ def test_cost_aware_chain(spark, tmp_path):
     assert got == [(1, "clod", True, 5), (2, "openrouter", True, 7), (3, "openrouter", True, 8), (4, "clod", False, None)]
     runs = spark.createDataFrame([("p", 10.0, True, 1, False), ("p", 30.0, False, 3, True)], "g string, latency_ms double, ok boolean, attempts int, tripped boolean")
     stats = resilience.run_statistics(runs, ["g"])
-    assert stats.first().asDict() == {"g": "p", "success_pct": 50.0, "avg_attempts": 2.0, "per_minute": 3000.0, "trips": 1, "p50_ms": 10.0, "p99_ms": 30.0}
+    assert stats.first().asDict() == {"g": "p", "success_pct": 50.0, "avg_attempts": 2.0, "trips": 1, "p50_ms": 10.0, "p99_ms": 30.0}
     resilience.write_run(stats, str(tmp_path / "run"), order=["g"])
     assert spark.read.json(str(tmp_path / "run" / "json")).count() == 1 and spark.read.text(str(tmp_path / "run" / "markdown")).count() == 3

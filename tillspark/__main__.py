@@ -35,11 +35,12 @@ OCR = ("image_name", "trace_id", "ocr_latency_ms latency_ms", "ocr_success succe
 END = ("llm_provider provider", "llm_model model", "total_latency_ms latency_ms", "success")
 
 
-def log_report(spark: SparkSession, path: str) -> DataFrame:
+def log_report(spark: SparkSession, path: str, truth: str | None = None, output: str | None = None) -> DataFrame:
     events = files.read_logs(spark, path)
     of = lambda kind, columns: events.where(F.col("event") == kind).selectExpr(*columns)
-    none = spark.createDataFrame([], "stem string, truth long")
-    return reports.baseline(of("llm_extraction", CALL), of("adi_ocr", OCR), of("pipeline_complete", END), none)
+    counts = reports.truth_counts(spark, truth) if truth else spark.createDataFrame([], "stem string, truth long")
+    lines = reports.baseline(of("llm_extraction", CALL), of("adi_ocr", OCR), of("pipeline_complete", END), counts)
+    return lines.unionByName(reports.accuracy(spark, output, truth)) if truth and output else lines
 
 
 def show(lines: DataFrame, out: str | None) -> None:
@@ -92,7 +93,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = SparkSession.builder.appName("tillspark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command == "report":
-        show(log_report(spark, args.paths[0]), args.out)
+        show(log_report(spark, args.paths[0], args.truth, args.output), args.out)
     elif args.command == "eval":
         show(reports.evaluation(spark, *args.paths[:2]), args.out)
     elif args.command == "run":

@@ -15,7 +15,7 @@ class Settings:
     openrouter_model: str = "anthropic/claude-haiku-4.5"
     clod_model: str = "google/gemma-3n-E4B-it"
     fallback_model: str = "openai/gpt-4o-mini"
-    server_url: str = "http://localhost:8080/api/v1"
+    server_url: str = ""
     token: str = ""
     retries: int = 3
     timeout_s: int = 120
@@ -27,11 +27,11 @@ class Settings:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, root: str = "") -> Settings:
-        """LLM_PROVIDER, OR_DEFAULT_MODEL, CLOD_DEFAULT_MODEL, GYD_SERVER_URL, GYD_ACCESS_TOKEN, CLOD_RETRIES, CLOD_TIMEOUT; folders lie below root."""
+        """LLM_PROVIDER, OR_DEFAULT_MODEL, CLOD_DEFAULT_MODEL, UPLOAD_SERVER_URL, UPLOAD_TOKEN, CLOD_RETRIES, CLOD_TIMEOUT; folders lie below root."""
         env = os.environ if env is None else env
         names = {
-            "provider": "LLM_PROVIDER", "openrouter_model": "OR_DEFAULT_MODEL", "clod_model": "CLOD_DEFAULT_MODEL", "server_url": "GYD_SERVER_URL",
-            "token": "GYD_ACCESS_TOKEN", "retries": "CLOD_RETRIES", "timeout_s": "CLOD_TIMEOUT",
+            "provider": "LLM_PROVIDER", "openrouter_model": "OR_DEFAULT_MODEL", "clod_model": "CLOD_DEFAULT_MODEL", "server_url": "UPLOAD_SERVER_URL",
+            "token": "UPLOAD_TOKEN", "retries": "CLOD_RETRIES", "timeout_s": "CLOD_TIMEOUT",
         }
         given = {field: env[name] for field, name in names.items() if name in env}
         made = cls(**{k: int(v) if k in ("retries", "timeout_s") else v.lower() if k == "provider" else v for k, v in given.items()})

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
+from .functions import fixed as X
 from .functions import text as T
 from .operators import evaluate, logs
 from .sources import files
@@ -27,20 +29,45 @@ def _row(cells: list[Column]) -> Column:
     return F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(c.cast("string"), F.lit(DASH)) for c in cells]), F.lit(" |"))
 
 
-def _whole(c: Column) -> Column:
-    return F.format_number(c.cast("double"), 0)
-
+def boxed(rows: DataFrame, header: tuple[str, ...], order: list[str]) -> DataFrame:
+    """K6: place, line: a table in a box, each column as wide as its widest cell. rows: cells array<string> and the columns of order.
 
-def eval_lines(statuses: DataFrame, scored: DataFrame) -> DataFrame:
-    """stem, line: a table row for each truth receipt, with marks, matched items and the score, or why there is none."""
-    both = statuses.select("stem", "gt_items", "status").join(scored, "stem", "left")
+    Widths come from one aggregate, of which one row comes back; lines are padded by all tasks.
+    """
+    cells = rows.select(*order, F.transform("cells", lambda c: F.coalesce(c, F.lit(DASH))).alias("cells"))
+    wide = cells.agg(*[F.greatest(F.max(F.length(F.get("cells", F.lit(k)))), F.lit(len(h))).alias(f"w{k}") for k, h in enumerate(header)])
+    wide = wide.select(F.array(*[F.coalesce(f"w{k}", F.lit(len(h))) for k, h in enumerate(header)]).alias("_w"))
+    padded = lambda c: F.concat(F.lit("| "), F.array_join(F.zip_with(c, F.col("_w"), lambda x, w: F.rpad(x, w, F.lit(" "))), " | "), F.lit(" |"))
+    rule = F.concat(F.lit("+-"), F.array_join(F.transform("_w", lambda w: F.repeat(F.lit("-"), w)), "-+-"), F.lit("-+"))
+    fixed = [("0", rule), ("1", padded(F.array(*map(F.lit, header)))), ("2", rule), ("a", rule)]
+    frame = wide.select(F.inline(F.array(*[F.struct(F.lit(p).alias("place"), c.alias("line")) for p, c in fixed])))
+    body = cells.crossJoin(F.broadcast(wide))  # one row
+    return frame.unionByName(body.select(F.concat_ws("\x1f", F.lit("9"), *[F.col(c).cast("string") for c in order]).alias("place"), padded(F.col("cells")).alias("line")))
+
+
+def eval_cells(statuses: DataFrame, scored: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and cells of each truth receipt: marks, matched items and the score, or why there is none."""
+    both = statuses.select(*keys, "gt_items", "status").join(scored, keys, "left")
     got = F.col("status") == "scored"
     mark = lambda c: F.when(got, F.when(F.col(c), "✓").otherwise("✗"))
     share = lambda c: F.when(got, F.concat_ws("/", F.col(c).cast("string"), F.col("n").cast("string")))
     score = F.when(got, F.concat(F.format_string("%.1f", F.col("overall")), F.lit("%"))).otherwise(F.col("status"))
     flags = [mark(c) for c in ("store_ok", "date_ok", "lat_ok", "lon_ok", "count_ok")]
     cells = [F.concat("stem", F.lit(".jpg")), F.col("gt_items"), *flags, *[share(c) for c in ("names", "prices", "amounts")], score]
-    return both.select("stem", _row(cells).alias("line"))
+    return both.select(*keys, F.array(*[c.cast("string") for c in cells]).alias("cells"))
+
+
+def _line(cells: str) -> Column:
+    return F.concat(F.lit("| "), F.array_join(F.transform(cells, lambda c: F.coalesce(c, F.lit(DASH))), " | "), F.lit(" |"))
+
+
+def _whole(c: Column) -> Column:
+    return F.format_number(c.cast("double"), 0)
+
+
+def eval_lines(statuses: DataFrame, scored: DataFrame) -> DataFrame:
+    """stem, line: a table row for each truth receipt."""
+    return eval_cells(statuses, scored, ["stem"]).select("stem", _line("cells").alias("line"))
 
 
 def provider_lines(summary: DataFrame, accuracy: DataFrame) -> DataFrame:
@@ -59,6 +86,10 @@ def provider_lines(summary: DataFrame, accuracy: DataFrame) -> DataFrame:
     return both.select("provider", "model", _row(cells).alias("line"))
 
 
+def _head(header: tuple[str, ...]) -> list[str]:
+    return ["| " + " | ".join(header) + " |", "| " + " | ".join("-" * len(h) for h in header) + " |"]
+
+
 def _table(section: str, header: tuple[str, ...], rows: DataFrame, order: list[str]) -> DataFrame:
     """Lines of a section: title, header, rows in order. Places are texts that sort as the rows do."""
     spark = rows.sparkSession
@@ -86,6 +117,59 @@ def evaluation(spark: SparkSession, output_dir: str, truth_dir: str, section: st
     return table.union(scored.agg(F.lit(section), F.lit("a"), text).toDF("section", "place", "line").where("line is not null"))
 
 
+def quality_finding(scored: DataFrame) -> DataFrame:
+    """Place, line: each provider's share of matched prices, the best first; receipts that two of them differ on by 30 points or
+    more; and, where there are such, which provider is the weakest and which the strongest. scored: provider, stem, prices, n."""
+    percent = lambda c: F.concat(F.format_string("%.0f", F.bround(c * 100, 0)), F.lit("%"))
+    scored = storage.written(scored.select("provider", "stem", "prices", "n"), "scored")  # ranks, gaps and the ends all read it
+    ranks = evaluate.price_ranks(scored)
+    overall = ranks.select(F.format_string("0 %09d", F.col("rank")).alias("place"), F.concat(F.lit("- **"), "provider", F.lit("**: "), percent(F.col("price_match")), F.lit(" overall price match")).alias("line"))
+    gaps = evaluate.provider_gaps(scored)
+    shown = F.concat(F.lit("- **"), "stem", F.lit(":** "), "stronger", F.lit(" "), percent(F.col("high")), F.lit(" vs "), "weaker", F.lit(" "), percent(F.col("low")))
+    each = gaps.select(F.concat(F.lit("2 "), "stem").alias("place"), shown.alias("line"))
+    some = gaps.agg(F.count(F.lit(1)).alias("_gaps"))
+    ends = ranks.agg(F.max_by("provider", "price_match").alias("_best"), F.min_by("provider", F.struct("price_match", "rank")).alias("_worst"), F.min_by("provider", "rank").alias("_first"))
+    said = F.concat("_worst", F.lit(X.WEAKEST), "_first", F.lit(X.STRONGEST))
+    frame = F.array(F.struct(F.lit("1").alias("place"), F.lit(X.GAP_TITLE).alias("line")), F.struct(F.lit("3").alias("place"), said.alias("line")))
+    closing = ends.crossJoin(F.broadcast(some)).where("_gaps > 0").select(F.inline(frame))  # one row with one row
+    return overall.unionByName(each).unionByName(closing)
+
+
+def accuracy(spark: SparkSession, output_dir: str, truth_dir: str, labels: dict[str, str] | None = None) -> DataFrame:
+    """Lines (section, place, line) of field-level accuracy: for each provider's folder its table and average, then the finding on prices.
+
+    All folders are scored in one pass, with the folder as part of a receipt's key. labels: folder -> name to be shown.
+    """
+    folders = storage.children(output_dir)
+    labels = {f: (labels or {}).get(f, f) for f in folders if not f.startswith(("_", "."))}
+    if not labels:
+        return spark.createDataFrame([], "section string, place string, line string")
+    names = F.explode(F.array(*map(F.lit, labels)))  # a provider and model each
+    items = [_items(spark, f"{output_dir.rstrip('/')}/{f}") for f in labels]
+    keyed = lambda rows, f: rows.withColumn("folder", F.lit(f))
+    output = reduce(DataFrame.unionByName, (keyed(i[0], f) for f, i in zip(labels, items, strict=True)))
+    listed = reduce(DataFrame.unionByName, (keyed(i[1], f) for f, i in zip(labels, items, strict=True)))
+    truth = _items(spark, truth_dir)[0].withColumn("folder", names)
+    joint = lambda rows: rows.withColumn("stem", F.concat_ws("\x1f", "folder", "stem")).drop("folder")
+    apart = lambda rows: rows.withColumns({"folder": F.split("stem", "\x1f")[0], "stem": F.split("stem", "\x1f")[1]})
+    scored = storage.written(apart(evaluate.scores(joint(truth), joint(output), fuzzy=True)), "scored")
+    statuses = apart(evaluate.statuses(joint(truth), joint(output), joint(listed)))
+    rows = eval_cells(statuses, scored, ["folder", "stem"]).select("folder", "stem", _line("cells").alias("line"))
+    shown = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    section = F.concat(F.lit("Field-Level Accuracy: "), shown[F.col("folder")])
+    head = rows.select("folder").distinct().select(section.alias("section"), F.inline(F.array(*[F.struct(F.lit(f"1{k}").alias("place"), F.lit(t).alias("line")) for k, t in enumerate(_head(EVAL_HEADER))])))
+    average = F.concat(F.lit("**Avg score: "), F.format_string("%.1f", F.avg("overall")), F.lit("%** over "), F.count(F.lit(1)).cast("string"), F.lit(" receipts"))
+    averages = scored.groupBy("folder").agg(average.alias("line")).select(section.alias("section"), F.lit("0").alias("place"), "line")
+    body = rows.select(section.alias("section"), F.concat_ws("\x1f", F.lit("9"), "stem").alias("place"), "line")
+    finding = quality_finding(scored.withColumn("provider", shown[F.col("folder")])).select(F.lit("Quality Finding: Price Extraction by Provider").alias("section"), "place", "line")
+    return averages.unionByName(head).unionByName(body).unionByName(finding)
+
+
+def truth_counts(spark: SparkSession, truth_dir: str) -> DataFrame:
+    """Stem, truth: the number of true items of each receipt."""
+    return files.read_items(spark, truth_dir).where("items is not null").select("stem", F.size("items").cast("long").alias("truth"))
+
+
 def baseline(calls: DataFrame, ocr: DataFrame, ends: DataFrame, truth_counts: DataFrame) -> DataFrame:
     """The lines of the baseline report: OCR, providers, each call, findings.
 
