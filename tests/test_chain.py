@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillspark import channel, pipeline, storage
-from tillspark.sources import files, journal, providers, sink
+from tillspark.sources import fetch, files, journal, providers, sink
 
 
 def tree(folder):
@@ -161,3 +161,24 @@ def test_replies_of_both_providers(spark):
         ("{}", 1000, 200, None, 0.0, "estimate", "Unknown provider: other"), ("{}", 0, 0, "g1", 0.5, "api", None), ("", 0, 0, None, 0.0, "estimate", None),
     ]
     assert storage.children("/nowhere/at/all") == []
+
+
+def test_mixed_sources(spark, tmp_path):
+    (tmp_path / "a.jpg").write_bytes(b"a" * 1000)
+    (tmp_path / "b.PNG").write_bytes(b"b" * 10)
+    (tmp_path / "c.csv").write_text("never read")
+    drive = "https://drive.google.com/file/d/F1/view?usp=x"
+    sources = [f"{tmp_path}/a.jpg", f"file://{tmp_path}/b.PNG", f"{tmp_path}/c.csv", f"{tmp_path}/gone.jpg", "odd://x/y.jpg", "http://h/down.jpg", drive, f"{tmp_path}/a.jpg", None]
+
+    def get(address):
+        if "down.jpg" in address:
+            raise TimeoutError("60 s")
+        return address.encode()
+
+    df = spark.createDataFrame([(s,) for s in sources], "source string")
+    got = {r["source"]: (r["name"], bytes(r["content"]) if r["content"] is not None else None, (r["error"] or "").partition(":")[0]) for r in fetch.read_sources(df, fetch=get, task_bytes=100).collect()}
+    assert got == {
+        sources[0]: ("a.jpg", b"a" * 1000, ""), sources[1]: ("b.PNG", b"b" * 10, ""), sources[2]: ("c.csv", None, "not an image"), sources[3]: ("gone.jpg", None, "File not found"),
+        sources[4]: ("y.jpg", None, "ArrowInvalid"), sources[5]: ("down.jpg", None, "TimeoutError"), drive: ("view.jpg", b"https://drive.google.com/uc?export=download&id=F1", ""), None: (None, None, "no source"),
+    }
+    assert fetch.read_sources(df.where("false")).count() == 0

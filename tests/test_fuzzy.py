@@ -7,7 +7,7 @@ from collections import defaultdict
 
 from tillspark import plans
 from tillspark.functions import fixed as X
-from tillspark.functions import text as T
+from tillspark.operators import items
 from tillspark.plans.derive import derived, ocr_texts
 from tillspark.plans.item_queries import COLS, valid_items
 
@@ -103,8 +103,8 @@ def test_fuzzy_matches(spark):
 def test_fuzzy_weights(spark):
     """Prices and amounts of weight-priced lines on the items they name, and a new item for each line that names none."""
     weights = defaultdict(dict)
-    for r in ocr_texts(spark, SF).select("receipt_id", T.weight_items(T.F.col("ocr")).alias("w")).collect():
-        for w in r["w"]:
+    for r in items.weight_items(ocr_texts(spark, SF)).collect():
+        for w in r["items"]:
             weights[r["receipt_id"]][w["name"]] = w
     source = by_receipt(derived(spark, SF, "items").drop("cents"))
     want, near = [], 0

@@ -109,3 +109,32 @@ def test_cost_aware_chain(spark, tmp_path):
     assert stats.first().asDict() == {"g": "p", "success_pct": 50.0, "avg_attempts": 2.0, "trips": 1, "p50_ms": 10.0, "p99_ms": 30.0}
     resilience.write_run(stats, str(tmp_path / "run"), order=["g"])
     assert spark.read.json(str(tmp_path / "run" / "json")).count() == 1 and spark.read.text(str(tmp_path / "run" / "markdown")).count() == 3
+
+
+def test_report_with_truth_and_outputs(spark, tmp_path, capsys):
+    """Truth counts in the provider table, and the accuracy of two providers with a finding on their prices."""
+    truth, out = tmp_path / "truth", tmp_path / "out"
+    for folder, price in ((truth, "2.00USD"), (out / "clod-m", "2.00USD"), (out / "openrouter-m", "9.00USD")):
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text(receipt(("OAT MILK", "4.79USD"), ("TEA", price)))
+    (truth / "b.json").write_text(receipt(("EGG", "1.00USD")))
+    call = {"event": "llm_extraction", "llm_success": True, "llm_input_tokens": 100, "llm_output_tokens": 10, "llm_cost_usd": 0.004, "items_extracted": 2, "image_name": "a.jpg", "llm_latency_ms": 5.0}
+    (tmp_path / "logs").mkdir()
+    events = [call | {"time": f"2026-01-03T00:0{k}:00", "trace_id": f"t{k}", "llm_provider": p, "llm_model": "x/M"} for k, p in enumerate(("clod", "openrouter"))]
+    (tmp_path / "logs" / "etl_1.jsonl").write_text("\n".join(map(json.dumps, events)))
+    assert cli.main(["report", str(tmp_path / "logs"), "--truth", str(truth), "--output", str(out)]) == 0
+    lines = capsys.readouterr().out.splitlines()
+    assert any(line.startswith("| clod | M | 1 |") and line.endswith("| 1/1 |") for line in lines)
+    assert "| a.jpg | 2 | ✓ | ✓ | ✓ | ✓ | ✓ | 2/2 | 2/2 | 2/2 | 100.0% |" in lines and "| a.jpg | 2 | ✓ | ✓ | ✓ | ✓ | ✓ | 2/2 | 1/2 | 2/2 | 93.8% |" in lines
+    assert sum(line.startswith("| b.jpg | 1 |") and line.endswith("| no output |") for line in lines) == 2
+    assert lines[-5:] == [
+        "- **clod-m**: 100% overall price match", "- **openrouter-m**: 50% overall price match", "Receipts with a ≥ 30 percentage-point price match gap:", "- **a:** clod-m 100% vs openrouter-m 50%",
+        "openrouter-m is extracting per-unit rates or subtotals instead of line-item totals on multi-column receipts. clod-m handles these layouts correctly.",
+    ]
+
+
+def test_boxed_table(spark):
+    rows = spark.createDataFrame([(2, ["ä", None]), (1, ["long cell", "1"])], "k int, cells array<string>")
+    lines = [r["line"] for r in reports.boxed(rows, ("A", "Count"), ["k"]).orderBy("place").collect()]
+    assert lines == ["+-----------+-------+", "| A         | Count |", "+-----------+-------+", "| long cell | 1     |", "| ä         | —     |", "+-----------+-------+"]
+    assert [r["line"] for r in reports.boxed(rows.where("false"), ("A", "Count"), ["k"]).orderBy("place").collect()][1] == "| A | Count |"

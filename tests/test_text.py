@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 from tillspark.functions import fixed as X
 from tillspark.functions import stats
 from tillspark.functions import text as T
-from tillspark.operators import chunks
+from tillspark.operators import chunks, items
 
 
 def value(spark, column_of, text):
     return spark.createDataFrame([(text,)], "t string").select(column_of(F.col("t")).alias("v")).first()["v"]
 
 
+def weighed(spark, text):
+    return items.weight_items(spark.createDataFrame([("r", text)], "receipt_id string, ocr string")).first()["items"]
+
+
 @pytest.mark.parametrize(
     ("function", "text", "expected"),
     [
@@ -92,9 +96,9 @@ def test_scalar(spark, function, text, expected):
 
 def test_weight_items(spark):
     text = "27-PRODUCE\n4011 BANANAS MRJ\n1. 160 kg @ $ 1. 72 /kg 2.00\nGRAPES\n0.500 kg @ $3.00/kg\nx\n1.50\n"
-    assert [tuple(r) for r in value(spark, T.weight_items, text)] == [("BANANAS", "1.160", "2.00"), ("GRAPES", "0.500", "1.50")]
+    assert [tuple(r) for r in weighed(spark, text)] == [("BANANAS", "1.160", "2.00"), ("GRAPES", "0.500", "1.50")]
     twice = "A\n1.0 kg @ $1.0/kg 1.00\na\n2.0 kg @ $1.0/kg 2.00"
-    assert [tuple(r) for r in value(spark, T.weight_items, twice)] == [("A", "2.0", "2.00")]
+    assert [tuple(r) for r in weighed(spark, twice)] == [("A", "2.0", "2.00")]
 
 
 def test_address(spark):

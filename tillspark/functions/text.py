@@ -221,27 +221,39 @@ def address_for_geocoder(address: Column) -> Column:
     return strip(F.replace(F.array_join(kept, " "), F.lit(X.REMOVED_FROM_ADDRESS), F.lit("")))
 
 
-def weight_items(ocr: Column) -> Column:
-    """Array of (name, weight, total) of weight-priced lines, in order; with equal names the last counts.
+def weight_lines(ocr: Column) -> Column:
+    """Of each line of the raw part what the search for weight-priced items asks: array of structs, each pattern tried once a line."""
+    name_of = lambda x: strip(F.regexp_replace(F.regexp_replace(x, r"^\d+\s+", ""), r"(?i)\s+MRJ\s*$", ""))
+
+    def read(x: Column) -> Column:
+        clean, bare = strip(join_spaced_decimals(x)), strip(x)
+        priced = F.regexp_extract_all(clean, F.lit(X.WEIGHT_LINE), F.lit(0))
+        return F.struct(
+            F.when(F.size(priced) > 0, F.struct(F.regexp_extract(clean, X.WEIGHT_LINE, 1).alias("weight"), F.regexp_extract(clean, X.WEIGHT_LINE, 3).alias("total"))).alias("priced"),
+            F.when(clean.rlike(r"^\d+\.\d+$"), clean).alias("number"),
+            F.when((bare != "") & (F.upper(bare) != "MRJ"), name_of(bare)).alias("name"),
+        )
+
+    return F.transform(body_lines(F.split(ocr, r"\n---\n", 2)[0]), read)
 
-    Each weight line looks 3 lines ahead for a missing total and 4 back for its name.
-    """
-    all_lines = body_lines(F.split(ocr, r"\n---\n", 2)[0])
-    clean = lambda x: strip(join_spaced_decimals(x))
-    name_of = lambda x: strip(F.regexp_replace(F.regexp_replace(strip(x), r"^\d+\s+", ""), r"(?i)\s+MRJ\s*$", ""))
+
+def priced_by_weight(lines_: Column) -> Column:
+    """Of weight_lines() the weight-priced items in order: a missing total from the 3 lines ahead, the name from the 4 before."""
 
     def read(x: Column, i: Column) -> Column:
-        own = F.regexp_extract(clean(x), X.WEIGHT_LINE, 3)
-        ahead = F.filter(F.transform(F.slice(all_lines, i + 2, F.lit(3)), clean), lambda y: y.rlike(r"^\d+\.\d+$"))
-        total = F.when(own != "", own).otherwise(F.get(ahead, F.lit(0)))
+        own = F.nullif(x["priced"]["total"], F.lit(""))
+        ahead = F.filter(F.slice(lines_, i + 2, F.lit(3)), lambda y: y["number"].isNotNull())
         first = F.greatest(F.lit(0), i - 4)
-        back = F.reverse(F.slice(all_lines, first + 1, i - first))
-        usable = F.filter(back, lambda y: (strip(y) != "") & (F.upper(strip(y)) != "MRJ") & ~name_of(y).rlike(r"^\d+-[A-Z]+$"))
-        name = F.upper(name_of(F.get(usable, F.lit(0))))
-        return F.when(clean(x).rlike(X.WEIGHT_LINE) & total.isNotNull() & (name != ""), F.struct(name.alias("name"), F.regexp_extract(clean(x), X.WEIGHT_LINE, 1).alias("weight"), total.alias("total")))
+        usable = F.filter(F.slice(lines_, first + 1, i - first), lambda y: y["name"].isNotNull() & ~y["name"].rlike(r"^\d+-[A-Z]+$"))
+        total, name = F.coalesce(own, F.get(ahead, F.lit(0))["number"]), F.upper(F.get(usable, F.size(usable) - 1)["name"])
+        return F.when(x["priced"].isNotNull(), F.struct(name.alias("name"), x["priced"]["weight"].alias("weight"), total.alias("total")))
+
+    return F.filter(F.transform(lines_, read), lambda s: s.isNotNull() & (s["name"] != "") & s["total"].isNotNull())
+
 
-    found = F.filter(F.transform(all_lines, read), lambda s: s.isNotNull())
-    return F.filter(found, lambda s, i: F.size(F.filter(found, lambda o, j: (j > i) & (o["name"] == s["name"]))) == 0)
+def last_of_each_name(found: Column) -> Column:
+    """Of equal names the last counts."""
+    return F.filter(found, lambda s, i: ~F.exists(F.slice(found, i + 2, F.size(found)), lambda o: o["name"] == s["name"]))
 
 
 def line_context(ocr: Column, name: Column, window: int = 3) -> Column:

@@ -125,6 +125,18 @@ def upload_rows(flat: DataFrame) -> DataFrame:
     return flat.select("receipt_id", "item_idx", "productName", date.alias("purchaseDate"), "price", "amount", "storeName")
 
 
+def weight_items(texts: DataFrame, *, id_col: str = "receipt_id", ocr_col: str = "ocr") -> DataFrame:
+    """Id, items: array of (name, weight, total) of weight-priced lines, in order; with equal names the last counts. No shuffle."""
+    rows = once(texts.select(id_col, ocr_col), _lines=T.weight_lines(F.col(ocr_col)))
+    rows = once(rows.select(id_col, "_lines"), _found=T.priced_by_weight(F.col("_lines")))
+    return rows.select(id_col, T.last_of_each_name(F.col("_found")).alias("items"))
+
+
+def weight_rows(texts: DataFrame, *, id_col: str = "receipt_id", ocr_col: str = "ocr") -> DataFrame:
+    """Id, name, weight, total, a row for each."""
+    return weight_items(texts, id_col=id_col, ocr_col=ocr_col).select(id_col, F.inline("items"))
+
+
 def inject_weights(items: DataFrame, weights: DataFrame, *, fuzzy: bool = False) -> DataFrame:
     """Weight-priced lines override the items of their name; those without an item are appended.
 

@@ -116,7 +116,7 @@ def open_items(prepared: DataFrame, answers: DataFrame, weights: bool = True) ->
     flat = first.withColumn("item_idx", F.col("chunk_idx").cast("long") * 100_000 + F.col("pos")).join(named, "receipt_id")
     valid = items.drop_fuzzy_repeats(items.validate(flat.select("receipt_id", "item_idx", "store", "purchase_date", "currency", "name", "code", "price", "amount")))
     if weights:
-        valid = items.inject_weights(valid, prepared.select("receipt_id", F.inline(T.weight_items(F.col("ocr")))), fuzzy=True)
+        valid = items.inject_weights(valid, items.weight_rows(prepared), fuzzy=True)
     return valid, named
 
 

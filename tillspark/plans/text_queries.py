@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed as X
 from ..functions import text as T
-from ..operators import chunks
+from ..operators import chunks, items
 from .derive import derived, duck, ocr_texts
 from .registry import query
 
@@ -149,7 +149,7 @@ hits AS (SELECT t.receipt_id, t.n, any_value(weight) AS weight, any_value(total)
   FROM t JOIN names b ON b.receipt_id = t.receipt_id AND b.n BETWEEN t.n - 4 AND t.n - 1 AND NOT regexp_matches(b.name, '^\d+-[A-Z]+$') WHERE total IS NOT NULL GROUP BY t.receipt_id, t.n)
 SELECT receipt_id, name, arg_max(weight, n) AS weight, arg_max(total, n) AS total FROM hits WHERE name <> '' GROUP BY receipt_id, name""")
 def t16_weight_items(spark: SparkSession, sf: str) -> DataFrame:
-    return ocr_texts(spark, sf).select("receipt_id", F.inline(T.weight_items(F.col("ocr"))))
+    return items.weight_rows(ocr_texts(spark, sf))
 
 
 @query(duck("ocr_texts") + r""", split AS (SELECT receipt_id, ocr, string_split(regexp_replace(ocr, '\n$', ''), chr(10)) AS lines FROM ocr_texts),
