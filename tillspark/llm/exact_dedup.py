@@ -8,7 +8,7 @@ columns on the hash; only groups of two or more take part, and adaptive executio
 Defined results: a null text counts as empty; ties cannot occur because ids are compared; rows that repeat an id together
 with its text are one document stored several times: each counts in group_size and all get the same verdict in
 `exact_dedup`, while `unique_rows` keeps exactly one row per text. Rows with a null id take part and stay only if no row of
-their group has an id; keep_id is then null. An empty table gives an empty result. Other columns are ignored, whatever their
+their group has an id; keep_id is then null. Texts of any length are hashed and compared whole. An empty table gives an empty result. Other columns are ignored, whatever their
 names, by `exact_dedup`, and carried along by `unique_rows`.
 """
 

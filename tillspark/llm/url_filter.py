@@ -10,8 +10,8 @@ that its interval meets.
 Host: what follows the first "://" up to "/", "?", "#" or the end, with A-Z lower-cased; path: from there up to "?", "#" or the
 end. A null URL, or one without "://", has an empty host and path and fits no rule. Of fitting rules the longest (characters of
 host and path together) wins; ties go to the longer host, then to "block", then to the smaller rule text. Repeated URLs get one
-row each, repeated rules count once, a null or empty rule host fits nothing, and an empty table gives an empty result. Other
-columns of the input are ignored.
+row each, also those without a page_id; URLs are judged whole, however long. Repeated rules count once, a null or empty rule host
+fits nothing, and an empty table gives an empty result. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
