@@ -41,12 +41,12 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return ngram_join.keep_one(docs, words=5, num=80, den=100)
 
 
-def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by format-preserving pseudonyms; n_chars follows the new text.
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, key: str = PII_KEY) -> DataFrame:
+    """Personal data is replaced by format-preserving pseudonyms under the key; n_chars follows the new text.
 
     A null text stays null, with n_chars null, and an empty one empty. Rows are changed each by itself, repeated ones alike.
     """
-    return pii.with_new_length(pii.pseudonymise(docs, key=PII_KEY))
+    return pii.with_new_length(pii.pseudonymise(docs, key=key))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,10 +72,12 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, pii_key: str = PII_KEY) -> DataFrame:
+    """The stages in order. pii_key: a secret of the caller's for real texts; the default is for demonstration."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        made = stage(spark, docs, sf_dir, pii_key) if stage is pii_stage else stage(spark, docs, sf_dir)
+        made.write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
