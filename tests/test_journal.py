@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tillspark.sources import journal, store, uploads
+from tillspark.sources import events, files, journal, store, uploads
 
 REPO = Path(__file__).resolve().parents[1]
 
@@ -76,7 +76,7 @@ import sys
 sys.path[:0] = [{str(REPO)!r}]
 from pyspark.sql import SparkSession
 from tests.test_journal import HOW, asks, logged
-from tillspark.sources import journal, store, uploads
+from tillspark.sources import events, files, journal, store, uploads
 spark = SparkSession.builder.master("local[2, 3]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
 j = journal.Journal(spark, "file://{tmp_path}/j")
 rows = j.call(asks(spark, range(12)), logged({str(tmp_path)!r}, kill_at=7), **HOW | {{"concurrency": 1, "flush_every": 1}}).collect()
@@ -179,3 +179,17 @@ def test_registry_survives_a_crash_and_a_broken_bucket(spark, tmp_path):
     again = sorted(lost)[0]
     s.upsert(updates(spark, (again, ["9"], 1)), order="seq")
     assert rows_of(s)[again] == ["9"] and set(rows_of(s)) == {f"k{n}" for n in range(40)} - lost | {again}
+
+
+def test_events_of_five_kinds(spark, tmp_path):
+    measures = "trace_id string, user_id string, image_name string, success boolean, llm_success boolean, ocr_success boolean, latency_ms double, items_attempted long, items_failed long, llm_input_tokens long, llm_cost_usd double, error string"
+    rows = spark.createDataFrame([("t", "u", "a.jpg", True, True, True, 10.25, 3, 0, 7, 0.123456789, None), ("t", "u", "b.jpg", False, False, None, 10.35, 3, 1, None, None, "down")], measures)
+    for kind in events.KINDS:
+        files.write_logs(events.built(rows, kind), str(tmp_path))
+    back = {(r["event"], r["image_name"]): r for r in files.read_logs(spark, str(tmp_path)).collect()}
+    assert len(back) == 10 and all(r["service"] == "etl" and r["time"].endswith("+00:00") and r["trace_id"] == "t" for r in back.values())
+    assert {(k, i): r["level"] for (k, i), r in back.items()} == {(k, i): "INFO" if i == "a.jpg" else events.KINDS[k].failed for k, i in back}
+    assert [(back[k, "a.jpg"]["endpoint"], back[k, "a.jpg"]["status"], back[k, "b.jpg"]["status"]) for k in ("mcp_upload", "mcp_delete")] == [("POST /api/v1/receipts", 201, None), ("DELETE /api/v1/receipts/{id}", 200, None)]
+    call = back["llm_extraction", "a.jpg"]
+    assert tuple(call["usage"]) == (7, None, 7) and call["cost"]["total_usd"] == 0.12345679 and call["llm_cost_source"] == "unknown" and call["latency_ms"] is None
+    assert back["mcp_upload", "a.jpg"]["latency_ms"] == 10.2 and back["mcp_upload", "b.jpg"]["error"] == "down"

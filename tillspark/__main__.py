@@ -24,7 +24,7 @@ from . import pipeline, plans, reports, storage
 from .config import Settings
 from .functions import text as T
 from .operators import items
-from .sources import files
+from .sources import events, files
 
 CALL = (
     "time", "trace_id", "image_name", "llm_provider provider", "llm_model model", "llm_latency_ms latency_ms", "llm_success success", "llm_input_tokens input_tokens",
@@ -36,8 +36,8 @@ END = ("llm_provider provider", "llm_model model", "total_latency_ms latency_ms"
 
 
 def log_report(spark: SparkSession, path: str, truth: str | None = None, output: str | None = None) -> DataFrame:
-    events = files.read_logs(spark, path)
-    of = lambda kind, columns: events.where(F.col("event") == kind).selectExpr(*columns)
+    logged = files.read_logs(spark, path)
+    of = lambda kind, columns: logged.where(F.col("event") == kind).selectExpr(*columns)
     counts = reports.truth_counts(spark, truth) if truth else spark.createDataFrame([], "stem string, truth long")
     lines = reports.baseline(of("llm_extraction", CALL), of("adi_ocr", OCR), of("pipeline_complete", END), counts)
     return lines.unionByName(reports.accuracy(spark, output, truth)) if truth and output else lines
@@ -66,7 +66,9 @@ def run(spark: SparkSession, cache: str, answers: str, provider: str, model: str
     files.write_receipts(whole, out, provider=provider, model=F.lit(model))
     outcome = storage.written(pipeline.results(listed, failed), "outcomes")
     if logs_dir:
-        files.write_logs(files.completed_events(outcome, user=user, provider=provider, model=model), logs_dir)
+        failure = F.when(~F.col("success"), F.col("message"))
+        ends = outcome.select("success", F.col("file").alias("image_name"), failure.alias("error"), F.lit(user).alias("user_id"), F.lit(provider).alias("llm_provider"), F.lit(model).alias("llm_model"))
+        files.write_logs(events.built(ends, "pipeline_complete"), logs_dir)
     for row in outcome.orderBy("file").toLocalIterator():
         print("✓" if row["success"] else "✗", row["file"], row["message"])
     total = pipeline.summary(outcome).first()

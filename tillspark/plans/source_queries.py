@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions import text as T
-from ..sources import files, journal, providers, store
+from ..sources import events, files, journal, providers, store
 from .derive import derived, duck, ocr_texts
 from .registry import query
 
@@ -31,12 +33,32 @@ def s01_f06_sources(spark: SparkSession, sf: str) -> DataFrame:
     return _sources(spark, sf).select("page_id", files.source_kind(s).alias("kind"), files.direct_url(s).alias("url"), files.image_name(s).alias("name"), files.is_image(bare).alias("image"))
 
 
-@query(duck("logs") + """ SELECT event_id, CASE WHEN success THEN 'INFO' ELSE 'ERROR' END AS level, input_tokens + output_tokens AS total_tokens, provider FROM logs WHERE event = 'llm_extraction'""")
+#: Every log row as one of the five kinds, by its number.
+FIVE = ["adi_ocr", "llm_extraction", "pipeline_complete", "mcp_upload", "mcp_delete"]
+
+
+@query(duck("logs") + """, k AS (SELECT *, event_id % 5 AS n FROM logs)
+SELECT event_id, ['adi_ocr', 'llm_extraction', 'pipeline_complete', 'mcp_upload', 'mcp_delete'][CAST(n + 1 AS int)] AS event, CASE WHEN success THEN 'INFO' WHEN n >= 3 THEN 'WARN' ELSE 'ERROR' END AS level,
+(latency_ms + 0.2)::DOUBLE AS latency_ms, CASE WHEN n = 1 THEN input_tokens + output_tokens END AS total_tokens, CASE WHEN n = 1 THEN provider WHEN n = 2 THEN provider END AS provider,
+CASE n WHEN 0 THEN round(input_tokens * 0.0015::DOUBLE, 6) WHEN 1 THEN round(input_tokens * 0.00000125::DOUBLE, 8) END AS cost, CAST(CASE WHEN n = 3 AND success THEN 201 WHEN n = 4 AND success THEN 200 END AS int) AS status, CASE n WHEN 3 THEN items_extracted - items_extracted // 3 END AS items_uploaded FROM k""")
 def k03_events(spark: SparkSession, sf: str) -> DataFrame:
-    rows = derived(spark, sf, "logs").where("event = 'llm_extraction'")
-    made = files.event("llm_extraction", {"time": F.col("time"), "trace_id": F.col("trace_id")}, {"llm_provider": F.col("provider"), "llm_input_tokens": F.col("input_tokens"), "llm_output_tokens": F.col("output_tokens"), "llm_success": F.col("success")})
-    back = F.from_json(made, "level string, llm_provider string, usage struct<total_tokens:bigint>")
-    return rows.select("event_id", back.alias("e")).select("event_id", "e.level", "e.usage.total_tokens", F.col("e.llm_provider").alias("provider"))
+    rows = derived(spark, sf, "logs").withColumns({"raw_ms": F.col("latency_ms") + F.lit(0.25), "lost": F.expr("items_extracted div 3")})
+    made = []
+    for n, kind in enumerate(FIVE):
+        own = rows.where(F.col("event_id") % 5 == n).select(
+            "event_id", "time", "trace_id", "image_name", "success", F.col("success").alias("ocr_success"), F.col("success").alias("llm_success"),
+            F.col("provider").alias("llm_provider"), F.col("model").alias("llm_model"), F.col("input_tokens").alias("llm_input_tokens"), F.col("output_tokens").alias("llm_output_tokens"),
+            (F.col("input_tokens") * F.lit(0.0015)).alias("cost_usd"), (F.col("input_tokens") * F.lit(0.00000125)).alias("llm_cost_usd"),
+            *[F.col("raw_ms").alias(c) for c in ("ocr_latency_ms", "llm_latency_ms", "total_latency_ms", "latency_ms")],
+            F.col("items_extracted").alias("items_attempted"), F.col("lost").alias("items_failed"), (F.col("items_extracted") - F.col("lost")).alias("items_uploaded"),
+        )
+        made.append(events.built(own, kind, time=F.col("time"), keep=("event_id",)))
+    every = reduce(DataFrame.unionByName, made)
+    latency = F.coalesce("ocr_latency_ms", "llm_latency_ms", "total_latency_ms", "latency_ms")
+    return every.select(
+        "event_id", "event", "level", latency.alias("latency_ms"), F.col("usage.total_tokens").alias("total_tokens"), F.col("llm_provider").alias("provider"),
+        F.coalesce("cost_usd", "cost.total_usd").alias("cost"), "status", "items_uploaded",
+    )
 
 
 @query(duck("logs") + """, u AS (SELECT replace(image_name, '.jpg', '') AS image_stem, arg_max(trace_id, event_id) AS id FROM logs GROUP BY 1), r AS (SELECT 'img' || i AS image_stem, 'old' AS id FROM range(0, 60, 7) t(i))

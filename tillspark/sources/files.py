@@ -123,27 +123,6 @@ def registry_upsert(registry: DataFrame, uploads: DataFrame) -> DataFrame:
     return both.groupBy("image_stem").agg(F.max_by("ids", "seq").alias("ids"))
 
 
-def event(kind: str, common: dict[str, Column], measures: dict[str, Column]) -> Column:
-    """K3: an event's JSON; its level follows from success, its token total from both counts."""
-    fields = dict(common) | {"event": F.lit(kind), "service": F.lit("etl")} | measures
-    ok = measures.get("success", measures.get("llm_success", measures.get("ocr_success", F.lit(True))))
-    fields["level"] = F.when(ok, "INFO").otherwise("ERROR")
-    if kind == "llm_extraction":
-        given, out = (F.coalesce(measures[c], F.lit(0)) for c in ("llm_input_tokens", "llm_output_tokens"))
-        fields["usage"] = F.struct(measures["llm_input_tokens"].alias("input_tokens"), measures["llm_output_tokens"].alias("output_tokens"), (given + out).alias("total_tokens"))
-    return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
-
-
-def completed_events(outcomes: DataFrame, *, user: str, provider: str, model: str) -> DataFrame:
-    """K3: a pipeline_complete event for each outcome (file, success, message) of a batch, as a row of the log's columns."""
-    given = {
-        "time": F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss"), "level": F.when(F.col("success"), "INFO").otherwise("ERROR"),
-        "service": F.lit("etl"), "event": F.lit("pipeline_complete"), "user_id": F.lit(user), "image_name": F.col("file"), "error": F.when(~F.col("success"), F.col("message")),
-        "llm_provider": F.lit(provider), "llm_model": F.lit(model), "success": F.col("success"),
-    }
-    return outcomes.select(*[c.alias(n) for n, c in given.items()])
-
-
 def content_type(name: Column) -> Column:
     """S8's map from extension to content type; what isn't listed counts as JPEG."""
     suffix = T.file_suffix(name)
