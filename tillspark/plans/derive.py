@@ -2,7 +2,7 @@
 
 The tables hold no receipts, so queries run on deterministic ones: an order is a receipt, its line items are the items, the
 customer's nation gives store and currency. The derivations are input data, not operators: one SQL text, in two dialects, gives
-Spark and DuckDB the same rows. Names, prices and lines are chosen so that every branch of the operators has rows.
+Spark and DuckDB the same rows; where Spark has a form of its own, the tests compare both. Names, prices and lines are chosen so that every branch of the operators has rows.
 """
 
 from __future__ import annotations
@@ -22,6 +22,17 @@ SELECT l_orderkey AS receipt_id,
        {{ymd}} AS purchase_date, {{mdy}} AS mdy, {{mdy2}} AS mdy2, {STORE} AS store, {CURRENCY} AS currency, o_custkey AS cust
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey JOIN {{customer}} ON o_custkey = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey"""
 
+#: The same rows for Spark, with as little as can be in shuffles. Lines meet their parts first and go to their order as narrow rows;
+#: customers join orders, not lines. Rows that are equal up to the quantity give equal items, whatever their order, so columns that
+#: come later in the order above stay out. From here on a receipt's rows lie together: items, lines and texts shuffle no more.
+BASE_SPARK = f"""
+SELECT l_orderkey AS receipt_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, qty) AS item_idx,
+       l_partkey AS part, upper(p_name) AS pname, upper(p_type) AS ptype, CAST(round(l_extendedprice * 100) AS bigint) % 10500 AS cents, qty,
+       {{ymd}} AS purchase_date, {{mdy}} AS mdy, {{mdy2}} AS mdy2, {STORE} AS store, {CURRENCY} AS currency, o_custkey AS cust
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CAST(l_quantity AS bigint) AS qty, p_name, p_type FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey) l
+JOIN (SELECT o_orderkey, o_custkey, o_orderdate, c_nationkey FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey) o ON l_orderkey = o_orderkey
+JOIN {{nation}} ON c_nationkey = n_nationkey"""
+
 #: Items with fragments of names, exact duplicates and one-letter misreadings at the same price.
 ITEMS = f"""
 SELECT receipt_id, item_idx * 10 + extra AS item_idx, store, purchase_date, currency, cents,
@@ -36,17 +47,12 @@ SELECT receipt_id, item_idx * 10 + extra AS item_idx, store, purchase_date, curr
 FROM base JOIN (SELECT 0 AS extra UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) e
   ON extra = 0 OR (extra = 1 AND item_idx % 6 = 0) OR (extra = 2 AND item_idx % 9 = 0) OR (extra = 3 AND item_idx % 13 = 0)"""
 
-LINES = """
-SELECT receipt_id, CAST(n AS bigint) AS line_idx,
-       CASE n WHEN 0 THEN CASE receipt_id % 6 WHEN 0 THEN 'VONS STORE #2216' WHEN 1 THEN '~~ %% ^^ ==' WHEN 2 THEN 'Corner Shop' WHEN 3 THEN 'welcome to KROGER' WHEN 4 THEN 'No  Frills Grocery' ELSE 'TRADER JOE''S' END
+HEAD_LINE = """CASE n WHEN 0 THEN CASE receipt_id % 6 WHEN 0 THEN 'VONS STORE #2216' WHEN 1 THEN '~~ %% ^^ ==' WHEN 2 THEN 'Corner Shop' WHEN 3 THEN 'welcome to KROGER' WHEN 4 THEN 'No  Frills Grocery' ELSE 'TRADER JOE''S' END
               WHEN 1 THEN CASE WHEN receipt_id % 4 = 3 THEN 'store of the day' WHEN receipt_id % 4 = 2 THEN CAST(100 + receipt_id % 900 AS {str}) || ' North Main Street' ELSE 'Tel 5 ' || CAST(100 + receipt_id % 900 AS {str}) || ' North Main Street' END
               WHEN 2 THEN CASE WHEN receipt_id % 3 = 0 THEN 'Springfield CA ' || CAST(90000 + receipt_id % 1000 AS {str}) WHEN receipt_id % 3 = 1 THEN 'Mgr Smith' ELSE '(604) 555-0123' END
               WHEN 3 THEN CASE receipt_id % 5 WHEN 0 THEN mdy || ' 10:30' WHEN 1 THEN 'VERIFIED BY PIN ' || mdy2 || ' 10:00' WHEN 2 THEN 'Valid Feb 10 2026' WHEN 3 THEN '2026-02-21 09:15' ELSE '26/02/21' END
-              WHEN 4 THEN '' ELSE CASE receipt_id % 7 WHEN 0 THEN 'All prices in CAD' WHEN 1 THEN 'EUR 1.00' WHEN 2 THEN '----' ELSE 'Item list' END END AS line
-FROM (SELECT receipt_id, min(mdy) AS mdy, min(mdy2) AS mdy2 FROM base GROUP BY receipt_id) r JOIN (SELECT 0 AS n UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) k ON n >= 0
-UNION ALL
-SELECT receipt_id, item_idx * 10 + n,
-       CASE item_idx % 8
+              WHEN 4 THEN '' ELSE CASE receipt_id % 7 WHEN 0 THEN 'All prices in CAD' WHEN 1 THEN 'EUR 1.00' WHEN 2 THEN '----' ELSE 'Item list' END END"""
+ITEM_LINE = """CASE item_idx % 8
             WHEN 0 THEN CASE n WHEN 0 THEN pname ELSE CAST(cents {div} 100 AS {str}) || '.' || lpad(CAST(cents % 100 AS {str}), 2, '0') END
             WHEN 1 THEN CASE n WHEN 0 THEN pname || '  1.50' ELSE '3.00' END
             WHEN 2 THEN CASE n WHEN 0 THEN '4' || CAST(1000 + part % 900 AS {str}) || ' ' || pname || ' MRJ' ELSE '1. ' || CAST(100 + part % 800 AS {str}) || ' kg @ $ 1. 72 /kg ' || CAST(qty AS {str}) || '.25' END
@@ -54,9 +60,27 @@ SELECT receipt_id, item_idx * 10 + n,
             WHEN 4 THEN CASE n WHEN 0 THEN CAST(qty AS {str}) || '.75' ELSE '27-PRODUCE' END
             WHEN 5 THEN CASE n WHEN 0 THEN 'SUBTOTAL 12.00' ELSE 'Member Savings 1.00' END
             WHEN 6 THEN CASE n WHEN 0 THEN '' ELSE '****' END
-            ELSE CASE n WHEN 0 THEN 'Terminal 7' ELSE lower(pname) || ' (' || ptype || ')' END END
+            ELSE CASE n WHEN 0 THEN 'Terminal 7' ELSE lower(pname) || ' (' || ptype || ')' END END"""
+LINES = f"""
+SELECT receipt_id, CAST(n AS bigint) AS line_idx,
+       {HEAD_LINE} AS line
+FROM (SELECT receipt_id, min(mdy) AS mdy, min(mdy2) AS mdy2 FROM base GROUP BY receipt_id) r JOIN (SELECT 0 AS n UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) k ON n >= 0
+UNION ALL
+SELECT receipt_id, item_idx * 10 + n,
+       {ITEM_LINE}
 FROM base JOIN (SELECT 0 AS n UNION ALL SELECT 1) k ON n >= 0"""
 
+#: The same lines for Spark in one pass over the items: the first item of a receipt also makes the lines above.
+LINES_SPARK = f"""
+SELECT receipt_id, CAST(CASE WHEN head THEN n ELSE item_idx * 10 + n END AS bigint) AS line_idx, CASE WHEN head THEN {HEAD_LINE} ELSE {ITEM_LINE} END AS line
+FROM (SELECT receipt_id, item_idx, part, pname, ptype, cents, qty, min(mdy) OVER (PARTITION BY receipt_id) AS mdy, min(mdy2) OVER (PARTITION BY receipt_id) AS mdy2 FROM base) r
+JOIN (SELECT 0 AS n, true AS head UNION ALL SELECT 1, true UNION ALL SELECT 2, true UNION ALL SELECT 3, true UNION ALL SELECT 4, true UNION ALL SELECT 5, true UNION ALL SELECT 0, false UNION ALL SELECT 1, false) k ON NOT head OR item_idx = 1"""
+
+#: And as one text a receipt, which gathers its items instead of its lines.
+TEXTS_SPARK = f"""
+SELECT receipt_id, array_join(concat(transform(sequence(0, 5), n -> {HEAD_LINE}), flatten(transform(array_sort(items), i -> i.lines))), {{nl}}) AS raw
+FROM (SELECT receipt_id, min(mdy) AS mdy, min(mdy2) AS mdy2, collect_list(struct(item_idx, transform(sequence(0, 1), n -> {ITEM_LINE}) AS lines)) AS items FROM base GROUP BY receipt_id) r"""
+
 #: One page per receipt. Words tilt with x; some lines nearly touch, some have no price, some are savings or noise, and short
 #: tokens repeat on a page.
 WORDS = """
@@ -98,27 +122,30 @@ FROM_BASE = {"items": ITEMS, "ocr_lines": LINES, "words": WORDS, "truth": TRUTH,
 STAR = ["lineitem", "orders", "part", "customer", "nation", "events"]
 
 
+def _rows(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    for mark, sql in SPARK.items():
+        text = text.replace("{" + mark + "}", sql)
+    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in STAR if "{" + t + "}" in text})
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of items, ocr_lines, words, truth, output, output_files, logs.
 
-    Columns are computed once each, as those of a stored table would be, whatever the operators refer to.
+    Columns are computed once each, as those of a stored table would be, whatever the operators refer to. The receipt stays outside
+    of that, so that Spark knows that a receipt's rows lie together.
     """
     from pyspark.sql import functions as F
 
-    text = LOGS if name == "logs" else f"WITH base AS ({BASE}) {FROM_BASE[name]}"
-    for mark, sql in SPARK.items():
-        text = text.replace("{" + mark + "}", sql)
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in STAR if "{" + t + "}" in text}
-    rows = spark.sql(text, **tables)
-    return rows.select(F.inline(F.array(F.struct(*rows.columns)))) if name in ("items", "ocr_lines") else rows
+    text = LOGS if name == "logs" else f"WITH base AS ({BASE_SPARK}) {(FROM_BASE | {'ocr_lines': LINES_SPARK})[name]}"
+    rows = _rows(spark, sf_dir, text)
+    return rows.select("receipt_id", F.inline(F.array(F.struct(*[c for c in rows.columns if c != "receipt_id"])))) if name in ("items", "ocr_lines") else rows
 
 
 def ocr_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """receipt_id, ocr: the lines in order, and a spatial part for every other receipt."""
     from pyspark.sql import functions as F
 
-    ordered = F.array_sort(F.collect_list(F.struct("line_idx", "line")))
-    joined = derived(spark, sf_dir, "ocr_lines").groupBy("receipt_id").agg(F.array_join(F.transform(ordered, lambda s: s["line"]), "\n").alias("raw"))
+    joined = _rows(spark, sf_dir, f"WITH base AS ({BASE_SPARK}) {TEXTS_SPARK}")
     spatial = F.concat(F.lit("\n---\n## SPATIAL LAYOUT\n"), F.upper("raw"))
     return joined.select("receipt_id", F.concat("raw", F.when(F.col("receipt_id") % 2 == 0, spatial).otherwise("")).alias("ocr"))
 
