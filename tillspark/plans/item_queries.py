@@ -74,8 +74,8 @@ def f03_late_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query(duck("items") + VALID + FLAT + UNIQUE + ", placed AS (SELECT *, min(item_idx) OVER (PARTITION BY receipt_id, price) AS f FROM whole) SELECT receipt_id, item_idx, name AS \"productName\", purchase_date AS \"purchaseDate\", price, amount, store AS \"storeName\", row_number() OVER (PARTITION BY receipt_id ORDER BY f, item_idx) AS place FROM placed")
 def f04_w02_output_rows(spark: SparkSession, sf: str) -> DataFrame:
     clean = items.output_order(items.drop_fragments(items.flatten(valid_items(spark, sf)))).withColumns({"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double")})
-    place = clean.select("receipt_id", "item_idx", F.col("place").cast("long").alias("place"))
-    return items.upload_rows(items.output_rows(clean)).join(place, ["receipt_id", "item_idx"])
+    placed = clean.withColumn("place", F.col("place").cast("long"))
+    return items.upload_rows(items.output_rows(placed, ["place"]), ["place"])
 
 
 @query(duck("items") + VALID + FLAT + UNIQUE + SELECT + "whole")
