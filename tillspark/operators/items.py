@@ -142,28 +142,42 @@ def weight_rows(texts: DataFrame, *, id_col: str = "receipt_id", ocr_col: str =
 def inject_weights(items: DataFrame, weights: DataFrame, *, fuzzy: bool = False) -> DataFrame:
     """Weight-priced lines override the items of their name; those without an item are appended.
 
-    items: rows as above; weights: receipt_id, name, weight, total. With fuzzy, an item without an exact name takes the closest.
+    items: rows as above; weights: receipt_id, name, weight, total, a name once a receipt, as T16 gives them. With fuzzy, an item
+    without an exact name takes the closest. Each side is read once: the first item of a receipt brings in its weights as rows beside
+    the items, and windows inside the receipt say which item and weight belong together. Nothing is shuffled where both sides have
+    their receipts together.
     """
-    w = weights.select("receipt_id", F.col("name").alias("key"), "weight", "total")
-    named = items.withColumn("_upper", F.upper(F.coalesce("name", F.lit(""))))
-    exact = named.join(w.withColumnRenamed("key", "_upper"), ["receipt_id", "_upper"], "left").withColumn("_key", F.when(F.col("total").isNotNull(), F.col("_upper")))
+    nothing = lambda c: F.lit(None).cast(items.schema[c].dataType).alias(c)
+    lists = weights.groupBy("receipt_id").agg(F.collect_list(F.struct(F.col("name").alias("key"), "weight", "total")).alias("_ws"))
+    starts = F.row_number().over(Window.partitionBy("receipt_id").orderBy("item_idx")) == 1
+    both = items.withColumn("_starts", starts).join(lists, "receipt_id", "left")
+    others = [c for c in items.columns if c != "receipt_id"]
+    own = F.struct(*others, F.upper(F.coalesce("name", F.lit(""))).alias("_upper"), F.lit(True).alias("_item"), F.lit(None).cast(lists.schema["_ws"].dataType.elementType).alias("_w"))
+    line = lambda w: F.struct(*map(nothing, others), w["key"].alias("_upper"), F.lit(False).alias("_item"), w.alias("_w"))
+    brought = F.when(F.col("_starts") & F.col("_ws").isNotNull(), F.concat(F.array(own), F.transform("_ws", line))).otherwise(F.array(own))
+    rows = both.select("receipt_id", F.inline(brought))
+    receipt, same = Window.partitionBy("receipt_id"), Window.partitionBy("receipt_id", "_upper")
+    rows = rows.withColumn("_hit", F.max("_w").over(same))
     if fuzzy:
-        lists = w.groupBy("receipt_id").agg(F.array_sort(F.collect_list(F.struct("key", "weight", "total"))).alias("all"))
-        left = exact.where("_key is null").drop("weight", "total", "_key").join(lists, "receipt_id", "left")
-        near = S.with_closest(left, "_upper", "all", lambda x: x["key"], "_hit")
-        near = near.select(*named.columns, F.col("_hit.weight").alias("weight"), F.col("_hit.total").alias("total"), F.col("_hit.key").alias("_key"))
-        exact = exact.where("_key is not null").unionByName(near)
-    price = F.when(F.col("_key").isNotNull(), T.format_cents(T.price_cents(F.col("total")), F.col("currency"))).otherwise(F.col("price"))
-    amount = F.when(F.col("_key").isNotNull(), F.concat("weight", F.lit(" kg"))).otherwise(F.col("amount"))
-    overridden = exact.withColumn("price", price).withColumn("amount", amount)
-    head = items.groupBy("receipt_id").agg(F.min_by(F.struct("store", "purchase_date", "currency"), "item_idx").alias("h"), F.max("item_idx").alias("_last"))
-    missing = w.join(overridden.select("receipt_id", F.col("_key").alias("key")), ["receipt_id", "key"], "left_anti").join(head, "receipt_id")
-    order = Window.partitionBy("receipt_id").orderBy("key")
-    new = missing.select(
-        "receipt_id", (F.col("_last") + F.row_number().over(order)).alias("item_idx"), "h.store", "h.purchase_date", "h.currency", T.title_case(F.col("key")).alias("name"),
-        F.lit("").alias("code"), T.format_cents(T.price_cents(F.col("total")), F.col("h.currency")).alias("price"), F.concat("weight", F.lit(" kg")).alias("amount"),
+        rows = rows.withColumn("_all", F.array_sort(F.collect_list("_w").over(receipt)))
+        left = F.col("_item") & F.col("_hit").isNull()
+        rows = S.with_closest(rows.withColumn("_text", F.when(left, F.col("_upper"))), "_text", "_all", lambda x: x["key"], "_closest")
+        rows = rows.withColumn("_hit", F.coalesce("_hit", "_closest")).drop("_all", "_text", "_closest")
+        same = Window.partitionBy("receipt_id", "_hit.key")
+    first = F.min_by(F.when(F.col("_item"), F.struct("store", "purchase_date", "currency")), F.when(F.col("_item"), F.col("item_idx"))).over(receipt)
+    rows = rows.withColumn("_used", F.max("_item").over(same)).where(F.col("_item") | ~F.col("_used"))
+    rows = rows.withColumn("_first", first).withColumn("_last", F.max(F.when(F.col("_item"), F.col("item_idx"))).over(receipt))
+    place = F.row_number().over(Window.partitionBy("receipt_id", "_item").orderBy("_upper"))
+    rows = rows.withColumn("_place", F.col("_last") + place)
+    old, hit = F.col("_item"), F.col("_hit").isNotNull()
+    currency = F.when(old, F.col("currency")).otherwise(F.col("_first.currency"))
+    return rows.select(
+        "receipt_id", F.when(old, F.col("item_idx")).otherwise(F.col("_place")).alias("item_idx"), F.when(old, F.col("store")).otherwise(F.col("_first.store")).alias("store"),
+        F.when(old, F.col("purchase_date")).otherwise(F.col("_first.purchase_date")).alias("purchase_date"), currency.alias("currency"),
+        F.when(old, F.col("name")).otherwise(T.title_case(F.col("_upper"))).alias("name"), F.when(old, F.col("code")).otherwise("").alias("code"),
+        F.when(hit, T.format_cents(T.price_cents(F.col("_hit.total")), currency)).otherwise(F.col("price")).alias("price"),
+        F.when(hit, F.concat("_hit.weight", F.lit(" kg"))).otherwise(F.col("amount")).alias("amount"),
     )
-    return overridden.select(*new.columns).unionByName(new)
 
 
 def process(items: DataFrame) -> DataFrame:
