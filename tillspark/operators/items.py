@@ -163,6 +163,7 @@ def inject_weights(items: DataFrame, weights: DataFrame, *, fuzzy: bool = False)
         left = F.col("_item") & F.col("_hit").isNull()
         rows = S.with_closest(rows.withColumn("_text", F.when(left, F.col("_upper"))), "_text", "_all", lambda x: x["key"], "_closest")
         rows = rows.withColumn("_hit", F.coalesce("_hit", "_closest")).drop("_all", "_text", "_closest")
+        rows = rows.repartition("receipt_id")  # Spark forgets over a Python function where rows lie; one shuffle instead of one a window
         same = Window.partitionBy("receipt_id", "_hit.key")
     first = F.min_by(F.when(F.col("_item"), F.struct("store", "purchase_date", "currency")), F.when(F.col("_item"), F.col("item_idx"))).over(receipt)
     rows = rows.withColumn("_used", F.max("_item").over(same)).where(F.col("_item") | ~F.col("_used"))
