@@ -108,13 +108,15 @@ def breaker(events: DataFrame, *, threshold: int = 3, cooldown: int = 30) -> Dat
     return ordered.mapInArrow(run, f"provider {kind}, seq long, state string, passed boolean, tripped boolean")
 
 
-def run_statistics(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Of calls with ok, latency_ms, attempts: success rate, P50 of successes, P99 of all, mean attempts, and the
-    breaker's trips where rows have tripped. Throughput needs the clock of a run, which such rows don't have."""
+def run_statistics(rows: DataFrame, by: list[str], *, throughput: bool = False) -> DataFrame:
+    """Of calls with ok, latency_ms, attempts: success rate, P50 of successes, P99 of all, mean attempts, the
+    breaker's trips where rows have tripped, and with throughput the calls a minute that their latencies allow one after another."""
+    pace = [F.round(F.lit(60000.0) * F.count(F.lit(1)) / F.sum("latency_ms"), 6).alias("per_minute")] if throughput else []
     trips = [F.count_if("tripped").alias("trips")] if "tripped" in rows.columns else []
     means = rows.groupBy(*by).agg(
         F.round(stats.rate(F.col("ok")), 6).alias("success_pct"),
         F.round(F.avg("attempts"), 6).alias("avg_attempts"),
+        *pace,
         *trips,
     )
     p50 = stats.indexed_percentile(rows.where("ok"), by, "latency_ms", 0.50, "p50_ms")

@@ -348,9 +348,9 @@ def e04_e05_retries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(duck("logs") + TRIED + f""" SELECT percent, round(100.0 * count(*) FILTER (WHERE ok) / count(*), 6) AS success_pct, {P95.format('CASE WHEN ok THEN latency_ms END', 0.5).replace('list(CASE WHEN ok THEN latency_ms END)', 'list(latency_ms) FILTER (WHERE ok)')} AS p50_ms,
-{P95.format('latency_ms', 0.99)} AS p99_ms, round(avg(attempts), 6) AS avg_attempts FROM runs GROUP BY percent""")
+{P95.format('latency_ms', 0.99)} AS p99_ms, round(avg(attempts), 6) AS avg_attempts, round(60000.0 * count(*) / sum(latency_ms), 6) AS per_minute FROM runs GROUP BY percent""")
 def e08_run_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    return resilience.run_statistics(_runs(spark, sf, 1.0), ["percent"])
+    return resilience.run_statistics(_runs(spark, sf, 1.0), ["percent"], throughput=True)
 
 
 @query(duck("logs") + """, r AS (SELECT provider, event_id % 3 AS run, avg(latency_ms) AS ms, avg(CASE WHEN event_id % 9 <> 0 THEN items_extracted END) AS items FROM logs GROUP BY provider, event_id % 3) SELECT provider, round(avg(ms), 6) AS ms, round(avg(items), 6) AS items FROM r GROUP BY provider""")
