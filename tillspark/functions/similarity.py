@@ -11,13 +11,18 @@ from __future__ import annotations
 import difflib
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType
 
 #: Pairs that a worker remembers.
 REMEMBERED = 1 << 16
+#: Pairs of a batch that are looked at together.
+TOGETHER = 1 << 16
 
 
 def length_bound(a: Column, b: Column) -> Column:
@@ -77,6 +82,67 @@ def with_closest(df: DataFrame, name: str, rows: str, text, out: str) -> DataFra
     return at.withColumn(out, F.get("_near", F.col("_at"))).drop("_near", "_at")
 
 
+def _characters(texts: list[str]) -> np.ndarray:
+    """Characters of each text, counted in 64 classes of their code points."""
+    at = np.repeat(np.arange(len(texts)), np.array([len(t) for t in texts], dtype="int64"))
+    kind = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4") & 63
+    return np.bincount(at * 64 + kind, minlength=len(texts) * 64).reshape(len(texts), 64).astype(np.int32)
+
+
+def _scores(names: list[str], keys: list[str], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of pairs of places 2 for equal texts, a ratio of 0.6 or more, else -1. The same bounds as above go first."""
+    (a, to_a), (b, to_b) = (np.unique(c, return_inverse=True) for c in (x, y))
+    a, b = [names[i] for i in a], [keys[i] for i in b]
+    of_a, of_b = (np.array([len(t) for t in texts], dtype="int64") for texts in (a, b))
+    both = np.maximum(of_a[to_a] + of_b[to_b], 1)
+    left = np.flatnonzero((2.0 * np.minimum(of_a[to_a], of_b[to_b]) / both >= 0.6) | (of_a[to_a] + of_b[to_b] == 0))
+    common = np.minimum(_characters(a)[to_a[left]], _characters(b)[to_b[left]]).sum(axis=1)
+    out = np.full(len(x), -1.0)
+    for p in left[(2.0 * common / both[left] >= 0.6) | (both[left] == 1)].tolist():
+        name, key = a[to_a[p]], b[to_b[p]]
+        score = 2.0 if name == key else compare(key, name) if name else -1.0
+        out[p] = score if score >= 0.6 else -1.0
+    return out
+
+
+@F.arrow_udf(ArrayType(IntegerType()))
+def closest_of_lists(names: pa.Array, keys: pa.Array) -> pa.Array:
+    """Of two lists a row, for each name the place of the equal key, else of the key with the highest ratio of 0.6 or more, of equal ones
+    the greatest text; null if there is none, or no list of keys. Equal pairs of a batch are compared once; pairs are made TOGETHER at a
+    time, so long lists take no more memory."""
+    sizes, many = (pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False).astype("int64") for c in (names, keys))
+    names_, keys_ = (c.flatten().dictionary_encode() for c in (names, keys))
+    x_all, y_all = (pc.fill_null(c.indices, -1).to_numpy(zero_copy_only=False).astype("int64") for c in (names_, keys_))
+    name_texts, key_texts = names_.dictionary.to_pylist(), keys_.dictionary.to_pylist()
+    rank = np.empty(len(key_texts), dtype="int64")
+    rank[sorted(range(len(key_texts)), key=key_texts.__getitem__)] = np.arange(len(key_texts))
+    start, count = np.repeat(np.cumsum(many) - many, sizes), np.repeat(many, sizes)
+    best = np.full(len(x_all), -1, dtype="int64")
+    asked = np.flatnonzero((count > 0) & (x_all >= 0))
+    ends = np.cumsum(count[asked])
+    at = 0
+    while at < len(asked):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOGETHER, "right")))
+        some, n = asked[at:to], count[asked[at:to]]
+        opens = np.cumsum(n) - n
+        place = np.arange(n.sum()) - np.repeat(opens, n)
+        x, y = np.repeat(x_all[some], n), y_all[np.repeat(start[some], n) + place]
+        pairs, back = np.unique(x * (len(key_texts) + 1) + y + 1, return_inverse=True)
+        real = pairs % (len(key_texts) + 1) > 0  # a null key equals nothing
+        score = np.full(len(pairs), -1.0)
+        score[real] = _scores(name_texts, key_texts, pairs[real] // (len(key_texts) + 1), pairs[real] % (len(key_texts) + 1) - 1)
+        score = score[back]
+        top = np.repeat(np.maximum.reduceat(score, opens), n)
+        order = np.where((score == top) & (score >= 0.6), rank[y], -1)
+        chosen = np.repeat(np.maximum.reduceat(order, opens), n)
+        hit = np.flatnonzero((order == chosen) & (chosen >= 0))
+        best[np.repeat(some, n)[hit]] = place[hit]
+        at = to
+    values = pa.array(best, pa.int32(), mask=best < 0)
+    offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32(), mask=np.append(names.is_null().to_numpy(zero_copy_only=False), False))
+    return pa.ListArray.from_arrays(offsets, values)
+
+
 def candidate_pairs(rows: Column, text, apart, threshold: float) -> Column:
     """Of an array of rows the pairs of places (i < j) whose texts differ and may be this similar, unless apart(a, b) holds."""
 

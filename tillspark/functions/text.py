@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -221,34 +223,45 @@ def address_for_geocoder(address: Column) -> Column:
     return strip(F.replace(F.array_join(kept, " "), F.lit(X.REMOVED_FROM_ADDRESS), F.lit("")))
 
 
-def weight_lines(ocr: Column) -> Column:
-    """Of each line of the raw part what the search for weight-priced items asks: array of structs, each pattern tried once a line."""
-    name_of = lambda x: strip(F.regexp_replace(F.regexp_replace(x, r"^\d+\s+", ""), r"(?i)\s+MRJ\s*$", ""))
+def weight_body(ocr: Column) -> Column:
+    """The lines of the raw part."""
+    return body_lines(F.split(ocr, r"\n---\n", 2)[0])
 
-    def read(x: Column) -> Column:
-        clean, bare = strip(join_spaced_decimals(x)), strip(x)
-        priced = F.regexp_extract_all(clean, F.lit(X.WEIGHT_LINE), F.lit(0))
-        return F.struct(
-            F.when(F.size(priced) > 0, F.struct(F.regexp_extract(clean, X.WEIGHT_LINE, 1).alias("weight"), F.regexp_extract(clean, X.WEIGHT_LINE, 3).alias("total"))).alias("priced"),
-            F.when(clean.rlike(r"^\d+\.\d+$"), clean).alias("number"),
-            F.when((bare != "") & (F.upper(bare) != "MRJ"), name_of(bare)).alias("name"),
-        )
 
-    return F.transform(body_lines(F.split(ocr, r"\n---\n", 2)[0]), read)
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), where value is computed once, however often f refers to it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def priced_by_weight(lines_: Column) -> Column:
-    """Of weight_lines() the weight-priced items in order: a missing total from the 3 lines ahead, the name from the 4 before."""
+def weight_lines(lines_: Column) -> Column:
+    """Of the lines of the raw part those that are weight-priced: array of (at, weight, total), total empty where it is missing."""
 
     def read(x: Column, i: Column) -> Column:
-        own = F.nullif(x["priced"]["total"], F.lit(""))
-        ahead = F.filter(F.slice(lines_, i + 2, F.lit(3)), lambda y: y["number"].isNotNull())
-        first = F.greatest(F.lit(0), i - 4)
-        usable = F.filter(F.slice(lines_, first + 1, i - first), lambda y: y["name"].isNotNull() & ~y["name"].rlike(r"^\d+-[A-Z]+$"))
-        total, name = F.coalesce(own, F.get(ahead, F.lit(0))["number"]), F.upper(F.get(usable, F.size(usable) - 1)["name"])
-        return F.when(x["priced"].isNotNull(), F.struct(name.alias("name"), x["priced"]["weight"].alias("weight"), total.alias("total")))
-
-    return F.filter(F.transform(lines_, read), lambda s: s.isNotNull() & (s["name"] != "") & s["total"].isNotNull())
+        parts = lambda c: F.struct(i.alias("at"), F.regexp_extract(c, X.WEIGHT_LINE, 1).alias("weight"), F.regexp_extract(c, X.WEIGHT_LINE, 3).alias("total"))
+        return F.when(F.contains(F.lower(x), F.lit("kg")), _let(strip(join_spaced_decimals(x)), lambda c: F.when(c.rlike(X.WEIGHT_LINE), parts(c))))
+
+    return F.array_compact(F.transform(lines_, read))
+
+
+def priced_by_weight(lines_: Column, priced: Column) -> Column:
+    """Of the lines and their weight_lines() the items in order: a missing total from the 3 lines ahead, the name from the 4 before.
+
+    The nearest line that has one ends the search, so other lines are not looked at.
+    """
+
+    def number(at: Column) -> Column:
+        return _let(strip(join_spaced_decimals(F.get(lines_, at))), lambda c: F.when(c.rlike(r"^\d+\.\d+$"), c))
+
+    def name(at: Column) -> Column:
+        name_of = lambda x: strip(F.regexp_replace(F.regexp_replace(x, r"^\d+\s+", ""), r"(?i)\s+MRJ\s*$", ""))
+        usable = lambda x: F.when((x != "") & (F.upper(x) != "MRJ"), _let(name_of(x), lambda n: F.when(~n.rlike(r"^\d+-[A-Z]+$"), n)))
+        return _let(strip(F.get(lines_, at)), usable)
+
+    def read(x: Column) -> Column:
+        total = F.coalesce(F.nullif(x["total"], F.lit("")), *[number(x["at"] + n) for n in (1, 2, 3)])
+        return F.struct(F.upper(F.coalesce(*[name(x["at"] - n) for n in (1, 2, 3, 4)])).alias("name"), x["weight"].alias("weight"), total.alias("total"))
+
+    return F.filter(F.transform(priced, read), lambda s: (s["name"] != "") & s["total"].isNotNull())
 
 
 def last_of_each_name(found: Column) -> Column:

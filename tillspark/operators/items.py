@@ -129,8 +129,9 @@ def upload_rows(flat: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def weight_items(texts: DataFrame, *, id_col: str = "receipt_id", ocr_col: str = "ocr") -> DataFrame:
     """Id, items: array of (name, weight, total) of weight-priced lines, in order; with equal names the last counts. No shuffle."""
-    rows = once(texts.select(id_col, ocr_col), _lines=T.weight_lines(F.col(ocr_col)))
-    rows = once(rows.select(id_col, "_lines"), _found=T.priced_by_weight(F.col("_lines")))
+    rows = once(texts.select(id_col, ocr_col), _lines=T.weight_body(F.col(ocr_col)))
+    rows = once(rows.select(id_col, "_lines"), _priced=T.weight_lines(F.col("_lines")))
+    rows = once(rows.select(id_col, "_lines", "_priced"), _found=T.priced_by_weight(F.col("_lines"), F.col("_priced")))
     return rows.select(id_col, T.last_of_each_name(F.col("_found")).alias("items"))
 
 
@@ -147,8 +148,14 @@ def inject_weights(items: DataFrame, weights: DataFrame, *, fuzzy: bool = False)
     the items, and windows inside the receipt say which item and weight belong together. Nothing is shuffled where both sides have
     their receipts together.
     """
+    lists = weights.groupBy("receipt_id").agg(F.collect_list(F.struct("name", "weight", "total")).alias("items"))
+    return inject_closest(items, lists) if fuzzy else inject_exact(items, lists)
+
+
+def inject_exact(items: DataFrame, lists: DataFrame) -> DataFrame:
+    """J8 by exact names; lists: receipt_id, items: its weights, as T16 gives them."""
+    lists = lists.select("receipt_id", F.transform("items", lambda w: F.struct(w["name"].alias("key"), w["weight"].alias("weight"), w["total"].alias("total"))).alias("_ws"))
     nothing = lambda c: F.lit(None).cast(items.schema[c].dataType).alias(c)
-    lists = weights.groupBy("receipt_id").agg(F.collect_list(F.struct(F.col("name").alias("key"), "weight", "total")).alias("_ws"))
     starts = F.row_number().over(Window.partitionBy("receipt_id").orderBy("item_idx")) == 1
     both = items.withColumn("_starts", starts).join(lists, "receipt_id", "left")
     others = [c for c in items.columns if c != "receipt_id"]
@@ -158,25 +165,44 @@ def inject_weights(items: DataFrame, weights: DataFrame, *, fuzzy: bool = False)
     rows = both.select("receipt_id", F.inline(brought))
     receipt, same = Window.partitionBy("receipt_id"), Window.partitionBy("receipt_id", "_upper")
     rows = rows.withColumn("_hit", F.max("_w").over(same))
-    if fuzzy:
-        rows = rows.withColumn("_all", F.array_sort(F.collect_list("_w").over(receipt)))
-        left = F.col("_item") & F.col("_hit").isNull()
-        rows = S.with_closest(rows.withColumn("_text", F.when(left, F.col("_upper"))), "_text", "_all", lambda x: x["key"], "_closest")
-        rows = rows.withColumn("_hit", F.coalesce("_hit", "_closest")).drop("_all", "_text", "_closest")
-        rows = rows.repartition("receipt_id")  # Spark forgets over a Python function where rows lie; one shuffle instead of one a window
-        same = Window.partitionBy("receipt_id", "_hit.key")
     first = F.min_by(F.when(F.col("_item"), F.struct("store", "purchase_date", "currency")), F.when(F.col("_item"), F.col("item_idx"))).over(receipt)
     rows = rows.withColumn("_used", F.max("_item").over(same)).where(F.col("_item") | ~F.col("_used"))
     rows = rows.withColumn("_first", first).withColumn("_last", F.max(F.when(F.col("_item"), F.col("item_idx"))).over(receipt))
     place = F.row_number().over(Window.partitionBy("receipt_id", "_item").orderBy("_upper"))
-    rows = rows.withColumn("_place", F.col("_last") + place)
-    old, hit = F.col("_item"), F.col("_hit").isNotNull()
-    currency = F.when(old, F.col("currency")).otherwise(F.col("_first.currency"))
+    old, added = F.col("_item"), {"item_idx": F.col("_last") + place, "name": F.col("_upper"), "code": F.lit("")} | {c: F.col(f"_first.{c}") for c in ("store", "purchase_date", "currency")}
+    return _weighed(rows.select("receipt_id", "_item", "_hit", "price", "amount", *[F.when(old, F.col(c)).otherwise(v).alias(c) for c, v in added.items()]))
+
+
+def inject_closest(items: DataFrame, lists: DataFrame) -> DataFrame:
+    """J8 by exact names, else the closest; lists: receipt_id, items: its weights, as T16 gives them.
+
+    A receipt's names are compared with its weights in one row, so nothing is shuffled or sorted after Python has seen it.
+    """
+    others = ["item_idx", "store", "purchase_date", "currency", "name", "code", "price", "amount"]
+    groups = items.groupBy("receipt_id").agg(F.collect_list(F.struct(*others)).alias("_items"))
+    lists = once(lists, _ws=F.array_sort(F.transform("items", lambda w: F.struct(w["name"].alias("key"), w["weight"].alias("weight"), w["total"].alias("total"))))).drop("items")
+    both = once(groups, _first=F.array_min("_items"), _last=F.array_max("_items")["item_idx"]).join(lists, "receipt_id", "left")
+    some = F.size("_ws") > 0
+    names = F.transform("_items", lambda x: F.upper(F.coalesce(x["name"], F.lit(""))))
+    both = both.withColumn("_at", S.closest_of_lists(F.when(some, names), F.when(some, F.transform("_ws", lambda w: w["key"]))))
+    hit = lambda i: F.get(F.col("_ws"), F.get(F.col("_at"), i))
+    old = F.transform("_items", lambda x, i: F.struct(*[x[c].alias(c) for c in others], F.lit(True).alias("_item"), hit(i).alias("_hit")))
+    unused = F.array_except(F.sequence(F.lit(0), F.size("_ws") - 1), "_at")
+
+    def added(j: Column, n: Column) -> Column:
+        w = F.get(F.col("_ws"), j)
+        own = {"item_idx": F.col("_last") + n + 1, "name": w["key"], "code": F.lit(""), "price": F.lit(""), "amount": F.lit("")}
+        return F.struct(*[own.get(c, F.col(f"_first.{c}")).alias(c) for c in others], F.lit(False).alias("_item"), w.alias("_hit"))
+
+    return _weighed(both.select("receipt_id", F.inline(F.when(some, F.concat(old, F.transform(unused, added))).otherwise(old))))
+
+
+def _weighed(rows: DataFrame) -> DataFrame:
+    """Items, and weights as new items, with the price and amount of their _hit."""
+    hit = F.col("_hit").isNotNull()
     return rows.select(
-        "receipt_id", F.when(old, F.col("item_idx")).otherwise(F.col("_place")).alias("item_idx"), F.when(old, F.col("store")).otherwise(F.col("_first.store")).alias("store"),
-        F.when(old, F.col("purchase_date")).otherwise(F.col("_first.purchase_date")).alias("purchase_date"), currency.alias("currency"),
-        F.when(old, F.col("name")).otherwise(T.title_case(F.col("_upper"))).alias("name"), F.when(old, F.col("code")).otherwise("").alias("code"),
-        F.when(hit, T.format_cents(T.price_cents(F.col("_hit.total")), currency)).otherwise(F.col("price")).alias("price"),
+        "receipt_id", "item_idx", "store", "purchase_date", "currency", F.when(F.col("_item"), F.col("name")).otherwise(T.title_case(F.col("name"))).alias("name"), "code",
+        F.when(hit, T.format_cents(T.price_cents(F.col("_hit.total")), F.col("currency"))).otherwise(F.col("price")).alias("price"),
         F.when(hit, F.concat("_hit.weight", F.lit(" kg"))).otherwise(F.col("amount")).alias("amount"),
     )
 

@@ -158,14 +158,12 @@ SELECT w.receipt_id, last + row_number() OVER (PARTITION BY w.receipt_id ORDER B
   CAST(c // 100 AS varchar) || '.' || lpad(CAST(c % 100 AS varchar), 2, '0') || currency, weight || ' kg'
 FROM weights w JOIN h ON h.receipt_id = w.receipt_id WHERE NOT EXISTS (SELECT 1 FROM items i WHERE i.receipt_id = w.receipt_id AND upper(i.name) = k)""")
 def j08_inject_weights(spark: SparkSession, sf: str) -> DataFrame:
-    weights = items.weight_rows(ocr_texts(spark, sf))
-    return items.inject_weights(derived(spark, sf, "items").drop("cents"), weights)
+    return items.inject_exact(derived(spark, sf, "items").drop("cents"), items.weight_items(ocr_texts(spark, sf)))
 
 
 @query()
 def j08_inject_weights_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
-    weights = items.weight_rows(ocr_texts(spark, sf))
-    return items.inject_weights(derived(spark, sf, "items").drop("cents"), weights, fuzzy=True)
+    return items.inject_closest(derived(spark, sf, "items").drop("cents"), items.weight_items(ocr_texts(spark, sf)))
 
 
 @query()
